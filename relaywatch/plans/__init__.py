@@ -1,6 +1,6 @@
 """Registered queries (``QUERIES``) and their DuckDB SQL twins (``ORACLE``)."""
 
-from relaywatch.plans import q_reliability  # noqa: F401  (registers queries)
+from relaywatch.plans import q_kpis, q_reliability  # noqa: F401  (registers queries)
 from relaywatch.plans.registry import FLAGSHIP, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "FLAGSHIP"]
