@@ -38,7 +38,7 @@ def like_pattern(word) -> Column:
 
 def contains_word(text, word) -> Column:
     """Case-insensitive contains (``ilike '%word%'``)."""
-    return _c(text).ilike(like_pattern(word))
+    return F.ilike(_c(text), like_pattern(word))
 
 
 # Signed or decimal number (metric values) and plain digit runs.
@@ -61,8 +61,8 @@ def named_metric(text, name: str) -> Column:
 
 
 def fmt1(x) -> Column:
-    """One decimal place (half-up; Python's ``%.1f`` rounds half-even)."""
-    return F.format_string("%.1f", _c(x))
+    """One decimal place, ties to even (as ``%.1f`` on a binary tie)."""
+    return F.format_string("%.1f", F.bround(_c(x), 1))
 
 
 def join_actions(actions) -> Column:

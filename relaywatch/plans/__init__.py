@@ -1,6 +1,6 @@
 """Registered queries (``QUERIES``) and their DuckDB SQL twins (``ORACLE``)."""
 
-from relaywatch.plans import q_kpis, q_reliability, q_search  # noqa: F401  (registers)
+from relaywatch.plans import q_diagnose, q_kpis, q_reliability, q_search  # noqa: F401
 from relaywatch.plans.registry import FLAGSHIP, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "FLAGSHIP"]

@@ -96,3 +96,34 @@ topic AS (
            || '"}'
     END AS value_text
   FROM topic_raw)"""
+
+
+def tfidf_ctes(docs_sql: str, queries_sql: str, p: str = "") -> str:
+    """TF-IDF scoring CTEs (reference formulation: normalise both vectors,
+    then sum products). ``docs_sql`` yields (doc_id, text), ``queries_sql``
+    yields (qid, text); CTE names are prefixed with ``p``."""
+    tok = "unnest(regexp_extract_all(lower(text), '[a-z0-9]+'))"
+    return f"""{p}docs AS ({docs_sql}),
+{p}occ AS (SELECT doc_id, {tok} AS token FROM {p}docs),
+{p}tf AS (SELECT doc_id, token, count(*) AS tf FROM {p}occ GROUP BY doc_id, token),
+{p}nd AS (SELECT count(*) AS n FROM {p}docs),
+{p}dfq AS (SELECT token, count(*) AS df FROM {p}tf GROUP BY token),
+{p}idf AS (SELECT token, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM {p}dfq, {p}nd),
+{p}norms AS (SELECT doc_id, sqrt(sum(pow(tf * idf, 2))) AS norm
+             FROM {p}tf JOIN {p}idf USING (token) GROUP BY doc_id),
+{p}queries AS ({queries_sql}),
+{p}qocc AS (SELECT qid, {tok} AS token FROM {p}queries),
+{p}qtf AS (SELECT qid, token, count(*) AS qtf FROM {p}qocc GROUP BY qid, token),
+{p}qk AS (SELECT qid, token, qtf, idf FROM {p}qtf JOIN {p}idf USING (token)),
+{p}qn AS (SELECT qid, sqrt(sum(pow(qtf * idf, 2))) AS qnorm FROM {p}qk GROUP BY qid),
+{p}qv AS (SELECT qid, token, qtf * idf / qnorm AS qw FROM {p}qk JOIN {p}qn USING (qid)),
+{p}dv AS (SELECT doc_id, token, tf * idf / norm AS dw
+          FROM {p}tf JOIN {p}idf USING (token) JOIN {p}norms USING (doc_id)),
+{p}scores AS (SELECT qid, doc_id, sum(qw * dw) AS score FROM {p}qv JOIN {p}dv USING (token)
+              GROUP BY qid, doc_id),
+{p}ranked AS (
+  SELECT q.qid, d.doc_id, round(coalesce(s.score, 0.0), 6) AS score,
+         row_number() OVER (PARTITION BY q.qid ORDER BY round(coalesce(s.score, 0.0), 6) DESC,
+                                                       d.doc_id) AS rank
+  FROM {p}queries q CROSS JOIN {p}docs d
+  LEFT JOIN {p}scores s ON s.qid = q.qid AND s.doc_id = d.doc_id)"""
