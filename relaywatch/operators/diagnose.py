@@ -5,8 +5,10 @@ For each event: classify the KPIs (X12), write and re-read the report
 retrieve the best procedure document (TF-IDF, L2) and the most similar past
 incidents (J3/J4), and produce the outcome row to append to history.
 
-Lookups are keyed by the issue label, so they run once per distinct issue
-(a handful) and are joined back to the events with a broadcast.
+The parsed issue is always one of the classifier's labels, so the document
+and history lookups run once over that fixed label set (7 rows, a proven
+bound) and are broadcast-joined to the events; they never re-read the
+events themselves.
 """
 
 from __future__ import annotations
@@ -67,35 +69,42 @@ def plan_events(spark: SparkSession, reported: DataFrame) -> DataFrame:
                          F.col("parsed.actions").alias("actions"))
 
 
-def diagnose(spark: SparkSession, events: DataFrame, procedures: DataFrame,
-             history: DataFrame, policy: str = "coded", k_docs: int = 1,
-             k_history: int = 2) -> DataFrame:
-    """One diagnosis row per event.
+def issue_labels(spark: SparkSession) -> DataFrame:
+    """Every label the classifier can emit."""
+    return spark.createDataFrame([(s[0],) for s in [*X.LADDER, X.GENERAL]], "issue string")
 
-    ``events`` carries ``delay_rate, avg_prep_time, cancellation_rate,
-    reliability_score, incident_mode``; ``procedures`` is ``(doc_name,
-    content)``; ``history`` has the history schema (looked up before any
-    outcome of this batch is appended).
-    """
-    planned = plan_events(spark, classify_events(events, policy))
-    issues = planned.select(F.col("issue").alias("qid"), F.col("issue").alias("text")).distinct()
 
-    # Best procedure document per distinct issue (TF-IDF, doc ids = names).
+def issue_lookups(spark: SparkSession, procedures: DataFrame, history: DataFrame,
+                  k_docs: int = 1, k_history: int = 2) -> DataFrame:
+    """Per label: best procedure document (TF-IDF) and past incidents."""
+    labels = issue_labels(spark)
+    issues = labels.select(F.col("issue").alias("qid"), F.col("issue").alias("text"))
     index = S.build_index(procedures, id_col="doc_name", text_col="content")
     docs = (S.top_documents(index, issues, k=k_docs)
             .groupBy("qid").agg(F.min_by(F.struct("doc_id", "score"), "rank").alias("d"))
             .select(F.col("qid").alias("issue"), F.col("d.doc_id").alias("doc_name"),
                     F.col("d.score").alias("doc_score")))
-
-    # Past incidents per distinct issue, newest first.
-    past = (H.find_similar(history, issues.select(F.col("qid").alias("query")), k=k_history)
+    past = (H.find_similar(history, labels.select(F.col("issue").alias("query")), k=k_history)
             .groupBy("query").agg(F.sort_array(F.collect_list(F.struct(
                 "rank", F.concat_ws(" @ ", "incident", "timestamp").alias("item")))).alias("p"))
             .select(F.col("query").alias("issue"),
                     F.array_join(F.col("p.item"), " | ").alias("past_incidents")))
+    return labels.join(docs, "issue", "left").join(past, "issue", "left")
+
 
-    out = (planned.join(F.broadcast(docs), "issue", "left")
-           .join(F.broadcast(past), "issue", "left"))
+def diagnose(spark: SparkSession, events: DataFrame, procedures: DataFrame,
+             history: DataFrame, policy: str = "coded", k_docs: int = 1,
+             k_history: int = 2) -> DataFrame:
+    """One diagnosis row per event.
+
+    ``events`` carries ``delay_rate, avg_prep_time, cancellation_rate,
+    reliability_score, incident_mode``; ``procedures`` is ``(doc_name,
+    content)``; ``history`` has the history schema (looked up before any
+    outcome of this batch is appended).
+    """
+    planned = plan_events(spark, classify_events(events, policy))
+    lookups = issue_lookups(spark, procedures, history, k_docs, k_history)
+    out = planned.join(F.broadcast(lookups), "issue", "left")
     return out.withColumns({
         "solution": join_actions("actions"),
         "improvement_value": X.improvement_value("improvement"),

@@ -76,9 +76,9 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
             base = tempfile.mkdtemp(prefix="relaywatch-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir()
+    if base.startswith("file:"):
+        base = base[len("file:"):]
     path = base.rstrip("/") + f"/{name or 'work'}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
+    if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
