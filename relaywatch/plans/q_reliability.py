@@ -260,7 +260,8 @@ def _json_field(name: str, kind: str) -> str:
 _FWD_KIND = {f.name: f.dataType.typeName() for f in ORDER.fields}
 
 
-@register("p1_p3_forward_encode", WT + """,
+# Consumer-side decode of the topic (typed fields; a mistyped field is null).
+DECODED_SQL = """,
 parsed AS (
   SELECT key_text, arrival,
          CASE WHEN value_text IS NOT NULL AND json_valid(value_text) THEN value_text END AS j
@@ -281,12 +282,17 @@ dec AS (
          CASE json_extract_string(j, '$.is_delayed') WHEN 'true' THEN true WHEN 'false' THEN false END AS is_delayed,
          CASE json_extract_string(j, '$.is_cancelled') WHEN 'true' THEN true WHEN 'false' THEN false END AS is_cancelled,
          json_extract_string(j, '$.incident_mode') AS incident_mode
-  FROM parsed)
+  FROM parsed)"""
+
+FORWARD_SELECT = """
 SELECT order_id AS "key", arrival,
   '{' || array_to_string(list_filter([""" + ",\n    ".join(
     _json_field(n, _FWD_KIND[n]) for n in FORWARDED_FIELDS) + """,
     '"type":"received"'], lambda x: x IS NOT NULL), ',') || '}' AS "value"
-FROM dec""")
+FROM dec"""
+
+
+@register("p1_p3_forward_encode", WT + DECODED_SQL + FORWARD_SELECT)
 def p1_p3_forward_encode(spark, sf):
     dec = D.decode_orders(topic(spark, sf), keep=["arrival"])
     return D.encode_forwarded(dec, keep=["arrival"])
