@@ -29,6 +29,17 @@ _RAW = T.StructType([
     for f in ORDER.fields])
 
 
+def parse_once(text, schema):
+    """``from_json`` as a generator (``inline`` of a one-element array).
+
+    Filters on the parsed fields cannot be pushed below a Generate, so each
+    record is parsed exactly once; as a plain projection the optimizer would
+    substitute the parse into every pushed-down predicate and split it per
+    field. Null or malformed text yields one all-null row.
+    """
+    return F.inline(F.array(F.from_json(text, schema)))
+
+
 def decode_orders(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """P1 + P2: ``key`` as text, broker time as ``kafka_timestamp``, value
     decoded with the fixed order schema. ``keep`` passes extra columns."""
@@ -37,8 +48,7 @@ def decode_orders(records: DataFrame, keep: list[str] | None = None) -> DataFram
         F.col("key").cast("string").alias("event_key"),
         F.col("timestamp").alias("kafka_timestamp"),
         *keep,
-        F.from_json(F.col("value").cast("string"), ORDER).alias("data"),
-    ).select("event_key", "kafka_timestamp", *keep, "data.*")
+        parse_once(F.col("value").cast("string"), ORDER))
 
 
 def encode_forwarded(decoded: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -65,8 +75,7 @@ def web_records(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """
     keep = [c for c in (keep or []) if c in records.columns]
     text = F.col("value").cast("string")
-    p = records.select(*keep, text.alias("_text"),
-                       F.from_json(text, _RAW).alias("d")).select("*", "d.*").drop("d")
+    p = records.select(*keep, text.alias("_text"), parse_once(text, _RAW))
     all_null = F.coalesce(*[F.col(f.name).isNotNull() for f in _RAW.fields], F.lit(False))
     seq = F.col("sent_sequence").try_cast("int")
     prep = F.col("prep_time_minutes").try_cast("int")

@@ -4,10 +4,12 @@ Every query here is a plain streaming DataFrame; sinks and triggers are in
 ``relaywatch.streaming.run``. Final states equal the batch operators:
 
 - ST5  ``live_totals``      one aggregation per mode (update mode)
-- ST6  ``live_unique``      exact unique/duplicates in one query: per-order
-                            state (applyInPandasWithState, append) feeding a
-                            per-mode sum (update); the chained-aggregation
-                            plan of the reference (F1) is never built
+- ST6  ``live_unique``      exact unique/duplicates in one JVM-only query:
+                            receipts unioned with first receipts
+                            (dropDuplicates) into one per-mode sum; the
+                            chained-aggregation plan of the reference (F1)
+                            is never built (``live_unique_keyed_state`` does
+                            the same with applyInPandasWithState)
 - ST6' ``live_unique_jvm``  JVM-only unique count: dropDuplicates + count
 - ST7  ``bounded_unique``   dropDuplicatesWithinWatermark: bounded state;
                             repeats beyond the horizon count again
@@ -69,22 +71,43 @@ def _first_seen(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState):
     yield pd.DataFrame({"kafka_mode": [key[1]], "d_total": [n], "d_unique": [first]})
 
 
+def _unique_columns(s: DataFrame) -> DataFrame:
+    return s.select("kafka_mode", "total_orders_received", "unique_orders",
+                    (F.col("total_orders_received") - F.col("unique_orders"))
+                    .alias("duplicate_orders"),
+                    pct(F.col("total_orders_received") - F.col("unique_orders"),
+                        "total_orders_received").alias("duplicate_percentage"))
+
+
 def live_unique(dec: DataFrame) -> DataFrame:
-    """ST6: exact per-mode totals, unique orders and duplicates, one query.
+    """ST6: exact per-mode totals, unique orders and duplicates, one query,
+    JVM only.
 
-    The per-order state is one flag, so state size is the number of distinct
-    orders (RocksDB-backed); use ``bounded_unique`` for bounded state.
+    Every receipt contributes (1, 0); the first receipt of each order (kept
+    by ``dropDuplicates``, exact state in the state store) contributes
+    (0, 1); one per-mode sum in update mode adds both. A null order id is one
+    order, as in the batch operator.
     """
+    pairs = dec.select("kafka_mode", "order_id")
+    every = pairs.select("kafka_mode", F.lit(1).alias("d_total"), F.lit(0).alias("d_unique"))
+    first = (pairs.dropDuplicates(["kafka_mode", "order_id"])
+             .select("kafka_mode", F.lit(0).alias("d_total"), F.lit(1).alias("d_unique")))
+    s = every.unionByName(first).groupBy("kafka_mode").agg(
+        F.sum("d_total").alias("total_orders_received"),
+        F.sum("d_unique").alias("unique_orders"))
+    return _unique_columns(s)
+
+
+def live_unique_keyed_state(dec: DataFrame) -> DataFrame:
+    """ST6 with custom per-order state (applyInPandasWithState, append)
+    feeding a per-mode sum (update). Same result as ``live_unique``; one
+    Python call per order key and batch, so slower."""
     deltas = (dec.select("order_id", "kafka_mode").groupBy("order_id", "kafka_mode")
               .applyInPandasWithState(_first_seen, _UNIQUE_OUT, _UNIQUE_STATE, "append",
                                       GroupStateTimeout.NoTimeout))
     s = deltas.groupBy("kafka_mode").agg(F.sum("d_total").alias("total_orders_received"),
                                          F.sum("d_unique").alias("unique_orders"))
-    return s.select("kafka_mode", "total_orders_received", "unique_orders",
-                    (F.col("total_orders_received") - F.col("unique_orders"))
-                    .alias("duplicate_orders"),
-                    pct(F.col("total_orders_received") - F.col("unique_orders"),
-                        "total_orders_received").alias("duplicate_percentage"))
+    return _unique_columns(s)
 
 
 def live_unique_jvm(dec: DataFrame) -> DataFrame:

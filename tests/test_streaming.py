@@ -25,6 +25,10 @@ def test_three_batches_regression(spark):
     schema = "order_id string, kafka_mode string, sent_sequence int, arrival long"
     s = _stream_of(spark, rows, schema, 3)
     out_u = RUN.run_to_folder(spark, L.live_unique(s), "u")
+    out_k = RUN.run_to_folder(spark, L.live_unique_keyed_state(
+        _stream_of(spark, rows, schema, 3)), "k")
+    k = RUN.final_state(spark, out_k, ["kafka_mode"]).collect()[0]
+    assert (k.total_orders_received, k.unique_orders) == (5, 3)
     out_t = RUN.run_to_folder(spark, L.live_totals(_stream_of(spark, rows, schema, 3)), "t")
     u = RUN.final_state(spark, out_u, ["kafka_mode"]).collect()[0]
     t = RUN.final_state(spark, out_t, ["kafka_mode"]).collect()[0]
