@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,9 @@ class TfidfIndex:
     idf: DataFrame      # (token, df, idf)
     norms: DataFrame    # (doc_id, norm)
 
+    def unpersist(self) -> None:
+        self.terms.unpersist()
+
 
 def token_occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per token occurrence (whole texts, no prefix)."""
@@ -57,8 +61,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Build the index lazily (no action). ``docs`` keeps every row: empty
     documents count toward N, as in the reference."""
     corpus = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # Term counts, then one shuffle to co-locate each document's terms.
-    terms = term_frequency(corpus).repartition("doc_id")
+    # Term counts, then one shuffle to co-locate each document's terms. The
+    # table feeds document frequency, norms and every search, so it is
+    # persisted (memory, spilling to disk; lost blocks are recomputed).
+    terms = term_frequency(corpus).repartition("doc_id").persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
     df = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)

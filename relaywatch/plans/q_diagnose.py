@@ -43,8 +43,8 @@ def _f1(col: str) -> str:
     return f"printf('%.1f', round_even({col}, 1))"
 
 
-def classify_sql(src: str, hint: str, policy: str = "coded") -> str:
-    """CTEs ``c_m`` and ``cls`` (adds issue, confidence, evidence list)."""
+def classify_sql(src: str, hint: str, policy: str = "coded", p: str = "") -> str:
+    """CTEs ``{p}c_m`` and ``{p}cls`` (adds issue, confidence, evidence list)."""
     h = f"lower(coalesce({hint}, 'normal'))"
     numeric = {"kitchen_delay": "pv > 22.0", "courier_delay": "(dv > 20.0 AND pv <= 20.0)",
                "inventory_shortage": "cv > 15.0"}
@@ -62,14 +62,14 @@ def classify_sql(src: str, hint: str, policy: str = "coded") -> str:
         f"WHEN {_q(s[0])} THEN [" + ", ".join(_fill_sql(e) for e in s[3]) + "]"
         for s in steps_all) + " END"
     return f""",
-c_m AS (
+{p}c_m AS (
   SELECT *, {_f1('delay_rate')} || '%' AS delay_t, {_f1('avg_prep_time')} || ' min' AS prep_t,
          {_f1('cancellation_rate')} || '%' AS cancel_t,
          CAST({_f1('delay_rate')} AS DOUBLE) AS dv, CAST({_f1('avg_prep_time')} AS DOUBLE) AS pv,
          CAST({_f1('cancellation_rate')} AS DOUBLE) AS cv
   FROM {src}),
-c_i AS (SELECT *, {issue} AS issue FROM c_m),
-cls AS (SELECT *, {conf} AS confidence, {ev} AS evidence FROM c_i)"""
+{p}c_i AS (SELECT *, {issue} AS issue FROM {p}c_m),
+{p}cls AS (SELECT *, {conf} AS confidence, {ev} AS evidence FROM {p}c_i)"""
 
 
 _PB_VALUES = ", ".join(
@@ -300,3 +300,20 @@ SELECT incident, "timestamp" FROM seed_hist, nonempty WHERE n = 0""")
 def s8_seed_if_empty(spark, sf):
     """Seeds are skipped because the history built from the data is not empty."""
     return H.seeded(spark, _history(spark, sf)).select("incident", "timestamp")
+
+
+
+@register("j3_j4_epoch_issue_lookup", _J9_BASE + _FULL_HIST + _KPI_SQL.format(src="receipts") + """,
+ek AS (SELECT epoch, active_incident AS incident_mode, delay_rate, avg_prep_time,
+              cancellation_rate, reliability_score FROM kpis)"""
+          + classify_sql("ek", "incident_mode", p="e_")
+          + _similar_sql("hist", "SELECT DISTINCT issue AS query FROM e_cls", p="e_") + """
+SELECT query, rank, matched, incident, solution, improvement, confidence, "timestamp"
+FROM e_sim_rows""")
+def j3_j4_epoch_issue_lookup(spark, sf):
+    """J3 + J4 with the per-epoch issues as queries; normal epochs classify
+    as 'General Operational Anomaly', which matches nothing and falls back
+    to the newest rows."""
+    hist = _history(spark, sf)
+    q = _classified(spark, sf, "coded").select(F.col("issue").alias("query")).distinct()
+    return H.find_similar(hist, q, k=2).select("query", "rank", "matched", *_HIST_COLS)

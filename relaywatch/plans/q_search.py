@@ -92,3 +92,18 @@ FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)
 WHERE rank <= {TOP_K}""")
 def l2_top_documents(spark, sf):
     return S.top_documents(_index(spark, sf), _queries(spark, sf), k=TOP_K)
+
+
+@register("x2_keywords", """
+SELECT doc_id,
+       CAST(CASE WHEN n = 0 THEN 1 ELSE n END AS INT) AS n_keywords
+FROM (SELECT doc_id,
+             len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f\\v]+'),
+                             lambda w: length(w) >= 4)) AS n
+      FROM documents)""")
+def x2_keywords(spark, sf):
+    """X2 over whole document texts: number of keywords per document (the
+    whole text counts as one when no word is long enough)."""
+    from relaywatch.functions.text import keywords
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", F.size(keywords("text")).alias("n_keywords"))
