@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from relaywatch.operators import kpis as K
 from relaywatch.operators import reliability as R
 from relaywatch.plans.registry import register, rounded, sql_pct, table
-from relaywatch.plans.sqlviews import INC_CFG, RECEIPTS
+from relaywatch.plans.sqlviews import RECEIPTS
+from relaywatch.schema import MODES
 from relaywatch.sources.orders import receipts
 
 W = "WITH " + RECEIPTS
@@ -208,7 +209,7 @@ s AS (SELECT kafka_mode, count(*) AS unique_orders,
              CAST(sum(receive_count) AS BIGINT) AS total_orders_received,
              max(sent_sequence) AS sent_orders
       FROM per_order GROUP BY kafka_mode),
-base(kafka_mode, mode_rank) AS (VALUES ('at_most_once', 0), ('at_least_once', 1), ('exactly_once', 2)),
+base(kafka_mode, mode_rank) AS (VALUES {", ".join(f"('{m}', {i})" for i, m in enumerate(MODES))}),
 modes AS (
   SELECT base.kafka_mode, base.mode_rank,
          coalesce(total_orders_received, 0) AS total_orders,

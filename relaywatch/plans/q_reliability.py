@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from relaywatch.operators import decode as D
 from relaywatch.operators import reliability as R
 from relaywatch.plans.registry import register, rounded, sql_pct, table
-from relaywatch.plans.sqlviews import ATTEMPTS, MODE_CASE, RECEIPTS, TOPIC
-from relaywatch.schema import FORWARDED_FIELDS, MODES, ORDER
+from relaywatch.plans.sqlviews import ATTEMPTS, RECEIPTS, TOPIC
+from relaywatch.schema import (FORWARDED_FIELDS, INCIDENTS, ITEM_PRICES, MODE_DESCRIPTIONS,
+                               MODES, ORDER)
 from relaywatch.sources.orders import (delivery_attempts_from_orders, receipts,
                                        topic_records_from_receipts)
 
@@ -106,7 +107,7 @@ def a13_loss_rate(spark, sf):
 
 _MODE_DESC_VALUES = ", ".join(
     "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")"
-    for row in __import__("relaywatch.schema", fromlist=["MODE_DESCRIPTIONS"]).MODE_DESCRIPTIONS)
+    for row in MODE_DESCRIPTIONS)
 
 
 @register("j8_mode_descriptions", W + "," + _SUMMARY_SQL.format(src="receipts") + f""",
@@ -226,7 +227,7 @@ def a3_mode_reliability(spark, sf):
 modes AS (SELECT lower(json_extract_string(value_text, '$.kafka_mode')) AS kafka_mode
           FROM topic WHERE value_text IS NOT NULL AND json_valid(value_text))
 SELECT kafka_mode, count(*) AS n FROM modes
-WHERE kafka_mode IN ('at_most_once', 'at_least_once', 'exactly_once')
+WHERE kafka_mode IN (""" + ", ".join(f"'{m}'" for m in MODES) + """)
 GROUP BY kafka_mode""")
 def p8_mode_allow_list(spark, sf):
     dec = D.decode_orders(topic(spark, sf))
@@ -235,8 +236,8 @@ def p8_mode_allow_list(spark, sf):
 
 
 @register("p9_incident_allow_list", WT + _WEB_SQL + """
-SELECT incident_mode, lower(incident_mode) IN ('normal', 'kitchen_delay', 'courier_delay',
-         'weather_surge', 'staff_shortage', 'festival_rush', 'inventory_shortage') AS incident_allowed,
+SELECT incident_mode, lower(incident_mode) IN (""" + ", ".join(f"'{i}'" for i in INCIDENTS)
+          + """) AS incident_allowed,
        count(*) AS n
 FROM web WHERE reject_reason IS NULL GROUP BY 1, 2""")
 def p9_incident_allow_list(spark, sf):
@@ -299,8 +300,8 @@ def p1_p3_forward_encode(spark, sf):
 
 
 @register("p12_validate_amounts", W + """,
-prices(item_name, list_price) AS (VALUES ('Burger', 129), ('Pizza', 249), ('Biryani', 219),
-                                         ('Fried Rice', 179), ('Rolls', 149))
+prices(item_name, list_price) AS (VALUES """
+          + ", ".join(f"('{n}', {p})" for n, p in ITEM_PRICES) + """)
 SELECT item_name, count(*) AS n_orders,
        CAST(sum(quantity * list_price) AS BIGINT) AS line_amount,
        count_if(quantity * list_price <> total_price) AS n_mismatch

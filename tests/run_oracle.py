@@ -2,7 +2,7 @@
 
 usage: python tests/run_oracle.py [sf_dir] [name-substring ...]
 """
-import sys, time, traceback
+import sys, time
 sys.path.insert(0, "."); sys.path.insert(0, "tests")
 from relaywatch.session import get_session
 from relaywatch.plans import QUERIES, ORACLE

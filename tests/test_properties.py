@@ -1,6 +1,5 @@
 """Property and edge tests."""
 
-import numpy as np
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -3,7 +3,6 @@
 import os
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from relaywatch import work_dir
