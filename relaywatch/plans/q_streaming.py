@@ -23,24 +23,27 @@ WD = W + ",\n" + TOPIC + DECODED_SQL
 N_BATCHES = 4
 
 
-def _topic_stream(spark, sf, name):
-    rec = topic_records_from_receipts(receipts(spark, sf))
-    folder = RUN.stage_batches(rec, work_dir(spark, f"stage-{name}"), N_BATCHES)
-    return L.decoded(RUN.file_stream(spark, folder, rec.schema), keep=["arrival"])
+def _topic(spark, sf):
+    return topic_records_from_receipts(receipts(spark, sf))
 
 
-def _receipt_stream(spark, sf, name):
-    r = receipts(spark, sf).select("epoch", "arrival", "order_id", "timestamp", "incident_mode",
-                                   "is_delayed", "is_cancelled", "prep_time_minutes")
-    folder = RUN.stage_batches(r, work_dir(spark, f"stage-{name}"), N_BATCHES)
-    return RUN.file_stream(spark, folder, r.schema)
+def _receipt_source(spark, sf):
+    return receipts(spark, sf).select("epoch", "arrival", "order_id", "timestamp",
+                                      "incident_mode", "is_delayed", "is_cancelled",
+                                      "prep_time_minutes")
+
+
+def _on_topic(spark, sf, name, op, output_mode="update"):
+    """Run ``op(decoded stream)`` over the topic replayed in 4 micro-batches."""
+    return RUN.replay(spark, _topic(spark, sf), lambda s: op(L.decoded(s, keep=["arrival"])),
+                      name, output_mode, N_BATCHES)
 
 
 @register("st5_live_totals", WD + """
 SELECT kafka_mode, count(*) AS total_orders_received, max(sent_sequence) AS sent_orders
 FROM dec GROUP BY kafka_mode""")
 def st5_live_totals(spark, sf):
-    out = RUN.run_to_folder(spark, L.live_totals(_topic_stream(spark, sf, "st5")), "st5")
+    out = _on_topic(spark, sf, "st5", L.live_totals)
     return RUN.final_state(spark, out, ["kafka_mode"])
 
 
@@ -51,7 +54,7 @@ SELECT kafka_mode, CAST(sum(n) AS BIGINT) AS total_orders_received, count(*) AS
        {sql_pct('sum(n) - count(*)', 'sum(n)')} AS duplicate_percentage
 FROM per_order GROUP BY kafka_mode""")
 def st6_live_unique(spark, sf):
-    out = RUN.run_to_folder(spark, L.live_unique(_topic_stream(spark, sf, "st6")), "st6")
+    out = _on_topic(spark, sf, "st6", L.live_unique)
     return rounded(RUN.final_state(spark, out, ["kafka_mode"]))
 
 
@@ -62,7 +65,7 @@ SELECT kafka_mode, count(*) AS unique_orders FROM per_order GROUP BY kafka_mode"
 
 @register("st6_live_unique_jvm", _UNIQUE_SQL)
 def st6_live_unique_jvm(spark, sf):
-    out = RUN.run_to_folder(spark, L.live_unique_jvm(_topic_stream(spark, sf, "st6j")), "st6j")
+    out = _on_topic(spark, sf, "st6j", L.live_unique_jvm)
     return RUN.final_state(spark, out, ["kafka_mode"])
 
 
@@ -73,7 +76,7 @@ def st7_bounded_unique(spark, sf):
     records) repeats over the whole time range and is counted again after
     each horizon, which depends on micro-batch watermarks and has no plain
     SQL twin (tests check the non-null part against the exact count)."""
-    out = RUN.run_to_folder(spark, L.bounded_unique(_topic_stream(spark, sf, "st7")), "st7")
+    out = _on_topic(spark, sf, "st7", L.bounded_unique)
     return RUN.final_state(spark, out, ["kafka_mode"])
 
 
@@ -81,14 +84,14 @@ def st7_bounded_unique(spark, sf):
 SELECT order_id, kafka_mode, count(*) AS receive_count, max(sent_sequence) AS sent_sequence
 FROM dec GROUP BY order_id, kafka_mode""")
 def st8_live_receipts(spark, sf):
-    out = RUN.run_to_folder(spark, L.live_receipts(_topic_stream(spark, sf, "st8")), "st8")
+    out = _on_topic(spark, sf, "st8", L.live_receipts)
     return RUN.final_state(spark, out, ["order_id", "kafka_mode"])
 
 
 @register("st2_sliding_windows")
 def st2_sliding_windows(spark, sf):
     """Rows-only: approximate distinct per window (parity with F4)."""
-    out = RUN.run_to_folder(spark, L.sliding_windows(_topic_stream(spark, sf, "st2")), "st2")
+    out = _on_topic(spark, sf, "st2", L.sliding_windows)
     fs = RUN.final_state(spark, out, ["kafka_mode", "window_start"])
     return rounded(fs.withColumns({"window_start": F.unix_seconds("window_start"),
                                    "window_end": F.unix_seconds("window_end")}))
@@ -113,17 +116,15 @@ SELECT epoch, arrival, order_id, incident_mode, total_orders, delay_rate, cancel
        avg_prep_time, reliability_score
 FROM kept WHERE prev IS NULL OR prev <> incident_mode""")
 def st9_breach_stream(spark, sf):
-    fired = L.breach_trigger(_receipt_stream(spark, sf, "st9"))
-    out = RUN.run_to_folder(spark, fired, "st9", output_mode="append")
+    out = RUN.replay(spark, _receipt_source(spark, sf), L.breach_trigger, "st9", "append",
+                     N_BATCHES)
     return rounded(RUN.appended(spark, out).drop("timestamp"))
 
 
 @register("st10_forward_stream", WD + FORWARD_SELECT)
 def st10_forward_stream(spark, sf):
-    rec = topic_records_from_receipts(receipts(spark, sf))
-    folder = RUN.stage_batches(rec, work_dir(spark, "stage-st10"), N_BATCHES)
-    fwd = L.forward(RUN.file_stream(spark, folder, rec.schema), keep=["arrival"])
-    out = RUN.run_to_folder(spark, fwd, "st10", output_mode="append")
+    out = RUN.replay(spark, _topic(spark, sf), lambda s: L.forward(s, keep=["arrival"]),
+                     "st10", "append", N_BATCHES)
     return RUN.appended(spark, out)
 
 
@@ -131,9 +132,19 @@ def st10_forward_stream(spark, sf):
           + ", ".join(f'"{c}"' for c in _HIST_COLS) + " FROM hist")
 def st12_diagnose_on_breach(spark, sf):
     base = work_dir(spark, "st12")
-    fired = L.breach_trigger(_receipt_stream(spark, sf, "st12"))
-    fired = rounded(fired)
-    q = RUN.diagnose_on_breach(spark, fired, f"{base}/history", f"{base}/checkpoint")
-    RUN.run_all(spark, [q])
+    history = f"{base}/history"
+
+    def diagnose_sink(stream):
+        return rounded(L.breach_trigger(stream))
+
+    src = _receipt_source(spark, sf)
+    folder = f"{base}/source"
+    for i, (a, b) in enumerate(RUN._range_bounds(src, "arrival", N_BATCHES) or [(0, 0)]):
+        src.filter((F.col("arrival") >= a) & (F.col("arrival") < b)) \
+            .write.mode("overwrite").parquet(f"{folder}/part-{i:04d}")
+        stream = (spark.readStream.schema(src.schema).option("recursiveFileLookup", "true")
+                  .parquet(folder))
+        q = RUN.diagnose_on_breach(spark, diagnose_sink(stream), history, f"{base}/checkpoint")
+        RUN.run_all(spark, [q])
     from relaywatch.operators.history import open_history
-    return open_history(spark, f"{base}/history")
+    return open_history(spark, history)

@@ -21,26 +21,59 @@ from pyspark.sql.streaming import StreamingQuery
 from relaywatch.session import work_dir
 
 
-def stage_batches(df: DataFrame, folder: str, n_batches: int = 4,
-                  order_col: str = "arrival") -> str:
-    """Write ``df`` as ``n_batches`` parquet folders in ``order_col`` order
-    (one write per range, so file times follow the order). With
-    ``maxFilesPerTrigger`` a file stream then replays them as successive
-    micro-batches. Only the two range bounds reach the driver."""
+def _range_bounds(df: DataFrame, order_col: str, n_batches: int):
+    """``n_batches`` contiguous [a, b) ranges of ``order_col`` (only the two
+    bounds reach the driver)."""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
-        df.limit(0).write.mode("overwrite").parquet(f"{folder}/part-0000")
-        return folder
+        return []
     step = (hi - lo) // n_batches + 1
-    for i in range(n_batches):
-        a, b = lo + i * step, lo + (i + 1) * step
-        (df.filter((F.col(order_col) >= a) & (F.col(order_col) < b)).coalesce(1)
+    return [(lo + i * step, lo + (i + 1) * step) for i in range(n_batches)]
+
+
+def stage_batches(df: DataFrame, folder: str, n_batches: int = 4,
+                  order_col: str = "arrival") -> str:
+    """Write ``df`` as ``n_batches`` ordered range folders (each written in
+    parallel). Used for static replays and tests; ``replay`` turns each range
+    into exactly one micro-batch."""
+    bounds = _range_bounds(df, order_col, n_batches)
+    if not bounds:
+        df.limit(0).write.mode("overwrite").parquet(f"{folder}/part-0000")
+    for i, (a, b) in enumerate(bounds):
+        (df.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
          .write.mode("overwrite").parquet(f"{folder}/part-{i:04d}"))
     return folder
 
 
+def replay(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame], DataFrame],
+           name: str, output_mode: str = "update", n_batches: int = 4,
+           order_col: str = "arrival") -> str:
+    """Replay ``source`` as a stream of ``n_batches`` micro-batches in
+    ``order_col`` order and run ``build(stream)`` into a fresh folder.
+
+    Each range is written (in parallel) into the source folder and the
+    query is re-run from its checkpoint with ``availableNow``, so every range
+    is exactly one micro-batch and batches arrive in order, however many
+    files a range has. This also exercises restart from the checkpoint.
+    Returns the output folder (see ``final_state`` / ``appended``).
+    """
+    base = work_dir(spark, f"stream-{name}")
+    folder, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
+    bounds = _range_bounds(source, order_col, n_batches) or [(0, 0)]
+    query = None
+    for i, (a, b) in enumerate(bounds):
+        (source.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
+         .write.mode("overwrite").parquet(f"{folder}/part-{i:04d}"))
+        if query is None:
+            stream = (spark.readStream.schema(source.schema)
+                      .option("recursiveFileLookup", "true").parquet(folder))
+            query = build(stream)
+        run_all(spark, [start(query, f"{name}-{i}", ckpt, output_mode, out=out)])
+    return out
+
+
 def file_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    """Replay a staged folder as a stream (stands in for the broker source)."""
+    """Read a staged folder as a file stream (stands in for the broker source)."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
             .option("recursiveFileLookup", "true").parquet(folder))
 

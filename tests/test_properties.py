@@ -118,10 +118,7 @@ def test_late_row_past_watermark_is_dropped(spark):
     df = spark.createDataFrame(rows, "order_id string, kafka_mode string, sent_sequence int, "
                                      "producer_sent_at double, ts long, arrival long")
     df = df.withColumn("kafka_timestamp", F.timestamp_seconds("ts")).drop("ts")
-    folder = work_dir(spark, "late")
-    RUN.stage_batches(df, folder, 3, "arrival")
-    stream = RUN.file_stream(spark, folder, df.schema)
-    out = RUN.run_to_folder(spark, L.sliding_windows(stream), "late")
+    out = RUN.replay(spark, df, L.sliding_windows, "late", n_batches=3)
     total = RUN.final_state(spark, out, ["kafka_mode", "window_start"]).agg(
         F.sum("total_orders_received")).first()[0]
     assert total == 4  # a and b land in two windows each; the late row is dropped

@@ -9,32 +9,26 @@ from relaywatch.streaming import live as L
 from relaywatch.streaming import run as RUN
 
 
-def _stream_of(spark, rows, schema, n_files):
-    df = spark.createDataFrame(rows, schema)
-    folder = work_dir(spark, "stage")
-    RUN.stage_batches(df, folder, n_files, "arrival")
-    return RUN.file_stream(spark, folder, df.schema)
-
-
 def test_three_batches_regression(spark):
     """Batches (a1 b2), (a1 c3), (a1): total 5, unique 3, duplicates 2, max 3
     (the chained update-mode plan of the reference reports unique=5)."""
     rows = [("a", "at_least_once", 1, 0), ("b", "at_least_once", 2, 1),
             ("a", "at_least_once", 1, 10), ("c", "at_least_once", 3, 11),
             ("a", "at_least_once", 1, 20)]
-    schema = "order_id string, kafka_mode string, sent_sequence int, arrival long"
-    s = _stream_of(spark, rows, schema, 3)
-    out_u = RUN.run_to_folder(spark, L.live_unique(s), "u")
-    out_k = RUN.run_to_folder(spark, L.live_unique_keyed_state(
-        _stream_of(spark, rows, schema, 3)), "k")
-    k = RUN.final_state(spark, out_k, ["kafka_mode"]).collect()[0]
-    assert (k.total_orders_received, k.unique_orders) == (5, 3)
-    out_t = RUN.run_to_folder(spark, L.live_totals(_stream_of(spark, rows, schema, 3)), "t")
+    df = spark.createDataFrame(rows, "order_id string, kafka_mode string, sent_sequence int, "
+                                     "arrival long")
+    out_u = RUN.replay(spark, df, L.live_unique, "u", n_batches=3)
+    out_k = RUN.replay(spark, df, L.live_unique_keyed_state, "k", n_batches=3)
+    out_t = RUN.replay(spark, df, L.live_totals, "t", n_batches=3)
     u = RUN.final_state(spark, out_u, ["kafka_mode"]).collect()[0]
+    k = RUN.final_state(spark, out_k, ["kafka_mode"]).collect()[0]
     t = RUN.final_state(spark, out_t, ["kafka_mode"]).collect()[0]
     assert (u.total_orders_received, u.unique_orders, u.duplicate_orders) == (5, 3, 2)
+    assert (k.total_orders_received, k.unique_orders) == (5, 3)
     assert (t.total_orders_received, t.sent_orders) == (5, 3)
-    assert spark.read.parquet(out_u).select("batch_id").distinct().count() == 3
+    per_batch = sorted((r.batch_id, r.total_orders_received, r.unique_orders)
+                       for r in spark.read.parquet(out_u).collect())
+    assert per_batch == [(0, 2, 2), (1, 4, 3), (2, 5, 3)]
 
 
 def test_bounded_unique_matches_exact_for_real_orders(spark, sf_dir):
@@ -51,7 +45,10 @@ def test_bounded_unique_matches_exact_for_real_orders(spark, sf_dir):
 
 def test_run_all_supervises_several_queries(spark, sf_dir):
     """ST11: three queries started together, each with its own checkpoint."""
-    dec = QS._topic_stream(spark, sf_dir, "multi")
+    from relaywatch.sources.orders import receipts, topic_records_from_receipts
+    rec = topic_records_from_receipts(receipts(spark, sf_dir))
+    folder = RUN.stage_batches(rec, work_dir(spark, "stage-multi"), 2)
+    dec = L.decoded(RUN.file_stream(spark, folder, rec.schema))
     base = work_dir(spark, "multi")
     qs = [RUN.start(L.live_totals(dec), "m_totals", f"{base}/c1", out=f"{base}/o1"),
           RUN.start(L.live_receipts(dec), "m_receipts", f"{base}/c2", out=f"{base}/o2"),
