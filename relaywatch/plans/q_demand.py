@@ -71,7 +71,7 @@ def w5_min_series(spark, sf):
 
 @register("l4_series_order", _EVENTS_SQL + """
 SELECT item, strftime(d, '%Y-%m-%d') AS date, hour, quantity,
-       row_number() OVER (PARTITION BY item ORDER BY d, hour) AS position
+       CAST(row_number() OVER (PARTITION BY item ORDER BY d, hour) AS INTEGER) AS position
 FROM series""")
 def l4_series_order(spark, sf):
     return _out(M.ordered(event_series(spark, sf)))

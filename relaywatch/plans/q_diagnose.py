@@ -205,11 +205,12 @@ def _similar_sql(hist: str, queries: str, k: int = 2, p: str = "") -> str:
 {p}hwu AS (SELECT query, unnest(CASE WHEN len(w0) = 0 THEN [query] ELSE w0 END) AS w FROM {p}hw),
 {p}hm AS (SELECT DISTINCT q.query, h.* FROM {p}hwu q JOIN {hist} h
           ON h.incident ILIKE '%' || q.w || '%'),
-{p}htop AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY "timestamp" DESC, id DESC)
+{p}htop AS (SELECT *, CAST(row_number() OVER (PARTITION BY query
+                                        ORDER BY "timestamp" DESC, id DESC) AS INTEGER)
                    AS rank, true AS matched
             FROM {p}hm QUALIFY rank <= {k}),
-{p}hfb AS (SELECT q.query, h.*, row_number() OVER (PARTITION BY q.query
-                  ORDER BY h."timestamp" DESC, h.id DESC) AS rank, false AS matched
+{p}hfb AS (SELECT q.query, h.*, CAST(row_number() OVER (PARTITION BY q.query
+                  ORDER BY h."timestamp" DESC, h.id DESC) AS INTEGER) AS rank, false AS matched
            FROM {p}hq q CROSS JOIN {hist} h WHERE q.query NOT IN (SELECT query FROM {p}htop)
            QUALIFY rank <= {k}),
 {p}sim_rows AS (SELECT * FROM {p}htop UNION ALL SELECT * FROM {p}hfb)"""

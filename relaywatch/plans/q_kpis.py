@@ -32,8 +32,8 @@ _SCORE = "greatest(100.0 - delay_rate * 0.4 - cancellation_rate * 2.0, 0.0)"
 
 _KPI_SQL = f""",
 agg AS (
-  SELECT epoch, count(*) AS total_orders, count_if(is_delayed) AS delayed_orders,
-         count_if(is_cancelled) AS cancelled_orders,
+  SELECT epoch, count(*) AS total_orders, CAST(count_if(is_delayed) AS BIGINT) AS delayed_orders,
+         CAST(count_if(is_cancelled) AS BIGINT) AS cancelled_orders,
          CAST(sum(CASE WHEN NOT is_cancelled THEN prep_time_minutes ELSE 0 END) AS BIGINT) AS total_prep_time,
          arg_max(incident_mode, arrival) AS active_incident
   FROM {{src}} GROUP BY epoch),
@@ -121,7 +121,8 @@ def w4_reset_epochs(spark, sf):
 @register("l1_recent_orders", W + """
 SELECT epoch, position, order_id, restaurant_name, item_name, total_price, kafka_mode, status,
        prep_time, arrival
-FROM (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY arrival DESC) AS position,
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY epoch ORDER BY arrival DESC) AS INTEGER)
+               AS position,
              CASE WHEN is_cancelled THEN 'Cancelled' WHEN is_delayed THEN 'Delayed'
                   ELSE 'Delivered' END AS status,
              prep_time_minutes AS prep_time

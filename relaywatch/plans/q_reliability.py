@@ -86,11 +86,11 @@ def a8_latest_sequence(spark, sf):
 
 @register("a12_attempt_totals", "WITH " + ATTEMPTS + f"""
 SELECT kafka_mode, count(*) AS attempts,
-       count_if(outcome <> 'dropped') + count_if(outcome = 'duplicated') AS sent,
-       count_if(outcome = 'failed') AS failed,
-       count_if(outcome = 'dropped') AS dropped,
-       count_if(outcome = 'duplicated') AS duplicated,
-       {sql_pct("count_if(outcome <> 'dropped') + count_if(outcome = 'duplicated')", 'count(*)')}
+       CAST(count_if(outcome <> 'dropped') AS BIGINT) + CAST(count_if(outcome = 'duplicated') AS BIGINT) AS sent,
+       CAST(count_if(outcome = 'failed') AS BIGINT) AS failed,
+       CAST(count_if(outcome = 'dropped') AS BIGINT) AS dropped,
+       CAST(count_if(outcome = 'duplicated') AS BIGINT) AS duplicated,
+       {sql_pct("CAST(count_if(outcome <> 'dropped') AS BIGINT) + CAST(count_if(outcome = 'duplicated') AS BIGINT)", 'count(*)')}
          AS success_rate
 FROM attempts GROUP BY kafka_mode""")
 def a12_attempt_totals(spark, sf):
@@ -304,7 +304,7 @@ prices(item_name, list_price) AS (VALUES """
           + ", ".join(f"('{n}', {p})" for n, p in ITEM_PRICES) + """)
 SELECT item_name, count(*) AS n_orders,
        CAST(sum(quantity * list_price) AS BIGINT) AS line_amount,
-       count_if(quantity * list_price <> total_price) AS n_mismatch
+       CAST(count_if(quantity * list_price <> total_price) AS BIGINT) AS n_mismatch
 FROM receipts LEFT JOIN prices USING (item_name) GROUP BY item_name""")
 def p12_validate_amounts(spark, sf):
     v = D.validate_amounts(spark, receipts(spark, sf))

@@ -87,7 +87,8 @@ ranked AS (
   FROM benchmark b CROSS JOIN documents d
   LEFT JOIN scores s ON s.qid = b.item_id AND s.doc_id = d.doc_id)
 SELECT qid, doc_id, score, rank
-FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS INTEGER)
+             AS rank
       FROM ranked)
 WHERE rank <= {TOP_K}""")
 def l2_top_documents(spark, sf):

@@ -123,7 +123,8 @@ def tfidf_ctes(docs_sql: str, queries_sql: str, p: str = "") -> str:
               GROUP BY qid, doc_id),
 {p}ranked AS (
   SELECT q.qid, d.doc_id, round(coalesce(s.score, 0.0), 6) AS score,
-         row_number() OVER (PARTITION BY q.qid ORDER BY round(coalesce(s.score, 0.0), 6) DESC,
-                                                       d.doc_id) AS rank
+         CAST(row_number() OVER (PARTITION BY q.qid
+                                 ORDER BY round(coalesce(s.score, 0.0), 6) DESC, d.doc_id)
+              AS INTEGER) AS rank
   FROM {p}queries q CROSS JOIN {p}docs d
   LEFT JOIN {p}scores s ON s.qid = q.qid AND s.doc_id = d.doc_id)"""

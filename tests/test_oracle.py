@@ -21,3 +21,15 @@ def test_entry_runs(spark):
     df = e.entry(spark)
     assert df.count() == 3
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+_TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+          "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in ORACLE if not n.startswith("st")))
+def test_column_types_match_oracle(spark, sf_dir, con, name):
+    df = QUERIES[name](spark, sf_dir)
+    ours = {f.name: _TYPES.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    assert ours == theirs
