@@ -198,14 +198,21 @@ def kpi_vs_config(spark: SparkSession, kpis: DataFrame) -> DataFrame:
         (F.col("cancellation_rate") - F.col("cancel_pct")).alias("cancellation_gap"))
 
 
-def latest_kpis(kpis: DataFrame, order_col: str = "epoch") -> DataFrame:
-    """The latest KPI row, or the defaults when there is none.
+def latest_kpis(kpis: DataFrame | None, order_col: str = "epoch",
+                spark: SparkSession | None = None) -> DataFrame:
+    """The latest KPI row, or the defaults (0, 15, 0, 100, normal) when
+    there is none or no KPI frame is given.
 
     A global aggregate always yields one row, so the defaults apply to an
     empty input without any join.
     """
     names = list(KPI_DEFAULTS)
-    row = kpis.agg(F.max_by(F.struct(*names, "active_incident"), order_col).alias("k"))
+    if kpis is None:
+        row = (spark or SparkSession.getActiveSession()).range(1).select(
+            F.lit(None).cast(f"struct<{', '.join(f'{n}: double' for n in names)}, "
+                             "active_incident: string>").alias("k"))
+    else:
+        row = kpis.agg(F.max_by(F.struct(*names, "active_incident"), order_col).alias("k"))
     return row.select(
         *[F.coalesce(F.col(f"k.{n}"), F.lit(v)).alias(n) for n, v in KPI_DEFAULTS.items()],
         F.coalesce(F.col("k.active_incident"), F.lit("normal")).alias("active_incident"))
@@ -228,5 +235,33 @@ def snapshot(modes: DataFrame, kpis_latest: DataFrame, latest: DataFrame) -> Dat
         kpi["active_incident"].alias("active_incident"))
 
 
+def snapshot_document(modes: DataFrame, kpis_latest: DataFrame, rcpt: DataFrame,
+                      recent_k: int = 12, order_col: str = "arrival") -> DataFrame:
+    """S12 as one JSON document (one row): the active mode's numbers, every
+    mode's numbers, the latest KPIs and the ``recent_k`` newest receipts of
+    the latest epoch with their status. Every part is a bounded aggregate
+    (3 modes, one KPI row, ``recent_k`` receipts) used as a scalar."""
+    stats = [c for c in modes.columns if c not in ("kafka_mode", "mode_rank")]
+    mode_map = modes.agg(F.map_from_entries(F.collect_list(F.struct(
+        "kafka_mode", F.struct(*stats))))).scalar()
+    current = rcpt.agg(F.max_by("kafka_mode", order_col)).scalar()
+    last_epoch = rcpt.agg(F.max("epoch")).scalar()
+    recent = (rcpt.filter(F.col("epoch") == last_epoch)
+              .orderBy(F.col(order_col).desc()).limit(recent_k)
+              .agg(F.sort_array(F.collect_list(F.struct(
+                  F.col(order_col).alias("_order"), "order_id", "restaurant_name", "item_name",
+                  "total_price", "kafka_mode", order_status().alias("status"),
+                  F.col("prep_time_minutes").alias("prep_time"))), asc=False).alias("r"))
+              .select(F.transform("r", lambda x: x.dropFields("_order"))).scalar())
+    kpi = kpis_latest.select(F.struct(*kpis_latest.columns)).scalar()
+    doc = F.struct(
+        current.alias("kafka_mode"),
+        mode_map[current].alias("active"),
+        mode_map.alias("modes"),
+        recent.alias("recent_orders"),
+        kpi.alias("operational"))
+    return kpis_latest.sparkSession.range(1).select(F.to_json(doc).alias("snapshot"))
+
+
 def mode_rank(col: str = "kafka_mode"):
     return F.array_position(F.array(*[F.lit(m) for m in MODES]), F.col(col))

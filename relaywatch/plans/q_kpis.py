@@ -233,3 +233,12 @@ def s12_snapshot(spark, sf):
     latest = K.latest_kpis(rounded(K.operations_kpis(r)))
     cur = r.agg(F.max_by("kafka_mode", "arrival").alias("current_mode"))
     return rounded(K.snapshot(modes, latest, cur))
+
+
+@register("s12_snapshot_document")
+def s12_snapshot_document(spark, sf):
+    """Rows-only: the whole dashboard snapshot as one JSON document."""
+    r = receipts(spark, sf)
+    modes = rounded(R.mode_reliability(spark, r))
+    latest = K.latest_kpis(rounded(K.operations_kpis(r)))
+    return K.snapshot_document(modes, latest, r)

@@ -28,19 +28,49 @@ _DEFAULTS = {
 }
 
 
+# Profile for a large cluster (for example 1000 executors reading ~100 TB).
+# AQE starts from a high partition count and coalesces to ~256 MB partitions
+# at runtime; skewed join partitions (a hot or null order id, a common token)
+# are split; broadcasts stay small. Executors may be lost at any time: shuffle
+# files are served by the external shuffle service and migrated on
+# decommission, and failed tasks are retried, so no stage depends on one
+# executor. Static settings must be given before the SparkContext starts.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def get_session(master: str | None = None, app: str = "relaywatch",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None,
+                cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
 
     ``master`` and ``shuffle_partitions`` are for local runs; on a cluster
-    leave them unset and size ``spark.sql.shuffle.partitions`` in the job
-    configuration (AQE coalesces small partitions at runtime).
+    pass ``cluster=True`` (``CLUSTER_CONF``) or size the same settings in the
+    job configuration.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(_DEFAULTS)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -148,6 +148,16 @@ def run_to_folder(spark: SparkSession, df: DataFrame, name: str,
     return f"{base}/out"
 
 
+def display_sink(df: DataFrame, name: str, checkpoint: str, num_rows: int = 10,
+                 trigger: dict | None = None, output_mode: str = "update") -> StreamingQuery:
+    """Console display of an update-mode result, ``num_rows`` rows per
+    batch, no truncation, 10 s trigger by default."""
+    return (df.writeStream.queryName(name).outputMode(output_mode).format("console")
+            .option("truncate", False).option("numRows", num_rows)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
 def keyed_json_sink(df: DataFrame, key_col: str, checkpoint: str, topic: str | None = None,
                     options: dict | None = None, path: str | None = None,
                     trigger: str = "5 seconds") -> StreamingQuery:

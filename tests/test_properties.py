@@ -140,3 +140,29 @@ def test_read_topics_and_keyed_sink(spark, sf_dir):
     back = spark.read.json(f"{base}/out")
     assert back.count() == rec.count()
     assert set(back.columns) == {"key", "value"}
+
+
+def test_latest_kpis_defaults_without_input(spark):
+    r = K.latest_kpis(None, spark=spark).collect()[0]
+    assert (r.delay_rate, r.avg_prep_time, r.cancellation_rate, r.reliability_score) == \
+        (0.0, 15.0, 0.0, 100.0)
+    empty = spark.createDataFrame([], "epoch long, delay_rate double, avg_prep_time double, "
+                                      "cancellation_rate double, reliability_score double, "
+                                      "active_incident string")
+    assert K.latest_kpis(empty).collect()[0].avg_prep_time == 15.0
+
+
+def test_snapshot_document_and_display_sink(spark, sf_dir):
+    import json
+    from relaywatch.plans import QUERIES
+    doc = json.loads(QUERIES["s12_snapshot_document"](spark, sf_dir).collect()[0][0])
+    assert set(doc["modes"]) == {"at_most_once", "at_least_once", "exactly_once"}
+    assert len(doc["recent_orders"]) == 12 and doc["active"] == doc["modes"][doc["kafka_mode"]]
+    rows = [("a", "exactly_once", 1, 0)]
+    df = spark.createDataFrame(rows, "order_id string, kafka_mode string, sent_sequence int, "
+                                     "arrival long")
+    folder = RUN.stage_batches(df, work_dir(spark, "disp"), 1)
+    q = RUN.display_sink(L.live_totals(RUN.file_stream(spark, folder, df.schema)), "display",
+                         work_dir(spark, "disp-ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
