@@ -23,11 +23,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relaywatch.functions.text import tokenize
+from relaywatch.session import ensure_checkpoint_dir
 
 # Query-vector rows (qid, token) above which they are not broadcast.
 MAX_BROADCAST_QUERY_TOKENS = 2_000_000
@@ -40,9 +40,6 @@ class TfidfIndex:
     idf: DataFrame      # (token, df, idf)
     norms: DataFrame    # (doc_id, norm)
 
-    def unpersist(self) -> None:
-        self.terms.unpersist()
-
 
 def token_occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per token occurrence (whole texts, no prefix)."""
@@ -58,13 +55,18 @@ def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> TfidfIndex:
-    """Build the index lazily (no action). ``docs`` keeps every row: empty
+    """Build the index. The term table is computed once (one job) and
+    checkpointed; IDF and norms stay lazy. ``docs`` keeps every row: empty
     documents count toward N, as in the reference."""
     corpus = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # Term counts, then one shuffle to co-locate each document's terms. The
     # table feeds document frequency, norms and every search, so it is
-    # persisted (memory, spilling to disk; lost blocks are recomputed).
-    terms = term_frequency(corpus).repartition("doc_id").persist(StorageLevel.MEMORY_AND_DISK)
+    # written once to the shared checkpoint folder (an eager checkpoint):
+    # AQE sizes its partitions while writing, lineage is cut, it survives
+    # executor loss, and the doc_id partitioning is kept for the searches.
+    # (A cached plan would keep the raw shuffle partition count instead.)
+    ensure_checkpoint_dir(docs.sparkSession)
+    terms = term_frequency(corpus).repartition("doc_id").checkpoint(eager=True)
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
     df = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)

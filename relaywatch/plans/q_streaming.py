@@ -131,20 +131,9 @@ def st10_forward_stream(spark, sf):
 @register("st12_diagnose_on_breach", _J9_BASE + _FULL_HIST + "\nSELECT id, "
           + ", ".join(f'"{c}"' for c in _HIST_COLS) + " FROM hist")
 def st12_diagnose_on_breach(spark, sf):
-    base = work_dir(spark, "st12")
-    history = f"{base}/history"
-
-    def diagnose_sink(stream):
-        return rounded(L.breach_trigger(stream))
-
-    src = _receipt_source(spark, sf)
-    folder = f"{base}/source"
-    for i, (a, b) in enumerate(RUN._range_bounds(src, "arrival", N_BATCHES) or [(0, 0)]):
-        src.filter((F.col("arrival") >= a) & (F.col("arrival") < b)) \
-            .write.mode("overwrite").parquet(f"{folder}/part-{i:04d}")
-        stream = (spark.readStream.schema(src.schema).option("recursiveFileLookup", "true")
-                  .parquet(folder))
-        q = RUN.diagnose_on_breach(spark, diagnose_sink(stream), history, f"{base}/checkpoint")
-        RUN.run_all(spark, [q])
+    history = work_dir(spark, "st12") + "/history"
+    RUN.replay(spark, _receipt_source(spark, sf), lambda s: rounded(L.breach_trigger(s)),
+               "st12", "append", N_BATCHES,
+               sink=lambda q, name, ckpt, out: RUN.diagnose_on_breach(spark, q, history, ckpt))
     from relaywatch.operators.history import open_history
     return open_history(spark, history)

@@ -85,14 +85,9 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-def work_dir(spark: SparkSession, name: str | None = None) -> str:
-    """Return a fresh sub-folder of the shared checkpoint folder.
-
-    Reads the session's checkpoint folder (``spark.checkpoint.dir``). If it
-    is unset we create one only in local mode (a temp folder); on a cluster
-    that is an error, since a machine-local folder would not survive the loss
-    of an executor.
-    """
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder (``spark.checkpoint.dir``); in local
+    mode only, a temp folder is created when none is set."""
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
@@ -106,6 +101,18 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
             base = tempfile.mkdtemp(prefix="relaywatch-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir()
+    return base
+
+
+def work_dir(spark: SparkSession, name: str | None = None) -> str:
+    """Return a fresh sub-folder of the shared checkpoint folder.
+
+    Reads the session's checkpoint folder (``spark.checkpoint.dir``). If it
+    is unset we create one only in local mode (a temp folder); on a cluster
+    that is an error, since a machine-local folder would not survive the loss
+    of an executor.
+    """
+    base = ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
     path = base.rstrip("/") + f"/{name or 'work'}-{uuid.uuid4().hex[:12]}"

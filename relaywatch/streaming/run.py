@@ -47,7 +47,8 @@ def stage_batches(df: DataFrame, folder: str, n_batches: int = 4,
 
 def replay(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame], DataFrame],
            name: str, output_mode: str = "update", n_batches: int = 4,
-           order_col: str = "arrival") -> str:
+           order_col: str = "arrival", state_partitions: int | None = None,
+           sink: Callable[[DataFrame, str, str, str], StreamingQuery] | None = None) -> str:
     """Replay ``source`` as a stream of ``n_batches`` micro-batches in
     ``order_col`` order and run ``build(stream)`` into a fresh folder.
 
@@ -55,11 +56,17 @@ def replay(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame],
     query is re-run from its checkpoint with ``availableNow``, so every range
     is exactly one micro-batch and batches arrive in order, however many
     files a range has. This also exercises restart from the checkpoint.
-    Returns the output folder (see ``final_state`` / ``appended``).
+
+    Stateful shuffles are not coalesced by AQE and their partition count is
+    fixed in the checkpoint at the first start, so it is set explicitly
+    (default: the cluster's default parallelism) instead of inheriting
+    ``spark.sql.shuffle.partitions``. ``sink(query, name, checkpoint, out)``
+    replaces the default per-batch folder writer. Returns the output folder.
     """
     base = work_dir(spark, f"stream-{name}")
     folder, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
     bounds = _range_bounds(source, order_col, n_batches) or [(0, 0)]
+    parts = str(state_partitions or spark.sparkContext.defaultParallelism)
     query = None
     for i, (a, b) in enumerate(bounds):
         (source.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
@@ -68,7 +75,14 @@ def replay(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame],
             stream = (spark.readStream.schema(source.schema)
                       .option("recursiveFileLookup", "true").parquet(folder))
             query = build(stream)
-        run_all(spark, [start(query, f"{name}-{i}", ckpt, output_mode, out=out)])
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            q = (sink(query, f"{name}-{i}", ckpt, out) if sink
+                 else start(query, f"{name}-{i}", ckpt, output_mode, out=out))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
+        run_all(spark, [q])
     return out
 
 

@@ -87,7 +87,6 @@ def test_cosine_bounds(spark, sf_dir):
     qv, small = S.query_vectors(idx, q)
     s = S.sparse_dot(idx, qv, small).agg(F.min("score"), F.max("score")).first()
     assert 0 < s[0] and s[1] <= 1 + 1e-9
-    idx.unpersist()
 
 
 def test_all_cancelled_prep_is_zero(spark):
