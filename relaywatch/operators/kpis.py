@@ -116,23 +116,44 @@ def resets_from_orders(orders: DataFrame, epoch_orders: int = 200) -> DataFrame:
 
 
 def assign_epochs(rcpt: DataFrame, resets: DataFrame, ts_col: str = "kafka_timestamp",
-                  bucket_width: int = 3600 * 1_000_000 * 2) -> DataFrame:
-    """epoch = number of resets at or before each receipt.
-
-    Resets and receipts are unioned on one time axis (a reset sorts before a
-    receipt at the same instant) and a running count of resets is taken,
-    bucketed by time; receipts before the first reset get epoch 0.
+                  bucket_seconds: int = 3600,
+                  max_broadcast_buckets: int = 1_000_000) -> DataFrame:
+    """Each receipt's epoch is the latest reset at or before it (an
+    as-of join); ``epoch_no`` counts resets (1 = first reset, 0 = before any).
+
+    Resets are control events, few per hour. Per hour bucket we keep that
+    hour's reset times and carry in the last reset of earlier hours (a prefix
+    maximum over the per-hour table, whose size is the number of hours, not
+    of receipts). Receipts join that table on their hour and pick the latest
+    reset not after them, row by row: no sort or window over the receipts.
+    The hour table is broadcast when a bounded count shows it is small,
+    otherwise the join is a shuffle join (a hot hour is split by AQE).
     """
-    key = "_tkey"
-    r = rcpt.withColumns({key: F.unix_micros(F.col(ts_col)) * 2 + 1,
-                          "_is_reset": F.lit(0)})
-    z = resets.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rcpt.schema.fields],
-                      (F.unix_micros("epoch_start") * 2).alias(key),
-                      F.lit(1).alias("_is_reset"))
-    u = r.unionByName(z)
-    run = running_aggregates(u, [], key, sums={"epoch_no": F.col("_is_reset").cast("long")},
-                             bucket_width=bucket_width)
-    return run.filter(F.col("_is_reset") == 0).select(*rcpt.columns, "epoch_no")
+    us = 1_000_000 * bucket_seconds
+    r = resets.select(F.unix_micros("epoch_start").alias("_start"),
+                      F.col("incident").alias("epoch_incident"))
+    numbered = running_aggregates(r, [], "_start", sums={"epoch_no": F.lit(1)},
+                                  bucket_width=us).drop("_bucket")
+    per_hour = numbered.groupBy(F.floor(F.col("_start") / us).alias("_hour")).agg(
+        F.sort_array(F.collect_list(F.struct("_start", "epoch_no", "epoch_incident")))
+        .alias("_resets"),
+        F.max(F.struct("_start", "epoch_no", "epoch_incident")).alias("_last"))
+    rc = rcpt.withColumns({"_ts": F.unix_micros(F.col(ts_col))}).withColumn(
+        "_hour", F.floor(F.col("_ts") / us))
+    hours = (rc.select("_hour").distinct().unionByName(per_hour.select("_hour")).distinct()
+             .join(per_hour, "_hour", "left"))
+    earlier = Window.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    table = hours.select("_hour", "_resets", F.max("_last").over(earlier).alias("_carry"))
+    n = table.limit(max_broadcast_buckets + 1).count()
+    table = F.broadcast(table) if n <= max_broadcast_buckets else table
+    j = rc.join(table, "_hour", "left")
+    in_hour = F.filter(F.coalesce("_resets", F.array()), lambda x: x["_start"] <= F.col("_ts"))
+    pick = F.when(F.size(in_hour) > 0, F.element_at(in_hour, -1)).otherwise(F.col("_carry"))
+    return j.withColumn("_pick", pick).select(
+        *rcpt.columns,
+        F.coalesce(F.col("_pick.epoch_no"), F.lit(0)).alias("epoch_no"),
+        F.timestamp_micros(F.col("_pick._start")).alias("epoch_start"),
+        F.col("_pick.epoch_incident").alias("epoch_incident"))
 
 
 def recent_orders(rcpt: DataFrame, k: int = 12, partition_cols: list[str] | None = None,

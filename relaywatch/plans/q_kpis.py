@@ -106,7 +106,8 @@ def w3_breach_events(spark, sf, bucket_width: int | None = None):
 
 @register("w4_reset_epochs", W + """
 SELECT epoch + 1 AS epoch_no, count(*) AS n_receipts, min(arrival) AS first_arrival,
-       max(arrival) AS last_arrival, arg_max(incident_mode, arrival) AS incident_mode
+       max(arrival) AS last_arrival, arg_max(incident_mode, arrival) AS incident_mode,
+       min(incident_mode) AS epoch_incident
 FROM receipts GROUP BY epoch""")
 def w4_reset_epochs(spark, sf):
     r = receipts(spark, sf)
@@ -115,7 +116,8 @@ def w4_reset_epochs(spark, sf):
     return e.groupBy("epoch_no").agg(
         F.count(F.lit(1)).alias("n_receipts"), F.min("arrival").alias("first_arrival"),
         F.max("arrival").alias("last_arrival"),
-        F.max_by("incident_mode", "arrival").alias("incident_mode"))
+        F.max_by("incident_mode", "arrival").alias("incident_mode"),
+        F.min("epoch_incident").alias("epoch_incident"))
 
 
 @register("l1_recent_orders", W + """

@@ -165,3 +165,21 @@ def test_snapshot_document_and_display_sink(spark, sf_dir):
                          work_dir(spark, "disp-ck"), trigger={"availableNow": True})
     q.awaitTermination()
     assert q.exception() is None
+
+
+@SETTINGS
+@given(resets=st.lists(st.integers(0, 20_000), min_size=0, max_size=25, unique=True),
+       receipts=st.lists(st.integers(0, 20_000), min_size=1, max_size=60),
+       bucket=st.sampled_from([60, 600, 3600]))
+def test_assign_epochs_equals_asof(spark, resets, receipts, bucket):
+    r = spark.createDataFrame([(i, t) for i, t in enumerate(receipts)], "arrival long, ts long") \
+        .withColumn("kafka_timestamp", F.timestamp_seconds("ts"))
+    z = spark.createDataFrame([(t, f"inc{t}") for t in resets], "t long, incident string") \
+        .withColumn("epoch_start", F.timestamp_seconds("t"))
+    got = {x.arrival: (x.epoch_no, x.epoch_incident)
+           for x in K.assign_epochs(r, z, bucket_seconds=bucket).collect()}
+    rs = sorted(resets)
+    for i, t in enumerate(receipts):
+        before = [s for s in rs if s <= t]
+        want = (len(before), f"inc{before[-1]}" if before else None)
+        assert got[i] == want
