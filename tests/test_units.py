@@ -130,3 +130,33 @@ def test_json_lines_source(spark, sf_dir):
     assert back.count() == r.count()
     assert encode_forwarded(back).filter(F.col("value").contains('"type":"received"')).count() \
         == r.count()
+
+
+def test_bad_input_rules(spark):
+    """SURVEY §1.3: bad JSON, one mistyped field, null value, explicit null,
+    missing fields take defaults, unknown modes are rejected."""
+    from relaywatch.operators import decode as D
+    vals = [
+        ('{"order_id":"a","kafka_mode":"AT_LEAST_ONCE","sent_sequence":3}', "ok-upper"),
+        ('{"order_id":"b","kafka_mode":"exactly_once","sent_sequence":"x"}', "mistyped"),
+        ('{"order_id": "c", broken', "bad-json"),
+        (None, "null-value"),
+        ('{"order_id":"d","kafka_mode":"carrier_pigeon","sent_sequence":1}', "unknown-mode"),
+        ('{"order_id":"e","kafka_mode":"at_most_once","sent_sequence":null}', "explicit-null"),
+        ('{"order_id":"f","kafka_mode":"at_most_once","prep_time_minutes":"slow"}', "bad-prep"),
+    ]
+    df = spark.createDataFrame(vals, "value string, tag string").withColumn(
+        "key", F.lit(None).cast("binary")).withColumn("timestamp", F.current_timestamp())
+    web = {r.tag: r for r in D.web_records(df, keep=["tag"]).collect()}
+    assert web["ok-upper"].reject_reason is None and web["ok-upper"].kafka_mode == "at_least_once"
+    assert web["ok-upper"].prep_time_minutes == 15 and web["ok-upper"].incident_mode == "normal"
+    assert web["mistyped"].reject_reason == "bad_sequence"
+    assert web["bad-json"].reject_reason == "bad_json"
+    assert web["null-value"].reject_reason == "null_value"
+    assert web["unknown-mode"].reject_reason == "unknown_mode"
+    assert web["explicit-null"].reject_reason is None and web["explicit-null"].sent_sequence == 0
+    assert web["bad-prep"].reject_reason == "bad_prep"
+    dec = {r.tag: r for r in D.decode_orders(df, keep=["tag"]).collect()}
+    # consumer side: a mistyped field nulls only that field; bad JSON is all null
+    assert dec["mistyped"].order_id == "b" and dec["mistyped"].sent_sequence is None
+    assert dec["bad-json"].order_id is None and dec["bad-json"].kafka_mode is None
