@@ -2,21 +2,21 @@
 
 Index over a corpus ``(doc_id, text)``:
 
-- ``terms``  (doc_id, token, tf)   term counts, hash-partitioned by doc_id
-- ``idf``    (token, df, idf)      smoothed ``ln((1+N)/(1+df)) + 1``
-- ``norms``  (doc_id, norm)        L2 norm of the tf*idf vector
+- ``terms``   (doc_id, token, tf)  term counts, computed once (one pass over
+                                   the texts) and checkpointed
+- ``idf``     (token, df, idf)     smoothed ``ln((1+N)/(1+df)) + 1``
+- ``norms``   (doc_id, norm)       L2 norm of the tf*idf vector
+- ``weights`` (doc_id, token, wn)  tf*idf / norm, hash-partitioned by doc_id
 
 Search with queries ``(qid, text)``: query tokens outside the vocabulary are
-dropped before the query norm; IDF is folded into the query vector, so
-
-    score(q, d) = sum_t tf(d,t) * [qtf(q,t) * idf(t)^2 / |q|]  /  |d|
-
-and the corpus side needs no IDF join at query time. The query vectors are
-broadcast only after a row-count check (their size grows with the number of
-queries); beyond the limit the join is a shuffle join and AQE splits skewed
-(common) tokens. Because ``terms`` is partitioned by doc_id, the per-(query,
-doc) sum and the join with ``norms`` need no further shuffle, and top-k uses
-a WindowGroupLimit that ships at most k rows per query from each partition.
+dropped before the query norm; ``score(q, d) = sum_t qn(q,t) * wn(d,t)``.
+The query vectors are broadcast only after a row-count check (they grow with
+the number of queries); beyond the limit the join is a shuffle join and AQE
+splits skewed (common) tokens. ``weights`` comes from one re-partition by
+doc_id and a per-document window, so the per-(query, doc) sum after the
+broadcast join needs no further shuffle, and top-k uses a WindowGroupLimit
+that ships at most k rows per query from each partition: the (query, doc)
+pairs themselves are never shuffled.
 """
 
 from __future__ import annotations
@@ -35,10 +35,11 @@ MAX_BROADCAST_QUERY_TOKENS = 2_000_000
 
 @dataclass
 class TfidfIndex:
-    docs: DataFrame     # (doc_id, ...) the corpus, for corpus size and fillers
+    docs: DataFrame     # (doc_id) the corpus, for corpus size and fillers
     terms: DataFrame    # (doc_id, token, tf)
     idf: DataFrame      # (token, df, idf)
     norms: DataFrame    # (doc_id, norm)
+    weights: DataFrame  # (doc_id, token, wn), partitioned by doc_id
 
 
 def token_occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -55,31 +56,31 @@ def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> TfidfIndex:
-    """Build the index. The term table is computed once (one job) and
-    checkpointed; IDF and norms stay lazy. ``docs`` keeps every row: empty
-    documents count toward N, as in the reference."""
+    """Build the index. The term table is computed in one pass and written
+    to the shared checkpoint folder (eager checkpoint: AQE sizes it, lineage
+    is cut, it survives executor loss); everything else stays lazy. ``docs``
+    keeps every row: empty documents count toward N, as in the reference."""
     corpus = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # Term counts, then one shuffle to co-locate each document's terms. The
-    # table feeds document frequency, norms and every search, so it is
-    # written once to the shared checkpoint folder (an eager checkpoint):
-    # AQE sizes its partitions while writing, lineage is cut, it survives
-    # executor loss, and the doc_id partitioning is kept for the searches.
-    # (A cached plan would keep the raw shuffle partition count instead.)
     ensure_checkpoint_dir(docs.sparkSession)
-    terms = term_frequency(corpus).repartition("doc_id").checkpoint(eager=True)
+    terms = term_frequency(corpus).checkpoint(eager=True)
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
     df = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
-    norms = (terms.join(idf.select("token", "idf"), "token")
-             .groupBy("doc_id")
-             .agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm")))
-    return TfidfIndex(corpus.select("doc_id"), terms, idf, norms)
+    weighted = terms.join(idf.select("token", "idf"), "token").select(
+        "doc_id", "token", (F.col("tf") * F.col("idf")).alias("w"))
+    norms = weighted.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    per_doc = Window.partitionBy("doc_id")
+    weights = (weighted.repartition("doc_id")
+               .select("doc_id", "token",
+                       (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_doc)))
+                       .alias("wn")))
+    return TfidfIndex(corpus.select("doc_id"), terms, idf, norms, weights)
 
 
 def query_vectors(index: TfidfIndex, queries: DataFrame, id_col: str = "qid",
                   text_col: str = "text",
                   max_broadcast: int = MAX_BROADCAST_QUERY_TOKENS) -> tuple[DataFrame, bool]:
-    """``(qid, token, qv)`` with ``qv = qtf * idf^2 / |q|``; tokens outside
+    """``(qid, token, qn)``: normalised tf*idf query weights; tokens outside
     the vocabulary are dropped before the norm.
 
     Returns the vectors and whether they are small enough to broadcast. The
@@ -90,20 +91,16 @@ def query_vectors(index: TfidfIndex, queries: DataFrame, id_col: str = "qid",
     qtf = occ.groupBy("qid", "token").agg(F.count(F.lit(1)).alias("qtf"))
     small = qtf.limit(max_broadcast + 1).count() <= max_broadcast
     known = index.idf.select("token", "idf").join(F.broadcast(qtf) if small else qtf, "token")
-    w = Window.partitionBy("qid")
-    qnorm = F.sqrt(F.sum(F.pow(F.col("qtf") * F.col("idf"), 2)).over(w))
-    vec = known.select("qid", "token",
-                       (F.col("qtf") * F.col("idf") * F.col("idf") / qnorm).alias("qv"))
-    return vec, small
+    qw = F.col("qtf") * F.col("idf")
+    qnorm = F.sqrt(F.sum(qw * qw).over(Window.partitionBy("qid")))
+    return known.select("qid", "token", (qw / qnorm).alias("qn")), small
 
 
 def sparse_dot(index: TfidfIndex, qvec: DataFrame, broadcast_queries: bool) -> DataFrame:
     """Cosine score of every (query, document) pair sharing a token."""
     q = F.broadcast(qvec) if broadcast_queries else qvec
-    dots = (index.terms.join(q, "token")
-            .groupBy("qid", "doc_id").agg(F.sum(F.col("tf") * F.col("qv")).alias("dot")))
-    return (dots.join(index.norms, "doc_id")
-            .select("qid", "doc_id", (F.col("dot") / F.col("norm")).alias("score")))
+    return (index.weights.join(q, "token")
+            .groupBy("qid", "doc_id").agg(F.sum(F.col("wn") * F.col("qn")).alias("score")))
 
 
 def top_documents(index: TfidfIndex, queries: DataFrame, k: int = 1, id_col: str = "qid",
