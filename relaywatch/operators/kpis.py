@@ -116,8 +116,7 @@ def resets_from_orders(orders: DataFrame, epoch_orders: int = 200) -> DataFrame:
 
 
 def assign_epochs(rcpt: DataFrame, resets: DataFrame, ts_col: str = "kafka_timestamp",
-                  bucket_seconds: int = 3600,
-                  max_broadcast_buckets: int = 1_000_000) -> DataFrame:
+                  bucket_seconds: int = 3600) -> DataFrame:
     """Each receipt's epoch is the latest reset at or before it (an
     as-of join); ``epoch_no`` counts resets (1 = first reset, 0 = before any).
 
@@ -126,8 +125,8 @@ def assign_epochs(rcpt: DataFrame, resets: DataFrame, ts_col: str = "kafka_times
     maximum over the per-hour table, whose size is the number of hours, not
     of receipts). Receipts join that table on their hour and pick the latest
     reset not after them, row by row: no sort or window over the receipts.
-    The hour table is broadcast when a bounded count shows it is small,
-    otherwise the join is a shuffle join (a hot hour is split by AQE).
+    AQE broadcasts the hour table when its runtime size is small, otherwise
+    the join is a shuffle join (a hot hour is split by AQE's skew handling).
     """
     us = 1_000_000 * bucket_seconds
     r = resets.select(F.unix_micros("epoch_start").alias("_start"),
@@ -144,8 +143,9 @@ def assign_epochs(rcpt: DataFrame, resets: DataFrame, ts_col: str = "kafka_times
              .join(per_hour, "_hour", "left"))
     earlier = Window.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     table = hours.select("_hour", "_resets", F.max("_last").over(earlier).alias("_carry"))
-    n = table.limit(max_broadcast_buckets + 1).count()
-    table = F.broadcast(table) if n <= max_broadcast_buckets else table
+    # No hint: the hour table is a shuffle-stage output, so AQE knows its size
+    # at runtime and broadcasts it under the adaptive threshold; beyond it the
+    # join stays a shuffle join. A separate count would cost a receipts scan.
     j = rc.join(table, "_hour", "left")
     in_hour = F.filter(F.coalesce("_resets", F.array()), lambda x: x["_start"] <= F.col("_ts"))
     pick = F.when(F.size(in_hour) > 0, F.element_at(in_hour, -1)).otherwise(F.col("_carry"))
