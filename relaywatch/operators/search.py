@@ -124,3 +124,37 @@ def top_documents(index: TfidfIndex, queries: DataFrame, k: int = 1, id_col: str
             .groupBy("qid", "doc_id").agg(F.max("score").alias("score")))
     return (cand.withColumn("rank", F.row_number().over(rank))
             .filter(F.col("rank") <= k))
+
+
+def save_index(index: TfidfIndex, path: str, buckets: int, name: str = "tfidf") -> None:
+    """Persist an index under ``path`` (a shared folder) for later searches.
+
+    ``weights`` is written as a table bucketed and sorted by doc_id, so a
+    later search reads it with its doc_id partitioning (the per-(query, doc)
+    sum still needs no shuffle); ``idf`` and the document ids are plain
+    Parquet. ``buckets`` sets the weights' partition count (size it to about
+    256 MB per bucket).
+    """
+    spark = index.weights.sparkSession
+    (index.weights.repartition(buckets, "doc_id").write.mode("overwrite")
+     .bucketBy(buckets, "doc_id").sortBy("doc_id").option("path", f"{path}/weights")
+     .saveAsTable(f"{name}_weights"))
+    index.idf.write.mode("overwrite").parquet(f"{path}/idf")
+    index.norms.write.mode("overwrite").parquet(f"{path}/norms")
+    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+    spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(
+        f"{path}/meta")
+
+
+def load_index(spark, path: str, name: str = "tfidf") -> TfidfIndex:
+    """Re-attach an index written by ``save_index`` (also from a new
+    session: the bucketed weights table is declared over its files)."""
+    buckets = spark.read.parquet(f"{path}/meta").first()["buckets"]
+    table = f"{name}_weights"
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} (doc_id BIGINT, token STRING, wn DOUBLE) USING parquet "
+                  f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {buckets} BUCKETS "
+                  f"LOCATION '{path}/weights'")
+    idf = spark.read.parquet(f"{path}/idf")
+    return TfidfIndex(spark.read.parquet(f"{path}/docs"), None, idf,
+                      spark.read.parquet(f"{path}/norms"), spark.table(table))

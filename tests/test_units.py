@@ -160,3 +160,21 @@ def test_bad_input_rules(spark):
     # consumer side: a mistyped field nulls only that field; bad JSON is all null
     assert dec["mistyped"].order_id == "b" and dec["mistyped"].sent_sequence is None
     assert dec["bad-json"].order_id is None and dec["bad-json"].kafka_mode is None
+
+
+def test_saved_index_searches_without_pair_shuffle(spark, sf_dir):
+    import re
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    q = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(
+        F.col("item_id").alias("qid"), "text")
+    idx = S.build_index(docs)
+    want = sorted(S.top_documents(idx, q, k=3).collect())
+    path = work_dir(spark, "index")
+    S.save_index(idx, path, buckets=4, name="t_idx")
+    spark.sql("DROP TABLE IF EXISTS t_idx_weights")  # metadata only: load re-declares it
+    loaded = S.load_index(spark, path, name="t_idx")
+    got_df = S.top_documents(loaded, q, k=3)
+    assert sorted(got_df.collect()) == want
+    qv, small = S.query_vectors(loaded, q)
+    plan = S.sparse_dot(loaded, qv, small)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(qid#\d+L, doc_id", plan)
