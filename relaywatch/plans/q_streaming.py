@@ -97,6 +97,16 @@ def st2_sliding_windows(spark, sf):
                                    "window_end": F.unix_seconds("window_end")}))
 
 
+ORACLE_WINDOWED = W + """
+SELECT kafka_mode, ws AS window_start, count(*) AS total_orders_received,
+       count(DISTINCT order_id) AS unique_orders,
+       count(*) - count(DISTINCT order_id) AS duplicate_orders
+FROM (SELECT kafka_mode, order_id,
+             unnest([(kafka_ts_us // 5000000) * 5, (kafka_ts_us // 5000000) * 5 - 5]) AS ws
+      FROM receipts)
+GROUP BY kafka_mode, ws"""
+
+
 @register("st2_windowed_exact", W + """
 SELECT kafka_mode, ws AS window_start, count(*) AS total_orders_received,
        count(DISTINCT order_id) AS unique_orders,
@@ -109,6 +119,14 @@ def st2_windowed_exact(spark, sf):
     return L.windowed_exact(receipts(spark, sf))
 
 
+@register("st2_windowed_exact_stream", ORACLE_WINDOWED)
+def st2_windowed_exact_stream(spark, sf):
+    """ST1 + ST2 exact, streamed: final state equals the batch windows."""
+    src = receipts(spark, sf).drop("epoch")
+    out = RUN.replay(spark, src, L.windowed_exact_stream, "st2x", "update", N_BATCHES)
+    return RUN.final_state(spark, out, ["kafka_mode", "window_start"])
+
+
 @register("st9_breach_stream", W + _RUN_SQL + """,
 kept AS (SELECT *, lag(incident_mode) OVER (PARTITION BY epoch ORDER BY arrival) AS prev
          FROM run WHERE breach)
