@@ -29,6 +29,20 @@ def parse_time(ts_text) -> "F.Column":
     return F.to_timestamp_ntz(c)
 
 
+def ntz_as_utc(ts_ntz) -> "F.Column":
+    """ST1 input: a TIMESTAMP_NTZ read as UTC, as a TIMESTAMP (instant).
+
+    Built from calendar fields (days since epoch, hour, minute, seconds with
+    fraction), so the result does not depend on the session time zone, as a
+    plain cast would.
+    """
+    c = F.col(ts_ntz) if isinstance(ts_ntz, str) else ts_ntz
+    micros = (F.unix_date(F.to_date(c)).cast("long") * 86_400_000_000
+              + F.hour(c).cast("long") * 3_600_000_000 + F.minute(c).cast("long") * 60_000_000
+              + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+    return F.timestamp_micros(micros)
+
+
 def hourly_demand(rows: DataFrame, item_col: str = "item", ts_col: str = "ts",
                   qty_col: str = "quantity") -> DataFrame:
     """A7 + X4: total quantity per item, date and hour."""

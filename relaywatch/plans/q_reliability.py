@@ -320,3 +320,24 @@ FROM receipts""")
 def p11_order_status(spark, sf):
     from relaywatch.functions.metrics import order_status
     return receipts(spark, sf).select("order_id", "arrival", order_status().alias("status"))
+
+
+# A4 / A5 over the driver's ``events`` table (event_id is unique there).
+@register("a4_events_exact_distinct", """
+SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS unique_events,
+       count(DISTINCT user_id) AS users
+FROM events GROUP BY event_type""")
+def a4_events_exact_distinct(spark, sf):
+    ev = table(spark, sf, "events")
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
+                                        F.countDistinct("event_id").alias("unique_events"),
+                                        F.countDistinct("user_id").alias("users"))
+
+
+@register("a5_events_approx_distinct")
+def a5_events_approx_distinct(spark, sf):
+    """Rows-only: approximate distinct ids with rsd 0.05; "duplicates" =
+    count - estimate can go negative although every id is distinct (F4)."""
+    ev = table(spark, sf, "events").withColumnRenamed("event_type", "kafka_mode") \
+        .withColumn("order_id", F.col("event_id").cast("string"))
+    return R.approx_distinct(ev)

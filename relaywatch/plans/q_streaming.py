@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from relaywatch.plans.q_kpis import _RUN_SQL
 from relaywatch.plans.q_diagnose import _HIST_COLS, _FULL_HIST, _J9_BASE
 from relaywatch.plans.q_reliability import DECODED_SQL, FORWARD_SELECT
-from relaywatch.plans.registry import register, rounded, sql_pct
+from relaywatch.plans.registry import register, rounded, sql_pct, table
 from relaywatch.plans.sqlviews import RECEIPTS, TOPIC
 from relaywatch.session import work_dir
 from relaywatch.sources.orders import receipts, topic_records_from_receipts
@@ -155,3 +155,29 @@ def st12_diagnose_on_breach(spark, sf):
                sink=lambda q, name, ckpt, out: RUN.diagnose_on_breach(spark, q, history, ckpt))
     from relaywatch.operators.history import open_history
     return open_history(spark, history)
+
+
+# --------------------------------------------------------------------------
+# The driver's ``events`` table as a stream (event type as the group, user as
+# the id); ``ts`` is TIMESTAMP_NTZ and is read as UTC before the watermark.
+# --------------------------------------------------------------------------
+
+@register("st1_st2_events_windows_stream", """
+SELECT event_type, ws AS window_start, count(*) AS events, count(DISTINCT user_id) AS users,
+       count(*) - count(DISTINCT user_id) AS repeat_events
+FROM (SELECT event_type, user_id,
+             unnest([(epoch_us(ts) // 5000000) * 5, (epoch_us(ts) // 5000000) * 5 - 5]) AS ws
+      FROM events)
+GROUP BY event_type, ws""")
+def st1_st2_events_windows_stream(spark, sf):
+    from relaywatch.operators.demand import ntz_as_utc
+    ev = (table(spark, sf, "events").select("event_type", "user_id", "ts")
+          .withColumn("event_time", ntz_as_utc("ts"))
+          .withColumn("ts_us", F.unix_micros("event_time")).drop("ts"))
+
+    def build(stream):
+        return L.windowed_exact_stream(stream, ts_col="event_time", group_col="event_type",
+                                       id_col="user_id", total_name="events",
+                                       unique_name="users", dup_name="repeat_events")
+    out = RUN.replay(spark, ev, build, "st1ev", "update", N_BATCHES, order_col="ts_us")
+    return RUN.final_state(spark, out, ["event_type", "window_start"])

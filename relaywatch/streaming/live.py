@@ -147,23 +147,24 @@ def sliding_windows(dec: DataFrame, ts_col: str = "kafka_timestamp",
 
 def windowed_exact_stream(dec: DataFrame, ts_col: str = "kafka_timestamp",
                           watermark: str = "1 minute", length: str = "10 seconds",
-                          slide: str = "5 seconds") -> DataFrame:
-    """ST2 exact, streaming: every receipt adds (1, 0) to its windows; the
-    first receipt of an order in a window (dropDuplicatesWithinWatermark on
-    mode, order and window) adds (0, 1). State is bounded by the watermark;
-    late rows are dropped (ST1)."""
+                          slide: str = "5 seconds", group_col: str = "kafka_mode",
+                          id_col: str = "order_id", total_name: str = "total_orders_received",
+                          unique_name: str = "unique_orders",
+                          dup_name: str = "duplicate_orders") -> DataFrame:
+    """ST2 exact, streaming: every row adds (1, 0) to its windows; the first
+    row of an id in a window (dropDuplicatesWithinWatermark on group, id and
+    window) adds (0, 1). State is bounded by the watermark; late rows are
+    dropped (ST1)."""
     w = (dec.withWatermark(ts_col, watermark)
-         .select("kafka_mode", "order_id", F.window(ts_col, length, slide).alias("w")))
-    every = w.select("kafka_mode", "w", F.lit(1).alias("d_total"), F.lit(0).alias("d_unique"))
-    first = (w.dropDuplicatesWithinWatermark(["kafka_mode", "order_id", "w"])
-             .select("kafka_mode", "w", F.lit(0).alias("d_total"), F.lit(1).alias("d_unique")))
-    s = every.unionByName(first).groupBy("kafka_mode", "w").agg(
-        F.sum("d_total").alias("total_orders_received"),
-        F.sum("d_unique").alias("unique_orders"))
-    return s.select("kafka_mode", F.unix_seconds(F.col("w.start")).alias("window_start"),
-                    "total_orders_received", "unique_orders",
-                    (F.col("total_orders_received") - F.col("unique_orders"))
-                    .alias("duplicate_orders"))
+         .select(group_col, id_col, F.window(ts_col, length, slide).alias("w")))
+    every = w.select(group_col, "w", F.lit(1).alias("d_total"), F.lit(0).alias("d_unique"))
+    first = (w.dropDuplicatesWithinWatermark([group_col, id_col, "w"])
+             .select(group_col, "w", F.lit(0).alias("d_total"), F.lit(1).alias("d_unique")))
+    s = every.unionByName(first).groupBy(group_col, "w").agg(
+        F.sum("d_total").alias(total_name), F.sum("d_unique").alias(unique_name))
+    return s.select(group_col, F.unix_seconds(F.col("w.start")).alias("window_start"),
+                    total_name, unique_name,
+                    (F.col(total_name) - F.col(unique_name)).alias(dup_name))
 
 
 def windowed_exact(dec: DataFrame, ts_col: str = "kafka_timestamp",
