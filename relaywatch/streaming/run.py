@@ -65,6 +65,7 @@ def replay(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame],
     """
     base = work_dir(spark, f"stream-{name}")
     folder, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
+    tag = base.rstrip("/").rsplit("-", 1)[-1]  # unique per call: concurrent runs never clash
     bounds = _range_bounds(source, order_col, n_batches) or [(0, 0)]
     parts = str(state_partitions or spark.sparkContext.defaultParallelism)
     query = None
@@ -78,8 +79,8 @@ def replay(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame],
         previous = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         try:
-            q = (sink(query, f"{name}-{i}", ckpt, out) if sink
-                 else start(query, f"{name}-{i}", ckpt, output_mode, out=out))
+            q = (sink(query, f"{name}-{tag}-{i}", ckpt, out) if sink
+                 else start(query, f"{name}-{tag}-{i}", ckpt, output_mode, out=out))
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", previous)
         run_all(spark, [q])
@@ -157,7 +158,8 @@ def run_to_folder(spark: SparkSession, df: DataFrame, name: str,
                   output_mode: str = "update") -> str:
     """Run ``df`` to completion (availableNow) into a fresh folder."""
     base = work_dir(spark, f"stream-{name}")
-    q = start(df, name, f"{base}/checkpoint", output_mode, out=f"{base}/out")
+    q = start(df, f"{name}-{base.rsplit('-', 1)[-1]}", f"{base}/checkpoint", output_mode,
+              out=f"{base}/out")
     run_all(spark, [q])
     return f"{base}/out"
 
@@ -200,6 +202,6 @@ def diagnose_on_breach(spark: SparkSession, fired: DataFrame, history_path: str,
         out = G.outcomes(diag)
         H.record_incidents(spark, out.drop("id"), history_path, ts_col="timestamp")
 
-    return (fired.writeStream.queryName("diagnose_on_breach").outputMode("append")
+    return (fired.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(handle).start())
