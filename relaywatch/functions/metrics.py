@@ -51,7 +51,3 @@ def breach(total, incident, delay_rate, cancel_rate, avg_prep,
             & ((_c(delay_rate) > delay_pct) | (_c(cancel_rate) > cancel_pct)
                | (_c(avg_prep) > prep_min)))
 
-
-def r6(c) -> Column:
-    """Round to 6 places (results compared across engines)."""
-    return F.round(_c(c), 6)

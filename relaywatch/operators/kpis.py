@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from relaywatch.functions.metrics import breach, order_status, pct, ratio, reliability_score
 from relaywatch.operators.running import (DEFAULT_BUCKET_WIDTH, previous_value,
                                           running_aggregates)
-from relaywatch.schema import INCIDENT_CONFIG, KPI_DEFAULTS, MODES
+from relaywatch.schema import INCIDENT_CONFIG, KPI_DEFAULTS
 
 
 def _kpi_columns(total, delayed, cancelled, prep_sum) -> list:
@@ -283,6 +283,3 @@ def snapshot_document(modes: DataFrame, kpis_latest: DataFrame, rcpt: DataFrame,
         kpi.alias("operational"))
     return kpis_latest.sparkSession.range(1).select(F.to_json(doc).alias("snapshot"))
 
-
-def mode_rank(col: str = "kafka_mode"):
-    return F.array_position(F.array(*[F.lit(m) for m in MODES]), F.col(col))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from relaywatch.functions.metrics import floored_diff, pct
+from relaywatch.functions.metrics import pct
 from relaywatch.operators.decode import decode_orders, encode_forwarded
 from relaywatch.schema import (BREACH_CANCEL_PCT, BREACH_DELAY_PCT, BREACH_MIN_ORDERS,
                                BREACH_PREP_MIN, SCORE_CANCEL_WEIGHT, SCORE_DELAY_WEIGHT)
@@ -256,10 +256,3 @@ def forward(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """ST10: decode, tag ``type='received'`` and encode, row by row."""
     return encode_forwarded(decode_orders(records, keep=keep), keep=keep)
 
-
-def summary_from_totals(totals: DataFrame, unique: DataFrame) -> DataFrame:
-    """A2 columns from the final states of ST5 and ST6 (batch join)."""
-    j = totals.join(unique.select("kafka_mode", "unique_orders"), "kafka_mode")
-    return j.select("kafka_mode", "unique_orders", "total_orders_received", "sent_orders",
-                    floored_diff("sent_orders", "total_orders_received").alias("estimated_loss"),
-                    pct("unique_orders", "total_orders_received", 100.0).alias("accuracy"))
