@@ -3,7 +3,7 @@
 Index over a corpus ``(doc_id, text)``:
 
 - ``terms``   (doc_id, token, tf)  term counts, computed once (one pass over
-                                   the texts) and checkpointed
+                                   the texts) and written as a Parquet table
 - ``idf``     (token, df, idf)     smoothed ``ln((1+N)/(1+df)) + 1``
 - ``norms``   (doc_id, norm)       L2 norm of the tf*idf vector
 - ``weights`` (doc_id, token, wn)  tf*idf / norm, hash-partitioned by doc_id
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relaywatch.functions.text import tokenize
-from relaywatch.session import ensure_checkpoint_dir
+from relaywatch.session import work_dir
 
 # Query-vector rows (qid, token) above which they are not broadcast.
 MAX_BROADCAST_QUERY_TOKENS = 2_000_000
@@ -56,13 +56,15 @@ def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> TfidfIndex:
-    """Build the index. The term table is computed in one pass and written
-    to the shared checkpoint folder (eager checkpoint: AQE sizes it, lineage
-    is cut, it survives executor loss); everything else stays lazy. ``docs``
-    keeps every row: empty documents count toward N, as in the reference."""
+    """Build the index. The term table is computed in one pass over the
+    texts and written as Parquet under the shared checkpoint folder (lineage
+    is cut, it survives executor loss, later reads are columnar and pruned);
+    everything else stays lazy. ``docs`` keeps every row: empty documents
+    count toward N, as in the reference."""
     corpus = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    ensure_checkpoint_dir(docs.sparkSession)
-    terms = term_frequency(corpus).checkpoint(eager=True)
+    path = work_dir(docs.sparkSession, "tfidf-terms")
+    term_frequency(corpus).write.mode("overwrite").parquet(path)
+    terms = docs.sparkSession.read.parquet(path)
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
     df = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
