@@ -81,3 +81,25 @@ def test_restart_from_checkpoint_equals_one_run(spark, sf_dir):
     want = {r.kafka_mode: r["count"]
             for r in L.decoded(rec).groupBy("kafka_mode").count().collect()}
     assert got == want
+
+
+def test_consumer_program_end_to_end(spark, sf_dir):
+    """ST11: the whole consumer (summary, sequence, windows, forwarding,
+    diagnosis) over one topic folder, supervised together."""
+    from relaywatch.streaming.app import run_consumer
+    from relaywatch.sources.orders import receipts, topic_records_from_receipts
+    rec = topic_records_from_receipts(receipts(spark, sf_dir))
+    folder = RUN.stage_batches(rec, work_dir(spark, "consumer-src"), 2)
+    base = work_dir(spark, "consumer")
+    outs = run_consumer(spark, base, source="parquet", path=folder,
+                        options={"recursiveFileLookup": "true"},
+                        trigger={"availableNow": True})
+    dec = L.decoded(rec)
+    want = {r.kafka_mode: (r.total_orders_received, r.unique_orders)
+            for r in R.exact_distinct(dec.fillna({"order_id": "<null>"})).collect()}
+    got = {r.kafka_mode: (r.total_orders_received, r.unique_orders)
+           for r in RUN.final_state(spark, outs["summary"], ["kafka_mode"]).collect()}
+    assert got == want
+    assert RUN.appended(spark, outs["forward"]).count() == rec.count()
+    assert RUN.final_state(spark, outs["windows"], ["kafka_mode", "window_start"]).count() > 0
+    assert spark.read.parquet(outs["history"]).count() >= 5
