@@ -96,7 +96,9 @@ def breach_events(running: DataFrame, partition_cols: list[str] | None = None,
     the last incident fired and is cleared at each reset.
     """
     p = partition_cols or ["epoch"]
-    kept = running.filter(F.col("breach")).drop("_bucket")
+    # Keep the running step's bucket column: the rows are already partitioned
+    # by (epoch, bucket), so the lag window below needs no new shuffle.
+    kept = running.filter(F.col("breach"))
     prev = previous_value(kept, p, order_col, "incident_mode", "_prev_incident",
                           bucket_width=bucket_width)
     return (prev.filter(F.col("_prev_incident").isNull()
