@@ -59,8 +59,11 @@ def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
                                    out=f"{base}/windows/out")
     fwd = L.forward(records(), keep=["arrival"])
     if forward_topic:
+        # The sink takes producer settings only (no subscribe/offset options).
+        sink_opts = {k: v for k, v in (options or {}).items()
+                     if k.startswith("kafka.") and k != "kafka.isolation.level"}
         queries["forward"] = RUN.keyed_json_sink(
-            fwd, "key", f"{base}/forward/checkpoint", topic=forward_topic, options=options)
+            fwd, "key", f"{base}/forward/checkpoint", topic=forward_topic, options=sink_opts)
     else:
         queries["forward"] = RUN.start(fwd, "forward", f"{base}/forward/checkpoint", "append",
                                        trig, out=f"{base}/forward/out")
