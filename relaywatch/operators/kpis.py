@@ -67,8 +67,13 @@ def operations_kpis(rcpt: DataFrame, group_cols: list[str] | None = None,
 
 def running_kpis(rcpt: DataFrame, partition_cols: list[str] | None = None,
                  order_col: str = "arrival",
-                 bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """KPIs as they stood after each receipt, per epoch."""
+                 bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                 prior: DataFrame | None = None) -> DataFrame:
+    """KPIs as they stood after each receipt, per epoch.
+
+    ``prior`` (epoch, total, delayed, cancelled, prep_sum) adds counters
+    carried from earlier micro-batches (streaming without keyed state).
+    """
     p = partition_cols or ["epoch"]
     run = running_aggregates(
         rcpt, p, order_col,
@@ -78,6 +83,17 @@ def running_kpis(rcpt: DataFrame, partition_cols: list[str] | None = None,
               "total_prep_time": F.when(~F.col("is_cancelled"), F.col("prep_time_minutes"))
                                   .otherwise(0).cast("long")},
         bucket_width=bucket_width)
+    if prior is not None:
+        base = prior.select(*p, "total", "delayed", "cancelled", "prep_sum")
+        run = (run.join(base, p, "left")
+               .withColumns({
+                   "total_orders": F.col("total_orders") + F.coalesce("total", F.lit(0)),
+                   "delayed_orders": F.col("delayed_orders") + F.coalesce("delayed", F.lit(0)),
+                   "cancelled_orders": F.col("cancelled_orders")
+                   + F.coalesce("cancelled", F.lit(0)),
+                   "total_prep_time": F.col("total_prep_time")
+                   + F.coalesce("prep_sum", F.lit(0))})
+               .drop("total", "delayed", "cancelled", "prep_sum"))
     out = run.select(*rcpt.columns, "_bucket", "total_orders", "delayed_orders",
                      "cancelled_orders", "total_prep_time",
                      *_kpi_columns("total_orders", "delayed_orders", "cancelled_orders",
@@ -88,12 +104,14 @@ def running_kpis(rcpt: DataFrame, partition_cols: list[str] | None = None,
 
 def breach_events(running: DataFrame, partition_cols: list[str] | None = None,
                   order_col: str = "arrival",
-                  bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                  bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                  prior_last: DataFrame | None = None) -> DataFrame:
     """The receipts at which a diagnosis fires.
 
     Among breaching rows of an epoch, fire where the previous breaching row
     had a different incident (or there is none): the trigger memory holds
-    the last incident fired and is cleared at each reset.
+    the last incident fired and is cleared at each reset. ``prior_last``
+    (epoch, last_fired) seeds that memory from earlier micro-batches.
     """
     p = partition_cols or ["epoch"]
     # Keep the running step's bucket column: the rows are already partitioned
@@ -101,11 +119,36 @@ def breach_events(running: DataFrame, partition_cols: list[str] | None = None,
     kept = running.filter(F.col("breach"))
     prev = previous_value(kept, p, order_col, "incident_mode", "_prev_incident",
                           bucket_width=bucket_width)
+    if prior_last is not None:
+        prev = (prev.join(prior_last.select(*p, "last_fired"), p, "left")
+                .withColumn("_prev_incident", F.coalesce("_prev_incident", "last_fired"))
+                .drop("last_fired"))
     return (prev.filter(F.col("_prev_incident").isNull()
                         | (F.col("_prev_incident") != F.col("incident_mode")))
             .drop("_prev_incident", "_bucket"))
 
 
+def next_breach_state(prior: DataFrame, running: DataFrame, order_col: str = "arrival") -> DataFrame:
+    """Per-epoch trigger state after a micro-batch: the latest counters and
+    the incident of the last breaching row (after any breaching row the
+    trigger memory holds that row's incident)."""
+    last = running.groupBy("epoch").agg(
+        F.max_by(F.struct("total_orders", "delayed_orders", "cancelled_orders",
+                          "total_prep_time"), order_col).alias("c"),
+        F.max_by(F.when(F.col("breach"), F.col("incident_mode")),
+                 F.when(F.col("breach"), F.col(order_col))).alias("lf"))
+    new = last.select("epoch", F.col("c.total_orders").alias("total"),
+                      F.col("c.delayed_orders").alias("delayed"),
+                      F.col("c.cancelled_orders").alias("cancelled"),
+                      F.col("c.total_prep_time").alias("prep_sum"), F.col("lf").alias("lf"))
+    merged = prior.join(new, "epoch", "full_outer")
+    return merged.select(
+        "epoch",
+        *[F.coalesce(new[c], prior[c]).alias(c) for c in ("total", "delayed", "cancelled",
+                                                          "prep_sum")],
+        F.coalesce(F.col("lf"), prior["last_fired"]).alias("last_fired"))
+
+
 def resets_from_orders(orders: DataFrame, epoch_orders: int = 200) -> DataFrame:
     """Reset (incident injection) events implied by the receipt view:
     one at the first order of each epoch, carrying that epoch's incident."""

@@ -139,6 +139,22 @@ def st9_breach_stream(spark, sf):
     return rounded(RUN.appended(spark, out).drop("timestamp"))
 
 
+@register("st9_breach_stream_batches", W + _RUN_SQL + """,
+kept AS (SELECT *, lag(incident_mode) OVER (PARTITION BY epoch ORDER BY arrival) AS prev
+         FROM run WHERE breach)
+SELECT epoch, arrival, order_id, incident_mode, total_orders, delay_rate, cancellation_rate,
+       avg_prep_time, reliability_score
+FROM kept WHERE prev IS NULL OR prev <> incident_mode""")
+def st9_breach_stream_batches(spark, sf):
+    """ST9 JVM-only: batch operators per micro-batch + a per-epoch state table."""
+    state = work_dir(spark, "st9b") + "/state"
+    out = RUN.replay(spark, _receipt_source(spark, sf), lambda s: s, "st9b", "append",
+                     N_BATCHES,
+                     sink=lambda q, name, ckpt, o: RUN.breach_trigger_batches(
+                         spark, q, o, state, ckpt))
+    return rounded(RUN.appended(spark, out).drop("timestamp"))
+
+
 @register("st10_forward_stream", WD + FORWARD_SELECT)
 def st10_forward_stream(spark, sf):
     out = RUN.replay(spark, _topic(spark, sf), lambda s: L.forward(s, keep=["arrival"]),

@@ -7,8 +7,9 @@ its own offsets in its own checkpoint) and starts:
                 highest sequence (ST5), update mode, per-batch folders
 - ``windows``   exact per-mode sliding windows with a watermark (ST1, ST2)
 - ``forward``   decode + tag + encode to a keyed sink (ST10, S3)
-- ``diagnose``  trigger state machine per epoch (ST9) feeding the diagnosis
-                and the history append (ST12)
+- ``diagnose``  the trigger (ST9, batch operators per micro-batch with a
+                per-epoch state table) feeding the diagnosis and the history
+                append (ST12)
 
 ``run_all`` then supervises them (any failure stops all). With a broker,
 pass ``source="kafka"`` and its options; tests use a file source.
@@ -28,12 +29,16 @@ from relaywatch.streaming import run as RUN
 def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
                    options: dict | None = None, path: str | None = None,
                    trigger: dict | None = None, forward_topic: str | None = None,
-                   epoch_col: str | None = None) -> dict[str, StreamingQuery]:
+                   epoch_col: str | None = None,
+                   keyed_state: bool = False) -> dict[str, StreamingQuery]:
     """Start the consumer queries under ``base`` (a shared folder): outputs
     in ``base/<query>/out``, checkpoints in ``base/<query>/checkpoint``,
     history in ``base/history``. ``trigger`` defaults to the reference's
     10-second micro-batches. ``epoch_col`` names a KPI-epoch column when the
     records carry one; otherwise the trigger runs over a single epoch.
+    The trigger runs JVM-only per micro-batch with a per-epoch state table
+    (a hot epoch is spread over many tasks); ``keyed_state=True`` uses the
+    applyInPandasWithState version instead.
     """
     trig = trigger or {"processingTime": "10 seconds"}
 
@@ -72,8 +77,15 @@ def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
         (F.col(epoch_col) if epoch_col else F.lit(0).cast("long")).alias("epoch"),
         F.col("arrival"), "order_id", "timestamp", "incident_mode", "is_delayed",
         "is_cancelled", "prep_time_minutes").filter(F.col("order_id").isNotNull())
-    queries["diagnose"] = RUN.diagnose_on_breach(
-        spark, L.breach_trigger(events), f"{base}/history", f"{base}/diagnose/checkpoint", trig)
+    if keyed_state:
+        queries["diagnose"] = RUN.diagnose_on_breach(
+            spark, L.breach_trigger(events), f"{base}/history", f"{base}/diagnose/checkpoint",
+            trig)
+    else:
+        queries["diagnose"] = RUN.breach_trigger_batches(
+            spark, events, f"{base}/diagnose/out", f"{base}/diagnose/state",
+            f"{base}/diagnose/checkpoint", trig,
+            on_fired=RUN.diagnosis_handler(spark, f"{base}/history"))
     return queries
 
 

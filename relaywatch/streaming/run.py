@@ -187,11 +187,10 @@ def keyed_json_sink(df: DataFrame, key_col: str, checkpoint: str, topic: str | N
     return w.format("json").option("path", path).start()
 
 
-def diagnose_on_breach(spark: SparkSession, fired: DataFrame, history_path: str,
-                       checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """ST12: for each micro-batch of fired events, run the batch diagnosis
-    (J9) against the history as it stands, then append the outcomes (S9).
-    Outcome ids are content hashes, so a replayed batch appends nothing."""
+def diagnosis_handler(spark: SparkSession, history_path: str) -> Callable[[DataFrame, int], None]:
+    """J9 + S9 for one batch of fired events: diagnose against the history
+    as it stands, then append the outcomes (content-hash ids, so a replayed
+    batch appends nothing)."""
     from relaywatch.operators import diagnose as G
     from relaywatch.operators import history as H
     from relaywatch.sources.procedures import procedure_documents
@@ -199,9 +198,59 @@ def diagnose_on_breach(spark: SparkSession, fired: DataFrame, history_path: str,
     def handle(batch: DataFrame, batch_id: int) -> None:
         history = H.open_history(spark, history_path)
         diag = G.diagnose(spark, batch, procedure_documents(spark), history)
-        out = G.outcomes(diag)
-        H.record_incidents(spark, out.drop("id"), history_path, ts_col="timestamp")
+        H.record_incidents(spark, G.outcomes(diag).drop("id"), history_path, ts_col="timestamp")
+    return handle
 
+
+def diagnose_on_breach(spark: SparkSession, fired: DataFrame, history_path: str,
+                       checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """ST12: for each micro-batch of fired events, run the batch diagnosis
+    (J9) against the history as it stands, then append the outcomes (S9).
+    Outcome ids are content hashes, so a replayed batch appends nothing."""
+    handle = diagnosis_handler(spark, history_path)
     return (fired.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(handle).start())
+
+
+BREACH_STATE_SCHEMA = ("epoch long, total long, delayed long, cancelled long, prep_sum long, "
+                       "last_fired string")
+
+
+def breach_trigger_batches(spark: SparkSession, stream: DataFrame, out: str, state_dir: str,
+                           checkpoint: str, trigger: dict | None = None,
+                           bucket_width: int | None = None,
+                           on_fired: Callable[[DataFrame, int], None] | None = None
+                           ) -> StreamingQuery:
+    """ST9 without keyed Python state: each micro-batch runs the batch
+    operators (bucketed running KPIs and bucketed lag, so a hot epoch is
+    spread over many tasks) starting from per-epoch state (counters and the
+    last fired incident) written by the previous batch. Fired rows go to
+    ``out/batch_id=n`` and the new state to ``state_dir/batch_id=n``; a
+    replayed batch re-reads batch ``n-1``'s state, so replays are idempotent.
+    ``on_fired(fired, batch_id)`` runs on each batch's fired rows (ST12).
+    """
+    from relaywatch.operators import kpis as K
+    from relaywatch.operators.running import DEFAULT_BUCKET_WIDTH
+
+    width = bucket_width or DEFAULT_BUCKET_WIDTH
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch_id > 0:
+            prior = spark.read.schema(BREACH_STATE_SCHEMA).parquet(
+                f"{state_dir}/batch_id={batch_id - 1}")
+        else:
+            prior = spark.createDataFrame([], BREACH_STATE_SCHEMA)
+        run = K.running_kpis(batch, bucket_width=width, prior=prior)
+        fired = K.breach_events(run, bucket_width=width, prior_last=prior)
+        fired.select("epoch", "arrival", "order_id", "timestamp", "incident_mode",
+                     "total_orders", "delay_rate", "cancellation_rate", "avg_prep_time",
+                     "reliability_score").write.mode("overwrite").parquet(
+                         f"{out}/batch_id={batch_id}")
+        K.next_breach_state(prior, run).write.mode("overwrite").parquet(
+            f"{state_dir}/batch_id={batch_id}")
+        if on_fired is not None:
+            on_fired(spark.read.parquet(f"{out}/batch_id={batch_id}"), batch_id)
+
+    return (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).foreachBatch(handle).start())

@@ -103,3 +103,37 @@ def test_consumer_program_end_to_end(spark, sf_dir):
     assert RUN.appended(spark, outs["forward"]).count() == rec.count()
     assert RUN.final_state(spark, outs["windows"], ["kafka_mode", "window_start"]).count() > 0
     assert spark.read.parquet(outs["history"]).count() >= 5
+
+
+def test_breach_batches_carry_state_across_micro_batches(spark):
+    """ST9 via foreachBatch + state table equals the sequential trigger loop,
+    with epochs spanning several micro-batches and tiny buckets."""
+    import random
+    rnd = random.Random(11)
+    rows, fired, state = [], [], {}
+    for a in range(400):
+        e = a // 150
+        inc = rnd.choice(["normal", "kitchen_delay", "courier_delay"])
+        d, c, p = rnd.random() < 0.4, rnd.random() < 0.15, rnd.randint(10, 40)
+        rows.append((e, a, f"o{a}", f"t{a}", inc, d, c, p))
+        s = state.setdefault(e, {"n": 0, "d": 0, "c": 0, "p": 0, "last": None})
+        s["n"] += 1
+        s["d"] += d
+        s["c"] += c
+        s["p"] += 0 if c else p
+        dr, cr = s["d"] * 100.0 / s["n"], s["c"] * 100.0 / s["n"]
+        ap = s["p"] / (s["n"] - s["c"]) if s["n"] > s["c"] else 0.0
+        if s["n"] >= 10 and inc != "normal" and s["last"] != inc and (
+                dr > 20 or cr > 10 or ap > 22):
+            s["last"] = inc
+            fired.append(a)
+    df = spark.createDataFrame(rows, "epoch long, arrival long, order_id string, "
+                                     "timestamp string, incident_mode string, "
+                                     "is_delayed boolean, is_cancelled boolean, "
+                                     "prep_time_minutes int")
+    state_dir = work_dir(spark, "st9-state")
+    out = RUN.replay(spark, df, lambda s: s, "st9-carry", "append", 5,
+                     sink=lambda q, name, ck, o: RUN.breach_trigger_batches(
+                         spark, q, o, state_dir, ck, bucket_width=7))
+    got = sorted(r.arrival for r in RUN.appended(spark, out).collect())
+    assert got == fired and len(fired) > 3
