@@ -1,6 +1,5 @@
 """Golden cases from SURVEY §5 and FIXTURES §4."""
 
-from pyspark.sql import functions as F
 
 from relaywatch.functions import reports as X
 from relaywatch.functions.metrics import reliability_score
