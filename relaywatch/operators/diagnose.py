@@ -80,10 +80,12 @@ def issue_lookups(spark: SparkSession, procedures: DataFrame, history: DataFrame
     labels = issue_labels(spark)
     issues = labels.select(F.col("issue").alias("qid"), F.col("issue").alias("text"))
     index = S.build_index(procedures, id_col="doc_name", text_col="content")
-    docs = (S.top_documents(index, issues, k=k_docs)
-            .groupBy("qid").agg(F.min_by(F.struct("doc_id", "score"), "rank").alias("d"))
+    top = S.attach_content(S.top_documents(index, issues, k=k_docs), procedures,
+                           id_col="doc_name", text_col="content")
+    docs = (top.groupBy("qid")
+            .agg(F.min_by(F.struct("doc_id", "score", "content"), "rank").alias("d"))
             .select(F.col("qid").alias("issue"), F.col("d.doc_id").alias("doc_name"),
-                    F.col("d.score").alias("doc_score")))
+                    F.col("d.score").alias("doc_score"), F.col("d.content").alias("sop_content")))
     past = (H.find_similar(history, labels.select(F.col("issue").alias("query")), k=k_history)
             .groupBy("query").agg(F.sort_array(F.collect_list(F.struct(
                 "rank", F.concat_ws(" @ ", "incident", "timestamp").alias("item")))).alias("p"))

@@ -128,6 +128,15 @@ def top_documents(index: TfidfIndex, queries: DataFrame, k: int = 1, id_col: str
             .filter(F.col("rank") <= k))
 
 
+def attach_content(top: DataFrame, docs: DataFrame, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """Add each result's document text. Only the top-k rows are joined
+    back to the corpus (AQE broadcasts them when small), so the texts are
+    read once and never shuffled with the (query, doc) candidates."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("content"))
+    return top.join(texts, "doc_id", "left")
+
+
 def save_index(index: TfidfIndex, path: str, buckets: int, name: str = "tfidf") -> None:
     """Persist an index under ``path`` (a shared folder) for later searches.
 

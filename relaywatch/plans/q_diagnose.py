@@ -234,14 +234,16 @@ diag AS (
   SELECT pl.epoch, pl.arrival, pl.incident_mode, pl.issue, pl.confidence,
          {_EV_OUT} AS evidence, pl.sop, pl.improvement,
          array_to_string(pl.actions, ' | ') AS solution, d.doc_id AS doc_name, d.score AS doc_score,
+         pdoc.text AS sop_content,
          past.past_incidents, {_IMP_VAL} AS improvement_value, {_CONF_VAL} AS confidence_value,
          pl."timestamp"
   FROM planned pl
   LEFT JOIN (SELECT * FROM p_ranked WHERE rank = 1) d ON d.qid = pl.issue
+  LEFT JOIN p_docs pdoc ON pdoc.doc_id = d.doc_id
   LEFT JOIN past ON past.issue = pl.issue)"""
 
 _J9_COLS = ["epoch", "arrival", "incident_mode", "issue", "confidence", "evidence", "sop",
-            "improvement", "solution", "doc_name", "doc_score", "past_incidents",
+            "improvement", "solution", "doc_name", "doc_score", "sop_content", "past_incidents",
             "improvement_value", "confidence_value"]
 
 

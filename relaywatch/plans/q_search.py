@@ -95,6 +95,27 @@ def l2_top_documents(spark, sf):
     return S.top_documents(_index(spark, sf), _queries(spark, sf), k=TOP_K)
 
 
+@register("j2_top_documents_with_text", _SCORE_SQL + f""",
+ranked AS (
+  SELECT b.item_id AS qid, d.doc_id, round(coalesce(s.score, 0.0), 6) AS score
+  FROM benchmark b CROSS JOIN documents d
+  LEFT JOIN scores s ON s.qid = b.item_id AND s.doc_id = d.doc_id),
+top AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS INTEGER)
+               AS rank
+        FROM ranked QUALIFY rank <= {TOP_K})
+SELECT top.qid, top.doc_id, top.score, top.rank, length(documents.text) AS content_chars,
+       md5(documents.text) AS content_md5
+FROM top JOIN documents USING (doc_id)""")
+def j2_top_documents_with_text(spark, sf):
+    """Top-k with each document's whole text attached (checked by its
+    length and MD5)."""
+    docs = table(spark, sf, "documents")
+    top = S.attach_content(S.top_documents(_index(spark, sf), _queries(spark, sf), k=TOP_K), docs)
+    return top.select("qid", "doc_id", "score", "rank",
+                      F.length("content").alias("content_chars"),
+                      F.md5("content").alias("content_md5"))
+
+
 @register("x2_keywords", """
 SELECT doc_id,
        CAST(CASE WHEN n = 0 THEN 1 ELSE n END AS INT) AS n_keywords
