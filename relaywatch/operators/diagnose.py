@@ -114,6 +114,15 @@ def diagnose(spark: SparkSession, events: DataFrame, procedures: DataFrame,
     })
 
 
+def diagnose_latest(spark: SparkSession, kpis_latest: DataFrame, procedures: DataFrame,
+                    history: DataFrame, policy: str = "coded") -> DataFrame:
+    """J9 on demand (the manual trigger): diagnose the latest KPI row (S11);
+    nothing is diagnosed while the active incident is normal."""
+    row = (kpis_latest.withColumnRenamed("active_incident", "incident_mode")
+           .filter(F.col("incident_mode") != "normal"))
+    return diagnose(spark, row, procedures, history, policy)
+
+
 def outcomes(diagnoses: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     """S9 input: the history row each diagnosis appends."""
     return H.history_rows(diagnoses.select(

@@ -9,7 +9,7 @@ from relaywatch.functions import reports as X
 from relaywatch.operators import diagnose as G
 from relaywatch.operators import history as H
 from relaywatch.operators import kpis as K
-from relaywatch.plans.q_kpis import _KPI_SQL, _RUN_SQL
+from relaywatch.plans.q_kpis import _KPI_SQL, _LATEST_SQL, _RUN_SQL
 from relaywatch.plans.registry import register, rounded
 from relaywatch.plans.sqlviews import RECEIPTS, tfidf_ctes
 from relaywatch.schema import HISTORY_SEEDS
@@ -216,12 +216,10 @@ def _similar_sql(hist: str, queries: str, k: int = 2, p: str = "") -> str:
 {p}sim_rows AS (SELECT * FROM {p}htop UNION ALL SELECT * FROM {p}hfb)"""
 
 
-_J9_BASE = W + _RUN_SQL + """,
-kept AS (SELECT r.*, rc."timestamp",
-                lag(r.incident_mode) OVER (PARTITION BY r.epoch ORDER BY r.arrival) AS prev
-         FROM run r JOIN receipts rc USING (arrival) WHERE r.breach),
-ev AS (SELECT * FROM kept WHERE prev IS NULL OR prev <> incident_mode)""" + \
-    classify_sql("ev", "incident_mode") + PLAYBOOK_SQL + ",\n" + tfidf_ctes(
+def _diagnosis_sql(src: str) -> str:
+    """Classification, playbook, procedure search and history lookup over the
+    KPI rows in CTE ``src`` (columns as in ``diagnose``), ending in ``diag``."""
+    return classify_sql(src, "incident_mode") + PLAYBOOK_SQL + ",\n" + tfidf_ctes(
         f"SELECT * FROM (VALUES {_PROC_VALUES}) AS t(doc_id, text)",
         "SELECT DISTINCT issue AS qid, issue AS text FROM cls", "p_") + f""",
 seeds(incident, solution, improvement, confidence, "timestamp") AS (VALUES {_SEED_VALUES}),
@@ -231,17 +229,22 @@ past AS (SELECT query AS issue, string_agg(incident || ' @ ' || "timestamp", ' |
                 AS past_incidents
          FROM sim_rows GROUP BY query),
 diag AS (
-  SELECT pl.epoch, pl.arrival, pl.incident_mode, pl.issue, pl.confidence,
-         {_EV_OUT} AS evidence, pl.sop, pl.improvement,
+  SELECT pl.*, {_EV_OUT} AS evidence_text,
          array_to_string(pl.actions, ' | ') AS solution, d.doc_id AS doc_name, d.score AS doc_score,
          pdoc.text AS sop_content,
-         past.past_incidents, {_IMP_VAL} AS improvement_value, {_CONF_VAL} AS confidence_value,
-         pl."timestamp"
+         past.past_incidents, {_IMP_VAL} AS improvement_value, {_CONF_VAL} AS confidence_value
   FROM planned pl
   LEFT JOIN (SELECT * FROM p_ranked WHERE rank = 1) d ON d.qid = pl.issue
   LEFT JOIN p_docs pdoc ON pdoc.doc_id = d.doc_id
   LEFT JOIN past ON past.issue = pl.issue)"""
 
+
+_J9_BASE = W + _RUN_SQL + """,
+kept AS (SELECT r.*, rc."timestamp",
+                lag(r.incident_mode) OVER (PARTITION BY r.epoch ORDER BY r.arrival) AS prev
+         FROM run r JOIN receipts rc USING (arrival) WHERE r.breach),
+ev AS (SELECT * FROM kept WHERE prev IS NULL OR prev <> incident_mode)""" + _diagnosis_sql("ev")
+
 _J9_COLS = ["epoch", "arrival", "incident_mode", "issue", "confidence", "evidence", "sop",
             "improvement", "solution", "doc_name", "doc_score", "sop_content", "past_incidents",
             "improvement_value", "confidence_value"]
@@ -253,7 +256,11 @@ def _diagnoses(spark, sf):
     return G.diagnose(spark, ev, procedure_documents(spark), H.seed_rows(spark))
 
 
-@register("j9_diagnose", _J9_BASE + "\nSELECT " + ", ".join(_J9_COLS) + " FROM diag")
+_J9_SELECT = "\nSELECT " + ", ".join(
+    "evidence_text AS evidence" if c == "evidence" else c for c in _J9_COLS) + " FROM diag"
+
+
+@register("j9_diagnose", _J9_BASE + _J9_SELECT)
 def j9_diagnose(spark, sf):
     d = _diagnoses(spark, sf).withColumn("evidence", F.array_join("evidence", " || "))
     return d.select(*_J9_COLS)
@@ -320,3 +327,21 @@ def j3_j4_epoch_issue_lookup(spark, sf):
     hist = _history(spark, sf)
     q = _classified(spark, sf, "coded").select(F.col("issue").alias("query")).distinct()
     return H.find_similar(hist, q, k=2).select("query", "rank", "matched", *_HIST_COLS)
+
+
+_MANUAL_COLS = ["incident_mode", "issue", "confidence", "evidence", "sop", "improvement",
+                "solution", "doc_name", "doc_score", "sop_content", "past_incidents",
+                "improvement_value", "confidence_value"]
+
+
+@register("j9_manual_diagnose", W + _KPI_SQL.format(src="receipts") + _LATEST_SQL + """,
+manual AS (SELECT delay_rate, avg_prep_time, cancellation_rate, reliability_score,
+                  active_incident AS incident_mode
+           FROM s11 WHERE active_incident <> 'normal')""" + _diagnosis_sql("manual")
+          + "\nSELECT " + ", ".join("evidence_text AS evidence" if c == "evidence" else c
+                                    for c in _MANUAL_COLS) + " FROM diag")
+def j9_manual_diagnose(spark, sf):
+    """J9 on demand over the latest epoch's KPIs (none while normal)."""
+    latest = K.latest_kpis(rounded(K.operations_kpis(receipts(spark, sf))))
+    d = G.diagnose_latest(spark, latest, procedure_documents(spark), H.seed_rows(spark))
+    return d.withColumn("evidence", F.array_join("evidence", " || ")).select(*_MANUAL_COLS)
