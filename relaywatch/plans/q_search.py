@@ -103,7 +103,7 @@ ranked AS (
 top AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS INTEGER)
                AS rank
         FROM ranked QUALIFY rank <= {TOP_K})
-SELECT top.qid, top.doc_id, top.score, top.rank, length(documents.text) AS content_chars,
+SELECT top.qid, top.doc_id, top.score, top.rank, CAST(length(documents.text) AS INTEGER) AS content_chars,
        md5(documents.text) AS content_md5
 FROM top JOIN documents USING (doc_id)""")
 def j2_top_documents_with_text(spark, sf):
