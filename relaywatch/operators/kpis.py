@@ -308,8 +308,8 @@ def snapshot_document(modes: DataFrame, kpis_latest: DataFrame, rcpt: DataFrame,
     the latest epoch with their status. Every part is a bounded aggregate
     (3 modes, one KPI row, ``recent_k`` receipts) used as a scalar."""
     stats = [c for c in modes.columns if c not in ("kafka_mode", "mode_rank")]
-    mode_map = modes.agg(F.map_from_entries(F.collect_list(F.struct(
-        "kafka_mode", F.struct(*stats))))).scalar()
+    mode_map = modes.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+        "kafka_mode", F.struct(*stats)))))).scalar()
     current = rcpt.agg(F.max_by("kafka_mode", order_col)).scalar()
     last_epoch = rcpt.agg(F.max("epoch")).scalar()
     recent = (rcpt.filter(F.col("epoch") == last_epoch)

@@ -237,9 +237,50 @@ def s12_snapshot(spark, sf):
     return rounded(K.snapshot(modes, latest, cur))
 
 
-@register("s12_snapshot_document")
+@register("s12_snapshot_document", W + _KPI_SQL.format(src="receipts") + _LATEST_SQL + f""",
+per_order AS (SELECT order_id, kafka_mode, count(*) AS receive_count,
+                     max(sent_sequence) AS sent_sequence
+              FROM receipts GROUP BY order_id, kafka_mode),
+s AS (SELECT kafka_mode, count(*) AS unique_orders,
+             CAST(sum(receive_count) AS BIGINT) AS total_orders_received,
+             max(sent_sequence) AS sent_orders
+      FROM per_order GROUP BY kafka_mode),
+base(kafka_mode) AS (VALUES {", ".join(f"('{m}')" for m in MODES)}),
+modes AS (
+  SELECT base.kafka_mode,
+         struct_pack(total_orders := coalesce(total_orders_received, 0),
+           unique_orders := coalesce(unique_orders, 0),
+           duplicate_orders := coalesce(total_orders_received - unique_orders, 0),
+           duplicate_percentage := coalesce({sql_pct('total_orders_received - unique_orders',
+                                                     'total_orders_received')}, 0.0),
+           accuracy := coalesce({sql_pct('unique_orders', 'total_orders_received', '100.0')}, 100.0),
+           estimated_loss := coalesce(greatest(sent_orders - total_orders_received, 0), 0),
+           max_sent_sequence := coalesce(sent_orders, 0)) AS st
+  FROM base LEFT JOIN s USING (kafka_mode)),
+cur AS (SELECT arg_max(kafka_mode, arrival) AS current_mode, max(epoch) AS last_epoch
+        FROM receipts),
+recent AS (
+  SELECT list(struct_pack(order_id := order_id, restaurant_name := restaurant_name,
+                          item_name := item_name, total_price := total_price,
+                          kafka_mode := kafka_mode,
+                          status := CASE WHEN is_cancelled THEN 'Cancelled'
+                                         WHEN is_delayed THEN 'Delayed' ELSE 'Delivered' END,
+                          prep_time := prep_time_minutes) ORDER BY arrival DESC) AS r
+  FROM (SELECT * FROM receipts WHERE epoch = (SELECT last_epoch FROM cur)
+        ORDER BY arrival DESC LIMIT 12))
+SELECT CAST(to_json(struct_pack(
+  kafka_mode := (SELECT current_mode FROM cur),
+  active := (SELECT st FROM modes WHERE kafka_mode = (SELECT current_mode FROM cur)),
+  modes := (SELECT map_from_entries(list(struct_pack(k := kafka_mode, v := st)
+                                         ORDER BY kafka_mode)) FROM modes),
+  recent_orders := (SELECT r FROM recent),
+  operational := (SELECT struct_pack(delay_rate := delay_rate, avg_prep_time := avg_prep_time,
+                                     cancellation_rate := cancellation_rate,
+                                     reliability_score := reliability_score,
+                                     active_incident := active_incident) FROM s11)))
+  AS VARCHAR) AS snapshot""")
 def s12_snapshot_document(spark, sf):
-    """Rows-only: the whole dashboard snapshot as one JSON document."""
+    """The whole dashboard snapshot as one JSON document (byte-compared)."""
     r = receipts(spark, sf)
     modes = rounded(R.mode_reliability(spark, r))
     latest = K.latest_kpis(rounded(K.operations_kpis(r)))
