@@ -183,3 +183,44 @@ def test_assign_epochs_equals_asof(spark, resets, receipts, bucket):
         before = [s for s in rs if s <= t]
         want = (len(before), f"inc{before[-1]}" if before else None)
         assert got[i] == want
+
+
+def test_hot_order_id_holding_a_third_of_rows(spark):
+    """One order id (and a null id) hold a third of all receipts: results
+    equal brute force, and no window runs over the order group."""
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for a in range(3000):
+        r = rnd.random()
+        oid = "HOT" if r < 0.34 else (None if r < 0.40 else f"o{rnd.randint(0, 700)}")
+        mode = rnd.choice(["at_least_once", "exactly_once"])
+        rows.append((oid, mode, rnd.randint(1, 900), a, a // 1000, "kitchen_delay",
+                     rnd.random() < 0.3, rnd.random() < 0.1, rnd.randint(10, 40)))
+    schema = ("order_id string, kafka_mode string, sent_sequence int, arrival long, epoch long, "
+              "incident_mode string, is_delayed boolean, is_cancelled boolean, "
+              "prep_time_minutes int")
+    df = spark.createDataFrame(rows, schema)
+    pdf = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+    pdf["oid"] = pdf["order_id"].fillna("<null>")
+    got = {r.kafka_mode: (r.total_orders_received, r.unique_orders, r.sent_orders)
+           for r in R.delivery_summary(df).collect()}
+    want = {m: (len(g), g["oid"].nunique(), int(g["sent_sequence"].max()))
+            for m, g in pdf.groupby("kafka_mode")}
+    assert got == want
+    run = R.running_reliability(df, bucket_width=256)
+    flags = {r.arrival: (r.first_seen, r.unique_orders) for r in run.collect()}
+    seen, uniq = {}, {}
+    for row in pdf.sort_values("arrival").itertuples():
+        key = (row.kafka_mode, row.oid)
+        first = key not in seen
+        seen[key] = True
+        uniq[row.kafka_mode] = uniq.get(row.kafka_mode, 0) + first
+        assert flags[row.arrival] == (first, uniq[row.kafka_mode])
+    import re
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[([^\]]*)\]", plan)
+    assert specs and all("order_id" not in part for part, _ in specs)
+    dedup = {r.epoch: r.total_orders for r in K.operations_kpis(df, dedup=True).collect()}
+    firsts = pdf.sort_values("arrival").drop_duplicates(["kafka_mode", "oid"])
+    assert dedup == firsts.groupby("epoch").size().to_dict()
