@@ -165,10 +165,13 @@ def st10_forward_stream(spark, sf):
 @register("st12_diagnose_on_breach", _J9_BASE + _FULL_HIST + "\nSELECT id, "
           + ", ".join(f'"{c}"' for c in _HIST_COLS) + " FROM hist")
 def st12_diagnose_on_breach(spark, sf):
-    history = work_dir(spark, "st12") + "/history"
-    RUN.replay(spark, _receipt_source(spark, sf), lambda s: rounded(L.breach_trigger(s)),
-               "st12", "append", N_BATCHES,
-               sink=lambda q, name, ckpt, out: RUN.diagnose_on_breach(spark, q, history, ckpt))
+    """ST9 (JVM trigger with per-epoch state) feeding J9 + S9 on each batch."""
+    base = work_dir(spark, "st12")
+    history = f"{base}/history"
+    RUN.replay(spark, _receipt_source(spark, sf), lambda s: s, "st12", "append", N_BATCHES,
+               sink=lambda q, name, ckpt, out: RUN.breach_trigger_batches(
+                   spark, q, out, f"{base}/state", ckpt,
+                   on_fired=RUN.diagnosis_handler(spark, history)))
     from relaywatch.operators.history import open_history
     return open_history(spark, history)
 
