@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from relaywatch import work_dir
 from relaywatch.operators import kpis as K
+from relaywatch.operators import history as H
 from relaywatch.operators import reliability as R
 from relaywatch.operators import search as S
 from relaywatch.operators.running import running_aggregates, previous_value
@@ -224,3 +225,78 @@ def test_hot_order_id_holding_a_third_of_rows(spark):
     dedup = {r.epoch: r.total_orders for r in K.operations_kpis(df, dedup=True).collect()}
     firsts = pdf.sort_values("arrival").drop_duplicates(["kafka_mode", "oid"])
     assert dedup == firsts.groupby("epoch").size().to_dict()
+
+
+WORDS = ["kitchen", "delay", "courier", "rain", "stock", "staff", "rush", "the", "a1", "b2"]
+
+
+@SETTINGS
+@given(docs=st.lists(st.lists(st.sampled_from(WORDS), min_size=0, max_size=12), min_size=1,
+                     max_size=7),
+       queries=st.lists(st.lists(st.sampled_from(WORDS + ["zzz"]), min_size=0, max_size=4),
+                        min_size=1, max_size=4),
+       k=st.integers(1, 4))
+def test_top_documents_equal_brute_force(spark, docs, queries, k):
+    import math
+    import re as _re
+    texts = {i: " ".join(d).upper() for i, d in enumerate(docs)}
+    tok = {i: _re.findall(r"[a-z0-9]+", t.lower()) for i, t in texts.items()}
+    n = len(texts)
+    vocab = {t for ts in tok.values() for t in ts}
+    idf = {t: math.log((1 + n) / (1 + sum(1 for ts in tok.values() if t in ts))) + 1
+           for t in vocab}
+
+    def vec(ts):
+        v = {}
+        for t in ts:
+            if t in vocab:
+                v[t] = v.get(t, 0) + 1
+        v = {t: c * idf[t] for t, c in v.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()} if norm > 0 else {}
+
+    dvec = {i: vec(ts) for i, ts in tok.items()}
+    want = {}
+    for q, words in enumerate(queries):
+        qv = vec(words)
+        scores = [(round(sum(w * dvec[i].get(t, 0.0) for t, w in qv.items()), 6), i) for i in dvec]
+        ranked = sorted(scores, key=lambda x: (-x[0], x[1]))[:k]
+        want[q] = [(i, s) for s, i in ranked]
+    ddf = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    qdf = spark.createDataFrame([(q, " ".join(w)) for q, w in enumerate(queries)],
+                                "qid long, text string")
+    got = {}
+    for r in S.top_documents(S.build_index(ddf), qdf, k=k).orderBy("qid", "rank").collect():
+        got.setdefault(r.qid, []).append((r.doc_id, r.score))
+    assert got == want
+
+
+@SETTINGS
+@given(hist=st.lists(st.tuples(st.sampled_from(["Kitchen Bottleneck", "Courier Shortage",
+                                                "Staff Shortage", "Rain 50%", "kitchen"]),
+                               st.integers(0, 50)), min_size=1, max_size=12),
+       queries=st.lists(st.sampled_from(["Courier Shortage", "General Operational Anomaly",
+                                         "KITCHEN", "50%", "a b", "Staff"]),
+                        min_size=1, max_size=4, unique=True))
+def test_find_similar_equals_brute_force(spark, hist, queries):
+    rows = [(f"id{i:02d}", inc, "s", 1, 0.5, f"2026-01-01T00:00:{ts:02d}")
+            for i, (inc, ts) in enumerate(hist)]
+    h = spark.createDataFrame(rows, "id string, incident string, solution string, "
+                                    "improvement int, confidence double, timestamp string")
+    q = spark.createDataFrame([(x,) for x in queries], "query string")
+    got = {}
+    for r in H.find_similar(h, q, k=2).orderBy("query", "rank").collect():
+        got.setdefault(r.query, []).append(r.id)
+
+    def like(text, word):  # SQL LIKE '%word%', case-insensitive, % and _ wildcards
+        import re as _re
+        pat = "".join(".*" if c == "%" else "." if c == "_" else _re.escape(c) for c in word)
+        return _re.search(pat, text, _re.IGNORECASE | _re.DOTALL) is not None
+
+    newest = sorted(rows, key=lambda r: (r[5], r[0]), reverse=True)
+    want = {}
+    for x in queries:
+        words = [w for w in x.split() if len(w) > 3] or [x]
+        hits = [r for r in newest if any(like(r[1], w) for w in words)][:2]
+        want[x] = [r[0] for r in (hits or newest[:2])]
+    assert got == want
