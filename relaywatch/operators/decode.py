@@ -12,6 +12,8 @@ Two decoders exist because the reference has two readers:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,12 +78,12 @@ def web_records(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     keep = [c for c in (keep or []) if c in records.columns]
     text = F.col("value").cast("string")
     p = records.select(*keep, text.alias("_text"), parse_once(text, _RAW))
-    all_null = F.coalesce(*[F.col(f.name).isNotNull() for f in _RAW.fields], F.lit(False))
+    any_field = reduce(lambda a, b: a | b, [F.col(f.name).isNotNull() for f in _RAW.fields])
     seq = F.col("sent_sequence").try_cast("int")
     prep = F.col("prep_time_minutes").try_cast("int")
     mode = F.lower(F.coalesce(F.col("kafka_mode"), F.lit(DEFAULT_MODE)))
     reason = (F.when(F.col("_text").isNull(), "null_value")
-              .when(~all_null, "bad_json")
+              .when(~any_field, "bad_json")
               .when(F.col("sent_sequence").isNotNull() & seq.isNull(), "bad_sequence")
               .when(~mode.isin(MODES), "unknown_mode")
               .when(F.col("prep_time_minutes").isNotNull() & prep.isNull(), "bad_prep"))

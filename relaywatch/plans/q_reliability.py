@@ -147,6 +147,8 @@ def w2_running_reliability(spark, sf, bucket_width: int | None = None):
 
 WT = W + ",\n" + TOPIC
 
+_NO_FIELD = " AND ".join(f"json_extract_string(j, '$.{f.name}') IS NULL" for f in ORDER.fields)
+
 _WEB_SQL = f""",
 parsed AS (
   SELECT key_text, arrival, value_text,
@@ -181,7 +183,7 @@ web AS (
          TRY_CAST(quantity_raw AS INT) AS quantity,
          TRY_CAST(price_raw AS INT) AS price_per_item,
          CASE WHEN value_text IS NULL THEN 'null_value'
-              WHEN j IS NULL THEN 'bad_json'
+              WHEN j IS NULL OR ({_NO_FIELD}) THEN 'bad_json'
               WHEN seq_raw IS NOT NULL AND TRY_CAST(seq_raw AS INT) IS NULL THEN 'bad_sequence'
               WHEN lower(coalesce(mode_raw, 'unknown')) NOT IN ({", ".join(repr(m) for m in MODES)})
                 THEN 'unknown_mode'

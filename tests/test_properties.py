@@ -300,3 +300,48 @@ def test_find_similar_equals_brute_force(spark, hist, queries):
         hits = [r for r in newest if any(like(r[1], w) for w in words)][:2]
         want[x] = [r[0] for r in (hits or newest[:2])]
     assert got == want
+
+
+_MSG = st.one_of(
+    st.none(),
+    st.sampled_from(['{"order_id": "x", broken', "[1, 2]", "5", "{}"]),
+    st.fixed_dictionaries({}, optional={
+        "order_id": st.sampled_from(["o1", "o2", "o3"]),
+        "kafka_mode": st.sampled_from(["at_most_once", "AT_LEAST_ONCE", "Exactly_Once",
+                                       "pigeon"]),
+        "sent_sequence": st.one_of(st.integers(0, 50), st.sampled_from(["x", "7"])),
+        "prep_time_minutes": st.one_of(st.integers(5, 40), st.sampled_from(["slow", "12"])),
+        "is_delayed": st.booleans(),
+        "is_cancelled": st.booleans(),
+        "incident_mode": st.sampled_from(["normal", "kitchen_delay"]),
+    }))
+
+
+@SETTINGS
+@given(msgs=st.lists(_MSG, min_size=1, max_size=25))
+def test_web_decoder_equals_reference_loop(spark, msgs):
+    import json
+    from relaywatch.operators import decode as D
+    texts = [m if (m is None or isinstance(m, str)) else json.dumps(m) for m in msgs]
+
+    def reference(text):  # the web process's per-message rules, as plain Python
+        try:
+            data = json.loads(text)
+            mode = data.get("kafka_mode", "unknown").lower()
+            seq = int(data.get("sent_sequence", 0))
+            if mode not in ("at_most_once", "at_least_once", "exactly_once"):
+                return None
+            prep = int(data.get("prep_time_minutes", 15))
+            return (mode, seq, prep, bool(data.get("is_delayed", False)),
+                    bool(data.get("is_cancelled", False)), data.get("incident_mode", "normal"))
+        except Exception:
+            return None
+
+    want = {i: reference(t) for i, t in enumerate(texts)}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, value string")
+    got = {}
+    for r in D.web_records(df, keep=["i"]).collect():
+        got[r.i] = None if r.reject_reason else (
+            r.kafka_mode, r.sent_sequence, r.prep_time_minutes, r.is_delayed, r.is_cancelled,
+            r.incident_mode)
+    assert got == want
