@@ -345,3 +345,51 @@ def test_web_decoder_equals_reference_loop(spark, msgs):
             r.kafka_mode, r.sent_sequence, r.prep_time_minutes, r.is_delayed, r.is_cancelled,
             r.incident_mode)
     assert got == want
+
+
+@SETTINGS
+@given(vals=st.lists(st.tuples(st.integers(0, 1000), st.integers(0, 600), st.integers(0, 600),
+                               st.sampled_from(["normal", "kitchen_delay", "courier_delay",
+                                                "weather_surge", "staff_shortage",
+                                                "festival_rush", "inventory_shortage",
+                                                "unknown_thing"])),
+                     min_size=1, max_size=30))
+def test_classifier_equals_reference_ladder(spark, vals):
+    import re as _re
+    from relaywatch.functions import reports as X
+
+    def ladder(delay, prep, cancel, score, hint):  # the offline analyst, as plain Python
+        prompt = (f"Delay Rate = {delay:.1f}%\nPrep Time = {prep:.1f} min\n"
+                  f"Cancellation Rate = {cancel:.1f}%\nReliability Score = {score:.1f}%\n"
+                  f"Incident Mode Hint = {hint}\n")
+        low = prompt.lower()
+
+        def metric(name):
+            m = _re.search(rf"{name}\s*[:=]\s*([^\n]+)", prompt, _re.IGNORECASE)
+            return m.group(1).strip()
+
+        def val(t):
+            return float(_re.findall(r"[-+]?\d*\.\d+|\d+", t)[0])
+        d, p, c = val(metric("Delay Rate")), val(metric("Prep Time")), val(metric("Cancellation Rate"))
+        if "kitchen_delay" in low or p > 22:
+            return "Kitchen Bottleneck"
+        if "courier_delay" in low or (d > 20 and p <= 20):
+            return "Courier Shortage"
+        for hint_name, label in (("weather_surge", "Weather Surge"),
+                                 ("staff_shortage", "Staff Shortage"),
+                                 ("festival_rush", "Festival Rush")):
+            if hint_name in low:
+                return label
+        if "inventory_shortage" in low or c > 15:
+            return "Inventory Shortage"
+        return "General Operational Anomaly"
+
+    rows = [(i, d / 10, p / 10, c / 10, 50.0, h) for i, (d, p, c, h) in enumerate(vals)]
+    df = spark.createDataFrame(rows, "i long, delay_rate double, avg_prep_time double, "
+                                     "cancellation_rate double, reliability_score double, "
+                                     "incident_mode string")
+    prompted = df.withColumn("prompt", X.kpi_prompt("delay_rate", "avg_prep_time",
+                                                    "cancellation_rate", "reliability_score",
+                                                    "incident_mode"))
+    got = {r.i: r.cls.issue for r in X.classify(prompted, "prompt").collect()}
+    assert got == {i: ladder(d, p, c, s, h) for i, d, p, c, s, h in rows}
