@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from relaywatch.functions.text import first_number, fmt1, named_metric
+from relaywatch.functions.text import first_number, fmt1, named_metric, strip
 
 # ---------------------------------------------------------------------------
 # Fixed values. Labels, confidences, evidence sentences, the playbook and the
@@ -255,11 +255,11 @@ def _field(text: Column, label: str, value_pattern: str = "([^\\n]+)") -> Column
 
 
 def _clean(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, "\\*", ""))
+    return strip(F.regexp_replace(c, "\\*", ""))
 
 
 def _lines(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), lambda s: F.trim(s))
+    return F.transform(F.split(text, "\n"), lambda s: strip(s))
 
 
 def parse_report(text) -> Column:
@@ -274,7 +274,7 @@ def parse_report(text) -> Column:
     conf = F.coalesce(_field(t, "Confidence", "(\\d+%)"), F.lit(REPORT_DEFAULT_CONFIDENCE))
     bullets = F.filter(_lines(t), lambda s: (s.startswith("-") | s.startswith("*"))
                        & ~F.lower(s).rlike("evidence|issue|confidence"))
-    items = F.filter(F.transform(bullets, lambda s: F.trim(F.regexp_replace(
+    items = F.filter(F.transform(bullets, lambda s: strip(F.regexp_replace(
         F.ltrim(s, F.lit("-* ")), "\\*\\*", ""))), lambda s: s != "")
     ev = F.when(F.size(items) > 0, items).otherwise(F.array(F.lit(REPORT_DEFAULT_EVIDENCE)))
     return F.struct(issue.alias("issue"), conf.alias("confidence"), ev.alias("evidence"))
@@ -288,7 +288,7 @@ def parse_plan(text) -> Column:
                      F.lit(PLAN_DEFAULT_IMPROVEMENT))
     acts = F.filter(F.transform(
         F.filter(_lines(t), lambda s: s.rlike("^\\d+\\.\\s*.+$")),
-        lambda s: F.trim(F.regexp_replace(F.regexp_extract(s, "^\\d+\\.\\s*(.+)$", 1),
+        lambda s: strip(F.regexp_replace(F.regexp_extract(s, "^\\d+\\.\\s*(.+)$", 1),
                                           "\\*\\*", ""))), lambda s: s != "")
     acts = F.when(F.size(acts) > 0, acts).otherwise(F.array(F.lit(PLAN_DEFAULT_ACTION)))
     return F.struct(sop.alias("sop"), imp.alias("improvement"), acts.alias("actions"))

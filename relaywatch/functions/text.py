@@ -17,6 +17,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# ASCII whitespace, as removed by a plain ``strip()`` of the reference's text.
+WHITESPACE = " \t\n\r\f\x0b"
+
+
+def strip(x) -> Column:
+    """Remove leading and trailing ASCII whitespace (``trim`` removes only
+    spaces, which would keep the ``\r`` of CRLF text or a tab indent)."""
+    return F.trim(_c(x), F.lit(WHITESPACE))
+
+
 def tokenize(text) -> Column:
     """Lower-case, then every run of ``[a-z0-9]`` (an ARRAY<STRING>)."""
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_PATTERN), 0)
@@ -56,7 +66,7 @@ def first_number(text, default: float = 0.0, digits_only: bool = False) -> Colum
 def named_metric(text, name: str) -> Column:
     """The rest of the line after ``name =`` or ``name:`` (case-insensitive)."""
     pat = "(?i)" + re.escape(name) + r"\s*[:=]\s*([^\n]+)"
-    found = F.trim(F.regexp_extract(_c(text), pat, 1))
+    found = strip(F.regexp_extract(_c(text), pat, 1))
     return F.when(found != "", found)
 
 
