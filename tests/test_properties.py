@@ -447,3 +447,55 @@ def test_report_and_plan_parsers_equal_reference(spark, lines):
         X.parse_report("t").alias("r"), X.parse_plan("t").alias("p")).collect()[0]
     assert (row.r.issue, row.r.confidence, list(row.r.evidence)) == report(text)
     assert (row.p.sop, row.p.improvement, list(row.p.actions)) == plan(text)
+
+
+@SETTINGS
+@given(msgs=st.lists(st.tuples(st.sampled_from(["at_most_once", "at_least_once", "exactly_once"]),
+                               st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"])),
+                               st.integers(0, 9), st.integers(5, 40), st.booleans(),
+                               st.booleans(), st.booleans()),
+                     min_size=1, max_size=40),
+       width=st.integers(1, 8))
+def test_running_numbers_equal_dashboard_loop(spark, msgs, width):
+    rows, epoch = [], 0
+    modes = {m: {"total": 0, "seen": set(), "dups": 0, "max_seq": 0}
+             for m in ("at_most_once", "at_least_once", "exactly_once")}
+    ops, want_mode, want_ops = None, {}, {}
+    for a, (mode, oid, seq, prep, delayed, cancelled, reset) in enumerate(msgs):
+        if reset or ops is None:
+            epoch += 1 if ops is not None else 0
+            ops = {"n": 0, "d": 0, "c": 0, "p": 0}
+        rows.append((epoch, a, oid, mode, seq, prep, delayed, cancelled, "kitchen_delay"))
+        m = modes[mode]
+        m["total"] += 1
+        m["max_seq"] = max(m["max_seq"], seq)
+        if oid in m["seen"]:
+            m["dups"] += 1
+        else:
+            m["seen"].add(oid)
+        u = len(m["seen"])
+        want_mode[a] = (m["total"], u, m["dups"], round(m["dups"] * 100.0 / m["total"], 6),
+                        round(u * 100.0 / m["total"], 6), max(m["max_seq"] - m["total"], 0))
+        ops["n"] += 1
+        ops["d"] += delayed
+        ops["c"] += cancelled
+        if not cancelled:
+            ops["p"] += prep
+        n = ops["n"]
+        dr, cr = ops["d"] * 100.0 / n, ops["c"] * 100.0 / n
+        ap = ops["p"] / (n - ops["c"]) if n - ops["c"] > 0 else 0.0
+        want_ops[a] = (n, round(dr, 6), round(cr, 6), round(ap, 6),
+                       round(max(100.0 - dr * 0.4 - cr * 2.0, 0.0), 6))
+    df = spark.createDataFrame(rows, "epoch long, arrival long, order_id string, "
+                                     "kafka_mode string, sent_sequence int, "
+                                     "prep_time_minutes int, is_delayed boolean, "
+                                     "is_cancelled boolean, incident_mode string")
+    got_mode = {r.arrival: (r.total_orders, r.unique_orders, r.duplicate_orders,
+                            round(r.duplicate_percentage, 6), round(r.accuracy, 6),
+                            r.estimated_loss)
+                for r in R.running_reliability(df, bucket_width=width).collect()}
+    got_ops = {r.arrival: (r.total_orders, round(r.delay_rate, 6), round(r.cancellation_rate, 6),
+                           round(r.avg_prep_time, 6), round(r.reliability_score, 6))
+               for r in K.running_kpis(df, bucket_width=width).collect()}
+    assert got_mode == want_mode
+    assert got_ops == want_ops
