@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from relaywatch.functions.text import contains_word, keywords
 from relaywatch.schema import HISTORY, HISTORY_SEEDS
 
-# Distinct lookup queries above which the query side is not broadcast.
+# (query, keyword) rows above which they are not broadcast (4-gram path).
 MAX_BROADCAST_QUERIES = 100_000
 
 
@@ -85,35 +85,72 @@ def newest(history: DataFrame, k: int = 2) -> DataFrame:
     return history.orderBy(F.col("timestamp").desc(), F.col("id").desc()).limit(k)
 
 
+def _matches_words(history: DataFrame, words: DataFrame) -> DataFrame:
+    """(query, history row) pairs against broadcast (query, word) rows, with
+    a plain ``ilike`` condition; a row matching several words of one query
+    appears once per word (ranked away below)."""
+    return (history.join(F.broadcast(words), contains_word(F.col("incident"), F.col("word")))
+            .drop("word"))
+
+
+def _matches_by_gram(history: DataFrame, words: DataFrame) -> DataFrame:
+    """Exact matches without a broadcast, for keywords of at least 4
+    characters with no wildcard or escape: such a keyword's first four
+    lower-case characters occur among the incident's 4-grams, so an equi-join
+    on that 4-gram finds every candidate (a skewed gram is split by AQE) and
+    ``ilike`` confirms it."""
+    grams = (history.select("id", F.lower("incident").alias("_l"))
+             .select("id", F.explode(F.transform(
+                 F.sequence(F.lit(1), F.greatest(F.length("_l") - 3, F.lit(1))),
+                 lambda i: F.substring("_l", i, 4))).alias("_gram"))
+             .filter(F.length("_gram") == 4).distinct())
+    keyed = words.withColumn("_gram", F.substring(F.lower("word"), 1, 4))
+    cand = keyed.join(grams, "_gram").select("query", "word", "id")
+    return (cand.join(history, "id")
+            .filter(contains_word(F.col("incident"), F.col("word"))).drop("word"))
+
+
 def find_similar(history: DataFrame, queries: DataFrame, k: int = 2,
-                 query_col: str = "query") -> DataFrame:
+                 query_col: str = "query",
+                 max_broadcast: int = MAX_BROADCAST_QUERIES,
+                 max_rest: int = MAX_BROADCAST_QUERIES) -> DataFrame:
     """J3 + J4: for each query text, the ``k`` newest history rows whose
     incident contains any keyword (X2) of the query, case-insensitively
     (X3); queries without any match get the ``k`` newest rows overall.
 
-    The query side (distinct queries with their keyword arrays) is broadcast
-    after a bounded count; history is streamed, so the nested-loop match is
-    linear in history size and each (query, row) pair is emitted once. Top-k
-    per query plans as a WindowGroupLimit.
+    The (query, keyword) rows are broadcast after a bounded count and
+    history is streamed, so the nested-loop match is linear in history size.
+    Beyond the bound, keywords of at least 4 plain characters go through an
+    exact 4-gram equi-join; only short or wildcard keywords are broadcast,
+    again after a bounded count. A row matching several keywords of a query
+    shares one ``dense_rank``, so top-k still plans as a WindowGroupLimit
+    (k rows per query and partition before the shuffle) and only the top-k
+    rows are de-duplicated.
     """
-    q = (queries.select(F.col(query_col).alias("query"),
-                        F.array_distinct(keywords(query_col)).alias("words")).distinct())
-    n = q.limit(MAX_BROADCAST_QUERIES + 1).count()
-    if n > MAX_BROADCAST_QUERIES:
-        raise ValueError(f"more than {MAX_BROADCAST_QUERIES} distinct queries in one lookup")
-    # One joined row per (query, history row) however many words match.
-    hit = F.exists("words", lambda w: contains_word(F.col("incident"), w))
-    matched = history.join(F.broadcast(q), hit).drop("words")
+    words = (queries.select(F.col(query_col).alias("query"),
+                            F.explode(F.array_distinct(keywords(query_col))).alias("word"))
+             .distinct())
+    n = words.limit(max_broadcast + 1).count()
+    if n <= max_broadcast:
+        matched = _matches_words(history, words)
+    else:
+        plain = (F.length("word") >= 4) & ~F.col("word").rlike("[%_\\\\]")
+        rest = words.filter(~plain)
+        if rest.limit(max_rest + 1).count() > max_rest:
+            raise ValueError(f"more than {max_rest} short or wildcard keywords")
+        matched = (_matches_by_gram(history, words.filter(plain))
+                   .unionByName(_matches_words(history, rest)))
     w = Window.partitionBy("query").orderBy(F.col("timestamp").desc(), F.col("id").desc())
-    top = (matched.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-           .withColumn("matched", F.lit(True)))
+    top = (matched.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= k)
+           .dropDuplicates(["query", "id"]).withColumn("matched", F.lit(True)))
     # The k newest rows overall, as one array (scalar subquery), for
     # queries with no match.
     order = ["timestamp", "id", "incident", "solution", "improvement", "confidence"]
     fallback = (newest(history, k)
                 .select(F.sort_array(F.collect_list(F.struct(*order)), asc=False).alias("a"))
                 .scalar())
-    unmatched = q.select("query").join(top.select("query"), "query", "left_anti")
+    qs = queries.select(F.col(query_col).alias("query")).distinct()
+    unmatched = qs.join(top.select("query"), "query", "left_anti")
     fb = (unmatched.select("query", F.posexplode(fallback).alias("pos", "row"))
           .select("query", (F.col("pos") + 1).alias("rank"), "row.*")
           .withColumn("matched", F.lit(False)))

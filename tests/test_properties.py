@@ -284,9 +284,11 @@ def test_find_similar_equals_brute_force(spark, hist, queries):
     h = spark.createDataFrame(rows, "id string, incident string, solution string, "
                                     "improvement int, confidence double, timestamp string")
     q = spark.createDataFrame([(x,) for x in queries], "query string")
-    got = {}
+    got, via_grams = {}, {}
     for r in H.find_similar(h, q, k=2).orderBy("query", "rank").collect():
         got.setdefault(r.query, []).append(r.id)
+    for r in H.find_similar(h, q, k=2, max_broadcast=0).orderBy("query", "rank").collect():
+        via_grams.setdefault(r.query, []).append(r.id)
 
     def like(text, word):  # SQL LIKE '%word%', case-insensitive, % and _ wildcards
         import re as _re
@@ -300,6 +302,7 @@ def test_find_similar_equals_brute_force(spark, hist, queries):
         hits = [r for r in newest if any(like(r[1], w) for w in words)][:2]
         want[x] = [r[0] for r in (hits or newest[:2])]
     assert got == want
+    assert via_grams == want
 
 
 _MSG = st.one_of(
