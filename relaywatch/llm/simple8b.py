@@ -38,7 +38,8 @@ from relaywatch.llm import common as C
 
 MAGIC = b"S8B1\x01\x00\x00\x00"
 BLOCK = 8192
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
+CHUNK = 32  # blocks packed or unpacked at a time
 # Fixed values of the format, by selector from 1 on.
 COUNTS = (240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
@@ -58,6 +59,18 @@ def _all_of(ok: np.ndarray, n: int) -> np.ndarray:
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, first word of each block, escaped values) of unsigned integers."""
+    words, blocks, escapes, n_words, n_escapes = [], [], [], 0, 0
+    for at in range(0, len(values), CHUNK * BLOCK):
+        w, b, e = _pack(values[at:at + CHUNK * BLOCK])
+        if n_escapes and len(e):
+            w = np.where(w >> np.uint64(60) == 0, w + np.uint64(n_escapes), w)
+        words, blocks, escapes = [*words, w], [*blocks, b + n_words], [*escapes, e]
+        n_words, n_escapes = n_words + len(w), n_escapes + len(e)
+    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    return join(words, np.uint64), join(blocks, np.int64), join(escapes, np.uint64)
+
+
+def _pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values = np.asarray(values, np.uint64)
     n = len(values)
     rows = -(-n // BLOCK)
@@ -102,7 +115,19 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def unpack(words: np.ndarray, blocks: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
-    """The ``n`` values, all words of one selector at a time."""
+    """The ``n`` values; some blocks at a time, and of these all words of one
+    selector at a time."""
+    out = np.zeros(n, np.uint64)
+    ends = np.append(blocks[1:], len(words))
+    for at in range(0, len(blocks), CHUNK):
+        some = blocks[at:at + CHUNK]
+        lo, hi = at * BLOCK, min(n, (at + CHUNK) * BLOCK)
+        part = words[some[0]:ends[min(at + CHUNK, len(blocks)) - 1]]
+        out[lo:hi] = _unpack(part, some - some[0], escapes, hi - lo)
+    return out
+
+
+def _unpack(words: np.ndarray, blocks: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     rows = len(blocks)
     out = np.zeros((rows, BLOCK + COUNTS[0]), np.uint64)
     s = (words >> np.uint64(60)).astype(np.int64)
@@ -167,6 +192,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
             ids += [x, end]
             sizes.append(len(x) + 1)
         got = np.concatenate(ids)
+        pa.default_memory_pool().release_unused()
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()),
                          "doc_ids": pa.array([d.raw_ids.to_pylist()], pa.list_(pa.int64())),
                          "n_ids": pa.array([len(got)], pa.int64()),

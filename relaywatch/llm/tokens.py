@@ -22,9 +22,9 @@ from relaywatch.llm.common import mix64
 # White space apart from single blanks and line feeds, or an added token.
 _WHOLE = (r"[\t\r\f\v\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
           r"\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|<\|")
-CACHE = 2_000_000  # remembered pieces per worker; the cache starts anew beyond
+CACHE = 1_000_000  # remembered pieces per worker; the cache starts anew beyond
 GROUP = 50         # new pieces encoded in one text
-STEP = 4 << 20     # bytes worked on at a time
+STEP = 2 << 20     # bytes worked on at a time
 
 _CLASS = np.full(256, 4, np.int8)  # 0 blank, 1 line feed, 2 sign, 3 letter or digit, 4 other
 _CLASS[33:127] = 2
