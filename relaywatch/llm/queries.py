@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from relaywatch.llm import common as C
-from relaywatch.llm import packing, simple8b
+from relaywatch.llm import packing, simhash, simple8b, window_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,12 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_window_dedup")
+def op1_window_dedup(spark, sf_dir):
+    return window_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @register("op3_packing")
 def op3_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+@register("op7_simhash")
+def op7_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 @register("op10_simple8b")
 def op10_simple8b(spark, sf_dir):
     path = C.scratch(spark, "token-files")
