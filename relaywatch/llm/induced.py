@@ -30,6 +30,8 @@ import numpy as np
 
 END = 0xFE  # ends each segment of a text; never a byte of UTF-8
 PAD = 0xFF  # above all bytes
+# By the bytes left of a substring: PAD over the rest of its eight.
+_FILL = np.array([(1 << 64) - 1 >> 8 * k for k in range(8)] + [0], np.uint64)
 
 
 class RunQueue:
@@ -68,87 +70,83 @@ class RunQueue:
                 (np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])))
 
 
-def _eight(text: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """Eight bytes from each position, the first one highest; PAD behind the end."""
-    out = np.zeros(len(pos), np.uint64)
-    for j in range(8):
-        at = pos + j
-        b = np.where(at < len(text), text[np.minimum(at, len(text) - 1)], PAD)
-        out |= b.astype(np.uint64) << np.uint64(56 - 8 * j)
-    return out
-
-
-def _refine(rank: np.ndarray, key: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Order ties of ``rank`` among ``which`` by ``key``. A rank is the number of
-    smaller elements, so ranks of other elements stay as they are."""
-    order = which[np.lexsort((key[which], rank[which]))]
-    r, k = rank[order], key[order]
-    new_rank = np.ones(len(order), bool)
-    new_rank[1:] = r[1:] != r[:-1]
-    new_key = new_rank.copy()
-    new_key[1:] |= k[1:] != k[:-1]
-    at = np.arange(len(order))
-    first_rank = np.maximum.accumulate(np.where(new_rank, at, 0))
-    first_key = np.maximum.accumulate(np.where(new_key, at, 0))
-    out = rank.copy()
-    out[order] = r + (first_key - first_rank)
-    return out
+def _eight(text: np.ndarray) -> np.ndarray:
+    """A view of the eight bytes from each position, the first one highest; PAD
+    behind the end."""
+    padded = np.concatenate([text, np.full(72, PAD, np.uint8)])
+    return np.ndarray((len(text) + 64,), ">u8", padded, strides=(1,))
+
+
+def _refine(rank: np.ndarray, key: np.ndarray, which: np.ndarray) -> None:
+    """Order ties of ``rank`` among ``which`` by their ``key``. A rank is the number
+    of smaller elements, so ranks of other elements stay as they are."""
+    if len(which) == len(rank) and not rank.any():
+        order = np.argsort(key)
+    elif key.dtype == np.uint64:
+        order = np.lexsort((key, rank[which]))
+    else:  # a rank too: both fit into one number
+        order = np.argsort(rank[which].astype(np.int64) * (len(rank) + 1) + key)
+    key = key[order]
+    order = which[order]
+    r = rank[order]
+    new = np.ones(len(order), bool)
+    new[1:] = r[1:] != r[:-1]
+    at = np.arange(len(order), dtype=rank.dtype)
+    first_rank = np.maximum.accumulate(np.where(new, at, 0))
+    new[1:] |= key[1:] != key[:-1]
+    first_key = np.maximum.accumulate(np.where(new, at, 0))
+    rank[order] = r + (first_key - first_rank)
 
 
 def _ties(rank: np.ndarray) -> np.ndarray:
-    n = np.bincount(rank, minlength=len(rank))
-    return np.flatnonzero(n[rank] > 1)
+    n = np.bincount(rank, minlength=len(rank)) > 1
+    return np.flatnonzero(n[rank])
 
 
-def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Common prefix of suffixes a and b, at most ``depth``."""
-    out = np.full(len(a), depth, np.int64)
+def _common(eight: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """Common prefix of suffixes a and b, at most ``depth`` (64 or less)."""
+    out = np.full(len(a), depth, np.uint8)
     live = np.arange(len(a))
     for c in range(0, depth, 8):
-        x = _eight(text, a[live] + c) ^ _eight(text, b[live] + c)
+        x = eight[np.minimum(a[live] + c, len(eight) - 1)] ^ eight[np.minimum(b[live] + c, len(eight) - 1)]
+        x = x.astype(np.uint64)
         off = x != 0
-        same = np.zeros(off.sum(), np.int64)
         y = x[off]
+        same = np.zeros(len(y), np.uint8)
         for j in range(1, 8):
             same += (y >> np.uint64(64 - 8 * j)) == 0
         out[live[off]] = np.minimum(depth, c + same)
         live = live[~off]
-    return out.astype(np.uint8)
+    return out
 
 
 def sorted_stars(text: np.ndarray, stars: np.ndarray, depth: int) -> np.ndarray:
     """The S* suffixes in order of their first ``depth`` bytes or more."""
-    m = len(stars)
+    m, eight = len(stars), _eight(text)
+    kind = np.int32 if m < 2**31 else np.int64
     after = np.append(stars[1:], len(text) - 1)
     size = np.minimum(after - stars + 1, depth + 8)  # a substring ends on the next S*
-    rank = np.zeros(m, np.int64)
-    which, c = np.arange(m), 0
+    rank = np.zeros(m, kind)
+    which, c = np.arange(m, dtype=kind), 0
     while len(which):
-        key = np.zeros(m, np.uint64)
-        part = _eight(text, stars[which] + c)
+        key = eight[np.minimum(stars[which] + c, len(eight) - 1)].astype(np.uint64)
         left = np.clip(size[which] - c, 0, 8)
         # A substring that ends sorts behind one that goes on (S behind L).
-        fill = np.where(left < 8, ~np.uint64(0) >> (np.uint64(8) * np.minimum(left, 7).astype(np.uint64)),
-                        np.uint64(0))
-        fill = np.where(left == 0, ~np.uint64(0), fill)
-        key[which] = part | fill
-        rank = _refine(rank, key, which)
+        key |= _FILL[left]
+        _refine(rank, key, which)
         c += 8
         ties = _ties(rank)
         longer = np.zeros(m, bool)  # ranks under which a substring goes on
         longer[rank[ties[size[ties] > c]]] = True
         which = ties[longer[rank[ties]]]
-    h = 1
+    del size, after
+    h, ends = 1, np.append(stars, len(text) + depth)
     while True:
         ties = _ties(rank)
         far = np.minimum(ties + h, m)
-        reach = np.append(stars, len(text) + depth)[far] - stars[ties]
-        if not len(ties) or reach.min() >= depth:
+        if not len(ties) or (ends[far] - stars[ties]).min() >= depth:
             return stars[np.argsort(rank, kind="stable")]
-        key = np.append(rank + 1, 0)
-        later = np.zeros(m, np.int64)
-        later[ties] = key[far]
-        rank = _refine(rank, later, ties)
+        _refine(rank, np.append(rank + 1, 0)[far].astype(np.int64), ties)
         h *= 2
 
 
@@ -168,7 +166,7 @@ def suffix_classes(text: np.ndarray, depth: int, memory: int = 64 << 20):
     order = sorted_stars(text, stars, depth) if len(stars) else stars
     star_lcp = np.zeros(len(order), np.uint8)
     if len(order) > 1:
-        star_lcp[1:] = _common(text, order[:-1], order[1:], depth)
+        star_lcp[1:] = _common(_eight(text), order[:-1], order[1:], depth)
     star_at = np.searchsorted(text[order], np.arange(257))
     order = order.astype(kind)
 

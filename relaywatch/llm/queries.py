@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from relaywatch.llm import common as C
-from relaywatch.llm import packing, simhash, simple8b, window_dedup
+from relaywatch.llm import packing, simhash, simple8b, suffix_dedup, window_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op3_packing(spark, sf_dir):
                                   public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @register("op7_simhash")
 def op7_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
