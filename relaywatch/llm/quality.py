@@ -11,7 +11,7 @@ windows. The others become vectors
 and the minimum-covariance-determinant estimate of each (language, source) group
 judges them: starting from medians and absolute deviations, concentration steps
 refit mean and covariance on the ``support`` share of rows that lie nearest
-(Mahalanobis distance, by the Cholesky factor written out as columns), and rows
+(Mahalanobis distance, by the inverse Cholesky factor), and rows
 beyond the chi-squared quantile ``quantile`` are rejected. Every feature has a
 smallest spread (``FLOORS``), so that a group in which nearly all documents have
 a count of zero does not reject the first document that has one.
@@ -46,7 +46,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 50, 50  # words; percent of words in repeated windows
 SUPPORT, STEPS, QUANTILE, MIN_GROUP = 0.75, 3, 1 - 1e-6, 200
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FLOORS = (0.25, 0.04, 0.04, 0.06)  # smallest spread of each feature
+FLOORS = (0.35, 0.04, 0.08, 0.12)  # smallest spread of each feature
 P = len(FLOORS)
 
 
@@ -131,20 +131,26 @@ def features() -> list[Column]:
             F.sqrt(F.col("n_dup_lines") / words), F.sqrt(F.col("n_repeat_words") / words)]
 
 
-def _distance(mean: list[Column], cov: dict[tuple[int, int], Column]) -> Column:
-    """Squared Mahalanobis distance of x0..x3 by the Cholesky factor; a variance
-    below the squared floor counts as that."""
-    low: dict[tuple[int, int], Column] = {}
-    z: list[Column] = []
+def _whitened(fit: DataFrame) -> DataFrame:
+    """The inverse Cholesky factor w_ij of the covariance c_ij, column by column;
+    a conditional variance below the squared floor counts as that."""
+    def total(terms: list[Column]) -> Column:
+        return reduce(lambda a, b: a + b, terms, F.lit(0.0))
+
+    for i in range(P):
+        for j in range(i):
+            rest = total([F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)])
+            fit = fit.withColumn(f"l{i}{j}", (F.col(f"c{j}{i}") - rest) / F.col(f"l{j}{j}"))
+        rest = total([F.col(f"l{i}{k}") * F.col(f"l{i}{k}") for k in range(i)])
+        fit = fit.withColumn(f"l{i}{i}", F.sqrt(F.greatest(F.col(f"c{i}{i}") - rest,
+                                                           F.lit(FLOORS[i] ** 2))))
     for i in range(P):
         for j in range(i):
-            rest = reduce(lambda a, b: a + b, [low[i, k] * low[j, k] for k in range(j)], F.lit(0.0))
-            low[i, j] = (cov[j, i] - rest) / low[j, j]
-        rest = reduce(lambda a, b: a + b, [low[i, k] * low[i, k] for k in range(i)], F.lit(0.0))
-        low[i, i] = F.sqrt(F.greatest(cov[i, i] - rest, F.lit(FLOORS[i] ** 2)))
-        done = reduce(lambda a, b: a + b, [low[i, k] * z[k] for k in range(i)], F.lit(0.0))
-        z.append((F.col(f"x{i}") - mean[i] - done) / low[i, i])
-    return reduce(lambda a, b: a + b, [v * v for v in z])
+            rest = total([F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)])
+            fit = fit.withColumn(f"w{i}{j}", -rest / F.col(f"l{i}{i}"))
+        fit = fit.withColumn(f"w{i}{i}", 1 / F.col(f"l{i}{i}"))
+    return fit.select("g", *[f"m{i}" for i in range(P)],
+                      *[f"w{i}{j}" for i in range(P) for j in range(i + 1)])
 
 
 def grouped(rows: DataFrame, min_group: int) -> DataFrame:
@@ -175,10 +181,10 @@ def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int =
         F.count(F.lit(1)).alias("n"),
         *[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i in range(P)])
     # Quartiles give the first centre and (as 0.7413 of their range) spread.
-    first = C.stored(spots.filter(F.col("n") >= min_group).select(
+    first = C.stored(_whitened(spots.filter(F.col("n") >= min_group).select(
         "g", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(P)],
         *[(F.lit(0.0) if i != j else F.pow(F.lit(0.7413) * (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]), 2))
-          .alias(f"c{i}{j}") for i in range(P) for j in range(i, P)]), "mcd-0")
+          .alias(f"c{i}{j}") for i in range(P) for j in range(i, P)])), "mcd-0")
     alpha = chi2_quantile(support, P)
     scale = support / chi2_cdf(alpha, P + 2)  # makes the covariance consistent
     fit = first
@@ -186,18 +192,18 @@ def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int =
         near = _with_distance(vectors, fit)
         cut = near.groupBy("g").agg(F.percentile_approx("d2", support, 2000).alias("cut"))
         core = near.join(cut, "g").filter("d2 <= cut")
-        fit = C.stored(core.groupBy("g").agg(
+        fit = C.stored(_whitened(core.groupBy("g").agg(
             *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)],
             *[(F.covar_pop(f"x{i}", f"x{j}") * scale).alias(f"c{i}{j}")
-              for i in range(P) for j in range(i, P)]), f"mcd-{k + 1}")
+              for i in range(P) for j in range(i, P)])), f"mcd-{k + 1}")
     return _with_distance(vectors, fit, "left")
 
 
 def _with_distance(vectors: DataFrame, fit: DataFrame, how: str = "inner") -> DataFrame:
-    mean = [F.col(f"m{i}") for i in range(P)]
-    cov = {(i, j): F.col(f"c{i}{j}") for i in range(P) for j in range(i, P)}
-    return vectors.join(fit, "g", how).withColumn("d2", _distance(mean, cov)).select(
-        *vectors.columns, "d2")
+    z = [reduce(lambda a, b: a + b, [F.col(f"w{i}{j}") * (F.col(f"x{j}") - F.col(f"m{j}"))
+                                     for j in range(i + 1)]) for i in range(P)]
+    d2 = reduce(lambda a, b: a + b, [v * v for v in z])
+    return vectors.join(fit, "g", how).withColumn("d2", d2).select(*vectors.columns, "d2")
 
 
 def judged(docs: DataFrame, *, quantile: float = QUANTILE, min_group: int = MIN_GROUP,

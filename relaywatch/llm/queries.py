@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from relaywatch.llm import common as C
-from relaywatch.llm import packing, simhash, simple8b, suffix_dedup, window_dedup
+from relaywatch.llm import (exact_dedup, packing, quality, simhash, simple8b, suffix_dedup,
+                            window_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,6 +47,20 @@ def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@register("op5_quality")
+def op5_quality(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents")).drop("k_row", "d2")
+
+
+@register("op6_exact_dedup", """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
+def op6_exact_dedup(spark, sf_dir):
+    index = exact_dedup.DigestIndex(spark, C.scratch(spark, "digest-index"))
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"), index).drop("k_row")
+
+
 @register("op7_simhash")
 def op7_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
