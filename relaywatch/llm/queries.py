@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from relaywatch.llm import common as C
-from relaywatch.llm import (exact_dedup, packing, quality, simhash, simple8b, suffix_dedup,
-                            window_dedup)
+from relaywatch.llm import (exact_dedup, licences, mixing, packing, quality, simhash,
+                            simple8b, suffix_dedup, token_counts, window_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,12 @@ def op1_window_dedup(spark, sf_dir):
     return window_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@register("op2_token_counts")
+def op2_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @register("op3_packing")
 def op3_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"),
@@ -67,6 +73,16 @@ def op7_simhash(spark, sf_dir):
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@register("op8_licences")
+def op8_licences(spark, sf_dir):
+    return licences.document_licences(table(spark, sf_dir, "documents"))
+
+
+@register("op9_mixing")
+def op9_mixing(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 @register("op10_simple8b")
 def op10_simple8b(spark, sf_dir):
     path = C.scratch(spark, "token-files")
