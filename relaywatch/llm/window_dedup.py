@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from relaywatch.llm import common as C
 
 WIDTH = 13
-SHARD_BYTES = 12 << 20
-STEP = 2 << 20  # bytes hashed at a time
+SHARD_BYTES, BUCKET_BYTES = 4 << 20, 12 << 20  # text of a shard, of a bucket's windows
+STEP = 1 << 20  # bytes hashed at a time
 
 _BYTE = C.mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xD1342543DE82EF95   # odd; of the word hashes
@@ -105,9 +105,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     word intervals ``spans`` and, ``with_text``, the text that is left."""
     parts, n_shards = C.range_shards(C.pairs_of(docs, id_col, text_col), shard_bytes)
     parts = parts.repartition(C.SHARD)
-    n_buckets = n_shards
+    n_buckets = max(1, -(-n_shards * shard_bytes // max(shard_bytes, BUCKET_BYTES)))
 
     def hashed(table):
+        C.tidy()
         d = C.Docs(table)
         start, end, first = C.words_of(d)
         h, at = window_hashes(word_hashes(d.buf, start, end), first, width)
@@ -124,6 +125,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             "hashes": pa.array([C.pack_sorted(h[cut[b]:cut[b + 1]]) for b in some], pa.binary())})
 
     def answer(key, table):
+        C.tidy()
         table = table.sort_by("shard")
         shards = table.column("shard").to_pylist()
         lists = [C.unpack_sorted(b) for b in table.column("hashes").to_pylist()]
@@ -157,9 +159,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         gone = np.cumsum(cover)[:-1] > 0
         texts = kept_text(d, start, end, first, ~gone)
         total = np.concatenate([[0], np.cumsum(gone)])
-        edge = gone.copy()  # runs end with their document
-        a, b = C.runs(edge)
-        cuts = first[1:-1]
+        a, b = C.runs(gone)
+        cuts = np.unique(first[1:-1])  # runs end with their document
         inside = cuts[(cuts > 0) & (cuts < len(gone))]
         inside = inside[gone[inside] & gone[inside - 1]]
         a, b = np.sort(np.append(a, inside)), np.sort(np.append(b, inside))
