@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import os
 import uuid
@@ -55,15 +56,21 @@ def row_key(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.xxhash64(nulls, *cols)
 
 
+def carried(docs: DataFrame, id_col: str) -> DataFrame:
+    """Whole rows as a struct ``c_row``, with ``c_id`` and ``c_key``: whatever the
+    columns of ``docs`` are called, joins find no name twice."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("c_row"),
+                       F.col(f"`{id_col}`").cast("long").alias("c_id"), row_key(docs).alias("c_key"))
+
+
 def semi_rows(docs: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` named by ``kept`` (k_id, k_row, n_same), one row for
     each row of ``kept``; ``n_same`` is how many identical rows ``docs`` has."""
-    cols = docs.columns
-    keyed = docs.select(*[F.col(f"`{c}`") for c in cols], row_key(docs).alias("__row"))
-    on = F.col("__row").eqNullSafe(F.col("k_row")) & F.col(f"`{id_col}`").eqNullSafe(F.col("k_id"))
-    once = keyed.join(kept.filter("n_same = 1"), on, "left_semi")
-    more = keyed.join(kept.filter("n_same > 1"), on, "left_semi").dropDuplicates(["__row", id_col])
-    return once.unionByName(more).select(*[F.col(f"`{c}`") for c in cols])
+    rows = carried(docs, id_col)
+    on = (F.col("c_key") == F.col("k_row")) & F.col("c_id").eqNullSafe(F.col("k_id"))
+    once = rows.join(kept.filter("n_same = 1"), on, "left_semi")
+    more = rows.join(kept.filter("n_same > 1"), on, "left_semi").dropDuplicates(["c_key", "c_id"])
+    return once.unionByName(more).select("c_row.*")
 
 
 def size_of(df: DataFrame) -> tuple[int, int]:
@@ -95,6 +102,15 @@ def range_shards(df: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
     return df.withColumn(SHARD, shard_of(F.coalesce(F.col(ID), F.lit(int(LAST))))), len(bounds) + 1
 
 
+def tidy() -> None:
+    """Give freed memory back to the system between groups: a worker lives on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 class Docs:
     """The documents of one shard in ascending doc_id order, as one byte buffer."""
 

@@ -227,7 +227,6 @@ def good_documents(docs: DataFrame, **options) -> DataFrame:
     found = C.stored(judged(docs, **options), "judged")
     bad = found.filter(~F.col("kept")).select(F.col("doc_id").alias("b_id"),
                                               F.col("k_row").alias("b_row")).distinct()
-    id_col = options.get("id_col", "doc_id")
-    keyed = docs.withColumn("__row", C.row_key(docs))
-    return keyed.join(bad, F.col("__row").eqNullSafe(F.col("b_row"))
-                      & F.col(f"`{id_col}`").eqNullSafe(F.col("b_id")), "left_anti").drop("__row")
+    rows = C.carried(docs, options.get("id_col", "doc_id"))
+    return rows.join(bad, (F.col("c_key") == F.col("b_row"))
+                     & F.col("c_id").eqNullSafe(F.col("b_id")), "left_anti").select("c_row.*")

@@ -205,7 +205,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One row per document: doc_id, k_row (key of the whole row), fingerprint
-    (16 hexadecimal digits) and component_id."""
+    (16 hexadecimal digits), component_id and component (which tells components
+    apart even where they share a doc_id)."""
     rows = C.stored(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "prints")
     per = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     label = components(links(per, bits))
@@ -213,10 +214,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "fp", "least", F.coalesce("label", "fp").alias("label"))
     per = C.stored(per, "classes")
     least = per.groupBy("label").agg(F.min("least").alias("component_id"))
-    ids = per.select("fp", "label").join(least, "label").select("fp", "component_id")
+    ids = per.select("fp", "label").join(least, "label").select(
+        "fp", "component_id", F.col("label").alias("component"))
     return rows.join(ids, "fp").select(
         "doc_id", "k_row", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id")
+        "component_id", "component")
 
 
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -225,10 +227,8 @@ def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     the smallest doc_id (of ties, the smallest row key)."""
     found = C.stored(near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle,
                                      bits=bits), "near")
-    # A null class id (all rows without doc_id) keeps its fingerprint apart.
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("k_row"))).alias("m")
-    best = found.groupBy(group[0], group[1].alias("alone")).agg(first)
+    best = found.groupBy("component").agg(first)
     best = best.select(F.col("m.doc_id").alias("k_id"), F.col("m.k_row").alias("k_row"))
     same = found.groupBy(F.col("doc_id").alias("s_id"), F.col("k_row").alias("s_row")).agg(
         F.count(F.lit(1)).alias("n_same")).filter("n_same > 1")

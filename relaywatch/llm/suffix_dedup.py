@@ -43,9 +43,9 @@ from relaywatch.llm import common as C
 from relaywatch.llm import induced
 
 WIDTH, GRAM = 50, 20
-SHARD_BYTES = 8 << 20
-SLICE = 1 << 19  # window starts looked at together
-BUCKETS_PER_SHARD = 2
+SHARD_BYTES = 4 << 20
+SLICE = 1 << 18  # window starts looked at together
+BUCKETS_PER_SHARD = 1
 
 _BYTE = C.mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xD1342543DE82EF95  # odd
@@ -207,6 +207,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     n_buckets = max(1, n_shards * BUCKETS_PER_SHARD)
 
     def ask(key, table):
+        C.tidy()
         _, _, h = segments(C.Docs(table), width, gram)
         h = np.unique(h)
         cut = C.bucket_edges(h, n_buckets)
@@ -234,6 +235,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                          "bits": pa.array([r[1] for r in rows], pa.binary())})
 
     def send(key, table, answers):
+        C.tidy()
         s = Sent(C.Docs(table), answers, n_buckets, width, gram)
         some = [b for b in range(n_buckets) if s.cut[b + 1] > s.cut[b]]
         cuts = [(int(s.cut[b]), int(s.cut[b + 1])) for b in some]
@@ -246,6 +248,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                               ).cast(pa.binary())})
 
     def sort(key, table):
+        C.tidy()
         shards = table.column("shard").to_pylist()
         sizes = [np.frombuffer(b, "<u2").astype(np.int64) for b in table.column("sizes").to_pylist()]
         ids = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("ids").to_pylist()])
@@ -260,6 +263,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                          "bits": pa.array([r[1] for r in rows], pa.binary())})
 
     def settle(key, table, answers):
+        C.tidy()
         late = answers.column("late").combine_chunks() if answers.num_rows else pa.array([], pa.bool_())
         if isinstance(late, pa.ChunkedArray):
             late = pa.concat_arrays(late.chunks)

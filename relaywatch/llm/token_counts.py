@@ -35,7 +35,7 @@ def attribute(token_end: np.ndarray, section_end: np.ndarray, rule: str = "start
     """(tokens of each section, tokens that cross its end). Both arrays hold the
     ascending ends of spans that tile the same text."""
     n = len(section_end)
-    token_start = np.concatenate([[0], token_end[:-1]]).astype(np.int64)
+    token_start = np.concatenate([[0], token_end])[:-1].astype(np.int64)
     size = token_end - token_start
     real = size > 0
     first = np.searchsorted(section_end, token_start, "right")
