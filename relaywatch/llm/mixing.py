@@ -119,11 +119,12 @@ def probabilities(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
 
 
 def mixed(docs: DataFrame, *, budget: float = BUDGET, alpha: dict[str, float] | None = None,
-          targets: dict[str, DataFrame] | None = None, **columns) -> DataFrame:
+          targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
+          **columns) -> DataFrame:
     """One row per document: doc_id, source, lang, topic, n_words, probability, kept."""
     rows = C.stored(docs.select(*keyed(docs, **columns)), "mix-rows")
     cells = C.stored(cells_of(rows), "cells")
-    odds = C.stored(probabilities(raked(cells, alpha=alpha, targets=targets), budget), "odds")
+    odds = C.stored(probabilities(raked(cells, alpha=alpha, targets=targets, rounds=rounds), budget), "odds")
     odds = odds.select("t_source", "t_lang", "t_topic", "probability")
     return rows.join(odds, ["t_source", "t_lang", "t_topic"]).select(
         F.col("t_id").alias("doc_id"), F.col("t_source").alias("source"),
@@ -133,12 +134,13 @@ def mixed(docs: DataFrame, *, budget: float = BUDGET, alpha: dict[str, float] |
 
 
 def sampled(docs: DataFrame, *, budget: float = BUDGET, alpha: dict[str, float] | None = None,
-            targets: dict[str, DataFrame] | None = None, **columns) -> DataFrame:
+            targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
+            **columns) -> DataFrame:
     """The rows of ``docs`` that ``mixed`` keeps, with all their columns."""
     keys = keyed(docs, **columns)
     rows = docs.select(*keys[1:5])
     cells = C.stored(cells_of(rows), "cells")
-    odds = C.stored(probabilities(raked(cells, alpha=alpha, targets=targets), budget), "odds")
+    odds = C.stored(probabilities(raked(cells, alpha=alpha, targets=targets, rounds=rounds), budget), "odds")
     odds = odds.select("t_source", "t_lang", "t_topic", "probability")
     names = docs.columns
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("t_row"),
