@@ -28,7 +28,7 @@ from relaywatch.llm import common as C
 
 MARGINS = ("source", "lang", "topic")
 ALPHA = {"source": 0.7, "lang": 0.8, "topic": 1.0}
-BUDGET, ROUNDS, CLOSE, SEED = 0.6, 30, 1e-6, 11
+BUDGET, ROUNDS, CLOSE, SEED = 0.6, 30, 1e-4, 11
 WORD = r"[^\x20\x09-\x0D]+"
 
 
