@@ -74,38 +74,51 @@ def issue_labels(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s[0],) for s in [*X.LADDER, X.GENERAL]], "issue string")
 
 
-def issue_lookups(spark: SparkSession, procedures: DataFrame, history: DataFrame,
-                  k_docs: int = 1, k_history: int = 2) -> DataFrame:
-    """Per label: best procedure document (TF-IDF) and past incidents."""
-    labels = issue_labels(spark)
-    issues = labels.select(F.col("issue").alias("qid"), F.col("issue").alias("text"))
+def issue_documents(spark: SparkSession, procedures: DataFrame, k_docs: int = 1) -> DataFrame:
+    """Per label: the best procedure document (TF-IDF). Builds an index, so a
+    stream does this once, not in each batch (``fixed`` keeps the result)."""
+    issues = issue_labels(spark).select(F.col("issue").alias("qid"), F.col("issue").alias("text"))
     index = S.build_index(procedures, id_col="doc_name", text_col="content")
     top = S.attach_content(S.top_documents(index, issues, k=k_docs), procedures,
                            id_col="doc_name", text_col="content")
-    docs = (top.groupBy("qid")
+    return (top.groupBy("qid")
             .agg(F.min_by(F.struct("doc_id", "score", "content"), "rank").alias("d"))
             .select(F.col("qid").alias("issue"), F.col("d.doc_id").alias("doc_name"),
                     F.col("d.score").alias("doc_score"), F.col("d.content").alias("sop_content")))
+
+
+def fixed(spark: SparkSession, lookup: DataFrame) -> DataFrame:
+    """A lookup with a row per label, held as a local table."""
+    return spark.createDataFrame(lookup.limit(len(X.LADDER) + 1).collect(), lookup.schema)
+
+
+def issue_lookups(spark: SparkSession, documents: DataFrame, history: DataFrame,
+                  k_history: int = 2) -> DataFrame:
+    """Per label: its document (``issue_documents``) and past incidents."""
+    labels = issue_labels(spark)
     past = (H.find_similar(history, labels.select(F.col("issue").alias("query")), k=k_history)
             .groupBy("query").agg(F.sort_array(F.collect_list(F.struct(
                 "rank", F.concat_ws(" @ ", "incident", "timestamp").alias("item")))).alias("p"))
             .select(F.col("query").alias("issue"),
                     F.array_join(F.col("p.item"), " | ").alias("past_incidents")))
-    return labels.join(docs, "issue", "left").join(past, "issue", "left")
+    return labels.join(documents, "issue", "left").join(past, "issue", "left")
 
 
 def diagnose(spark: SparkSession, events: DataFrame, procedures: DataFrame,
              history: DataFrame, policy: str = "coded", k_docs: int = 1,
-             k_history: int = 2) -> DataFrame:
+             k_history: int = 2, documents: DataFrame | None = None) -> DataFrame:
     """One diagnosis row per event.
 
     ``events`` carries ``delay_rate, avg_prep_time, cancellation_rate,
     reliability_score, incident_mode``; ``procedures`` is ``(doc_name,
     content)``; ``history`` has the history schema (looked up before any
-    outcome of this batch is appended).
+    outcome of this batch is appended). ``documents`` (``issue_documents``)
+    saves building the index of the procedures again.
     """
     planned = plan_events(spark, classify_events(events, policy))
-    lookups = issue_lookups(spark, procedures, history, k_docs, k_history)
+    if documents is None:
+        documents = issue_documents(spark, procedures, k_docs)
+    lookups = issue_lookups(spark, documents, history, k_history)
     out = planned.join(F.broadcast(lookups), "issue", "left")
     return out.withColumns({
         "solution": join_actions("actions"),

@@ -3,19 +3,22 @@ and the history table itself (S7, S8, S9).
 
 A history row is ``(id, incident, solution, improvement, confidence,
 timestamp)``; ``timestamp`` is ISO text, which sorts correctly as text. The
-id is a SHA-256 of the row's content, so replaying an append is a no-op.
+table is a folder with one sub-folder per appended batch; a replayed batch
+overwrites its own, so nothing is lost and nothing is stored twice, however
+equal the rows are. Stored ids name the batch and the row in it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relaywatch.functions.text import contains_word, keywords
 from relaywatch.schema import HISTORY, HISTORY_SEEDS
 
-# (query, keyword) rows above which they are not broadcast (4-gram path).
-MAX_BROADCAST_QUERIES = 100_000
+GRAM = 4  # characters of a keyword that are matched by equality
 
 
 def content_id(incident, solution, improvement, confidence, timestamp):
@@ -54,28 +57,40 @@ def seeded(spark: SparkSession, history: DataFrame) -> DataFrame:
 
 # --- S7 / S8 / S9: the history table on storage ----------------------------
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    stored = spark.read.schema(HISTORY).option("recursiveFileLookup", "true").parquet(path)
+    return stored.select(*HISTORY.fieldNames())
+
+
 def open_history(spark: SparkSession, path: str) -> DataFrame:
-    """Create the table (empty, fixed schema) if missing, then read it;
-    S8: seed it when empty."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(jvm_path):
-        spark.createDataFrame([], HISTORY).write.mode("overwrite").parquet(path)
-    current = spark.read.schema(HISTORY).parquet(path)
-    seeded(spark, current).write.mode("append").parquet(path)
-    return spark.read.schema(HISTORY).parquet(path)
+    """S7 + S8: read the table; one that is missing or empty gets the seeds.
+    Opening a table that has rows writes nothing."""
+    if not _exists(spark, path) or _read(spark, path).limit(1).count() == 0:
+        seed_rows(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/run=seed/batch_id=0")
+    return _read(spark, path)
 
 
 def record_incidents(spark: SparkSession, outcomes: DataFrame, path: str,
-                     ts_col: str | None = None) -> None:
-    """Append outcomes (incident, solution, improvement, confidence).
+                     ts_col: str | None = None, batch_id: int | None = None,
+                     run: str = "manual") -> None:
+    """Append outcomes (incident, solution, improvement, confidence), every
+    row. Missing times become the current time.
 
-    Rows whose content id is already in the table are skipped, so a replay
-    (for example a re-run micro-batch) appends nothing.
+    Batch ``batch_id`` of ``run`` (a query's checkpoint) is one folder that a
+    replay overwrites; without a batch id each call adds a batch of its own.
     """
+    batch = uuid.uuid4().hex if batch_id is None else str(batch_id)
     rows = history_rows(outcomes, ts_col)
-    current = spark.read.schema(HISTORY).parquet(path)
-    rows.join(current.select("id"), "id", "left_anti").write.mode("append").parquet(path)
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    rows = rows.withColumn("timestamp", F.coalesce("timestamp", now)).withColumn(
+        "id", F.concat(F.lit(f"{run}-{batch}-"), F.lpad(F.monotonically_increasing_id()
+                                                       .cast("string"), 20, "0")))
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch}")
 
 
 # --- J3 / J4 / L3: lookups -------------------------------------------------
@@ -85,72 +100,94 @@ def newest(history: DataFrame, k: int = 2) -> DataFrame:
     return history.orderBy(F.col("timestamp").desc(), F.col("id").desc()).limit(k)
 
 
-def _matches_words(history: DataFrame, words: DataFrame) -> DataFrame:
-    """(query, history row) pairs against broadcast (query, word) rows, with
-    a plain ``ilike`` condition; a row matching several words of one query
-    appears once per word (ranked away below)."""
-    return (history.join(F.broadcast(words), contains_word(F.col("incident"), F.col("word")))
-            .drop("word"))
-
-
-def _matches_by_gram(history: DataFrame, words: DataFrame) -> DataFrame:
-    """Exact matches without a broadcast, for keywords of at least 4
-    characters with no wildcard or escape: such a keyword's first four
-    lower-case characters occur among the incident's 4-grams, so an equi-join
-    on that 4-gram finds every candidate (a skewed gram is split by AQE) and
-    ``ilike`` confirms it."""
-    grams = (history.select("id", F.lower("incident").alias("_l"))
-             .select("id", F.explode(F.transform(
-                 F.sequence(F.lit(1), F.greatest(F.length("_l") - 3, F.lit(1))),
-                 lambda i: F.substring("_l", i, 4))).alias("_gram"))
-             .filter(F.length("_gram") == 4).distinct())
-    keyed = words.withColumn("_gram", F.substring(F.lower("word"), 1, 4))
-    cand = keyed.join(grams, "_gram").select("query", "word", "id")
-    return (cand.join(history, "id")
-            .filter(contains_word(F.col("incident"), F.col("word"))).drop("word"))
+def _by_gram(incidents: DataFrame, words: DataFrame) -> DataFrame:
+    """(query, incident, word) matches of words that have a literal: the first
+    min(4, length) characters of the longest literal piece are among the
+    incident's grams of that length (an equi-join), and ``ilike`` confirms."""
+    low = incidents.select("incident", F.lower("incident").alias("_l"))
+    grams = low.select("incident", F.explode(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.lit(GRAM)),
+        lambda n: F.transform(
+            F.filter(F.sequence(F.lit(1), F.greatest(F.length("_l") - n + 1, F.lit(1))),
+                     lambda i: i + n - 1 <= F.length("_l")),
+            lambda i: F.substring("_l", i, n))))).alias("_gram")).distinct()
+    keyed = words.withColumn("_gram", F.substring(F.lower("_literal"), 1, GRAM))
+    return (keyed.join(grams, "_gram")
+            .filter(contains_word(F.col("incident"), F.col("word")))
+            .select("query", "incident", "word"))
+
+
+def _by_length(history: DataFrame, words: DataFrame, k: int) -> DataFrame:
+    """(query, incident, word) for words of wildcards alone, which match every
+    incident of at least as many characters as they have ``_``: the incidents of
+    the ``k`` newest rows for each such length."""
+    newest_first = [F.col("timestamp").desc(), F.col("id").desc()]
+    per = (history.withColumn("_n", F.length("incident"))
+           .withColumn("_r", F.row_number().over(Window.partitionBy("_n").orderBy(*newest_first)))
+           .filter(F.col("_r") <= k))
+    atleast = (per.withColumn("_min", F.explode(F.sequence(F.lit(0), "_n")))
+               .withColumn("_r", F.row_number().over(
+                   Window.partitionBy("_min").orderBy(*newest_first)))
+               .filter(F.col("_r") <= k).select("_min", "incident").distinct())
+    need = F.length("word") - F.length(F.replace(F.col("word"), F.lit("_"), F.lit("")))
+    return (words.withColumn("_min", need).join(atleast, "_min")
+            .select("query", "incident", "word"))
 
 
 def find_similar(history: DataFrame, queries: DataFrame, k: int = 2,
-                 query_col: str = "query",
-                 max_broadcast: int = MAX_BROADCAST_QUERIES,
-                 max_rest: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+                 query_col: str = "query", rank: str = "newest") -> DataFrame:
     """J3 + J4: for each query text, the ``k`` newest history rows whose
     incident contains any keyword (X2) of the query, case-insensitively
     (X3); queries without any match get the ``k`` newest rows overall.
-
-    The (query, keyword) rows are broadcast after a bounded count and
-    history is streamed, so the nested-loop match is linear in history size.
-    Beyond the bound, keywords of at least 4 plain characters go through an
-    exact 4-gram equi-join; only short or wildcard keywords are broadcast,
-    again after a bounded count. A row matching several keywords of a query
-    shares one ``dense_rank``, so top-k still plans as a WindowGroupLimit
-    (k rows per query and partition before the shuffle) and only the top-k
-    rows are de-duplicated.
+    ``rank='overlap'`` puts incidents that contain more of the query's keywords
+    first (F10).
+
+    One path for any number of queries, keywords and rows: only the k newest
+    rows of each distinct incident can be results, keywords meet the distinct
+    incidents by an equi-join on a gram of up to four characters, and the few
+    keywords of wildcards alone meet them by length. Rows are never compared by
+    id, so equal rows stay apart.
     """
+    if rank not in ("newest", "overlap"):
+        raise ValueError("rank is 'newest' or 'overlap'")
     words = (queries.select(F.col(query_col).alias("query"),
                             F.explode(F.array_distinct(keywords(query_col))).alias("word"))
              .distinct())
-    n = words.limit(max_broadcast + 1).count()
-    if n <= max_broadcast:
-        matched = _matches_words(history, words)
-    else:
-        plain = (F.length("word") >= 4) & ~F.col("word").rlike("[%_\\\\]")
-        rest = words.filter(~plain)
-        if rest.limit(max_rest + 1).count() > max_rest:
-            raise ValueError(f"more than {max_rest} short or wildcard keywords")
-        matched = (_matches_by_gram(history, words.filter(plain))
-                   .unionByName(_matches_words(history, rest)))
-    w = Window.partitionBy("query").orderBy(F.col("timestamp").desc(), F.col("id").desc())
-    top = (matched.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= k)
-           .dropDuplicates(["query", "id"]).withColumn("matched", F.lit(True)))
+    pieces = F.split("word", r"\\.|[%_\\]")
+    longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"),
+                                                                 p.alias("p"))))["p"]
+    words = words.withColumn("_literal", longest)
+    newest_first = [F.col("timestamp").desc(), F.col("id").desc()]
+    per = Window.partitionBy("incident").orderBy(*newest_first)
+    recent = (history.withColumn("_r", F.row_number().over(per)).filter(F.col("_r") <= k)
+              .drop("_r"))
+    matched = _by_gram(recent.select("incident").distinct(), words.filter("_literal <> ''")
+                       ).unionByName(_by_length(history, words.filter("_literal = ''"), k))
+    matched = matched.groupBy("query", "incident").agg(
+        F.count_distinct("word").alias("_overlap"))
+    if rank == "overlap":  # wildcards alone match whatever is long enough
+        free = words.filter("_literal = ''").groupBy("query").agg(F.collect_list(
+            F.length("word") - F.length(F.replace(F.col("word"), F.lit("_"), F.lit("")))).alias("_f"))
+        solid = words.filter("_literal <> ''")
+        counted = _by_gram(recent.select("incident").distinct(), solid).groupBy(
+            "query", "incident").agg(F.count_distinct("word").alias("_solid"))
+        matched = (matched.join(counted, ["query", "incident"], "left").join(free, "query", "left")
+                   .withColumn("_overlap", F.coalesce("_solid", F.lit(0)) + F.size(F.filter(
+                       F.coalesce("_f", F.array().cast("array<int>")),
+                       lambda n: n <= F.length("incident"))))
+                   .drop("_solid", "_f"))
+    order = ([F.col("_overlap").desc()] if rank == "overlap" else []) + newest_first
+    w = Window.partitionBy("query").orderBy(*order)
+    top = (matched.join(recent, "incident").withColumn("rank", F.row_number().over(w))
+           .filter(F.col("rank") <= k).withColumn("matched", F.lit(True)))
     # The k newest rows overall, as one array (scalar subquery), for
     # queries with no match.
-    order = ["timestamp", "id", "incident", "solution", "improvement", "confidence"]
+    fields = ["timestamp", "id", "incident", "solution", "improvement", "confidence"]
     fallback = (newest(history, k)
-                .select(F.sort_array(F.collect_list(F.struct(*order)), asc=False).alias("a"))
+                .select(F.sort_array(F.collect_list(F.struct(*fields)), asc=False).alias("a"))
                 .scalar())
     qs = queries.select(F.col(query_col).alias("query")).distinct()
-    unmatched = qs.join(top.select("query"), "query", "left_anti")
+    unmatched = qs.join(matched.select("query"), "query", "left_anti")
     fb = (unmatched.select("query", F.posexplode(fallback).alias("pos", "row"))
           .select("query", (F.col("pos") + 1).alias("rank"), "row.*")
           .withColumn("matched", F.lit(False)))

@@ -162,7 +162,7 @@ def st10_forward_stream(spark, sf):
     return RUN.appended(spark, out)
 
 
-@register("st12_diagnose_on_breach", _J9_BASE + _FULL_HIST + "\nSELECT id, "
+@register("st12_diagnose_on_breach", _J9_BASE + _FULL_HIST + "\nSELECT "
           + ", ".join(f'"{c}"' for c in _HIST_COLS) + " FROM hist")
 def st12_diagnose_on_breach(spark, sf):
     """ST9 (JVM trigger with per-epoch state) feeding J9 + S9 on each batch."""
@@ -173,7 +173,7 @@ def st12_diagnose_on_breach(spark, sf):
                    spark, q, out, f"{base}/state", ckpt,
                    on_fired=RUN.diagnosis_handler(spark, history)))
     from relaywatch.operators.history import open_history
-    return open_history(spark, history)
+    return open_history(spark, history).drop("id")
 
 
 # --------------------------------------------------------------------------

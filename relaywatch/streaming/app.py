@@ -21,30 +21,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from relaywatch.operators.decode import accepted, web_records
 from relaywatch.sources.orders import read_orders_stream
 from relaywatch.streaming import live as L
 from relaywatch.streaming import run as RUN
 
 
+# Columns a broker source orders and identifies its records by.
+_ORDER = ["timestamp", "topic", "partition", "offset"]
+
+
 def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
                    options: dict | None = None, path: str | None = None,
                    trigger: dict | None = None, forward_topic: str | None = None,
-                   epoch_col: str | None = None,
-                   keyed_state: bool = False) -> dict[str, StreamingQuery]:
+                   epoch_col: str | None = None, keyed_state: bool = False,
+                   state_partitions: int | None = None) -> dict[str, StreamingQuery]:
     """Start the consumer queries under ``base`` (a shared folder): outputs
     in ``base/<query>/out``, checkpoints in ``base/<query>/checkpoint``,
     history in ``base/history``. ``trigger`` defaults to the reference's
     10-second micro-batches. ``epoch_col`` names a KPI-epoch column when the
     records carry one; otherwise the trigger runs over a single epoch.
-    The trigger runs JVM-only per micro-batch with a per-epoch state table
-    (a hot epoch is spread over many tasks); ``keyed_state=True`` uses the
-    applyInPandasWithState version instead.
+    The queries run in a session of their own with ``state_partitions`` state
+    stores per stateful operator (default: the default parallelism).
+
+    The diagnose query follows the web side's rules (P8, P10): rejected records
+    do not count and missing fields take their defaults. Its trigger runs
+    JVM-only per micro-batch with a per-epoch state table (a hot epoch is spread
+    over many tasks); ``keyed_state=True`` uses the applyInPandasWithState
+    version instead.
     """
     trig = trigger or {"processingTime": "10 seconds"}
+    session = RUN.stream_session(spark, state_partitions)
 
     def records() -> DataFrame:
-        r = read_orders_stream(spark, source, dict(options or {}), path)
-        # Broker records carry no arrival counter: order by broker time.
+        r = read_orders_stream(session, source, dict(options or {}), path)
+        # Broker records carry no arrival counter: show the broker's time.
         return r if "arrival" in r.columns else r.withColumn("arrival",
                                                               F.unix_micros("timestamp"))
 
@@ -68,24 +79,29 @@ def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
         sink_opts = {k: v for k, v in (options or {}).items()
                      if k.startswith("kafka.") and k != "kafka.isolation.level"}
         queries["forward"] = RUN.keyed_json_sink(
-            fwd, "key", f"{base}/forward/checkpoint", topic=forward_topic, options=sink_opts)
+            fwd, "key", f"{base}/forward/checkpoint", topic=forward_topic, options=sink_opts,
+            trigger=trig, name="forward")
     else:
         queries["forward"] = RUN.start(fwd, "forward", f"{base}/forward/checkpoint", "append",
                                        trig, out=f"{base}/forward/out")
-    d = dec()
-    events = d.select(
-        (F.col(epoch_col) if epoch_col else F.lit(0).cast("long")).alias("epoch"),
-        F.col("arrival"), "order_id", "timestamp", "incident_mode", "is_delayed",
-        "is_cancelled", "prep_time_minutes").filter(F.col("order_id").isNotNull())
+    raw = records()
+    place = [c for c in _ORDER if c in raw.columns and c != "timestamp"]
+    web = accepted(web_records(raw.withColumn("_time", F.col("timestamp")),
+                               keep=["arrival", "_time", *place, *([epoch_col] if epoch_col else [])]))
+    events = web.select(
+        (F.col(epoch_col) if epoch_col else F.lit(0).cast("long")).alias("epoch"), "arrival",
+        "order_id", F.date_format("_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        "incident_mode", "is_delayed", "is_cancelled", "prep_time_minutes", *place)
     if keyed_state:
         queries["diagnose"] = RUN.diagnose_on_breach(
-            spark, L.breach_trigger(events), f"{base}/history", f"{base}/diagnose/checkpoint",
-            trig)
+            session, L.breach_trigger(events.drop(*place)), f"{base}/history",
+            f"{base}/diagnose/checkpoint", trig)
     else:
         queries["diagnose"] = RUN.breach_trigger_batches(
-            spark, events, f"{base}/diagnose/out", f"{base}/diagnose/state",
+            session, events, f"{base}/diagnose/out", f"{base}/diagnose/state",
             f"{base}/diagnose/checkpoint", trig,
-            on_fired=RUN.diagnosis_handler(spark, f"{base}/history"))
+            on_fired=RUN.diagnosis_handler(session, f"{base}/history"),
+            order=["arrival", *place])
     return queries
 
 

@@ -12,6 +12,7 @@ ST11, ST12).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,41 +53,57 @@ def replay(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame],
     """Replay ``source`` as a stream of ``n_batches`` micro-batches in
     ``order_col`` order and run ``build(stream)`` into a fresh folder.
 
-    Each range is written (in parallel) into the source folder and the
-    query is re-run from its checkpoint with ``availableNow``, so every range
-    is exactly one micro-batch and batches arrive in order, however many
-    files a range has. This also exercises restart from the checkpoint.
-
-    Stateful shuffles are not coalesced by AQE and their partition count is
-    fixed in the checkpoint at the first start, so it is set explicitly
-    (default: the cluster's default parallelism) instead of inheriting
-    ``spark.sql.shuffle.partitions``. ``sink(query, name, checkpoint, out)``
+    The rows are dealt to their ranges in one pass; each range is then moved
+    into the source folder and the query re-run from its checkpoint with
+    ``availableNow``, so every range is exactly one micro-batch and batches
+    arrive in order, however many files a range has. This also exercises
+    restart from the checkpoint. Stateful shuffles get ``state_partitions``
+    (default: the cluster's default parallelism) in a session of their own. ``sink(query, name, checkpoint, out)``
     replaces the default per-batch folder writer. Returns the output folder.
     """
     base = work_dir(spark, f"stream-{name}")
     folder, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
     tag = base.rstrip("/").rsplit("-", 1)[-1]  # unique per call: concurrent runs never clash
     bounds = _range_bounds(source, order_col, n_batches) or [(0, 0)]
-    parts = str(state_partitions or spark.sparkContext.defaultParallelism)
-    query = None
-    for i, (a, b) in enumerate(bounds):
-        (source.filter((F.col(order_col) >= a) & (F.col(order_col) < b))
-         .write.mode("overwrite").parquet(f"{folder}/part-{i:04d}"))
-        if query is None:
-            stream = (spark.readStream.schema(source.schema)
-                      .option("recursiveFileLookup", "true").parquet(folder))
-            query = build(stream)
-        previous = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        try:
-            q = (sink(query, f"{name}-{tag}-{i}", ckpt, out) if sink
-                 else start(query, f"{name}-{tag}-{i}", ckpt, output_mode, out=out))
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", previous)
+    lo, step = bounds[0][0], max(1, bounds[0][1] - bounds[0][0])
+    session = stream_session(spark, state_partitions)
+    # One pass deals the rows to their ranges; each range is one micro-batch.
+    part = F.floor((F.col(order_col) - F.lit(lo)) / F.lit(step)).cast("int")
+    source.withColumn("_range", part).write.partitionBy("_range").parquet(folder)
+    jvm = spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+    fs = jvm(base).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    fs.mkdirs(jvm(f"{base}/feed"))
+    query = build(session.readStream.schema(source.schema)
+                  .option("recursiveFileLookup", "true").parquet(f"{base}/feed"))
+    for i in range(len(bounds)):
+        done = jvm(f"{folder}/_range={i}")
+        if i and not fs.exists(done):
+            continue
+        if fs.exists(done):
+            fs.rename(done, jvm(f"{base}/feed/part-{i:04d}"))
+        q = (sink(query, f"{name}-{tag}-{i}", ckpt, out) if sink
+             else start(query, f"{name}-{tag}-{i}", ckpt, output_mode, out=out))
         run_all(spark, [q])
     return out
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for streaming queries, with their state partition count set:
+    state stores are fixed in a checkpoint at the first start and not coalesced,
+    so a cluster's batch shuffle count would open that many of them per stateful
+    operator. Other sessions keep their settings."""
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
+                "spark.sql.streaming.stateStore.providerClass",
+                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"):
+        value = spark.conf.get(key, None)
+        if value is not None:
+            session.conf.set(key, value)
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(parts))
+    return session
+
+
 def file_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int = 1) -> DataFrame:
     """Read a staged folder as a file stream (stands in for the broker source)."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
@@ -124,21 +141,21 @@ def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "update"
 
 def run_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """ST11: wait until every query ends; stop all and raise on the first
-    failure."""
+    failure, whichever session a query belongs to."""
+    def failed() -> None:
+        for q in queries:
+            if q.exception() is not None:
+                raise RuntimeError(f"query {q.name} failed: {q.exception()}")
+
     try:
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination(timeout=1)
-            spark.streams.resetTerminated()
-            for q in queries:
-                if q.exception() is not None:
-                    raise RuntimeError(f"query {q.name} failed: {q.exception()}")
+            failed()
+            time.sleep(0.1)
     finally:
         for q in queries:
             if q.isActive:
                 q.stop()
-    for q in queries:
-        if q.exception() is not None:
-            raise RuntimeError(f"query {q.name} failed: {q.exception()}")
+    failed()
 
 
 def final_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
@@ -176,37 +193,53 @@ def display_sink(df: DataFrame, name: str, checkpoint: str, num_rows: int = 10,
 
 def keyed_json_sink(df: DataFrame, key_col: str, checkpoint: str, topic: str | None = None,
                     options: dict | None = None, path: str | None = None,
-                    trigger: str = "5 seconds") -> StreamingQuery:
-    """S3: (key, JSON value) rows, append mode. ``topic`` writes to Kafka
-    (needs the connector); ``path`` writes JSON files instead."""
+                    trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """S3: (key, JSON value) rows, append mode, every 5 seconds unless a
+    ``trigger`` is given. ``topic`` writes to Kafka (needs the connector);
+    ``path`` writes JSON files instead."""
     out = df.select(F.col(key_col).cast("string").alias("key"), F.col("value"))
     w = (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-         .trigger(processingTime=trigger))
+         .trigger(**(trigger or {"processingTime": "5 seconds"})))
+    if name:
+        w = w.queryName(name)
     if topic:
         return w.format("kafka").option("topic", topic).options(**(options or {})).start()
     return w.format("json").option("path", path).start()
 
 
-def diagnosis_handler(spark: SparkSession, history_path: str) -> Callable[[DataFrame, int], None]:
-    """J9 + S9 for one batch of fired events: diagnose against the history
-    as it stands, then append the outcomes (content-hash ids, so a replayed
-    batch appends nothing)."""
+def diagnosis_handler(spark: SparkSession, history_path: str, run: str = "stream"
+                      ) -> Callable[[DataFrame, int], None]:
+    """J9 + S9 for one batch of fired events: diagnose against the history as it
+    stands before the batch, then store every outcome in the batch's own folder,
+    which a replay overwrites. The procedures are indexed once; a batch without
+    events does nothing."""
     from relaywatch.operators import diagnose as G
     from relaywatch.operators import history as H
     from relaywatch.sources.procedures import procedure_documents
 
+    known: list[DataFrame] = []
+    H.open_history(spark, history_path)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        history = H.open_history(spark, history_path)
-        diag = G.diagnose(spark, batch, procedure_documents(spark), history)
-        H.record_incidents(spark, G.outcomes(diag).drop("id"), history_path, ts_col="timestamp")
+        session = batch.sparkSession
+        if batch.limit(1).count() == 0:
+            return
+        if not known:
+            known.append(G.fixed(session, G.issue_documents(session, procedure_documents(session))))
+        # A replayed batch must not see its own outcomes of the first attempt.
+        mine = f"{run}-{batch_id}-"
+        history = H.open_history(session, history_path).filter(~F.col("id").startswith(mine))
+        diag = G.diagnose(session, batch, procedure_documents(session), history,
+                          documents=known[0])
+        H.record_incidents(session, G.outcomes(diag).drop("id"), history_path,
+                           ts_col="timestamp", batch_id=batch_id, run=run)
     return handle
 
 
 def diagnose_on_breach(spark: SparkSession, fired: DataFrame, history_path: str,
                        checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """ST12: for each micro-batch of fired events, run the batch diagnosis
-    (J9) against the history as it stands, then append the outcomes (S9).
-    Outcome ids are content hashes, so a replayed batch appends nothing."""
+    """ST12: for each micro-batch of fired events, run the batch diagnosis
+    against the history as it stands, then store the outcomes (S9)."""
     handle = diagnosis_handler(spark, history_path)
     return (fired.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint)
@@ -220,8 +253,8 @@ BREACH_STATE_SCHEMA = ("epoch long, total long, delayed long, cancelled long, pr
 def breach_trigger_batches(spark: SparkSession, stream: DataFrame, out: str, state_dir: str,
                            checkpoint: str, trigger: dict | None = None,
                            bucket_width: int | None = None,
-                           on_fired: Callable[[DataFrame, int], None] | None = None
-                           ) -> StreamingQuery:
+                           on_fired: Callable[[DataFrame, int], None] | None = None,
+                           order: list[str] | None = None) -> StreamingQuery:
     """ST9 without keyed Python state: each micro-batch runs the batch
     operators (bucketed running KPIs and bucketed lag, so a hot epoch is
     spread over many tasks) starting from per-epoch state (counters and the
@@ -229,28 +262,41 @@ def breach_trigger_batches(spark: SparkSession, stream: DataFrame, out: str, sta
     ``out/batch_id=n`` and the new state to ``state_dir/batch_id=n``; a
     replayed batch re-reads batch ``n-1``'s state, so replays are idempotent.
     ``on_fired(fired, batch_id)`` runs on each batch's fired rows (ST12).
+
+    ``order`` (default ``arrival``) is a total order of the rows, for a broker
+    its time, topic, partition and offset: a batch is sorted by it, numbered
+    and written once (``state_dir/rows``), so ties in arrival cannot merge rows
+    and both the fired rows and the state come from one numbering. The number is
+    dense within a sorted partition, which keeps the buckets bounded.
     """
     from relaywatch.operators import kpis as K
     from relaywatch.operators.running import DEFAULT_BUCKET_WIDTH
 
     width = bucket_width or DEFAULT_BUCKET_WIDTH
+    by = order or ["arrival"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         if batch_id > 0:
-            prior = spark.read.schema(BREACH_STATE_SCHEMA).parquet(
-                f"{state_dir}/batch_id={batch_id - 1}")
+            prior = session.read.schema(BREACH_STATE_SCHEMA).parquet(
+                f"{state_dir}/state/batch_id={batch_id - 1}")
         else:
-            prior = spark.createDataFrame([], BREACH_STATE_SCHEMA)
-        run = K.running_kpis(batch, bucket_width=width, prior=prior)
-        fired = K.breach_events(run, bucket_width=width, prior_last=prior)
+            prior = session.createDataFrame([], BREACH_STATE_SCHEMA)
+        rows = f"{state_dir}/rows/batch_id={batch_id}"
+        (batch.orderBy(*by).withColumn("_at", F.monotonically_increasing_id())
+         .write.mode("overwrite").parquet(rows))
+        run = K.running_kpis(session.read.parquet(rows), order_col="_at", bucket_width=width,
+                             prior=prior).persist()
+        fired = K.breach_events(run, order_col="_at", bucket_width=width, prior_last=prior)
         fired.select("epoch", "arrival", "order_id", "timestamp", "incident_mode",
                      "total_orders", "delay_rate", "cancellation_rate", "avg_prep_time",
                      "reliability_score").write.mode("overwrite").parquet(
                          f"{out}/batch_id={batch_id}")
-        K.next_breach_state(prior, run).write.mode("overwrite").parquet(
-            f"{state_dir}/batch_id={batch_id}")
+        K.next_breach_state(prior, run, order_col="_at").write.mode("overwrite").parquet(
+            f"{state_dir}/state/batch_id={batch_id}")
+        run.unpersist()
         if on_fired is not None:
-            on_fired(spark.read.parquet(f"{out}/batch_id={batch_id}"), batch_id)
+            on_fired(session.read.parquet(f"{out}/batch_id={batch_id}"), batch_id)
 
     return (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(handle).start())

@@ -102,7 +102,54 @@ def test_consumer_program_end_to_end(spark, sf_dir):
     assert got == want
     assert RUN.appended(spark, outs["forward"]).count() == rec.count()
     assert RUN.final_state(spark, outs["windows"], ["kafka_mode", "window_start"]).count() > 0
-    assert spark.read.parquet(outs["history"]).count() >= 5
+    # The diagnose branch counts what the web side accepts (sf0.001: by hand of
+    # DuckDB 1,366 of 1,469 receipts), each fired event is stored once.
+    from relaywatch.operators import decode as D
+    from relaywatch.operators import history as H
+    from relaywatch.operators import kpis as K
+    web = D.accepted(D.web_records(rec, keep=["arrival"])).withColumn("epoch", F.lit(0))
+    run = K.running_kpis(web)
+    fired = sorted((r.arrival, r.incident_mode) for r in K.breach_events(run).collect())
+    got = sorted((r.arrival, r.incident_mode) for r in RUN.appended(spark, outs["diagnose"]).collect())
+    assert got == fired
+    last = spark.read.parquet(f"{base}/diagnose/state/state").orderBy(F.desc("batch_id")).first()
+    want = web.agg(F.count(F.lit(1)), F.count_if("is_delayed"), F.count_if("is_cancelled"),
+                   F.sum(F.when(~F.col("is_cancelled"), F.col("prep_time_minutes")))).first()
+    assert (last.total, last.delayed, last.cancelled, last.prep_sum) == tuple(want)
+    history = H.open_history(spark, outs["history"])
+    assert history.count() == len(fired) + 5
+    assert history.filter("timestamp IS NULL").count() == 0
+    if sf_dir.endswith("sf0.001"):
+        assert tuple(want) == (1366, 460, 172, 26466) and len(fired) == 53
+
+
+def test_ties_in_arrival_lose_no_row(spark):
+    """Receipts with one arrival all count, however they tie."""
+    rows = [(0, 7, f"o{i}", "t", "kitchen_delay", True, None, None, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "epoch long, arrival long, order_id string, timestamp string, "
+                                     "incident_mode string, is_delayed boolean, is_cancelled boolean, "
+                                     "prep_time_minutes int, offset long")
+    state_dir = work_dir(spark, "st9-ties")
+    out = RUN.replay(spark, df, lambda s: s, "st9-ties", "append", 1,
+                     sink=lambda q, name, ck, o: RUN.breach_trigger_batches(
+                         spark, q, o, state_dir, ck, order=["arrival", "offset"]))
+    last = spark.read.parquet(f"{state_dir}/state").collect()
+    assert [(r.total, r.delayed, r.cancelled, r.prep_sum) for r in last] == [(30, 30, 0, 450)]
+    assert [r.total_orders for r in RUN.appended(spark, out).collect()] == [10]
+
+
+def test_stream_session_leaves_others_alone(spark):
+    """A cluster's batch shuffle count is not the number of state stores."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40000")
+    try:
+        s = RUN.stream_session(spark, 6)
+        assert s.conf.get("spark.sql.shuffle.partitions") == "6"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40000"
+        auto = RUN.stream_session(spark).conf.get("spark.sql.shuffle.partitions")
+        assert int(auto) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_breach_batches_carry_state_across_micro_batches(spark):

@@ -80,15 +80,46 @@ def test_history_create_seed_append_idempotent(spark):
     out = spark.createDataFrame([("Kitchen Bottleneck", "a | b", 28, 0.91, "2026-07-01T00:00:00")],
                                 "incident string, solution string, improvement int, "
                                 "confidence double, timestamp string")
-    H.record_incidents(spark, out, path, ts_col="timestamp")
-    H.record_incidents(spark, out, path, ts_col="timestamp")  # replay
-    h = spark.read.parquet(path)
+    H.record_incidents(spark, out, path, ts_col="timestamp", batch_id=0, run="q")
+    H.record_incidents(spark, out, path, ts_col="timestamp", batch_id=0, run="q")  # replay
+    h = H.open_history(spark, path)
     assert h.count() == len(HISTORY_SEEDS) + 1
     top = H.find_similar(h, spark.createDataFrame([("Kitchen Bottleneck",)], "query string"))
     assert [r.timestamp for r in top.orderBy("rank").collect()] == [
         "2026-07-01T00:00:00", "2026-06-15T12:00:00"]
 
 
+def test_history_keeps_equal_outcomes(spark):
+    """Equal incidents are stored apart, in one batch or in two, and a missing
+    time becomes the current one."""
+    row = ("Kitchen Bottleneck", "a", 28, 0.91, None)
+    schema = "incident string, solution string, improvement int, confidence double, timestamp string"
+    one, two = work_dir(spark, "history") + "/one", work_dir(spark, "history") + "/two"
+    H.open_history(spark, one), H.open_history(spark, two)
+    H.record_incidents(spark, spark.createDataFrame([row, row], schema), one, ts_col="timestamp",
+                       batch_id=0)
+    for n in range(2):
+        H.record_incidents(spark, spark.createDataFrame([row], schema), two, ts_col="timestamp",
+                           batch_id=n)
+    for path in (one, two):
+        h = H.open_history(spark, path)
+        new = h.filter("solution = 'a'").collect()
+        assert len(new) == 2 and len({r.id for r in new}) == 2
+        assert all(r.timestamp for r in new) and h.count() == len(HISTORY_SEEDS) + 2
+        q = spark.createDataFrame([("Kitchen",)], "query string")
+        assert [r.solution for r in H.find_similar(h, q, k=2).collect()] == ["a", "a"]
+
+
+def test_overlap_ranking(spark):
+    rows = [("1", "late courier", "s", 1, .5, "2026-01-02"), ("2", "late courier storm", "s", 1, .5,
+                                                              "2026-01-01")]
+    h = spark.createDataFrame(rows, "id string, incident string, solution string, improvement int, "
+                                    "confidence double, timestamp string")
+    q = spark.createDataFrame([("storm courier",)], "query string")
+    first = lambda r: H.find_similar(h, q, k=1, rank=r).collect()[0].id
+    assert first("newest") == "1" and first("overlap") == "2"
+
+
 def test_keyword_wildcards_and_short_words(spark):
     h = H.seed_rows(spark)
     q = spark.createDataFrame([("Sur%ge",), ("a b",)], "query string")
