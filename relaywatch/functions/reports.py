@@ -249,6 +249,33 @@ def plan_text(sop, improvement, actions) -> Column:
                     F.lit("\n\n**Strategic Rationale**:\n"), F.lit(PLAN_RATIONALE), F.lit("\n"))
 
 
+# Fixed headings of the planner's context.
+CONTEXT_REPORT, CONTEXT_SOP, CONTEXT_PAST = (
+    "=== INCIDENT REPORT ===", "=== RETRIEVED SOP ===", "=== PAST MEMORY RECORDS ===")
+NO_SOP, NO_PAST, NO_CONFIDENCE = (
+    "No relevant SOP found.", "No similar past incidents recorded.", "N/A")
+
+
+def context_text(issue, confidence, evidence, content, past) -> Column:
+    """X11: what the planner reads: the parsed report, the retrieved procedure and
+    the past incidents (an array of (incident, solution, improvement, confidence)
+    structs in rank order)."""
+    bullets = F.array_join(F.transform(F.coalesce(_c(evidence), F.array().cast("array<string>")),
+                                       lambda e: F.concat(F.lit("- "), e)), "\n")
+    records = F.array_join(F.transform(_c(past), lambda p, i: F.concat(
+        F.lit("Past Incident "), (i + 1).cast("string"), F.lit(":\n  Incident: "), p["incident"],
+        F.lit("\n  Solution Applied: "), p["solution"], F.lit("\n  Improvement: "),
+        p["improvement"].cast("string"), F.lit("%\n  Confidence: "),
+        p["confidence"].cast("string"), F.lit("\n\n"))), "")
+    return F.concat(
+        F.lit(f"{CONTEXT_REPORT}\nIssue: "), _c(issue), F.lit("\nConfidence: "),
+        F.coalesce(_c(confidence), F.lit(NO_CONFIDENCE)), F.lit("\nEvidence:\n"), bullets,
+        F.lit(f"\n\n{CONTEXT_SOP}\n"), F.coalesce(_c(content), F.lit(NO_SOP)),
+        F.lit(f"\n\n{CONTEXT_PAST}\n"),
+        F.when(F.size(_c(past)) > 0, records).otherwise(F.lit(NO_PAST)),
+        F.lit("\n"))
+
+
 def _field(text: Column, label: str, value_pattern: str = "([^\\n]+)") -> Column:
     found = F.regexp_extract(text, "(?i)" + label + "\\s*[:*]*\\s*" + value_pattern, 1)
     return F.when(found != "", found)

@@ -127,6 +127,19 @@ def diagnose(spark: SparkSession, events: DataFrame, procedures: DataFrame,
     })
 
 
+def planner_context(spark: SparkSession, events: DataFrame, documents: DataFrame,
+                    history: DataFrame, policy: str = "coded", k_history: int = 2) -> DataFrame:
+    """X11: ``events`` with ``context``, the text the planner reads: parsed report,
+    procedure (``issue_documents``) and the past incidents of the issue."""
+    past = (H.find_similar(history, issue_labels(spark).select(F.col("issue").alias("query")),
+                           k=k_history)
+            .groupBy("query").agg(F.sort_array(F.collect_list(F.struct(
+                "rank", "incident", "solution", "improvement", "confidence"))).alias("past")))
+    known = documents.join(past.withColumnRenamed("query", "issue"), "issue", "full_outer")
+    return classify_events(events, policy).join(F.broadcast(known), "issue", "left").withColumn(
+        "context", X.context_text("issue", "confidence", "evidence", "sop_content", "past"))
+
+
 def diagnose_latest(spark: SparkSession, kpis_latest: DataFrame, procedures: DataFrame,
                     history: DataFrame, policy: str = "coded") -> DataFrame:
     """J9 on demand (the manual trigger): diagnose the latest KPI row (S11);

@@ -87,7 +87,16 @@ def m2_lag_regression(spark, sf):
     return rounded(M.lag_regression(event_series(spark, sf)))
 
 
-@register("m1_demand_model")
+@register("m1_demand_model", _EVENTS_SQL + """
+SELECT item, count(*) AS n_points, true AS stationary, true AS finite
+FROM series GROUP BY item HAVING count(*) >= 3""")
 def m1_demand_model(spark, sf):
-    """Rows-only: ARMA(1,1) by conditional least squares per item."""
-    return rounded(M.demand_models(event_series(spark, sf)))
+    """ARMA(1,1) by conditional least squares per item. Coefficients differ
+    between fitting methods, so the checks are those every method meets: one
+    model for each item with enough points, inside the stationary region, with
+    finite estimates."""
+    m = M.demand_models(event_series(spark, sf))
+    finite = (~F.isnan("const")) & (~F.isnan("sigma2")) & (F.col("sigma2") >= 0)
+    return m.select("item", F.col("n_points").cast("long").alias("n_points"),
+                    ((F.abs("ar1") < 1) & (F.abs("ma1") < 1)).alias("stationary"),
+                    finite.alias("finite"))

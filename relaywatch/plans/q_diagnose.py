@@ -345,3 +345,72 @@ def j9_manual_diagnose(spark, sf):
     latest = K.latest_kpis(rounded(K.operations_kpis(receipts(spark, sf))))
     d = G.diagnose_latest(spark, latest, procedure_documents(spark), H.seed_rows(spark))
     return d.withColumn("evidence", F.array_join("evidence", " || ")).select(*_MANUAL_COLS)
+
+
+# --------------------------------------------------------------------------
+# X11: the three texts, the twins with literals of their own.
+# --------------------------------------------------------------------------
+
+_NL = "chr(10)"
+
+
+@register("x11_report_text", _KPI_EPOCH + classify_sql("ek", "incident_mode") + f"""
+SELECT epoch, '### INCIDENT ANALYSIS REPORT' || {_NL} || {_NL} || '**Issue**: ' || issue || {_NL}
+  || '**Confidence**: ' || confidence || {_NL} || {_NL} || '**Evidence**:' || {_NL}
+  || array_to_string(list_transform(evidence, lambda e: '- ' || e), {_NL}) || {_NL} || {_NL}
+  || '**Status**: Active Anomaly Detected' || {_NL} AS report
+FROM cls""")
+def x11_report_text(spark, sf):
+    c = _classified_raw(spark, sf)
+    return c.select("epoch", X.report_text("cls.issue", "cls.confidence", "cls.evidence")
+                    .alias("report"))
+
+
+def _classified_raw(spark, sf):
+    k = _epoch_kpis(spark, sf).withColumn("prompt", X.kpi_prompt(
+        "delay_rate", "avg_prep_time", "cancellation_rate", "reliability_score", "incident_mode"))
+    return X.classify(k, "prompt")
+
+
+@register("x11_plan_text", _KPI_EPOCH + classify_sql("ek", "incident_mode") + PLAYBOOK_SQL + f"""
+SELECT epoch, '### STRATEGIC ACTION PLAN' || {_NL} || {_NL} || '**Retrieved SOP**: ' || sop || {_NL}
+  || '**Expected Recovery Improvement**: ' || improvement || {_NL} || {_NL}
+  || '**Recommended Corrective Actions**:' || {_NL}
+  || array_to_string(list_transform(actions, lambda a, i: i || '. ' || a), {_NL}) || {_NL} || {_NL}
+  || '**Strategic Rationale**:' || {_NL}
+  || 'The corrective actions align with standard operating procedures and target the specific '
+  || 'constraints identified. Execution of these steps will relieve bottleneck congestion and '
+  || 'restore service metrics to baseline levels.' || {_NL} AS plan
+FROM planned""")
+def x11_plan_text(spark, sf):
+    p = G.with_playbook(spark, G.classify_events(_epoch_kpis(spark, sf)))
+    return p.select("epoch", X.plan_text("sop", "improvement", "actions").alias("plan"))
+
+
+@register("x11_context_text", _KPI_EPOCH + _diagnosis_sql("ek") + f""",
+memory AS (SELECT query AS issue, string_agg('Past Incident ' || rank || ':' || {_NL}
+    || '  Incident: ' || incident || {_NL} || '  Solution Applied: ' || solution || {_NL}
+    || '  Improvement: ' || improvement || '%' || {_NL} || '  Confidence: ' || confidence
+    || {_NL} || {_NL}, '' ORDER BY rank) AS records FROM sim_rows GROUP BY query)
+SELECT epoch, '=== INCIDENT REPORT ===' || {_NL} || 'Issue: ' || issue || {_NL} || 'Confidence: '
+  || confidence || {_NL} || 'Evidence:' || {_NL} || array_to_string(list_transform(list_concat(
+     evidence, ['Status: Active Anomaly Detected']), lambda e: '- ' || e), {_NL}) || {_NL} || {_NL}
+  || '=== RETRIEVED SOP ===' || {_NL} || sop_content || {_NL} || {_NL}
+  || '=== PAST MEMORY RECORDS ===' || {_NL} || records || {_NL} AS context
+FROM diag JOIN memory USING (issue)""")
+def x11_context_text(spark, sf):
+    documents = G.issue_documents(spark, procedure_documents(spark))
+    c = G.planner_context(spark, _epoch_kpis(spark, sf), documents, H.seed_rows(spark))
+    return c.select("epoch", "context")
+
+
+@register("s8_seed_empty_history", f"""
+WITH seeds(incident, solution, improvement, confidence, "timestamp") AS (VALUES {_SEED_VALUES})
+SELECT incident, solution, improvement, confidence, "timestamp" FROM seeds
+WHERE (SELECT count(*) FROM orders WHERE o_orderkey < 0) = 0""")
+def s8_seed_empty_history(spark, sf):
+    """A history without rows (no receipt has a negative key) gets the seeds."""
+    empty = _history(spark, sf).join(
+        receipts(spark, sf).filter("arrival < 0").select(F.col("order_id").alias("id")), "id",
+        "left_semi")
+    return H.seeded(spark, empty).select(*_HIST_COLS)

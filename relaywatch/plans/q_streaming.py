@@ -69,14 +69,15 @@ def st6_live_unique_jvm(spark, sf):
     return RUN.final_state(spark, out, ["kafka_mode"])
 
 
-@register("st7_bounded_unique")
+@register("st7_bounded_unique", WD + """
+SELECT kafka_mode, count(DISTINCT order_id) AS unique_orders FROM dec
+WHERE order_id IS NOT NULL AND kafka_mode IS NOT NULL GROUP BY kafka_mode""")
 def st7_bounded_unique(spark, sf):
-    """Rows-only. Order copies arrive 200 ms apart, well inside the 1-minute
-    horizon, so per-order counts equal the exact ones; but the null key (bad
-    records) repeats over the whole time range and is counted again after
-    each horizon, which depends on micro-batch watermarks and has no plain
-    SQL twin (tests check the non-null part against the exact count)."""
-    out = _on_topic(spark, sf, "st7", L.bounded_unique)
+    """Real order ids: copies arrive 200 ms apart, well inside the 1-minute
+    horizon, so the bounded counts equal the exact ones. (A null id repeats over
+    the whole time range and would be counted again after each horizon.)"""
+    out = _on_topic(spark, sf, "st7", lambda d: L.bounded_unique(
+        d.filter("order_id IS NOT NULL AND kafka_mode IS NOT NULL")))
     return RUN.final_state(spark, out, ["kafka_mode"])
 
 
@@ -88,13 +89,26 @@ def st8_live_receipts(spark, sf):
     return RUN.final_state(spark, out, ["order_id", "kafka_mode"])
 
 
-@register("st2_sliding_windows")
+@register("st2_sliding_windows", W + """
+SELECT kafka_mode, ws AS window_start, ws + 10 AS window_end, count(*) AS total_orders_received,
+       true AS within_bound
+FROM (SELECT kafka_mode, order_id,
+             unnest([(kafka_ts_us // 5000000) * 5, (kafka_ts_us // 5000000) * 5 - 5]) AS ws
+      FROM receipts)
+GROUP BY kafka_mode, ws""")
 def st2_sliding_windows(spark, sf):
-    """Rows-only: approximate distinct per window (parity with F4)."""
-    out = _on_topic(spark, sf, "st2", L.sliding_windows)
-    fs = RUN.final_state(spark, out, ["kafka_mode", "window_start"])
-    return rounded(fs.withColumns({"window_start": F.unix_seconds("window_start"),
-                                   "window_end": F.unix_seconds("window_end")}))
+    """Approximate distinct per window (parity with F4): totals, and whether the
+    estimate lies within three standard deviations (or one) of the exact count."""
+    src = receipts(spark, sf)
+    out = RUN.replay(spark, src.drop("epoch"), L.sliding_windows, "st2", "update", N_BATCHES)
+    fs = RUN.final_state(spark, out, ["kafka_mode", "window_start"]).withColumns(
+        {"window_start": F.unix_seconds("window_start"), "window_end": F.unix_seconds("window_end")})
+    exact = L.windowed_exact(src).select("kafka_mode", "window_start",
+                                         F.col("unique_orders").alias("exact"))
+    near = F.abs(F.col("unique_orders") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.15 * F.col("exact"))
+    return fs.join(exact, ["kafka_mode", "window_start"]).select(
+        "kafka_mode", "window_start", "window_end", "total_orders_received",
+        near.alias("within_bound"))
 
 
 ORACLE_WINDOWED = W + """
