@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relaywatch.llm import common as C
@@ -95,13 +95,19 @@ def _featured(rows: DataFrame) -> DataFrame:
 
 def training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """(line, label, held): disturbed notices and a bounded sample of the corpus's
-    paragraphs without a licence term, those with the smallest hashes."""
+    paragraphs without a licence term."""
     notices = spark.createDataFrame(
         [(FAMILIES.index(f), n) for f, ns in NOTICES.items() for n in ns], "label int, notice string")
-    sample = (lines.filter(~F.col("line").rlike(TERMS)).select("line").distinct()
-              .orderBy(F.xxhash64("line"), "line").limit(NEGATIVES))
+    # The smallest hash in each of NEGATIVES hash classes: distinct lines, however
+    # often one is repeated, and no text is shuffled to find them.
+    h = F.xxhash64("line")
+    chosen = (lines.filter(~F.col("line").rlike(TERMS)).select(h.alias("h"))
+              .groupBy(F.pmod("h", F.lit(NEGATIVES)).alias("c")).agg(F.min("h").alias("n_h")))
+    chosen = C.stored(chosen.select("n_h"), "negatives")
+    sample = (lines.select("line").join(F.broadcast(chosen), h == F.col("n_h"))
+              .groupBy("n_h").agg(F.first("line").alias("line")))
     sample = C.stored(sample.select(F.substring("line", 1, 2000).alias("line"),
-                                    F.row_number().over(_order("line")).alias("n")), "sample")
+                                    F.row_number().over(Window.orderBy("n_h")).alias("n")), "sample")
     filler = sample.filter(F.col("n") <= VARIANTS).select("n", F.split("line", " ").alias("w"))
     bare = notices.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(VARIANTS))))
     made = bare.join(filler, "n", "left").select(
@@ -116,11 +122,6 @@ def training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
     return made.unionByName(plain).unionByName(other)
 
 
-def _order(column: str):
-    from pyspark.sql import Window
-    return Window.orderBy(column)
-
-
 def trained(spark: SparkSession, lines: DataFrame, false_rate: float = FALSE_RATE
             ) -> tuple[LogisticRegressionModel, float]:
     """The classifier and the least probability of a family."""
