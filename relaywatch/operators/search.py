@@ -21,6 +21,7 @@ pairs themselves are never shuffled.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from relaywatch.functions.text import tokenize
 from relaywatch.session import work_dir
 
-# Query-vector rows (qid, token) above which they are not broadcast.
-MAX_BROADCAST_QUERY_TOKENS = 2_000_000
+# Query-vector rows (qid, token) and their token bytes above which they are not
+# broadcast but joined by shuffle.
+MAX_BROADCAST_QUERY_TOKENS, MAX_BROADCAST_QUERY_BYTES = 500_000, 16 << 20
 
 
 @dataclass
@@ -68,6 +70,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
     df = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
+    idf.write.mode("overwrite").parquet(f"{path}-idf")  # one aggregation for all its uses
+    idf = docs.sparkSession.read.schema(idf.schema).parquet(f"{path}-idf")
     weighted = terms.join(idf.select("token", "idf"), "token").select(
         "doc_id", "token", (F.col("tf") * F.col("idf")).alias("w"))
     norms = weighted.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -86,12 +90,15 @@ def query_vectors(index: TfidfIndex, queries: DataFrame, id_col: str = "qid",
     the vocabulary are dropped before the norm.
 
     Returns the vectors and whether they are small enough to broadcast. The
-    check counts the query-side term rows only (bounded by ``max_broadcast``
-    + 1), which bounds the vectors too, so no corpus pass is triggered.
+    check counts the query-side term rows (bounded by ``max_broadcast`` + 1)
+    and their bytes, which bounds the vectors too, so no corpus pass is
+    triggered.
     """
     occ = queries.select(F.col(id_col).alias("qid"), F.explode(tokenize(text_col)).alias("token"))
     qtf = occ.groupBy("qid", "token").agg(F.count(F.lit(1)).alias("qtf"))
-    small = qtf.limit(max_broadcast + 1).count() <= max_broadcast
+    rows, size = qtf.limit(max_broadcast + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token")), F.lit(0))).first()
+    small = rows <= max_broadcast and size <= MAX_BROADCAST_QUERY_BYTES
     known = index.idf.select("token", "idf").join(F.broadcast(qtf) if small else qtf, "token")
     qw = F.col("qtf") * F.col("idf")
     qnorm = F.sqrt(F.sum(qw * qw).over(Window.partitionBy("qid")))
@@ -106,14 +113,15 @@ def sparse_dot(index: TfidfIndex, qvec: DataFrame, broadcast_queries: bool) -> D
 
 
 def top_documents(index: TfidfIndex, queries: DataFrame, k: int = 1, id_col: str = "qid",
-                  text_col: str = "text", places: int = 6) -> DataFrame:
+                  text_col: str = "text", places: int = 6,
+                  max_broadcast: int = MAX_BROADCAST_QUERY_TOKENS) -> DataFrame:
     """J2 + L2 + W6: the ``k`` best documents per query, score descending,
     ties by doc_id. When fewer than ``k`` documents share a token with the
     query (or none do), zero-score documents fill up in doc_id order.
 
     Scores are rounded to ``places`` before ranking so ties are stable.
     """
-    qvec, small = query_vectors(index, queries, id_col, text_col)
+    qvec, small = query_vectors(index, queries, id_col, text_col, max_broadcast)
     scored = sparse_dot(index, qvec, small).withColumn("score", F.round("score", places))
     rank = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("doc_id"))
     best = scored.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
@@ -137,35 +145,43 @@ def attach_content(top: DataFrame, docs: DataFrame, id_col: str = "doc_id",
     return top.join(texts, "doc_id", "left")
 
 
-def save_index(index: TfidfIndex, path: str, buckets: int, name: str = "tfidf") -> None:
+def save_index(index: TfidfIndex, path: str, buckets: int) -> None:
     """Persist an index under ``path`` (a shared folder) for later searches.
 
-    ``weights`` is written as a table bucketed and sorted by doc_id, so a
+    ``weights`` is written as files bucketed and sorted by doc_id, so a
     later search reads it with its doc_id partitioning (the per-(query, doc)
     sum still needs no shuffle); ``idf`` and the document ids are plain
     Parquet. ``buckets`` sets the weights' partition count (size it to about
-    256 MB per bucket).
+    256 MB per bucket). The table's name in the session is derived from the
+    path, so two indexes never share one.
     """
     spark = index.weights.sparkSession
+    name = _table_of(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     (index.weights.repartition(buckets, "doc_id").write.mode("overwrite")
      .bucketBy(buckets, "doc_id").sortBy("doc_id").option("path", f"{path}/weights")
-     .saveAsTable(f"{name}_weights"))
+     .saveAsTable(name))
     index.idf.write.mode("overwrite").parquet(f"{path}/idf")
     index.norms.write.mode("overwrite").parquet(f"{path}/norms")
     index.docs.write.mode("overwrite").parquet(f"{path}/docs")
-    spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(
-        f"{path}/meta")
+    kind = index.weights.schema["doc_id"].dataType.simpleString()
+    spark.createDataFrame([(buckets, kind)], "buckets int, id_type string").write.mode(
+        "overwrite").parquet(f"{path}/meta")
 
 
-def load_index(spark, path: str, name: str = "tfidf") -> TfidfIndex:
-    """Re-attach an index written by ``save_index`` (also from a new
-    session: the bucketed weights table is declared over its files)."""
-    buckets = spark.read.parquet(f"{path}/meta").first()["buckets"]
-    table = f"{name}_weights"
+def _table_of(path: str) -> str:
+    return "tfidf_weights_" + hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:16]
+
+
+def load_index(spark, path: str) -> TfidfIndex:
+    """Re-attach an index written by ``save_index`` (also from a new session: the
+    bucketed weights table is declared over its files, with its own id type)."""
+    meta = spark.read.parquet(f"{path}/meta").first()
+    table = _table_of(path)
     if not spark.catalog.tableExists(table):
-        spark.sql(f"CREATE TABLE {table} (doc_id BIGINT, token STRING, wn DOUBLE) USING parquet "
-                  f"CLUSTERED BY (doc_id) SORTED BY (doc_id) INTO {buckets} BUCKETS "
-                  f"LOCATION '{path}/weights'")
+        spark.sql(f"CREATE TABLE {table} (doc_id {meta['id_type']}, token STRING, wn DOUBLE) "
+                  f"USING parquet CLUSTERED BY (doc_id) SORTED BY (doc_id) "
+                  f"INTO {meta['buckets']} BUCKETS LOCATION '{path}/weights'")
     idf = spark.read.parquet(f"{path}/idf")
     return TfidfIndex(spark.read.parquet(f"{path}/docs"), None, idf,
                       spark.read.parquet(f"{path}/norms"), spark.table(table))

@@ -8,6 +8,7 @@ create a scratch folder of our own, as tests and benchmarks do.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -82,7 +83,7 @@ def get_session(master: str | None = None, app: str = "relaywatch",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

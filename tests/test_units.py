@@ -201,9 +201,9 @@ def test_saved_index_searches_without_pair_shuffle(spark, sf_dir):
     idx = S.build_index(docs)
     want = sorted(S.top_documents(idx, q, k=3).collect())
     path = work_dir(spark, "index")
-    S.save_index(idx, path, buckets=4, name="t_idx")
+    S.save_index(idx, path, buckets=4)
     spark.sql("DROP TABLE IF EXISTS t_idx_weights")  # metadata only: load re-declares it
-    loaded = S.load_index(spark, path, name="t_idx")
+    loaded = S.load_index(spark, path)
     got_df = S.top_documents(loaded, q, k=3)
     assert sorted(got_df.collect()) == want
     qv, small = S.query_vectors(loaded, q)
@@ -211,6 +211,20 @@ def test_saved_index_searches_without_pair_shuffle(spark, sf_dir):
     assert not re.search(r"Exchange hashpartitioning\(qid#\d+L, doc_id", plan)
 
 
+def test_saved_indexes_do_not_mix(spark):
+    """Two indexes in one session, numbered and named documents."""
+    a = spark.createDataFrame([(1, "late courier"), (2, "cold kitchen")], "doc_id long, text string")
+    b = spark.createDataFrame([("x", "late storm"), ("y", "cold store")], "doc_id string, text string")
+    paths = [work_dir(spark, "idx") + "/t" for _ in range(2)]
+    for docs, path in zip((a, b), paths):
+        S.save_index(S.build_index(docs), path, buckets=2)
+    q = spark.createDataFrame([(0, "late")], "qid long, text string")
+    for docs, path, want in zip((a, b), paths, (1, "x")):
+        for limit in (S.MAX_BROADCAST_QUERY_TOKENS, 0):  # broadcast and shuffle join
+            top = S.top_documents(S.load_index(spark, path), q, max_broadcast=limit).collect()
+            assert [r.doc_id for r in top] == [want]
+
+
 def test_run_cols_keep_restarted_sequences_apart(spark):
     """a producer restart resets the sequence; per-run keys keep loss visible."""
     rows = [(f"r1-{i}", "at_most_once", i, "run1") for i in (1, 2, 3, 5)] + \
