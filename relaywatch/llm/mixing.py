@@ -77,27 +77,24 @@ def raked(cells: DataFrame, *, alpha: dict[str, float] | None = None,
     """``cells`` with ``weight``: tokens raked to the target margins. A value
     without tokens, or one that a given table lacks, gets no weight."""
     alpha, targets = alpha or ALPHA, targets or {}
-    goals = {m: C.stored(_targets(cells, m, alpha[m], targets.get(m)), f"target-{m}")
-             for m in MARGINS}
+    keys = [f"t_{m}" for m in MARGINS]
     out = cells.withColumn("weight", F.col("tokens"))
+    for m in MARGINS:  # each cell carries the targets of its margins
+        goal = _targets(cells, m, alpha[m], targets.get(m)).withColumnRenamed("target", f"goal_{m}")
+        out = out.join(goal, f"t_{m}", "left")
+    out = C.stored(out.fillna(0.0, [f"goal_{m}" for m in MARGINS]), "raking")
     for _ in range(rounds):
-        before = out.withColumnRenamed("weight", "old")
+        before = out.select(*keys, F.col("weight").alias("old"))
         for m in MARGINS * 2:  # two turns in one plan
             now = out.groupBy(f"t_{m}").agg(F.sum("weight").alias("now"))
-            step = now.join(goals[m], f"t_{m}", "left").select(
-                F.col(f"t_{m}").alias("v"),
-                F.when(F.col("now") > 0, F.coalesce("target", F.lit(0.0)) / F.col("now"))
-                .otherwise(0.0).alias("factor"))
-            out = out.join(step, F.col(f"t_{m}") == F.col("v")).select(
-                "t_source", "t_lang", "t_topic", "tokens",
-                (F.col("weight") * F.col("factor")).alias("weight"))
-        out = C.stored(out, "raked")
-        keys = ["t_source", "t_lang", "t_topic"]
-        moved = out.join(before.drop("tokens"), keys).agg(
+            factor = F.when(F.col("now") > 0, F.col(f"goal_{m}") / F.col("now")).otherwise(0.0)
+            out = out.join(now, f"t_{m}").withColumn("weight", F.col("weight") * factor).drop("now")
+        out = C.stored(out, "raking")
+        moved = out.join(before, keys).agg(
             F.max(F.abs(F.col("weight") - F.col("old")) / F.greatest("weight", F.lit(1e-9)))).first()[0]
         if moved is None or moved < close:
             break
-    return out
+    return out.select(*keys, "tokens", "weight")
 
 
 def probabilities(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
