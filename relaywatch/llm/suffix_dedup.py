@@ -49,6 +49,7 @@ BUCKETS_PER_SHARD = 1
 
 _BYTE = C.mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xD1342543DE82EF95  # odd
+_AGAIN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def gram_hashes(text: np.ndarray, gram: int) -> np.ndarray:
@@ -99,7 +100,7 @@ def segments(d: C.Docs, width: int = WIDTH, gram: int = GRAM):
         first = np.flatnonzero(new)
         starts.append(p[first] + a)
         sizes.append(np.diff(first, append=len(p)))
-        hashes.append(h[at[first]])
+        hashes.append(C.mix64(h[at[first]] + _AGAIN))  # the least hashes are not even
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(starts), np.concatenate(sizes), np.concatenate(hashes)
