@@ -387,12 +387,13 @@ def test_classifier_ladder_cases(spark):
 
 
 def test_one_decimal_boundary(spark):
-    """Values whose decimal form ends in 5 round up (README)."""
+    """Exact binary ties go to even, other values whose decimal form ends in
+    5 round up (README)."""
     from relaywatch.functions.text import fmt1
-    vals = [0.15, 0.25, 2.5, 99.95, 0.04, 33.333]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = [r.t for r in df.select(fmt1(F.col("v")).alias("t")).collect()]
-    assert got == ["0.2", "0.3", "2.5", "100.0", "0.0", "33.3"] or got[2:] == ["2.5", "100.0", "0.0", "33.3"]
+    cases = {0.15: "0.2", 0.25: "0.2", 0.75: "0.8", 2.5: "2.5", 99.95: "100.0", 0.04: "0.0",
+             33.333: "33.3"}
+    df = spark.createDataFrame([(v,) for v in cases], "v double")
+    assert {r.v: r.t for r in df.select("v", fmt1(F.col("v")).alias("t")).collect()} == cases
 
 
 # Report texts with issue, confidence and evidence, by hand.
