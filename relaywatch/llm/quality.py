@@ -9,10 +9,11 @@ windows. The others become vectors
     repeated lines per word and repeated words per word
 
 and the minimum-covariance-determinant estimate of each (language, source) group
-judges them: starting from medians and absolute deviations, concentration steps
-refit mean and covariance on the ``support`` share of rows that lie nearest
-(Mahalanobis distance, by the inverse Cholesky factor), and rows
-beyond the chi-squared quantile ``quantile`` are rejected. Every feature has a
+judges them: starting from medians and median absolute deviations, concentration
+steps refit mean and covariance on the half of the rows that lie nearest
+(``support``; Mahalanobis distance, by the inverse Cholesky factor) until a
+group's determinant stops falling, and rows beyond the chi-squared quantile
+``quantile`` are rejected. So up to nearly half of a group may be equal outliers. Every feature has a
 smallest spread (``FLOORS``), so that a group in which nearly all documents have
 a count of zero does not reject the first document that has one.
 
@@ -33,6 +34,7 @@ those that number the text's words, tell windows of one text apart: 54 bits for
 
 from __future__ import annotations
 
+import logging
 import math
 from functools import reduce
 
@@ -44,7 +46,8 @@ from relaywatch.llm import common as C
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 50, 50  # words; percent of words in repeated windows
-SUPPORT, STEPS, QUANTILE, MIN_GROUP = 0.75, 3, 1 - 1e-6, 200
+SUPPORT, STEPS, QUANTILE, MIN_GROUP = 0.5, 50, 1 - 1e-6, 200  # STEPS: at most so many
+FALL = 1e-3  # a smaller fall of the log determinant is none (the cut points are sketches)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FLOORS = (0.35, 0.04, 0.08, 0.12)  # smallest spread of each feature
 P = len(FLOORS)
@@ -177,26 +180,46 @@ def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int =
                   min_group: int = MIN_GROUP) -> DataFrame:
     """``vectors`` (g, x0..x3, ...) with the squared robust distance ``d2`` to the
     centre of their group; null where the group is too small to judge."""
-    spots = vectors.groupBy("g").agg(
+    mids = C.stored(vectors.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i in range(P)])
-    # Quartiles give the first centre and (as 0.7413 of their range) spread.
-    first = C.stored(_whitened(spots.filter(F.col("n") >= min_group).select(
-        "g", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(P)],
-        *[(F.lit(0.0) if i != j else F.pow(F.lit(0.7413) * (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]), 2))
-          .alias(f"c{i}{j}") for i in range(P) for j in range(i, P)])), "mcd-0")
+        *[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"m{i}") for i in range(P)])
+        .filter(F.col("n") >= min_group).drop("n"), "mcd-mid")
+    # Medians give the first centre, absolute deviations from them the spread.
+    spread = vectors.join(mids, "g").groupBy("g").agg(
+        *[F.first(f"m{i}").alias(f"m{i}") for i in range(P)],
+        *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 2000).alias(f"s{i}")
+          for i in range(P)])
+    first = _whitened(spread.select(
+        "g", *[f"m{i}" for i in range(P)],
+        *[(F.lit(0.0) if i != j else F.pow(F.lit(1.4826) * F.col(f"s{i}"), 2))
+          .alias(f"c{i}{j}") for i in range(P) for j in range(i, P)]))
+    # The start is no core's determinant: the first step always counts as a fall.
+    fit = C.stored(first.withColumn("ld", F.lit(math.inf)).withColumn("open", F.lit(True)), "mcd-0")
     alpha = chi2_quantile(support, P)
     scale = support / chi2_cdf(alpha, P + 2)  # makes the covariance consistent
-    fit = first
+    numbers = [c for c in first.columns if c != "g"]
+    log_det = reduce(lambda a, b: a + b, [-2 * F.log(f"w{i}{i}") for i in range(P)])
     for k in range(steps):
-        near = _with_distance(vectors, fit)
+        near = _with_distance(vectors, fit.filter("open").select("g", *numbers))
         cut = near.groupBy("g").agg(F.percentile_approx("d2", support, 2000).alias("cut"))
         core = near.join(cut, "g").filter("d2 <= cut")
-        fit = C.stored(_whitened(core.groupBy("g").agg(
+        now = _whitened(core.groupBy("g").agg(
             *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)],
             *[(F.covar_pop(f"x{i}", f"x{j}") * scale).alias(f"c{i}{j}")
-              for i in range(P) for j in range(i, P)])), f"mcd-{k + 1}")
-    return _with_distance(vectors, fit, "left")
+              for i in range(P) for j in range(i, P)])).withColumn("ld", log_det)
+        now = now.select("g", *[F.col(c).alias(f"n_{c}") for c in [*numbers, "ld"]])
+        lower = F.coalesce(F.col("n_ld") < F.col("ld"), F.lit(False))
+        falls = F.coalesce(F.col("n_ld") < F.col("ld") - FALL, F.lit(False))
+        fit = C.stored(fit.join(now, "g", "left").select(
+            "g", *[F.when(lower, F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in numbers],
+            F.when(lower, F.col("n_ld")).otherwise(F.col("ld")).alias("ld"),
+            falls.alias("open")), f"mcd-{k + 1}")
+        if fit.filter("open").isEmpty():
+            break
+    else:
+        logging.getLogger(__name__).warning("groups unsettled after %d steps: %d", steps,
+                                            fit.filter("open").count())
+    return _with_distance(vectors, fit.select("g", *numbers), "left")
 
 
 def _with_distance(vectors: DataFrame, fit: DataFrame, how: str = "inner") -> DataFrame:

@@ -76,6 +76,21 @@ def test_mcd_equals_numpy(spark):
     assert all(d is None for d in (r.d2 for r in quality.mcd_distances(df, min_group=1000).collect()))
 
 
+def test_mcd_rejects_many_equal_outliers(spark):
+    """Equal junk rows in 40 % of a group, and in 10 % of another."""
+    rng = np.random.default_rng(5)
+    data = []
+    for g, junk in ((1, 800), (2, 200)):
+        x = np.abs(rng.normal([4.7, .05, .1, .2], [.4, .03, .05, .08], size=(2000, 4)))
+        x[:junk] = [14, .9, .3, .3]
+        data += [(g, k, *map(float, v)) for k, v in enumerate(x)]
+    df = spark.createDataFrame(data, "g long, n long, x0 double, x1 double, x2 double, x3 double")
+    limit = quality.chi2_quantile(quality.QUANTILE, 4)
+    out = {(r.g, r.n): r.d2 > limit for r in quality.mcd_distances(df).collect()}
+    for g, junk in ((1, 800), (2, 200)):
+        assert [out[g, k] for k in range(2000)] == [k < junk for k in range(2000)]
+
+
 def test_chi2():
     # Public table values.
     assert abs(quality.chi2_quantile(.95, 4) - 9.487729) < 1e-5
