@@ -17,9 +17,10 @@ group's determinant stops falling, and rows beyond the chi-squared quantile
 smallest spread (``FLOORS``), so that a group in which nearly all documents have
 a count of zero does not reject the first document that has one.
 
-A group with fewer than ``min_group`` rows is judged with the other small groups
-of its language, and if these are still fewer, with all such rows; if even these
-are too few, the base rules alone decide. Cut points come from percentile
+Documents of a group with fewer than ``min_group`` rows are judged by the estimate
+of their whole language, large groups included, and where the language has fewer
+rows, by that of the whole table. Only in a table with fewer than ``min_group`` rows
+that pass the base rules do these alone decide. Cut points come from percentile
 sketches of bounded size, means and covariances from partial aggregates, so a
 source with a third of all rows is never gathered in a task.
 
@@ -157,23 +158,31 @@ def _whitened(fit: DataFrame) -> DataFrame:
 
 
 def grouped(rows: DataFrame, min_group: int) -> DataFrame:
-    """Vectors of the rows that pass the base rules, each with its group."""
+    """Vectors of the rows that pass the base rules, once for each group ``g`` that
+    they help to estimate; ``own`` marks the group that judges them."""
     sure = rows.filter(~F.col("base_failed")).select(
         "doc_id", "k_row", "lang", "source", *[x.alias(f"x{i}") for i, x in enumerate(features())])
-    sizes = sure.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("lang").alias("l"), F.col("source").alias("s"), F.col("n") >= min_group)
-    sizes = sizes.toDF("l", "s", "large")
-    small = sure.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")).filter(
-        F.col("n") < min_group).groupBy("lang").agg(F.sum("n").alias("n"))
-    small = small.select(F.col("lang").alias("sl"), (F.col("n") >= min_group).alias("enough"))
-    level = sizes.join(small, F.col("l").eqNullSafe(F.col("sl")), "left").select(
-        "l", "s", F.when(F.col("large"), 0).when(F.col("enough"), 1).otherwise(2).alias("level"))
-    key = F.xxhash64("level", F.when(F.col("level") < 2, F.col("lang")),
-                     F.when(F.col("level") < 1, F.col("source")),
-                     F.col("lang").isNull(), F.col("source").isNull() & (F.col("level") < 1))
-    return (sure.join(level, F.col("lang").eqNullSafe(F.col("l"))
+    sizes = sure.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    whole = sizes.groupBy(F.col("lang").alias("wl")).agg(F.sum("n").alias("wn"),
+                                                         F.min("n").alias("least"))
+    large, enough = F.col("n") >= min_group, F.col("wn") >= min_group
+    levels = C.stored(sizes.join(whole, F.col("lang").eqNullSafe(F.col("wl"))).select(
+        F.col("lang").alias("l"), F.col("source").alias("s"),
+        F.when(large, 0).when(enough, 1).otherwise(2).alias("level"),
+        (enough & (F.col("least") < min_group)).alias("by_lang")), "levels")
+    by_table = not levels.filter("level = 2").isEmpty()
+
+    def member(level: int, *key: Column) -> Column:
+        return F.struct(F.xxhash64(F.lit(level), *key, *[c.isNull() for c in key]).alias("g"),
+                        (F.col("level") == level).alias("own"))
+
+    members = F.array_compact(F.array(
+        F.when(F.col("level") == 0, member(0, F.col("lang"), F.col("source"))),
+        F.when(F.col("by_lang"), member(1, F.col("lang"))),
+        F.when(F.lit(by_table), member(2))))
+    return (sure.join(levels, F.col("lang").eqNullSafe(F.col("l"))
                       & F.col("source").eqNullSafe(F.col("s")))
-            .withColumn("g", key).drop("l", "s", "level", "lang", "source"))
+            .select("doc_id", "k_row", *[f"x{i}" for i in range(P)], F.inline(members)))
 
 
 def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS,
@@ -201,7 +210,9 @@ def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int =
     log_det = reduce(lambda a, b: a + b, [-2 * F.log(f"w{i}{i}") for i in range(P)])
     for k in range(steps):
         near = _with_distance(vectors, fit.filter("open").select("g", *numbers))
-        cut = near.groupBy("g").agg(F.percentile_approx("d2", support, 2000).alias("cut"))
+        # Stored, its size is known: the rows of a large group are not sorted for the join.
+        cut = C.stored(near.groupBy("g").agg(F.percentile_approx("d2", support, 2000).alias("cut")),
+                       "mcd-cut")
         core = near.join(cut, "g").filter("d2 <= cut")
         now = _whitened(core.groupBy("g").agg(
             *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)],
@@ -235,7 +246,7 @@ def judged(docs: DataFrame, *, quantile: float = QUANTILE, min_group: int = MIN_
     rows = C.stored(counted(docs, **columns), "counts")
     vectors = C.stored(grouped(rows, min_group), "vectors")
     limit = chi2_quantile(quantile, P)
-    far = mcd_distances(vectors, min_group=min_group).filter(F.col("d2") > limit)
+    far = mcd_distances(vectors, min_group=min_group).filter(F.col("own") & (F.col("d2") > limit))
     # Equal rows have equal distances: one verdict for each row key.
     far = far.groupBy(F.col("doc_id").alias("f_id"), F.col("k_row").alias("f_row")).agg(
         F.max("d2").alias("d2"))

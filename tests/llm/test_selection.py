@@ -91,6 +91,25 @@ def test_mcd_rejects_many_equal_outliers(spark):
         assert [out[g, k] for k in range(2000)] == [k < junk for k in range(2000)]
 
 
+def test_small_sources_are_judged(spark):
+    """Small sources by their language, small languages by the table: junk goes,
+    like documents stay."""
+    rng = np.random.default_rng(6)
+
+    def text(size):
+        return " ".join("".join(rng.choice(list("abcdefghij"), max(1, int(n))))
+                        for n in rng.normal(size, 1.5, 60))
+
+    docs, junk = [], {300, 310, 320}
+    for k in range(330):  # 300 of a large source, ten each of a small one, a small and a null language
+        lang, source = [("en", "big"), ("en", "small"), ("xx", "big"), (None, None)][
+            0 if k < 300 else 1 + (k - 300) // 10]
+        docs.append((k, text(14 if k in junk else 5), lang, source))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r.kept for r in quality.judged(df).collect()}
+    assert len(out) == 330 and {k for k, kept in out.items() if not kept} == junk
+
+
 def test_chi2():
     # Public table values.
     assert abs(quality.chi2_quantile(.95, 4) - 9.487729) < 1e-5
