@@ -1,6 +1,13 @@
 """Licence scan by a trained paragraph classifier (operator 8, DataFrame only).
 
-Paragraphs are the lines of a text. A multinomial logistic regression over
+Paragraphs are the lines of a text, and its blocks (lines up to the next one without
+a word): a notice wrapped over lines or inside a long line is found in overlapping
+word windows of its block (``WINDOWS``: words, step). Only blocks that hold the
+``confirm`` share of some template's 2-grams are cut into windows; no window of the
+others could be confirmed. Of overlapping windows those that agree best count, and a
+block counts for a family only if none of its lines does. Comment marks are no words.
+
+A multinomial logistic regression over
 hashed word 1- and 2-grams tells the licence families from ``unknown``; it is
 trained here on notices in the wording of ``NOTICES``, each in ``VARIANTS``
 disturbed forms (case, words put before and behind, words dropped), and on at
@@ -22,6 +29,9 @@ row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -64,6 +74,8 @@ FAMILIES = [UNKNOWN, *sorted(NOTICES)]
 TERMS = r"(?i)licen[cs]e|copyright|rights reserved|public domain|redistribut|free software|\bcc\b"
 VARIANTS, NEGATIVES, FEATURES = 24, 4000, 1 << 14
 FALSE_RATE, CONFIRM = 0.001, 0.6
+# Words and step of the windows: a notice of size - step + 1 words lies whole in one.
+WINDOWS = ((12, 4), (24, 6), (40, 8))
 
 
 def _words(text: Column) -> Column:
@@ -93,6 +105,22 @@ def _featured(rows: DataFrame) -> DataFrame:
                      outputCol="features").transform(rows)
 
 
+def _template_grams() -> list[list[str]]:
+    """The distinct words and word pairs of each notice, as ``_grams`` makes them."""
+    out = []
+    for n in (n for ns in NOTICES.values() for n in ns):
+        w = re.findall(r"[^\W_]+", n.lower())
+        out.append(sorted({*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))}))
+    return out
+
+
+def _fragment(grams: Column) -> Column:
+    """Whether more than half of the grams are those of one notice."""
+    return reduce(lambda a, b: a | b, [
+        2 * F.size(F.array_intersect(grams, F.array(*[F.lit(g) for g in t])))
+        > F.size(F.array_distinct(grams)) for t in _template_grams()])
+
+
 def training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """(line, label, held): disturbed notices and a bounded sample of the corpus's
     paragraphs without a licence term."""
@@ -106,6 +134,8 @@ def training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
     chosen = C.stored(chosen.select("n_h"), "negatives")
     sample = (lines.select("line").join(F.broadcast(chosen), h == F.col("n_h"))
               .groupBy("n_h").agg(F.first("line").alias("line")))
+    # A line out of a wrapped notice is no unknown: most of its grams are a template's.
+    sample = sample.filter(~_fragment(_grams(_words(F.col("line")))))
     sample = C.stored(sample.select(F.substring("line", 1, 2000).alias("line"),
                                     F.row_number().over(Window.orderBy("n_h")).alias("n")), "sample")
     filler = sample.filter(F.col("n") <= VARIANTS).select("n", F.split("line", " ").alias("w"))
@@ -143,26 +173,87 @@ def _confirmation(spark: SparkSession) -> DataFrame:
     return rows.select("family", F.array_distinct(_grams(words)).alias("t_grams"))
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-         confirm: float = CONFIRM, false_rate: float = FALSE_RATE) -> DataFrame:
-    """One row per licence paragraph: doc_id, k_row, paragraph, line, family,
-    probability and agreement with its best template."""
-    spark = docs.sparkSession
-    lines = paragraphs(docs, id_col, text_col)
-    model, least = trained(spark, lines, false_rate)
-    scored = model.transform(_featured(lines))
+def _classified(rows: DataFrame, model: LogisticRegressionModel, least: float, confirm: float,
+                keys: list[str]) -> DataFrame:
+    """The rows of ``rows`` (keys, line) with a confirmed family, its probability and
+    agreement."""
+    scored = model.transform(_featured(rows))
     family = F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), F.col("prediction").cast("int") + 1)
     found = scored.filter("prediction > 0").select(
-        "doc_id", "k_row", "paragraph", "line", "grams", family.alias("family"),
+        *keys, "line", "grams", family.alias("family"),
         F.array_max(vector_to_array("probability")).alias("probability")
     ).filter(F.col("probability") >= least)
-    templates = F.broadcast(_confirmation(spark))  # the constant notices
+    templates = F.broadcast(_confirmation(rows.sparkSession))  # the constant notices
     share = F.size(F.array_intersect("t_grams", "grams")) / F.size("t_grams")
     best = found.join(templates, "family").withColumn("agreement", share)
-    return best.groupBy("doc_id", "k_row", "paragraph", "line", "family", "probability").agg(
+    return best.groupBy(*keys, "line", "family", "probability").agg(
         F.max("agreement").alias("agreement")).filter(F.col("agreement") >= confirm)
 
 
+def _may_match(grams: Column, confirm: float) -> Column:
+    """Whether the grams hold the ``confirm`` share of some template's."""
+    templates = _template_grams()
+    known = F.array(*[F.lit(g) for g in sorted({g for t in templates for g in t})])
+    return F.exists(F.array(F.array_intersect(grams, known)), lambda hit: reduce(
+        lambda a, b: a | b,
+        [F.size(F.array_intersect(hit, F.array(*[F.lit(g) for g in t]))) / F.lit(len(t))
+         >= confirm for t in templates]))
+
+
+def windows(docs: DataFrame, id_col: str, text_col: str, confirm: float) -> DataFrame:
+    """Word windows of the blocks that may hold a notice: doc_id, k_row, block number
+    and text, first word, size and the words as ``line``."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    blocks = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                         C.row_key(docs).alias("k_row"),
+                         F.posexplode(F.split(text, r"\n[^\p{L}\p{N}]*\n")).alias("block", "b_text"))
+    blocks = blocks.withColumn("words", _words(F.col("b_text"))).filter(
+        _may_match(_grams(F.col("words")), confirm))
+    def cuts(size: int, step: int) -> Column:
+        last = F.greatest(F.size("words") - (size - step) - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last, F.lit(step)),
+                           lambda k: F.struct(k.alias("start"), F.lit(size).alias("size")))
+
+    starts = F.flatten(F.array(*[cuts(*w) for w in WINDOWS]))
+    cut = blocks.select("*", F.inline(starts))
+    return cut.select("doc_id", "k_row", "block", "b_text", "start", "size",
+                      F.array_join(F.slice("words", F.col("start") + 1, F.col("size")), " ").alias("line"))
+
+
+def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+         confirm: float = CONFIRM, false_rate: float = FALSE_RATE) -> DataFrame:
+    """One row per licence paragraph: doc_id, k_row, paragraph, line, family,
+    probability and agreement with its best template. A block has the number
+    -1 - (its number in the text) and its best window as line."""
+    spark = docs.sparkSession
+    lines = paragraphs(docs, id_col, text_col)
+    model, least = trained(spark, lines, false_rate)
+    single = C.stored(_classified(lines, model, least, confirm, ["doc_id", "k_row", "paragraph"]),
+                      "licence-lines")
+    keys = ["doc_id", "k_row", "block", "b_text", "start", "size"]
+    found = _classified(windows(docs, id_col, text_col, confirm), model, least, confirm, keys)
+    # The best agreement among the windows that overlap.
+    place = Window.partitionBy("doc_id", "k_row", "block").orderBy("start")
+    best = reduce(lambda a, b: F.when(F.col("size") == b[0], b[1]).otherwise(a), [
+        (own, F.greatest(*[F.max(F.when(F.col("size") == other, F.col("agreement")))
+                           .over(place.rangeBetween(1 - other, own - 1)) for other, _ in WINDOWS]))
+        for own, _ in WINDOWS], F.lit(None).cast("double"))
+    found = found.withColumn("best", best).filter("agreement >= best")
+    # A line that holds the family alone stands for its block.
+    own = single.select(F.col("doc_id").alias("l_id"), F.col("k_row").alias("l_row"),
+                        F.col("family").alias("l_family"), F.col("line").alias("l_line"))
+    feed = F.lit("\n")
+    wrapped = found.join(own, F.col("doc_id").eqNullSafe(F.col("l_id"))
+                         & (F.col("k_row") == F.col("l_row")) & (F.col("family") == F.col("l_family"))
+                         & F.concat(feed, "b_text", feed).contains(F.concat(feed, "l_line", feed)),
+                         "left_anti")
+    wrapped = wrapped.groupBy("doc_id", "k_row", "block", "family").agg(
+        F.max_by(F.struct("line", "probability", "agreement"), F.struct("agreement", "probability"))
+        .alias("b")).select("doc_id", "k_row", (-1 - F.col("block")).alias("paragraph"), "b.line",
+                            "family", "b.probability", "b.agreement")
+    return single.unionByName(wrapped)
+
+
 def document_licences(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_paragraphs, n_licensed and the families
     found, in order, joined by ``|`` (empty if none)."""

@@ -185,6 +185,27 @@ def test_licences(spark):
     assert out[5, 0] == (0, "") and licences.document_licences(frame(spark, [])).count() == 0
 
 
+def test_licences_in_wrapped_notices_and_long_lines(spark):
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n"
+           "# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation, either version 3 of the License, or\n"
+           "# (at your option) any later version.")
+    bsd = ("Redistribution and use in source and binary forms, with or without\n"
+           "modification, are permitted provided that the following conditions\nare met:")
+    prose = " ".join(f"the river town {w} held markets near its old bridge every spring"
+                     for w in ("alba", "brno", "cork", "dover", "ely", "fano", "gent", "hull"))
+    docs = [(1, f"{prose}\n\n{gpl}\n\n{prose}"), (2, f"int main\n\n{bsd}\n"),
+            (3, f"{prose} Released under the MIT License. {prose}"), (4, prose),
+            (5, "Licensed under CC BY-NC 4.0.")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    more = spark.createDataFrame([(100 + k, " ".join(f"word{(k * 7 + j * 3) % 50}" for j in range(12)))
+                                  for k in range(300)], "doc_id long, text string")
+    out = {r.doc_id: (r.n_licensed, r.families)
+           for r in licences.document_licences(df.union(more)).collect()}
+    assert [out[k] for k in range(1, 6)] == [(1, "gpl"), (1, "bsd"), (1, "mit"), (0, ""),
+                                             (1, "cc-by-nc")]
+
+
 def test_licences_on_held_out_wordings(spark, con):
     """Documents of the test table that carry a licence line, and those without."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
