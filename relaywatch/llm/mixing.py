@@ -3,7 +3,8 @@
 
 Documents fall into cells (source, language, topic). Raking multiplies the
 cells' token weights by target / current of one margin after the other until
-all margins hold; a cell's ratio of weight to tokens, scaled to the token budget
+all margins hold; if weights stand still before (targets that contradict each other)
+or ``rounds`` are over, a warning gives the error left in each margin; a cell's ratio of weight to tokens, scaled to the token budget
 and capped at one, is the probability with which its documents stay. Capped
 cells give up what they cannot supply, so the scale is solved with the caps.
 
@@ -21,6 +22,8 @@ with their cell's probability; an empty table gives no rows.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +31,7 @@ from relaywatch.llm import common as C
 
 MARGINS = ("source", "lang", "topic")
 ALPHA = {"source": 0.7, "lang": 0.8, "topic": 1.0}
-BUDGET, ROUNDS, CLOSE, SEED = 0.6, 30, 1e-4, 11
+BUDGET, ROUNDS, CLOSE, SEED = 0.6, 30, 1e-6, 11
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -71,6 +74,13 @@ def _targets(cells: DataFrame, margin: str, alpha: float, given: DataFrame | Non
                       .alias("target"))
 
 
+def margin_errors(out: DataFrame) -> dict[str, float]:
+    """The largest relative difference of each margin's weights from its targets."""
+    return {m: out.groupBy(f"t_{m}").agg(F.sum("weight").alias("now"), F.first(f"goal_{m}").alias("goal"))
+            .filter("goal > 0").agg(F.max(F.abs(F.col("now") / F.col("goal") - 1))).first()[0]
+            for m in MARGINS}
+
+
 def raked(cells: DataFrame, *, alpha: dict[str, float] | None = None,
           targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
           close: float = CLOSE) -> DataFrame:
@@ -94,6 +104,11 @@ def raked(cells: DataFrame, *, alpha: dict[str, float] | None = None,
             F.max(F.abs(F.col("weight") - F.col("old")) / F.greatest("weight", F.lit(1e-9)))).first()[0]
         if moved is None or moved < close:
             break
+    # Contradicting targets come to a standstill too: the margins tell.
+    errors = margin_errors(out)
+    if any((e or 0.0) > close for e in errors.values()):
+        logging.getLogger(__name__).warning("raking ended with these relative errors of the "
+                                            "margins: %s", errors)
     return out.select(*keys, "tokens", "weight")
 
 

@@ -162,6 +162,15 @@ def test_mixing_equals_plain_raking(spark):
         assert abs(r.probability - want) < 1e-6
 
 
+def test_raking_tells_what_it_misses(spark, caplog):
+    """A source in one language only: targets of source and language contradict."""
+    cells = spark.createDataFrame([("a", "en", "long", 900.0), ("b", "de", "long", 100.0)],
+                                  "t_source string, t_lang string, t_topic string, tokens double")
+    mixing.raked(cells).count()
+    assert "raking ended with these" in caplog.text and "'source': 0." in caplog.text
+    assert mixing.CLOSE == 1e-6
+
+
 def test_mixing_sample(spark):
     docs = frame(spark)
     kept = mixing.sampled(docs, budget=.5, rounds=1)
