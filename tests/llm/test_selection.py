@@ -239,7 +239,7 @@ def test_oracle(spark, sf_dir, con, name):
 
 
 def test_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf_dir):
