@@ -293,6 +293,7 @@ dec AS (
          CASE WHEN json_type(j, '$.total_price') IN ('UBIGINT', 'BIGINT') THEN CAST(json_extract(j, '$.total_price') AS INT) END AS total_price,
          json_extract_string(j, '$.timestamp') AS "timestamp",
          json_extract_string(j, '$.kafka_mode') AS kafka_mode,
+         CAST(json_extract(j, '$.producer_sent_at') AS DOUBLE) AS producer_sent_at,
          CASE WHEN json_type(j, '$.sent_sequence') IN ('UBIGINT', 'BIGINT') THEN CAST(json_extract(j, '$.sent_sequence') AS INT) END AS sent_sequence,
          CASE WHEN json_type(j, '$.prep_time_minutes') IN ('UBIGINT', 'BIGINT') THEN CAST(json_extract(j, '$.prep_time_minutes') AS INT) END AS prep_time_minutes,
          CASE json_extract_string(j, '$.is_delayed') WHEN 'true' THEN true WHEN 'false' THEN false END AS is_delayed,

@@ -88,7 +88,8 @@ topic AS (
            || ',"total_price":' || CAST(total_price AS VARCHAR)
            || ',"kafka_mode":"' || (CASE WHEN k % 37 = 0 THEN 'bogus_mode'
                                          WHEN k % 29 = 0 THEN upper(kafka_mode) ELSE kafka_mode END)
-           || '","sent_sequence":' || (CASE WHEN k % 31 = 0 THEN '"x"' ELSE CAST(sent_sequence AS VARCHAR) END)
+           || '","producer_sent_at":' || CAST(CAST(producer_sent_at AS BIGINT) AS VARCHAR)
+           || ',"sent_sequence":' || (CASE WHEN k % 31 = 0 THEN '"x"' ELSE CAST(sent_sequence AS VARCHAR) END)
            || (CASE WHEN k % 41 = 0 THEN '' ELSE ',"prep_time_minutes":' || CAST(prep_time_minutes AS VARCHAR) END)
            || (CASE WHEN k % 47 = 0 THEN '' ELSE ',"is_delayed":' || CAST(is_delayed AS VARCHAR) END)
            || ',"is_cancelled":' || CAST(is_cancelled AS VARCHAR)

@@ -124,7 +124,8 @@ def _corrupt_value(r: Column) -> Column:
         F.lit(',"price_per_item":'), F.col("price_per_item").cast("string"),
         F.lit(',"total_price":'), F.col("total_price").cast("string"),
         F.lit(',"kafka_mode":"'), mode,
-        F.lit('","sent_sequence":'), seq, prep, delayed,
+        F.lit('","producer_sent_at":'), F.col("producer_sent_at").cast("long").cast("string"),
+        F.lit(',"sent_sequence":'), seq, prep, delayed,
         F.lit(',"is_cancelled":'), F.col("is_cancelled").cast("string"),
         F.lit(',"incident_mode":"'), incident, F.lit('"}'))
     return (F.when(k % 59 == 0, F.lit(None).cast("string"))

@@ -12,10 +12,13 @@ Every query here is a plain streaming DataFrame; sinks and triggers are in
                             the same with applyInPandasWithState)
 - ST6' ``live_unique_jvm``  JVM-only unique count: dropDuplicates + count
 - ST7  ``bounded_unique``   dropDuplicatesWithinWatermark: bounded state;
-                            repeats beyond the horizon count again
+                            repeats beyond the horizon count again, records
+                            without an id are one order of their mode
 - ST8  ``live_receipts``    receipts per order (update mode)
-- ST1/ST2 ``sliding_windows`` watermark + 10 s / 5 s windows, approximate
-                            distinct (parity, F4)
+- ST1/ST2 ``pane_sketches`` watermark + one distinct-count sketch per pane of
+                            5 s; ``windows_of_panes`` unites panes to windows
+                            (parity, F4), ``rolled_up`` to totals;
+                            ``sliding_windows`` the same in a single query
 - ST9  ``breach_trigger``   the trigger state machine per key, vectorised
 - ST10 ``forward``          stateless decode + tag + encode
 """
@@ -33,7 +36,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from relaywatch.functions.metrics import pct
 from relaywatch.operators.decode import decode_orders, encode_forwarded
 from relaywatch.schema import (BREACH_CANCEL_PCT, BREACH_DELAY_PCT, BREACH_MIN_ORDERS,
-                               BREACH_PREP_MIN, SCORE_CANCEL_WEIGHT, SCORE_DELAY_WEIGHT)
+                               BREACH_PREP_MIN, DEFAULT_PREP, SCORE_CANCEL_WEIGHT,
+                               SCORE_DELAY_WEIGHT)
 
 
 def decoded(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -118,21 +122,79 @@ def live_unique_jvm(dec: DataFrame) -> DataFrame:
 
 def bounded_unique(dec: DataFrame, ts_col: str = "kafka_timestamp",
                    horizon: str = "1 minute") -> DataFrame:
-    """ST7: unique orders per mode with state bounded by the watermark."""
-    return (dec.withWatermark(ts_col, horizon)
-            .dropDuplicatesWithinWatermark(["kafka_mode", "order_id"])
-            .groupBy("kafka_mode").agg(F.count(F.lit(1)).alias("unique_orders")))
+    """ST7: unique orders per mode with state bounded by the watermark; an order
+    that comes again after the horizon counts again.
+
+    Records without an order id are one order of their mode, as in the exact
+    count: they would come again after every horizon, so each mode (null is one)
+    keeps a single mark for them instead, which does not expire. The state is the
+    orders of one horizon and one mark per mode.
+    """
+    marked = dec.withWatermark(ts_col, horizon)
+    known = (marked.filter(F.col("order_id").isNotNull())
+             .dropDuplicatesWithinWatermark(["kafka_mode", "order_id"]).select("kafka_mode"))
+    without = marked.filter(F.col("order_id").isNull()).select("kafka_mode").dropDuplicates(["kafka_mode"])
+    return known.unionByName(without).groupBy("kafka_mode").agg(
+        F.count(F.lit(1)).alias("unique_orders"))
 
 
 # --------------------------------------------------------------------------
 # ST1 / ST2
 # --------------------------------------------------------------------------
 
+PANE_LG_K = 12  # 4096 registers: a relative standard error of about 1.6 %
+
+
+def pane_sketches(dec: DataFrame, ts_col: str = "kafka_timestamp", watermark: str = "1 minute",
+                  slide: str = "5 seconds", group_cols: list[str] | None = None,
+                  id_col: str = "order_id", lg_k: int = PANE_LG_K) -> DataFrame:
+    """ST1 + ST2 state: one row per group and pane of ``slide``, holding the
+    receipts, a distinct-count sketch of the ids and the latest producer time. A
+    record lies in one pane, whatever the window length, and late records (beyond
+    the watermark) are dropped. Null ids take no part in the sketch."""
+    g = group_cols or ["kafka_mode"]
+    w = (dec.withWatermark(ts_col, watermark).groupBy(*g, F.window(ts_col, slide).alias("w"))
+         .agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(id_col, lg_k).alias("sketch"),
+              F.max("producer_sent_at").alias("latest_producer_time")))
+    return w.select(*g, F.unix_seconds("w.start").alias("pane"), "n", "sketch",
+                    "latest_producer_time")
+
+
+def windows_of_panes(panes: DataFrame, panes_per_window: int = 2, slide_seconds: int = 5,
+                     group_cols: list[str] | None = None) -> DataFrame:
+    """ST2: sliding windows as unions of consecutive panes. ``unique_orders`` is
+    the sketch's estimate, ``duplicate_orders`` what it leaves of the receipts,
+    which can be below 0 (F4)."""
+    g = group_cols or ["kafka_mode"]
+    starts = F.sequence(F.col("pane") - (panes_per_window - 1) * slide_seconds, F.col("pane"),
+                        F.lit(slide_seconds).cast("long"))
+    w = (panes.withColumn("window_start", F.explode(starts)).groupBy(*g, "window_start")
+         .agg(F.sum("n").alias("total_orders_received"),
+              F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique_orders"),
+              F.max("latest_producer_time").alias("latest_producer_time")))
+    return w.select(*g, "window_start",
+                    (F.col("window_start") + panes_per_window * slide_seconds).alias("window_end"),
+                    "total_orders_received", "unique_orders", "latest_producer_time",
+                    (F.col("total_orders_received") - F.col("unique_orders"))
+                    .alias("duplicate_orders"))
+
+
+def rolled_up(panes: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
+    """A5 from stored panes: receipts and distinct estimate over all panes, per
+    group or, with an empty list, over everything; no record is read again."""
+    g = ["kafka_mode"] if group_cols is None else group_cols
+    return (panes.groupBy(*g).agg(F.sum("n").alias("total_orders_received"),
+                                  F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+                                  .alias("unique_orders"))
+            .withColumn("duplicate_orders",
+                        F.col("total_orders_received") - F.col("unique_orders")))
+
+
 def sliding_windows(dec: DataFrame, ts_col: str = "kafka_timestamp",
                     watermark: str = "1 minute", length: str = "10 seconds",
                     slide: str = "5 seconds", rsd: float = 0.05) -> DataFrame:
-    """ST1 + ST2: late rows (beyond the watermark) are dropped; each row
-    lands in ``length / slide`` windows."""
+    """ST1 + ST2 in one query, without panes: late rows (beyond the watermark) are
+    dropped; each row lands in ``length / slide`` windows."""
     w = (dec.withWatermark(ts_col, watermark)
          .groupBy("kafka_mode", F.window(ts_col, length, slide).alias("w"))
          .agg(F.count(F.lit(1)).alias("total_orders_received"),
@@ -190,47 +252,58 @@ BREACH_STATE = ("total long, delayed long, cancelled long, prep_sum long, "
                 "last_fired string")
 
 
-def _breach_step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState):
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("arrival", kind="stable")
-    if state.exists:
-        total, delayed, cancelled, prep_sum, last = state.get
-    else:
-        total = delayed = cancelled = prep_sum = 0
-        last = None
-    d = pdf["is_delayed"].fillna(False).to_numpy(dtype=bool)
-    c = pdf["is_cancelled"].fillna(False).to_numpy(dtype=bool)
-    p = np.where(c, 0, pdf["prep_time_minutes"].fillna(0).to_numpy(dtype=np.int64))
+def _flags(column: pd.Series) -> np.ndarray:
+    """A missing flag is false."""
+    return column.astype("boolean").fillna(False).to_numpy(dtype=bool)
+
+
+def advance(state: tuple, pdf: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
+    """The trigger over receipts in order, from ``state`` (total, delayed,
+    cancelled, prep_sum, last_fired): the fired rows and the state after them.
+    Missing values count as in the batch operators: a flag as false, preparation
+    minutes as the default, an incident as none that could fire."""
+    total, delayed, cancelled, prep_sum, last = state
+    if not len(pdf):
+        return _fired(pdf, np.zeros(0, int), [np.zeros(0)] * 5), state
+    d, c = _flags(pdf["is_delayed"]), _flags(pdf["is_cancelled"])
+    prep = pd.to_numeric(pdf["prep_time_minutes"]).fillna(DEFAULT_PREP).to_numpy(dtype=np.int64)
+    p = np.where(c, 0, prep)
     n = total + np.arange(1, len(pdf) + 1, dtype=np.int64)
     nd = delayed + np.cumsum(d, dtype=np.int64)
     nc = cancelled + np.cumsum(c, dtype=np.int64)
     ps = prep_sum + np.cumsum(p, dtype=np.int64)
-    delay_rate = nd * 100.0 / n
-    cancel_rate = nc * 100.0 / n
+    delay_rate, cancel_rate = nd * 100.0 / n, nc * 100.0 / n
     nonc = n - nc
     avg_prep = np.where(nonc > 0, ps / np.where(nonc > 0, nonc, 1), 0.0)
     score = np.maximum(100.0 - delay_rate * SCORE_DELAY_WEIGHT - cancel_rate * SCORE_CANCEL_WEIGHT,
                        0.0)
     inc = pdf["incident_mode"].to_numpy(dtype=object)
-    breach = ((n >= BREACH_MIN_ORDERS) & (inc != "normal")
+    known = ~pd.isna(inc)
+    breach = ((n >= BREACH_MIN_ORDERS) & known & (inc != "normal")
               & ((delay_rate > BREACH_DELAY_PCT) | (cancel_rate > BREACH_CANCEL_PCT)
                  | (avg_prep > BREACH_PREP_MIN)))
     idx = np.flatnonzero(breach)
-    kept_inc = inc[idx]
-    prev = np.empty(len(idx), dtype=object)
-    if len(idx):
-        prev[0] = last
-        prev[1:] = kept_inc[:-1]
-    prev_s, cur_s = pd.Series(prev, dtype=object), pd.Series(kept_inc, dtype=object)
-    fire = idx[(prev_s.isna() | (prev_s != cur_s)).to_numpy(dtype=bool)]
-    new_last = kept_inc[-1] if len(idx) else last
-    state.update((int(n[-1]), int(nd[-1]), int(nc[-1]), int(ps[-1]), new_last))
-    out = pd.DataFrame({
-        "epoch": pdf["epoch"].to_numpy()[fire], "arrival": pdf["arrival"].to_numpy()[fire],
-        "order_id": pdf["order_id"].to_numpy()[fire],
-        "timestamp": pdf["timestamp"].to_numpy()[fire], "incident_mode": inc[fire],
-        "total_orders": n[fire], "delay_rate": delay_rate[fire],
-        "cancellation_rate": cancel_rate[fire], "avg_prep_time": avg_prep[fire],
-        "reliability_score": score[fire]})
+    kept = inc[idx]
+    prev = np.concatenate([[last], kept[:-1]]).astype(object) if len(idx) else kept
+    fire = idx[np.array([a is None or a != b for a, b in zip(prev, kept)], bool)]
+    out = _fired(pdf, fire, [x[fire] for x in (n, delay_rate, cancel_rate, avg_prep, score)])
+    return out, (int(n[-1]), int(nd[-1]), int(nc[-1]), int(ps[-1]), kept[-1] if len(idx) else last)
+
+
+def _fired(pdf: pd.DataFrame, rows: np.ndarray, kpis: list) -> pd.DataFrame:
+    names = ("total_orders", "delay_rate", "cancellation_rate", "avg_prep_time", "reliability_score")
+    return pd.DataFrame({c: pdf[c].to_numpy()[rows] for c in
+                         ("epoch", "arrival", "order_id", "timestamp", "incident_mode")}
+                        | dict(zip(names, kpis)))
+
+
+FRESH = (0, 0, 0, 0, None)  # a trigger that has seen nothing
+
+
+def _breach_step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState):
+    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("arrival", kind="stable")
+    out, new = advance(state.get if state.exists else FRESH, pdf)
+    state.update(new)
     yield out
 
 
