@@ -7,9 +7,12 @@ its own offsets in its own checkpoint) and starts:
                 highest sequence (ST5), update mode, per-batch folders
 - ``windows``   exact per-mode sliding windows with a watermark (ST1, ST2)
 - ``forward``   decode + tag + encode to a keyed sink (ST10, S3)
-- ``diagnose``  the trigger (ST9, batch operators per micro-batch with a
-                per-epoch state table) feeding the diagnosis and the history
-                append (ST12)
+- ``merge``     only with ``topics``: the forwarded and the raw topic as one, cut
+                over at the first forwarded record (S2, U1), staged as files
+- ``diagnose``  the trigger (ST9) feeding the diagnosis and the history append
+                (ST12): batch operators per micro-batch with a per-epoch state
+                table, or, with ``control``, keyed state that the resets of a
+                control topic clear (W4)
 
 ``run_all`` then supervises them (any failure stops all). With a broker,
 pass ``source="kafka"`` and its options; tests use a file source.
@@ -22,20 +25,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from relaywatch.operators.decode import accepted, web_records
-from relaywatch.sources.orders import read_orders_stream
+from relaywatch.sources.orders import read_orders_stream, read_topics
 from relaywatch.streaming import live as L
 from relaywatch.streaming import run as RUN
+from relaywatch.streaming.control import (Cutover, control_resets, order_events, reset_events,
+                                          triggers_with_resets)
 
 
 # Columns a broker source orders and identifies its records by.
 _ORDER = ["timestamp", "topic", "partition", "offset"]
+_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
                    options: dict | None = None, path: str | None = None,
                    trigger: dict | None = None, forward_topic: str | None = None,
                    epoch_col: str | None = None, keyed_state: bool = False,
-                   state_partitions: int | None = None) -> dict[str, StreamingQuery]:
+                   state_partitions: int | None = None, topics: tuple[str, str] | None = None,
+                   control: dict | None = None, watermark: str = "1 minute"
+                   ) -> dict[str, StreamingQuery]:
     """Start the consumer queries under ``base`` (a shared folder): outputs
     in ``base/<query>/out``, checkpoints in ``base/<query>/checkpoint``,
     history in ``base/history``. ``trigger`` defaults to the reference's
@@ -49,16 +57,27 @@ def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
     JVM-only per micro-batch with a per-epoch state table (a hot epoch is spread
     over many tasks); ``keyed_state=True`` uses the applyInPandasWithState
     version instead.
+
+    ``topics=(forwarded, raw)``: the diagnose query reads both topics under the
+    two-topic rule, the other queries the raw one. ``control`` (source, options,
+    path of a control topic) starts a new KPI epoch at each reset read from it;
+    receipts and resets are then taken in event time, and either may come
+    ``watermark`` late. With ``availableNow`` the merged topic is complete before
+    the diagnose query starts.
     """
     trig = trigger or {"processingTime": "10 seconds"}
     session = RUN.stream_session(spark, state_partitions)
 
-    def records() -> DataFrame:
-        r = read_orders_stream(session, source, dict(options or {}), path)
+    def counted(r: DataFrame) -> DataFrame:
         # Broker records carry no arrival counter: show the broker's time.
         return r if "arrival" in r.columns else r.withColumn("arrival",
                                                               F.unix_micros("timestamp"))
 
+    def records() -> DataFrame:
+        if topics:
+            return counted(read_topics(session, [topics[1]], source, dict(options or {}), path))
+        return counted(read_orders_stream(session, source, dict(options or {}), path))
+
     def dec() -> DataFrame:
         keep = [c for c in ["arrival", epoch_col] if c]
         return L.decoded(records(), keep=keep)
@@ -84,15 +103,37 @@ def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
     else:
         queries["forward"] = RUN.start(fwd, "forward", f"{base}/forward/checkpoint", "append",
                                        trig, out=f"{base}/forward/out")
-    raw = records()
+    if topics:
+        both = counted(read_topics(session, list(topics), source, dict(options or {}), path))
+        staged = f"{base}/merge/out"
+        session.createDataFrame([], both.schema).write.mode("ignore").parquet(f"{staged}/batch-none")
+        cut = Cutover(session, f"{base}/merge/cutover", forwarded=topics[0])
+        queries["merge"] = (both.writeStream.queryName("merge").trigger(**trig)
+                            .option("checkpointLocation", f"{base}/merge/checkpoint")
+                            .foreachBatch(cut.staged(staged)).start())
+        if trig.get("availableNow"):
+            RUN.run_all(spark, [queries["merge"]])
+        raw = (session.readStream.schema(both.schema).option("recursiveFileLookup", "true")
+               .parquet(staged))
+    else:
+        raw = records()
     place = [c for c in _ORDER if c in raw.columns and c != "timestamp"]
     web = accepted(web_records(raw.withColumn("_time", F.col("timestamp")),
                                keep=["arrival", "_time", *place, *([epoch_col] if epoch_col else [])]))
     events = web.select(
         (F.col(epoch_col) if epoch_col else F.lit(0).cast("long")).alias("epoch"), "arrival",
-        "order_id", F.date_format("_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        "order_id", F.date_format("_time", _ISO).alias("timestamp"),
         "incident_mode", "is_delayed", "is_cancelled", "prep_time_minutes", *place)
-    if keyed_state:
+    if control:
+        resets = control_resets(read_orders_stream(session, **control))
+        receipts = web.withColumn("timestamp", F.date_format("_time", _ISO))
+        fired = triggers_with_resets(
+            order_events(receipts, F.lit("all"), "_time").unionByName(reset_events(resets, ["all"])),
+            watermark)
+        queries["diagnose"] = RUN.diagnose_on_breach(session, fired, f"{base}/history",
+                                                     f"{base}/diagnose/checkpoint", trig,
+                                                     out=f"{base}/diagnose/out")
+    elif keyed_state:
         queries["diagnose"] = RUN.diagnose_on_breach(
             session, L.breach_trigger(events.drop(*place)), f"{base}/history",
             f"{base}/diagnose/checkpoint", trig)

@@ -214,6 +214,20 @@ class Cutover:
             return batch
         return batch.filter(mine | (F.col(self.order_col) < self._known[1]))
 
+    def staged(self, out: str) -> Callable[[DataFrame, int], None]:
+        """A foreachBatch function that writes the rows that count to a folder per
+        batch under ``out``, as a file source for other queries. A batch whose
+        folder is complete is left as it is when it runs again: its files may have
+        been read."""
+        def write(batch: DataFrame, batch_id: int) -> None:
+            rows = self.apply(batch, batch_id)
+            folder = f"{out}/batch-{batch_id}"
+            spark = batch.sparkSession
+            done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")  # noqa: SLF001
+            if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):  # noqa: SLF001
+                rows.write.mode("overwrite").parquet(folder)
+        return write
+
     def before(self, handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
         """A foreachBatch function that passes the rows that count to ``handle``."""
         return lambda batch, batch_id: handle(self.apply(batch, batch_id), batch_id)

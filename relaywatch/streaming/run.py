@@ -237,10 +237,19 @@ def diagnosis_handler(spark: SparkSession, history_path: str, run: str = "stream
 
 
 def diagnose_on_breach(spark: SparkSession, fired: DataFrame, history_path: str,
-                       checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+                       checkpoint: str, trigger: dict | None = None,
+                       out: str | None = None) -> StreamingQuery:
     """ST12: for each micro-batch of fired events, run the batch diagnosis
-    against the history as it stands, then store the outcomes (S9)."""
-    handle = diagnosis_handler(spark, history_path)
+    against the history as it stands, then store the outcomes (S9). With ``out``
+    the events of a batch are written there first and read back, so that the
+    stateful part of the query runs once."""
+    diagnose = diagnosis_handler(spark, history_path)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if out:
+            batch_writer(out)(batch, batch_id)
+            batch = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/batch_id={batch_id}")
+        diagnose(batch, batch_id)
     return (fired.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(handle).start())
