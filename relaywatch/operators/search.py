@@ -123,6 +123,13 @@ def top_documents(index: TfidfIndex, queries: DataFrame, k: int = 1, id_col: str
     """
     qvec, small = query_vectors(index, queries, id_col, text_col, max_broadcast)
     scored = sparse_dot(index, qvec, small).withColumn("score", F.round("score", places))
+    return ranked(index, scored, queries, k, id_col)
+
+
+def ranked(index: TfidfIndex, scored: DataFrame, queries: DataFrame, k: int,
+           id_col: str = "qid") -> DataFrame:
+    """The ``k`` best of scored (qid, doc_id, score) pairs per query, filled up
+    with zero-score documents in doc_id order."""
     rank = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("doc_id"))
     best = scored.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
     # Fillers: the k lowest doc ids, each at score 0, for every query.

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from relaywatch.functions.text import tokenize
+from relaywatch.operators import pruned as P
 from relaywatch.operators import search as S
-from relaywatch.plans.registry import register, rounded, table
+from relaywatch.plans.registry import ORACLE, register, rounded, table
 
 TOP_K = 3
 
@@ -95,6 +96,13 @@ def l2_top_documents(spark, sf):
     return S.top_documents(_index(spark, sf), _queries(spark, sf), k=TOP_K)
 
 
+@register("l2_pruned_top_documents", ORACLE["l2_top_documents"])
+def l2_pruned_top_documents(spark, sf):
+    """L2 through block postings with largest weights: documents that cannot enter
+    the top k are not scored."""
+    return P.top_documents(P.build_blocks(_index(spark, sf)), _queries(spark, sf), k=TOP_K)
+
+
 @register("j2_top_documents_with_text", _SCORE_SQL + f""",
 ranked AS (
   SELECT b.item_id AS qid, d.doc_id, round(coalesce(s.score, 0.0), 6) AS score
