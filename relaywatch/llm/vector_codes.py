@@ -8,8 +8,9 @@ The nearest entry of a part is found through the grid cell it lies in. For a cel
 an entry whose least squared distance to the cell's box is above the largest
 distance that some other entry has there is nearest to no point of the box. The
 entries that remain are cached by cell and part position, and only these are
-evaluated exactly. The cache of a task is bounded and emptied when full; its keys
-are the cells' exact coordinates, so a cell never meets another one's entries.
+evaluated exactly. The cache of a task is bounded and emptied when full; a cell is
+found by its hash and compared with the cell on record, so that it never meets
+another one's entries.
 
 A round is one pass over the stored integer vectors. A task adds up counts and
 component sums per part position and entry, Spark adds up the tasks, and the driver
@@ -39,8 +40,8 @@ from pyspark.sql import functions as F
 from relaywatch.llm import common as C
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
-CELL = 512            # side of a grid cell in scaled units
-CACHE_CELLS = 1 << 15  # cells kept per part position and task
+CELL = 768            # side of a grid cell in scaled units
+CACHE_CELLS = 1 << 16  # cells kept per part position and task
 SAFE = 1 << 28        # components below it have exact 64-bit distances
 MOST = int(np.iinfo(np.int64).max)
 
@@ -60,36 +61,58 @@ def integer_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
 
 class Cells:
-    """Entries that can be nearest in a cell, for one part position."""
+    """Entries that can be nearest in a cell, for one part position: a table of cell
+    hashes in order, the cells themselves and their flags."""
 
     def __init__(self, book: np.ndarray, side: int):
         self.book, self.side = book, side
-        self.rows: dict[bytes, int] = {}
-        self.masks = np.zeros((0, len(book)), bool)
+        self.turn = C.mix64(np.arange(1, book.shape[1] + 1, dtype=np.uint64)) | np.uint64(1)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.cells = np.zeros((0, self.book.shape[1]), np.int64)
+        self.masks = np.zeros((0, len(self.book)), bool)
 
     def possible(self, cells: np.ndarray) -> np.ndarray:
-        """One row of flags per cell: entries not dominated across its box."""
-        low = cells[:, None, :] * self.side
-        high = low + (self.side - 1)
-        e = self.book[None, :, :]
-        near = np.maximum(np.maximum(low - e, e - high), 0)
-        far = np.maximum(abs(e - low), abs(e - high))
-        return (near * near).sum(2) <= (far * far).sum(2).min(1)[:, None]
+        """One row of flags per cell: entries not dominated across its box. Squared
+        distances to a box are sums over the dimensions, each of which has few cells."""
+        near = np.zeros((len(cells), len(self.book)), np.int64)
+        far = near.copy()
+        for i, e in enumerate(self.book.T):
+            values, at = np.unique(cells[:, i], return_inverse=True)
+            low = values[:, None] * self.side
+            high = low + (self.side - 1)
+            least = np.maximum(np.maximum(low - e, e - high), 0)
+            most = np.maximum(abs(e - low), abs(e - high))
+            near += (least * least)[at]
+            far += (most * most)[at]
+        return near <= far.min(1)[:, None]
 
     def of(self, cells: np.ndarray) -> np.ndarray:
         """Flags for each row of ``cells``, by the cache where it knows the cell."""
-        key = np.ascontiguousarray(cells)
-        key = key.view([("", key.dtype)] * key.shape[1]).ravel()
-        _, first, back = np.unique(key, return_index=True, return_inverse=True)
-        names = [cells[i].tobytes() for i in first.tolist()]
-        new = [n for n, name in enumerate(names) if name not in self.rows]
-        if new:
-            if len(self.rows) + len(new) > CACHE_CELLS:
-                self.rows, self.masks, new = {}, self.masks[:0], range(len(names))
-            start = len(self.masks)
-            self.masks = np.concatenate([self.masks, self.possible(cells[first[list(new)]])])
-            self.rows.update((names[n], start + i) for i, n in enumerate(new))
-        return self.masks[[self.rows[name] for name in names]][back]
+        h = C.mix64((cells.astype(np.uint64) * self.turn).sum(1, dtype=np.uint64))
+        key, first, back = np.unique(h, return_index=True, return_inverse=True)
+        own = cells[first]
+        if (own[back] != cells).any():  # two cells share a hash
+            return self.possible(cells)
+        at = np.searchsorted(self.keys, key)
+        there = at < len(self.keys)
+        there[there] = self.keys[at[there]] == key[there]
+        known = there.copy()
+        known[there] = (self.cells[at[there]] == own[there]).all(1)
+        flags = np.empty((len(key), len(self.book)), bool)
+        flags[known] = self.masks[at[known]]
+        if not known.all():
+            flags[~known] = self.possible(own[~known])
+            new = ~there
+            if len(self.keys) + np.count_nonzero(new) > CACHE_CELLS:
+                self._forget()
+                new[:] = True
+            order = np.argsort(np.concatenate([self.keys, key[new]]))
+            for name, more in (("keys", key), ("cells", own), ("masks", flags)):
+                setattr(self, name, np.concatenate([getattr(self, name), more[new]])[order])
+        return flags[back]
 
 
 def nearest(x: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray]:
@@ -99,14 +122,16 @@ def nearest(x: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray]:
         d = ((x[:, None, :] - cells.book.astype(object)[None]) ** 2).sum(2)
         code = np.array([min(range(len(r)), key=r.__getitem__) for r in d], np.int64)
         return code, d[np.arange(len(x)), code]
-    may = cells.of(np.floor_divide(x, cells.side))
-    code, best = np.zeros(len(x), np.int64), np.full(len(x), MOST)
-    for e in range(len(cells.book)):
-        rows = np.flatnonzero(may[:, e])
-        diff = x[rows] - cells.book[e]
-        d = (diff * diff).sum(1)
-        less = d < best[rows]
-        code[rows[less]], best[rows[less]] = e, d[less]
+    if not len(x):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # Row by row, the entries that can be nearest, in ascending order.
+    row, entry = np.nonzero(cells.of(np.floor_divide(x, cells.side)))
+    diff = x[row] - cells.book[entry]
+    d = np.einsum("ij,ij->i", diff, diff)
+    best = np.minimum.reduceat(d, np.flatnonzero(np.diff(row, prepend=-1)))
+    hit = np.flatnonzero(d == best[row])[::-1]
+    code = np.empty(len(x), np.int64)
+    code[row[hit]] = entry[hit]  # the lowest entry is written last
     return code, best
 
 
