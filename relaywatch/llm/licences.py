@@ -2,17 +2,21 @@
 
 Paragraphs are the lines of a text, and its blocks (lines up to the next one without
 a word): a notice wrapped over lines or inside a long line is found in overlapping
-word windows of its block (``WINDOWS``: words, step). Only blocks that hold the
-``confirm`` share of some template's 2-grams are cut into windows; no window of the
-others could be confirmed. Of overlapping windows those that agree best count, and a
+word windows of its block (``WINDOWS``: words, step). Before anything is scored, an
+exact bound leaves out what could not be confirmed: a line, window or block has to
+hold the ``confirm`` share of some template's grams itself, and no text does that
+without one of a few words (``needed_words``), so most texts are only searched for
+these. No result depends on the bound. Of overlapping windows those that agree best count, and a
 block counts for a family only if none of its lines does. Comment marks are no words.
 
 A multinomial logistic regression over
 hashed word 1- and 2-grams tells the licence families from ``unknown``; it is
 trained here on notices in the wording of ``NOTICES``, each in ``VARIANTS``
-disturbed forms (case, words put before and behind, words dropped), and on at
-most ``NEGATIVES`` paragraphs of the corpus that hold no licence term as the
-unknown class. The sample is bounded, the scan is not.
+disturbed forms (case, words put before and behind, words dropped), and on a sample
+of the corpus's whole lines as the unknown class: at most ``NEGATIVES`` of all lines
+and at most ``NEAR`` of those that hold a needed word but no template's share, such
+as prose about licences. Lines made mostly of one notice's grams are left out. The
+sample is bounded, the scan is not.
 
 The unknown class is calibrated on held-out paragraphs: a family needs a
 probability above the ``1 - false_rate`` quantile of what held-out unknown
@@ -20,11 +24,12 @@ paragraphs reach. A prediction then has to be confirmed by template comparison:
 the share of the family's best template's 2-grams that stand in the paragraph
 must reach ``confirm``.
 
-Every paragraph of every text is scored, row by row, without a shuffle; only
+Every paragraph of every text is tested, row by row, without a shuffle; only
 paragraphs with a confirmed licence are grouped by document. The templates are a
 constant of the code. A null text has no paragraphs; blank lines are none
-either; rows that share a doc_id and all other columns share one result row per
-row; an empty table gives no rows.
+either; very long texts and lines are handled whole; rows that share a doc_id and
+all other columns share one result row per row; other columns may have any name; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -71,9 +76,11 @@ NOTICES = {
 }
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *sorted(NOTICES)]
-TERMS = r"(?i)licen[cs]e|copyright|rights reserved|public domain|redistribut|free software|\bcc\b"
-VARIANTS, NEGATIVES, FEATURES = 24, 4000, 1 << 14
+VARIANTS, NEGATIVES, NEAR, FEATURES = 24, 4000, 1000, 1 << 14
 FALSE_RATE, CONFIRM = 0.001, 0.6
+# Words of the notices that much other prose has, too.
+FREQUENT = ("a and any are be by in is it no not of or part person that the this to under use with "
+            "without work you following").split()
 # Words and step of the windows: a notice of size - step + 1 words lies whole in one.
 WINDOWS = ((12, 4), (24, 6), (40, 8))
 
@@ -99,6 +106,37 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.filter(F.col("line").rlike(r"[\p{L}\p{N}]"))
 
 
+def needed_words(confirm: float) -> list[str]:
+    """Words of which any text with the ``confirm`` share of some notice's grams
+    holds one: without these words of a notice, and the pairs that they stand in,
+    fewer of its grams are left than that. Frequent words and numbers are taken last."""
+    out: set[str] = set()
+    for grams in _template_grams():
+        left = [g.split(" ") for g in grams]
+        while len(left) >= confirm * len(grams):
+            words = {w for g in left for w in g}
+            best = min(words, key=lambda w: (w in FREQUENT or w.isdigit(), w not in out,
+                                             -sum(w in g for g in left), -len(w), w))
+            out.add(best)
+            left = [g for g in left if best not in g]
+    return sorted(out)
+
+
+def _may_hold(text: Column, confirm: float) -> Column:
+    """Whether a text holds a needed word, as part of a word at least."""
+    if confirm <= 0:
+        return F.lit(True)
+    return F.exists(F.array(F.lower(text)), lambda t: reduce(
+        lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in needed_words(confirm)]))
+
+
+def candidate_lines(docs: DataFrame, id_col: str, text_col: str, confirm: float) -> DataFrame:
+    """The paragraphs that hold a needed word."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    lines = paragraphs(docs.filter(_may_hold(text, confirm)), id_col, text_col)
+    return lines.filter(_may_hold(F.col("line"), confirm))
+
+
 def _featured(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("grams", _grams(_words(F.col("line"))))
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams",
@@ -121,23 +159,27 @@ def _fragment(grams: Column) -> Column:
         > F.size(F.array_distinct(grams)) for t in _template_grams()])
 
 
-def training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
+def _chosen(lines: DataFrame, classes: int, name: str) -> DataFrame:
+    """The line with the smallest hash in each of ``classes`` hash classes: distinct
+    lines, however often one is repeated, and no text is shuffled to find them."""
+    h = F.xxhash64("line")
+    least = C.stored(lines.select(h.alias("h")).groupBy(F.pmod("h", F.lit(classes)).alias("c"))
+                     .agg(F.min("h").alias("n_h")).select("n_h"), name)
+    return (lines.select("line").join(F.broadcast(least), h == F.col("n_h"))
+            .groupBy("n_h").agg(F.first("line").alias("line")))
+
+
+def training_rows(spark: SparkSession, lines: DataFrame, near: DataFrame) -> DataFrame:
     """(line, label, held): disturbed notices and a bounded sample of the corpus's
-    paragraphs without a licence term."""
+    paragraphs, and of those ``near`` a notice, as the unknown class."""
     notices = spark.createDataFrame(
         [(FAMILIES.index(f), n) for f, ns in NOTICES.items() for n in ns], "label int, notice string")
-    # The smallest hash in each of NEGATIVES hash classes: distinct lines, however
-    # often one is repeated, and no text is shuffled to find them.
-    h = F.xxhash64("line")
-    chosen = (lines.filter(~F.col("line").rlike(TERMS)).select(h.alias("h"))
-              .groupBy(F.pmod("h", F.lit(NEGATIVES)).alias("c")).agg(F.min("h").alias("n_h")))
-    chosen = C.stored(chosen.select("n_h"), "negatives")
-    sample = (lines.select("line").join(F.broadcast(chosen), h == F.col("n_h"))
-              .groupBy("n_h").agg(F.first("line").alias("line")))
+    sample = _chosen(lines, NEGATIVES, "negatives").unionByName(
+        _chosen(near, NEAR, "near-negatives")).dropDuplicates(["n_h"])
     # A line out of a wrapped notice is no unknown: most of its grams are a template's.
     sample = sample.filter(~_fragment(_grams(_words(F.col("line")))))
-    sample = C.stored(sample.select(F.substring("line", 1, 2000).alias("line"),
-                                    F.row_number().over(Window.orderBy("n_h")).alias("n")), "sample")
+    sample = C.stored(sample.select("line", F.row_number().over(Window.orderBy("n_h")).alias("n")),
+                      "sample")
     filler = sample.filter(F.col("n") <= VARIANTS).select("n", F.split("line", " ").alias("w"))
     bare = notices.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(VARIANTS))))
     made = bare.join(filler, "n", "left").select(
@@ -152,10 +194,10 @@ def training_rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
     return made.unionByName(plain).unionByName(other)
 
 
-def trained(spark: SparkSession, lines: DataFrame, false_rate: float = FALSE_RATE
-            ) -> tuple[LogisticRegressionModel, float]:
+def trained(spark: SparkSession, lines: DataFrame, near: DataFrame,
+            false_rate: float = FALSE_RATE) -> tuple[LogisticRegressionModel, float]:
     """The classifier and the least probability of a family."""
-    rows = C.stored(_featured(training_rows(spark, lines)).select("label", "held", "features"),
+    rows = C.stored(_featured(training_rows(spark, lines, near)).select("label", "held", "features"),
                     "training")
     model = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=40, labelCol="label"
                                ).fit(rows.filter(~F.col("held")))
@@ -204,11 +246,12 @@ def windows(docs: DataFrame, id_col: str, text_col: str, confirm: float) -> Data
     """Word windows of the blocks that may hold a notice: doc_id, k_row, block number
     and text, first word, size and the words as ``line``."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    blocks = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+    blocks = docs.filter(_may_hold(text, confirm)).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          C.row_key(docs).alias("k_row"),
                          F.posexplode(F.split(text, r"\n[^\p{L}\p{N}]*\n")).alias("block", "b_text"))
-    blocks = blocks.withColumn("words", _words(F.col("b_text"))).filter(
-        _may_match(_grams(F.col("words")), confirm))
+    blocks = blocks.filter(_may_hold(F.col("b_text"), confirm)).withColumn(
+        "words", _words(F.col("b_text"))).filter(_may_match(_grams(F.col("words")), confirm))
+
     def cuts(size: int, step: int) -> Column:
         last = F.greatest(F.size("words") - (size - step) - 1, F.lit(0))
         return F.transform(F.sequence(F.lit(0), last, F.lit(step)),
@@ -226,12 +269,16 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     probability and agreement with its best template. A block has the number
     -1 - (its number in the text) and its best window as line."""
     spark = docs.sparkSession
-    lines = paragraphs(docs, id_col, text_col)
-    model, least = trained(spark, lines, false_rate)
-    single = C.stored(_classified(lines, model, least, confirm, ["doc_id", "k_row", "paragraph"]),
-                      "licence-lines")
+    lines = C.stored(candidate_lines(docs, id_col, text_col, confirm).withColumn(
+        "may", _may_match(_grams(_words(F.col("line"))), confirm)), "candidates")
+    model, least = trained(spark, paragraphs(docs, id_col, text_col), lines.filter("NOT may"),
+                           false_rate)
+    single = C.stored(_classified(lines.filter("may"), model, least, confirm,
+                                  ["doc_id", "k_row", "paragraph"]), "licence-lines")
     keys = ["doc_id", "k_row", "block", "b_text", "start", "size"]
-    found = _classified(windows(docs, id_col, text_col, confirm), model, least, confirm, keys)
+    cut = C.stored(windows(docs, id_col, text_col, confirm).filter(
+        _may_match(_grams(_words(F.col("line"))), confirm)), "windows")
+    found = _classified(cut, model, least, confirm, keys)
     # The best agreement among the windows that overlap.
     place = Window.partitionBy("doc_id", "k_row", "block").orderBy("start")
     best = reduce(lambda a, b: F.when(F.col("size") == b[0], b[1]).otherwise(a), [

@@ -215,6 +215,62 @@ def test_licences_in_wrapped_notices_and_long_lines(spark):
                                              (1, "cc-by-nc")]
 
 
+def test_needed_words_are_necessary():
+    """Without the needed words no text keeps a notice's share of its grams, and the
+    whole notice holds one."""
+    for confirm in (.3, .6, .9, 1.0):
+        need = set(licences.needed_words(confirm))
+        for grams in licences._template_grams():
+            left = [g for g in grams if not need & set(g.split(" "))]
+            assert len(left) < confirm * len(grams) and need & set(grams)
+
+
+def plain_may_match(text, confirm):
+    w = re.findall(r"[^\W_]+", text.lower())
+    grams = {*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))}
+    return any(len(grams & set(t)) >= confirm * len(t) for t in licences._template_grams())
+
+
+def test_bound_leaves_out_nothing(spark):
+    """Lines, and windows of blocks, that can be confirmed are all scored: plain
+    Python over every line and window of texts with notices whole, cut and spread."""
+    notices = [n for ns in licences.NOTICES.values() for n in ns]
+    prose = "the port of {} had free markets under the old licence fees and rights of its harbour"
+    texts = []
+    for k, n in enumerate(notices):
+        w = n.split(" ")
+        texts += [n.upper(), " ".join(w[:len(w) * 2 // 3]), " ".join(w[len(w) // 2:]),
+                  f"{prose.format(k)}\n# {' '.join(w[:7])}\n# {' '.join(w[7:])}\n\n{prose.format('x')}",
+                  f"{prose.format(k)} {n} {prose.format(k)} {prose.format('y')}\n \n{n[:30]}",
+                  " filler ".join(w)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "", "\n\n"])],
+                                 "doc_id long, text string")
+    lines = {(r.doc_id, r.paragraph) for r in licences.candidate_lines(docs, "doc_id", "text", .6)
+             .filter(licences._may_match(licences._grams(licences._words(licences.F.col("line"))), .6))
+             .collect()}
+    assert lines == {(i, j) for i, t in enumerate(texts) for j, x in enumerate(t.split("\n"))
+                     if plain_may_match(x, .6)} and len(lines) > 40
+    blocks = {(r.doc_id, r.block) for r in licences.windows(docs, "doc_id", "text", .6).collect()}
+    assert blocks == {(i, j) for i, t in enumerate(texts)
+                      for j, x in enumerate(re.split(r"\n[\W_]*\n", t)) if plain_may_match(x, .6)}
+
+
+def test_unknown_class_holds_prose_about_licences(spark):
+    """Lines with licence words that are no notice are trained and held out as unknown,
+    whole, and found to be no licence."""
+    near = [(k, f"the committee may license fishing rights in district {k} without permission of "
+                f"the library and related authors reserved copyright fees " + "so on " * (k * 20))
+            for k in range(80)]
+    far = [(1000 + k, " ".join(f"word{(k * 7 + j * 3) % 50}" for j in range(12))) for k in range(200)]
+    docs = spark.createDataFrame(near + far, "doc_id long, text string")
+    lines = licences.candidate_lines(docs, "doc_id", "text", .6)
+    rows = licences.training_rows(spark, licences.paragraphs(docs, "doc_id", "text"), lines).collect()
+    unknown = {r.line for r in rows if r.label == 0}
+    assert len([x for x in unknown if "committee" in x]) > 60
+    assert max(map(len, unknown)) > 5000  # whole lines
+    assert all(r.families == "" for r in licences.document_licences(docs).collect())
+
+
 def test_licences_on_held_out_wordings(spark, con):
     """Documents of the test table that carry a licence line, and those without."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
