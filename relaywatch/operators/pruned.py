@@ -5,15 +5,16 @@ The index keeps, for each block of documents and token, the block's postings
 (doc_id, weight) with the largest weight first. A search bounds what a query can
 score before it scores anything:
 
-1. A few postings lists with the largest possible contribution give each query
+1. The postings lists with the largest possible contributions give each query
    ``k`` documents; their full scores give a threshold that the k-th best document
    reaches at least.
 2. In every block, a query's tokens are ordered by ``query weight * largest weight
-   in the block``. As long as these add up to less than the threshold, a document
-   of the block that holds only such tokens cannot enter the top k. Only documents
-   with one of the other (essential) tokens are candidates; a block without an
-   essential token is left out whole, and only essential postings are read out.
-3. Candidates are scored in full from the document vectors.
+   in the block``. The weakest of them, as long as these products add up to less than
+   ``SHARE`` of the threshold, are left aside: what they can add to a document is
+   known without reading their postings. A block with no other token is left out
+   whole. The postings of the other tokens give each of their documents a partial
+   score; with what the tokens left aside can add, it has to reach the threshold.
+3. Only these documents are scored in full, from the document vectors.
 
 Blocks are hash classes of doc_id with about ``block_docs`` documents, so a token
 that all documents hold has one bounded list per block. The result equals
@@ -33,6 +34,7 @@ from relaywatch.operators import search as S
 from relaywatch.session import work_dir
 
 BLOCK_DOCS = 1024
+SHARE = 0.2  # of the threshold: what the tokens left aside may add up to
 
 
 @dataclass
@@ -70,18 +72,18 @@ def full_scores(index: BlockIndex, pairs: DataFrame, qvec: DataFrame) -> DataFra
 
 def candidates(index: BlockIndex, qvec: DataFrame, k: int, places: int = 6,
                broadcast_queries: bool = True) -> DataFrame:
-    """Distinct (qid, doc_id) that may enter the top ``k`` of their query."""
+    """(qid, doc_id), each once, that may enter the top ``k`` of their query."""
     spark = qvec.sparkSession
     q = F.broadcast(qvec) if broadcast_queries else qvec
     path = work_dir(spark, "block-hits")
     bound = F.col("qn") * F.col("top")
     (index.blocks.select("block", "token", "top").join(q, "token")
-     .select("block", "qid", "token", bound.alias("bound")).write.mode("overwrite").parquet(path))
+     .select("block", "qid", "token", "qn", bound.alias("bound")).write.mode("overwrite").parquet(path))
     hits = spark.read.parquet(path)
 
     # 1. Documents at the head of the k lists with the largest contributions.
     strongest = Window.partitionBy("qid").orderBy(F.col("bound").desc(), "block", "token")
-    lists = hits.withColumn("r", F.row_number().over(strongest)).filter(F.col("r") <= k)
+    lists = hits.withColumn("r", F.row_number().over(strongest)).filter(F.col("r") <= max(k, 8))
     heads = index.blocks.select("block", "token", F.slice("docs", 1, k).alias("docs"))
     seeds = (lists.join(heads, ["block", "token"])
              .select("qid", F.explode("docs.doc_id").alias("doc_id")).distinct())
@@ -89,15 +91,22 @@ def candidates(index: BlockIndex, qvec: DataFrame, k: int, places: int = 6,
     threshold = (full_scores(index, seeds, qvec).withColumn("r", F.row_number().over(best))
                  .filter(F.col("r") == k).select("qid", F.col("score").alias("least")))
 
-    # 2. Essential tokens of each block. Room for ties after rounding on both sides.
-    weakest = (Window.partitionBy("qid", "block").orderBy("bound", "token")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # 2. Tokens left aside in each block. Room for ties after rounding on both sides.
+    weakest = Window.partitionBy("qid", "block").orderBy("bound", "token")
     slack = 2.0 * 10.0 ** -places
-    essential = (hits.withColumn("reach", F.sum("bound").over(weakest)).join(threshold, "qid", "left")
-                 .filter(F.col("least").isNull() | (F.col("reach") >= F.col("least") - slack))
-                 .select("qid", "block", "token"))
-    return (essential.join(index.blocks.select("block", "token", "docs"), ["block", "token"])
-            .select("qid", F.explode("docs.doc_id").alias("doc_id")).distinct())
+    least = F.coalesce(F.col("least"), F.lit(0.0)) - slack
+    ranked = (hits.withColumn("reach", F.sum("bound").over(
+        weakest.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .join(threshold, "qid", "left").withColumn("least", least))
+    aside = F.col("reach") < SHARE * F.col("least")
+    wanted = (ranked.withColumn("rest", F.coalesce(F.max(F.when(aside, F.col("reach"))).over(
+        Window.partitionBy("qid", "block")), F.lit(0.0)))
+        .filter(~aside).select("qid", "block", "token", "qn", "rest", "least"))
+    read = (wanted.join(index.blocks.select("block", "token", "docs"), ["block", "token"])
+            .select("qid", "qn", "rest", "least", F.inline("docs")))
+    return (read.groupBy("qid", "doc_id", "rest", "least")
+            .agg(F.sum(F.col("qn") * F.col("wn")).alias("part"))
+            .filter(F.col("part") + F.col("rest") >= F.col("least")).select("qid", "doc_id"))
 
 
 def top_documents(index: BlockIndex, queries: DataFrame, k: int = 1, id_col: str = "qid",

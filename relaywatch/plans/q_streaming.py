@@ -103,7 +103,7 @@ FROM wins GROUP BY kafka_mode, ws""")
 def st2_sliding_windows(spark, sf):
     """Sliding windows over the faulty topic from one sketch per 5-second pane: all
     decoded rows count. A sketch of so few ids is still a list of them, so that its
-    estimate is the exact count here; ``a5_distinct_estimates`` has large ones.
+    estimate is the exact count here; ``a5_rolled_up_sketches`` has large ones.
     ``within_bound``: the estimate lies within three standard errors (or one order)
     of the exact count."""
     out = _on_topic(spark, sf, "st2", L.pane_sketches)
@@ -119,6 +119,24 @@ def st2_sliding_windows(spark, sf):
                    .drop("m", "s", "exact"))
 
 
+@register("a5_rolled_up_sketches")
+def a5_rolled_up_sketches(spark, sf):
+    """A5 from the stored panes alone: distinct estimates per mode and over all
+    modes, with the exact counts and the relative error beside them. Estimates of
+    two engines differ, so there is no twin; a test bounds the error."""
+    dec = L.decoded(_topic(spark, sf))
+    panes = L.pane_sketches(dec)
+    per = L.rolled_up(panes).unionByName(
+        L.rolled_up(panes, []).withColumn("kafka_mode", F.lit("(all)")).select(
+            "kafka_mode", "total_orders_received", "unique_orders", "duplicate_orders"))
+    ids = dec.select("kafka_mode", "order_id")
+    exact = (ids.unionByName(ids.withColumn("kafka_mode", F.lit("(all)"))).groupBy(
+        F.col("kafka_mode").alias("m")).agg(F.countDistinct("order_id").alias("exact_unique")))
+    out = per.join(exact, F.col("kafka_mode").eqNullSafe(F.col("m"))).drop("m")
+    error = F.col("unique_orders") / F.col("exact_unique") - 1
+    return rounded(out.withColumn("relative_error", F.when(F.col("exact_unique") > 0, error)))
+
+
 ORACLE_WINDOWED = W + """
 SELECT kafka_mode, ws AS window_start, count(*) AS total_orders_received,
        count(DISTINCT order_id) AS unique_orders,

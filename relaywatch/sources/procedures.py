@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,10 +75,47 @@ def write_procedures(folder: str) -> None:
             f.write(text)
 
 
-def read_corpus(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
-    """One row per text file, ``doc_name`` = file stem, ``content`` = the
-    whole file. A file that cannot be read fails the read and is named in the
-    error: no document is missing without notice."""
-    df = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.[^.]*$", 1)
-    return df.select(name.alias("doc_name"), F.col("value").alias("content"))
+def _named(files: DataFrame, *columns) -> DataFrame:
+    stem = F.regexp_extract(F.col("path"), r"([^/]*)\.[^./]*$", 1)
+    return files.select(stem.alias("doc_name"), "path", *columns)
+
+
+def _contents(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """(doc_name, path, content, valid) of the files whose bytes can be read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+             .option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(folder)
+             .select("path", F.col("content").cast("string").alias("content")))
+    return _named(files, "content", F.is_valid_utf8("content").alias("valid"))
+
+
+def read_corpus(spark: SparkSession, folder: str, pattern: str = "*.txt",
+                warn: bool = True) -> DataFrame:
+    """One row per text file, ``doc_name`` = file stem, ``content`` = the whole
+    file. Files that cannot be read, or are no UTF-8, are left out; ``warn`` names
+    the first of them in a warning, ``corpus_rejects`` has all."""
+    if warn:
+        bad = [r.doc_name for r in corpus_rejects(spark, folder, pattern).limit(20).collect()]
+        if bad:
+            warnings.warn(f"unreadable files in {folder}: {', '.join(bad)}", stacklevel=2)
+    found = _contents(spark, folder, pattern).filter("valid").select("doc_name", "content")
+    return found.unionByName(_empty_files(spark, folder, pattern))
+
+
+def _empty_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """Files without a byte, which Spark's readers pass over: documents without text."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, pattern)  # noqa: SLF001
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    paths = [(str(s.getPath()), "") for s in fs.globStatus(path) or [] if s.isFile() and s.getLen() == 0]
+    return _named(spark.createDataFrame(paths, "path string, content string"), "content").drop("path")
+
+
+def corpus_rejects(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
+    """(doc_name, path, error) of the files that ``read_corpus`` leaves out:
+    ``unreadable`` when their bytes cannot be read, ``not_utf8`` otherwise. The list
+    of all files comes from the file listing, which opens none."""
+    listed = _named(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder))
+    read = _contents(spark, folder, pattern).select(F.col("path").alias("p"), "valid")
+    return (listed.join(read, F.col("path") == F.col("p"), "left")
+            .filter(~F.coalesce("valid", F.lit(False)))
+            .select("doc_name", "path",
+                    F.when(F.col("p").isNull(), "unreadable").otherwise("not_utf8").alias("error")))

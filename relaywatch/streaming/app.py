@@ -85,13 +85,14 @@ def start_consumer(spark: SparkSession, base: str, source: str = "kafka",
     queries: dict[str, StreamingQuery] = {}
     queries["summary"] = RUN.start(L.live_unique(dec()), "summary",
                                    f"{base}/summary/checkpoint", "update", trig,
-                                   out=f"{base}/summary/out")
+                                   out=f"{base}/summary/out", keys=["kafka_mode"])
     queries["sequence"] = RUN.start(L.live_totals(dec()), "sequence",
                                     f"{base}/sequence/checkpoint", "update", trig,
-                                    out=f"{base}/sequence/out")
+                                    out=f"{base}/sequence/out", keys=["kafka_mode"])
     queries["windows"] = RUN.start(L.windowed_exact_stream(dec()), "windows",
                                    f"{base}/windows/checkpoint", "update", trig,
-                                   out=f"{base}/windows/out")
+                                   out=f"{base}/windows/out",
+                                   keys=["kafka_mode", "window_start"])
     fwd = L.forward(records(), keep=["arrival"])
     if forward_topic:
         # The sink takes producer settings only (no subscribe/offset options).

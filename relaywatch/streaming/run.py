@@ -3,9 +3,10 @@ ST11, ST12).
 
 - every query gets its own checkpoint folder (under the shared work folder)
 - update-mode results go through ``foreachBatch`` into one folder per batch
-  id, overwritten on replay, so a re-run batch never duplicates output; the
-  final state is then a batch aggregate over those folders (latest batch per
-  key), never collected through the driver
+  id, overwritten on replay, so a re-run batch never duplicates output; with
+  their keys given, the folders are merged into a state every few batches. The
+  final state is a batch aggregate over the newest state and the batches after
+  it (latest batch per key), never collected through the driver
 - ``run_all`` starts several queries and waits on *any* termination, so a
   failing query is noticed at once (F15)
 """
@@ -17,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from relaywatch.session import work_dir
@@ -110,26 +112,92 @@ def file_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int
             .option("recursiveFileLookup", "true").parquet(folder))
 
 
-def batch_writer(out: str) -> Callable[[DataFrame, int], None]:
-    """Idempotent foreachBatch: batch ``n`` overwrites ``out/batch_id=n``."""
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system and path class for a folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+    return p(path).getFileSystem(spark._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def _numbered(spark: SparkSession, out: str, prefix: str) -> list[int]:
+    """Numbers of the complete folders ``out/<prefix><n>``, ascending."""
+    fs, path = _fs(spark, out)
+    if not fs.exists(path(out)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path(out))]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix)
+                  and fs.exists(path(f"{out}/{n}/_SUCCESS")))
+
+
+def batch_writer(out: str, keys: list[str] | None = None, compact_every: int = 16
+                 ) -> Callable[[DataFrame, int], None]:
+    """Idempotent foreachBatch: batch ``n`` overwrites ``out/batch_id=n``.
+
+    With ``keys`` (an update-mode result) every ``compact_every`` batches the last
+    state and the batches since then are merged into ``out/_state-n``, one row per
+    key, and what the state before covered is removed. A read then costs the live
+    keys and a few batches, however long the query has run. A batch that runs again
+    writes its own folders again; a state counts once it is complete, and the one
+    before stays until then.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if keys and (batch_id + 1) % compact_every == 0:
+            compact(df.sparkSession, out, keys, batch_id, df.schema)
     return write
 
 
+def compact(spark: SparkSession, out: str, keys: list[str], upto: int, schema) -> None:
+    """Merge the update-mode result up to batch ``upto`` into one state folder."""
+    fs, path = _fs(spark, out)
+    earlier = [n for n in _numbered(spark, out, "_state-") if n < upto]
+    rows = _updates(spark, out, upto, schema)
+    rows.groupBy(*keys).agg(F.max_by(F.struct("*"), "batch_id").alias("s")).select("s.*").write.mode(
+        "overwrite").parquet(f"{out}/_state-{upto}")
+    # The state just written holds all of these; the previous one is kept for
+    # readers that have begun with it.
+    for n in earlier[:-1]:
+        fs.delete(path(f"{out}/_state-{n}"), True)
+    for n in [n for n in _numbered(spark, out, "batch_id=") if earlier and n <= earlier[-1]]:
+        fs.delete(path(f"{out}/batch_id={n}"), True)
+
+
+def _updates(spark: SparkSession, out: str, upto: int | None = None, schema=None) -> DataFrame:
+    """Rows of the newest state (below ``upto``) and of the batches after it, with
+    their batch_id."""
+    states = [n for n in _numbered(spark, out, "_state-") if upto is None or n < upto]
+    base = states[-1] if states else -1
+    batches = [n for n in _numbered(spark, out, "batch_id=")
+               if n > base and (upto is None or n <= upto)]
+    if schema is None:  # a reader's: any batch has it
+        last = batches[-1:] or [base]
+        at = f"{out}/batch_id={last[0]}" if batches else f"{out}/_state-{base}"
+        schema = spark.read.parquet(at).drop("batch_id").schema
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    reader = spark.read.schema(full)
+    parts = []
+    if batches:
+        parts.append(reader.option("basePath", out).parquet(*[f"{out}/batch_id={n}" for n in batches]))
+    if states:
+        parts.append(spark.read.schema(full).parquet(f"{out}/_state-{base}"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "update",
           trigger: dict | None = None, out: str | None = None, sink: str = "batches",
-          options: dict | None = None) -> StreamingQuery:
+          options: dict | None = None, keys: list[str] | None = None,
+          compact_every: int = 16) -> StreamingQuery:
     """Start one query (ST3 output mode, ST4 trigger, own checkpoint).
 
-    ``sink``: ``batches`` (foreachBatch per batch id, any output mode),
+    ``sink``: ``batches`` (foreachBatch per batch id, any output mode; with the
+    ``keys`` of an update-mode result it is compacted every ``compact_every``
+    batches),
     ``parquet``/``json`` (append-only file sinks), ``kafka`` (S3, needs the
     connector), ``console`` (S4).
     """
     w = (df.writeStream.queryName(name).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if sink == "batches":
-        w = w.foreachBatch(batch_writer(out))
+        w = w.foreachBatch(batch_writer(out, keys, compact_every))
     elif sink == "console":
         w = w.format("console").option("truncate", False).option("numRows", 20)
     else:
@@ -159,8 +227,9 @@ def run_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
 
 
 def final_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """Latest row per key across the per-batch folders (update-mode result)."""
-    df = spark.read.parquet(out)
+    """Latest row per key of an update-mode result: its newest state, if it is
+    compacted, and the batches after it."""
+    df = _updates(spark, out)
     cols = [c for c in df.columns if c not in keys and c != "batch_id"]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch_id").alias("s"))
     return last.select(*keys, *[F.col(f"s.{c}").alias(c) for c in cols])

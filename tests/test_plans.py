@@ -20,7 +20,8 @@ def test_no_cartesian_and_python_only_where_designed(spark, sf_dir, name):
     p = _plan(spark, sf_dir, name)
     assert "CartesianProduct" not in p
     python = any(x in p for x in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"))
-    assert python == (name == "m1_demand_model")
+    assert python == (name in ("m1_demand_model", "m1_coefficients", "m1_exact_models",
+                               "m1_grid_likelihood"))
 
 
 @pytest.mark.parametrize("name", ["l1_recent_orders", "l2_top_documents", "j3_similar_incidents"])

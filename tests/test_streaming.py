@@ -184,3 +184,39 @@ def test_breach_batches_carry_state_across_micro_batches(spark):
                          spark, q, o, state_dir, ck, bucket_width=7))
     got = sorted(r.arrival for r in RUN.appended(spark, out).collect())
     assert got == fired and len(fired) > 3
+
+
+def test_compacted_result_equals_all_batches(spark):
+    """Eleven batches with a state every third one, some batches run twice: the
+    final state is that of all batches, and old folders are gone."""
+    import os
+    import random
+    rnd = random.Random(2)
+    out = work_dir(spark, "compacted") + "/out"
+    write = RUN.batch_writer(out, ["k"], compact_every=3)
+    want = {}
+    for n in range(11):
+        rows = [(rnd.randint(0, 9) if rnd.random() < .9 else None, n, f"b{n}") for _ in range(5)]
+        rows = list({r[0]: r for r in rows}.values())
+        df = spark.createDataFrame(rows, "k long, v long, name string")
+        for _ in range(2 if n in (2, 5, 7) else 1):
+            write(df, n)
+        want.update({r[0]: (r[1], r[2]) for r in rows})
+    got = {r.k: (r.v, r.name) for r in RUN.final_state(spark, out, ["k"]).collect()}
+    assert got == want
+    names = os.listdir(out.replace("file:", ""))
+    assert sorted(n for n in names if n.startswith("_state")) == ["_state-5", "_state-8"]
+    assert sorted(int(n[9:]) for n in names if n.startswith("batch_id=")) == [6, 7, 8, 9, 10]
+    # A state that is not complete does not count.
+    os.remove(out.replace("file:", "") + "/_state-8/_SUCCESS")
+    got = {r.k: (r.v, r.name) for r in RUN.final_state(spark, out, ["k"]).collect()}
+    assert got == want
+
+
+def test_rolled_up_sketches_have_small_errors(spark, sf_dir):
+    rows = QS.a5_rolled_up_sketches(spark, sf_dir).collect()
+    assert {r.kafka_mode for r in rows} >= {None, "(all)", "exactly_once"} and len(rows) >= 9
+    for r in rows:
+        if r.exact_unique:
+            assert abs(r.relative_error) <= 0.05
+        assert r.duplicate_orders == r.total_orders_received - r.unique_orders

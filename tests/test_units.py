@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from relaywatch import work_dir
@@ -26,6 +27,69 @@ def test_arma11_recovers_coefficients():
     assert 0.9 < s2 < 1.1
 
 
+def _dense_loglik(y, mean, phi, theta, sigma2):
+    """Gaussian likelihood by the whole covariance matrix of an ARMA(1,1)."""
+    n = len(y)
+    g0 = (1 + 2 * phi * theta + theta ** 2) / (1 - phi ** 2)
+    g1 = (1 + phi * theta) * (phi + theta) / (1 - phi ** 2)
+    lag = np.abs(np.subtract.outer(np.arange(n), np.arange(n)))
+    cov = sigma2 * np.where(lag == 0, g0, g1 * phi ** np.maximum(lag - 1, 0).astype(float))
+    _, logdet = np.linalg.slogdet(cov)
+    d = y - mean
+    return -0.5 * (n * np.log(2 * np.pi) + logdet + d @ np.linalg.solve(cov, d))
+
+
+def test_exact_likelihood_equals_dense_covariance():
+    rng = np.random.default_rng(5)
+    y = 40 + np.cumsum(rng.normal(size=60)) * 0.3 + rng.normal(size=60)
+    phi, theta = np.array([.5, -.7, 0.0, .95, .3]), np.array([.2, .4, -.8, -.5, 0.0])
+    loglik, mean, sigma2 = M.exact_likelihood(y, phi, theta)
+    for k in range(5):
+        args = (mean[k], phi[k], theta[k], sigma2[k])
+        assert loglik[k] == pytest.approx(_dense_loglik(y, *args), rel=1e-10)
+        # Mean and variance are the best ones there.
+        for dm, ds in ((.05, 1), (-.05, 1), (0, 1.05), (0, .95)):
+            assert _dense_loglik(y, mean[k] + dm, phi[k], theta[k], sigma2[k] * ds) < loglik[k]
+
+
+def test_exact_fit_is_the_best_and_recovers_coefficients():
+    rng = np.random.default_rng(9)
+    e = rng.normal(size=4001)
+    x = np.zeros(4001)
+    for t in range(1, 4001):
+        x[t] = .7 * x[t - 1] + e[t] + .3 * e[t - 1]
+    mean, const, phi, theta, sigma2, loglik, ok = M.fit_exact(x[1:] + 20)
+    assert ok and abs(phi - .7) < .05 and abs(theta - .3) < .06 and abs(mean - 20) < .4
+    assert const == pytest.approx(mean * (1 - phi)) and abs(sigma2 - 1) < .1
+    near = M.exact_likelihood(x[1:] + 20, phi + np.array([1, -1, 0, 0]) * 1e-3,
+                              theta + np.array([0, 0, 1, -1]) * 1e-3)[0]
+    assert (near < loglik).all()
+    # Random short series: no start of a random search does better.
+    for _ in range(5):
+        y = rng.normal(size=25).cumsum() + rng.normal(size=25)
+        best = M.fit_exact(y)[5]
+        other = M.exact_likelihood(y, rng.uniform(-.99, .99, 3000), rng.uniform(-.99, .99, 3000))[0]
+        assert best >= other.max() - 1e-9
+
+
+def test_exact_fit_of_odd_series():
+    assert M.fit_exact(np.array([3., 3., 3., 3.])) == (3., 3., 0., 0., 0., None, True)
+    assert M.fit_exact(np.array([1., 2.]))[-1] is False
+    assert M.fit_exact(np.array([1., 5., 2.]))[-1] is True
+
+
+def test_conditional_fit_is_not_above_the_lag_regression():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        y = rng.normal(size=rng.integers(4, 80)) * 5 + 10
+        c, phi, theta, sigma2, _ = M.fit_arma11(y)
+        X = np.column_stack([np.ones(len(y) - 1), y[:-1]])
+        b, *_ = np.linalg.lstsq(X, y[1:], rcond=None)
+        sse = float(((y[1:] - X @ b) ** 2).sum())
+        if abs(b[1]) < .99:
+            assert sigma2 * (len(y) - 1) <= sse * (1 + 1e-9) + 1e-9
+
+
 def test_demand_models_per_item(spark):
     rng = np.random.default_rng(3)
     rows = []
@@ -129,12 +193,13 @@ def test_keyword_wildcards_and_short_words(spark):
 
 
 def test_corpus_reader_and_search(spark):
-    from relaywatch.sources.procedures import read_corpus, write_procedures
+    from relaywatch.sources.procedures import corpus_rejects, read_corpus, write_procedures
     folder = work_dir(spark, "corpus")
     write_procedures(folder)
     with open(os.path.join(folder, "notes.md"), "w") as f:
         f.write("not a procedure")
     corpus = read_corpus(spark, folder)
+    assert corpus_rejects(spark, folder).count() == 0
     assert corpus.count() == 6
     idx = S.build_index(corpus, id_col="doc_name", text_col="content")
     q = spark.createDataFrame([("w", "Weather Surge"), ("z", "zzzz qqqq")], "qid string, text string")
@@ -147,6 +212,19 @@ def test_corpus_reader_and_search(spark):
          "staff_shortage", "weather_surge"])
 
 
+def test_unreadable_files_are_left_out_and_named(spark, tmp_path):
+    from relaywatch.sources.procedures import corpus_rejects, read_corpus
+    (tmp_path / "good one.txt").write_text("first\nsecond\n", encoding="utf-8")
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "latin.txt").write_bytes("caf\xe9".encode("latin-1"))
+    (tmp_path / "other.md").write_bytes(b"\xff")
+    with pytest.warns(UserWarning, match="latin"):
+        got = {r.doc_name: r.content for r in read_corpus(spark, str(tmp_path)).collect()}
+    assert got == {"good one": "first\nsecond\n", "empty": ""}
+    assert [(r.doc_name, r.error) for r in corpus_rejects(spark, str(tmp_path)).collect()] == [
+        ("latin", "not_utf8")]
+
+
 def test_json_lines_source(spark, sf_dir):
     from relaywatch.operators.decode import encode_forwarded
     from relaywatch.sources.orders import read_order_lines, receipts
