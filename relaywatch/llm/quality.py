@@ -28,9 +28,9 @@ A null text has no words (base rules reject it); null languages and sources form
 groups of their own; documents are judged row by row, so repeated rows get equal
 verdicts; an empty table gives no rows.
 
-Three-word windows are compared by 64-bit hashes of which the top bits, all but
-those that number the text's words, tell windows of one text apart: 54 bits for
-1,000 words, which makes an error of one window per 10**10 such texts likely.
+Three-word windows meet by hash and are compared word by word, so none counts by
+chance; one is missed only if another with the same 47 bits or more stands between
+two equal ones. Very long texts are counted whole. Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -89,26 +89,44 @@ def text_counts(text: Column) -> dict[str, Column]:
     }
 
 
+LONG_TEXT = 1 << 16  # words from which window hashes are kept whole
+
+
 def repeated_words(words: str) -> Column:
     """Words covered by three-word windows that the array ``words`` has twice.
 
-    A window becomes one long: its hash above, its place in the low ``b`` bits.
-    Sorted, equal windows stand together; the places of those with an equal
-    neighbour, sorted again, each add up to three words."""
-    return F.expr(f"""
-        CASE WHEN size({words}) < 4 THEN 0L ELSE
+    Windows are sorted by hash, so that equal ones stand together; neighbours with
+    an equal hash are compared word by word. The places of those with an equal
+    neighbour, sorted again, each add up to three words. Up to ``LONG_TEXT`` words a
+    window becomes one long, its hash above and its place in the low ``b`` bits; in
+    longer texts too few bits of the hash would be left, so it is a pair."""
+    b = f"length(bin(size({words})))"
+    one_hash = f"xxhash64({words}[i], {words}[i + 1], {words}[i + 2])"
+    packed = (f"shiftleft({one_hash}, {b}) | i", lambda x: f"shiftright({x}, z.b)",
+              lambda x: f"CAST({x} & (shiftleft(1L, z.b) - 1) AS INT)")
+    paired = (f"struct({one_hash} AS h, i AS p)", lambda x: f"{x}.h", lambda x: f"{x}.p")
+
+    def covered(key: str, hash_of, place_of) -> str:
+        def equal(y: str) -> str:
+            same = " AND ".join(f"{words}[{place_of('x')} + {j}] = {words}[{place_of(y)} + {j}]"
+                                for j in range(3))
+            return f"{hash_of('x')} = {hash_of(y)} AND {same}"
+        before, after = "z.k[greatest(i - 1, 0)]", "z.k[least(i + 1, size(z.k) - 1)]"
+        return f"""
         aggregate(
           array_sort(transform(filter(
             transform(array(struct(
-              sort_array(transform(sequence(0, size({words}) - 3), i ->
-                shiftleft(xxhash64({words}[i], {words}[i + 1], {words}[i + 2]), length(bin(size({words}))))
-                | i)) AS k, length(bin(size({words}))) AS b)), z ->
+              sort_array(transform(sequence(0, size({words}) - 3), i -> {key})) AS k, {b} AS b)), z ->
               transform(z.k, (x, i) -> IF(
-                (i > 0 AND shiftright(x, z.b) = shiftright(z.k[greatest(i - 1, 0)], z.b))
-                OR (i + 1 < size(z.k) AND shiftright(x, z.b) = shiftright(z.k[least(i + 1, size(z.k) - 1)], z.b)),
-                x & (shiftleft(1L, z.b) - 1), -1L)))[0], x -> x >= 0), x -> x)),
+                (i > 0 AND {equal(before)}) OR (i + 1 < size(z.k) AND {equal(after)}),
+                CAST({place_of('x')} AS BIGINT), -1L)))[0], x -> x >= 0), x -> x)),
           struct(0L AS n, -3L AS last),
-          (s, p) -> struct(s.n + least(3L, p - s.last) AS n, p AS last), s -> s.n) END""")
+          (s, p) -> struct(s.n + least(3L, p - s.last) AS n, p AS last), s -> s.n)"""
+
+    return F.expr(f"""
+        CASE WHEN size({words}) < 4 THEN 0L
+             WHEN size({words}) <= {LONG_TEXT} THEN {covered(*packed)}
+             ELSE {covered(*paired)} END""")
 
 
 def counted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
