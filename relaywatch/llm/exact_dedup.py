@@ -17,13 +17,18 @@ partitions Spark splits. Only (doc_id, digest, row key) of a row is shuffled,
 never its text. Null and empty texts are equal; a null doc_id is smaller than
 any other; an empty table gives no rows and appends nothing.
 
-The index folder holds one sub-folder per appended batch, written under a name
-of its own and listed in none until its commit is complete, so a failed append
-leaves the index as it was.
+The index is partitioned by batch: a batch is deduplicated against all other
+batches and appended, last, as a partition of its own. A batch that runs again
+under its name, after a failure at any point, meets the index without its own rows,
+returns the same result and writes its partition anew. Partitions share the
+bucketing, so a bucket of all batches is read by one task, which sorts it; very long
+texts take part by their digest only, and other columns may have any name.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,23 +39,36 @@ BUCKETS = 64  # fixed for the life of an index; size it for about 256 MB a bucke
 
 
 class DigestIndex:
-    """A bucketed, sorted table at ``path``, attached to the session under a
-    name of its own. An index of another session is attached by its path."""
+    """A bucketed, sorted table at ``path`` with a partition per batch, attached to
+    the session under a name of its own. An index of another session is attached by
+    its path."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = "digest_index_" + C.scratch(spark, "x").rsplit("-", 1)[1]
-        spark.sql(f"CREATE TABLE {self.name} ({SCHEMA}) USING parquet "
-                  f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
-                  f"LOCATION '{path}'")
-
-    def read(self) -> DataFrame:
-        return self.spark.table(self.name)
-
-    def append(self, rows: DataFrame) -> None:
-        """Add rows whose digests the index lacks; one file per bucket."""
-        (rows.repartition(self.buckets, "digest").sortWithinPartitions("digest")
-         .write.insertInto(self.name))
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+        self._fs = p.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+        self._fs.mkdirs(p)
+        spark.sql(f"CREATE TABLE {self.name} ({SCHEMA}, batch string) USING parquet "
+                  f"PARTITIONED BY (batch) CLUSTERED BY (digest) SORTED BY (digest) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+
+    def read(self, without: str | None = None) -> DataFrame:
+        """All rows, but those of the batch ``without``."""
+        rows = self.spark.table(self.name)
+        return (rows if without is None else rows.filter(F.col("batch") != without)).drop("batch")
+
+    def append(self, rows: DataFrame, batch: str | None = None) -> None:
+        """Add rows whose digests the index lacks as ``batch`` (a name of its own by
+        default), in place of what an earlier attempt left there; one file per
+        bucket."""
+        name = batch or uuid.uuid4().hex
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={name}")  # noqa: SLF001
+        self._fs.delete(p, True)
+        (rows.withColumn("batch", F.lit(name)).repartition(self.buckets, "digest")
+         .sortWithinPartitions("digest").write.insertInto(self.name))
+        self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
         self.spark.catalog.refreshTable(self.name)
 
     def detach(self) -> None:
@@ -69,15 +87,17 @@ def digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
 
 def dedup(docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """Deduplicate a batch against the index and append what is new. One row per
-    document: doc_id, k_row, keep_id, group_size, kept, text_sha256."""
+          text_col: str = "text", batch: str | None = None) -> DataFrame:
+    """Deduplicate a batch against the index and append what is new under the name
+    ``batch`` (by which the batch can run again). One row per document: doc_id,
+    k_row, keep_id, group_size, kept, text_sha256. The result is stored before the
+    index is changed."""
     rows = digests(docs, id_col=id_col, text_col=text_col)
     groups = rows.groupBy("digest").agg(
         F.max(F.struct("doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("n"))
     # The groups meet the index in its own bucketing.
     groups = C.stored(groups, "groups").repartition(index.buckets, "digest")
-    known = index.read().select("digest", F.col("keep_id").alias("known_id"), "n_rows")
+    known = index.read(without=batch).select("digest", F.col("keep_id").alias("known_id"), "n_rows")
     fresh = groups.hint("merge").join(known, "digest", "left_anti").select(
         "digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("row"),
         F.col("n").alias("group_size"))
@@ -85,19 +105,20 @@ def dedup(docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id",
         "digest", F.col("known_id").alias("keep_id"), F.lit(None).cast("long").alias("row"),
         (F.col("n") + F.col("n_rows")).alias("group_size"))
     verdict = C.stored(fresh.unionByName(old), "verdicts")
-    index.append(verdict.filter("row IS NOT NULL").select("digest", "keep_id",
-                                                          F.col("group_size").alias("n_rows")))
-    verdict = verdict.withColumnRenamed("row", "kept_row")
-    return rows.join(verdict, "digest").select(
+    of_row = verdict.withColumnRenamed("row", "kept_row")
+    out = C.stored(rows.join(of_row, "digest").select(
         "doc_id", "k_row", "keep_id", "group_size",
         F.coalesce(F.col("row") == F.col("kept_row"), F.lit(False)).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"))
+        F.lower(F.hex("digest")).alias("text_sha256")), "exact")
+    index.append(verdict.filter("row IS NOT NULL").select(
+        "digest", "keep_id", F.col("group_size").alias("n_rows")), batch)
+    return out
 
 
 def distinct_texts(docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that ``dedup`` keeps, with all their columns."""
-    found = C.stored(dedup(docs, index, id_col=id_col, text_col=text_col), "exact")
+    found = dedup(docs, index, id_col=id_col, text_col=text_col, batch=batch)
     same = found.groupBy(F.col("doc_id").alias("k_id"), "k_row").agg(
         F.count(F.lit(1)).alias("n_same"), F.max("kept").alias("any"))
     return C.semi_rows(docs, same.filter("any").drop("any"), id_col)

@@ -66,7 +66,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
 def op6_exact_dedup(spark, sf_dir):
     index = exact_dedup.DigestIndex(spark, C.scratch(spark, "digest-index"))
-    return exact_dedup.dedup(table(spark, sf_dir, "documents"), index).drop("k_row")
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"), index, batch="documents").drop("k_row")
 
 
 @register("op7_simhash")

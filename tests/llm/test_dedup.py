@@ -85,6 +85,30 @@ def test_exact_dedup_batches(spark):
     assert again.read().count() == len(want) + 1
 
 
+def test_exact_dedup_of_a_batch_that_runs_again(spark):
+    """A named batch returns the same rows however often it runs, before or after
+    its append, and the index has them once; later batches meet it."""
+    index = exact_dedup.DigestIndex(spark, common.scratch(spark, "index"), buckets=4)
+    first, second = frame(spark, rows()[:12]), frame(spark, rows()[6:])
+
+    def run(docs, batch, at):
+        return Counter((r.doc_id, r.text_sha256, r.kept, r.keep_id, r.group_size)
+                       for r in exact_dedup.dedup(docs, at, batch=batch).collect())
+    a = run(first, "a", index)
+    assert run(first, "a", index) == a and index.read().count() == len({t or "" for _, t in PAIRS[:12]})
+    b = run(second, "b", index)
+    again = exact_dedup.DigestIndex(spark, index.path, buckets=4)
+    assert run(second, "b", again) == b and run(second, "b", again) == b
+    assert again.read().count() == len({t or "" for _, t in PAIRS})
+    old = {hashlib.sha256((t or "").encode()).hexdigest() for _, t in PAIRS[:12]}
+    assert {sha for _, sha, kept, _, _ in b if kept} == {
+        hashlib.sha256((t or "").encode()).hexdigest() for _, t in PAIRS[6:]} - old
+    # A plan made before the append was lost (an attempt without its last step).
+    third = frame(spark, [(500, "a third batch", *rows()[0][2:])])
+    again.append(again.read().limit(3), "c")
+    assert [k for _, _, k, _, _ in run(third, "c", again)] == [True]
+
+
 def test_exact_dedup_keeps_one_of_equal_rows(spark):
     index = exact_dedup.DigestIndex(spark, common.scratch(spark, "index"), buckets=4)
     docs = frame(spark, [rows()[0]] * 3 + [rows()[4]])
