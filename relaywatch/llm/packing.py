@@ -114,8 +114,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, *, capacity: in
     ``offset`` its place there. Texts are shuffled once, to their groups."""
     pairs = C.pairs_of(docs, id_col, text_col)
     n_groups = max(1, -(-docs.count() // group_docs))
-    group = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col(C.ID), F.lit(-1)), F.col(C.TEXT)),
-                   F.lit(n_groups))
+    # The row's place in the scan is part of the hash: equal rows go to all groups.
+    group = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col(C.ID), F.lit(-1)), F.col(C.TEXT),
+                              F.monotonically_increasing_id()), F.lit(n_groups))
 
     def pack(key, table):
         from relaywatch.llm.tokens import loaded

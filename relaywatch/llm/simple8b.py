@@ -168,6 +168,7 @@ def read_segment(b: bytes) -> tuple[np.ndarray, np.ndarray]:
     return unpack(words, blocks, escapes, n_ids), sizes
 
 
+SHARD_GROUP = 4096
 _SEGMENTS = "shard int, doc_ids array<long>, n_ids long, payload binary"
 _ROWS = "shard int, doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -222,9 +223,16 @@ def read_token_files(spark, path: str) -> DataFrame:
                     "n_tokens": pa.array(sizes, pa.int64()),
                     "ids_crc32": pa.array(crc, pa.int64())})
 
-    # One row per shard: the ids before it.
-    per = files.select(F.col("shard").alias("s"), F.col("n_ids"))
-    base = per.select("s", (F.sum("n_ids").over(Window.orderBy("s")) - F.col("n_ids")).alias("base"))
+    # The ids before each shard: within its group of shards, and in the groups
+    # before (one row per ``SHARD_GROUP`` shards, so that no task sees all shards).
+    per = files.select(F.col("shard").alias("s"), F.col("n_ids"),
+                       F.floor(F.col("shard") / SHARD_GROUP).alias("g"))
+    groups = per.groupBy("g").agg(F.sum("n_ids").alias("in_group"))
+    ahead = groups.select("g", (F.sum("in_group").over(Window.orderBy("g")) - F.col("in_group"))
+                          .alias("ahead"))
+    inside = F.sum("n_ids").over(Window.partitionBy("g").orderBy("s")) - F.col("n_ids")
+    base = per.withColumn("inside", inside).join(ahead, "g").select(
+        "s", (F.col("inside") + F.col("ahead")).alias("base"))
     rows = files.select("shard", "doc_ids", "payload").mapInArrow(decode, _ROWS)
     return (rows.join(base, rows.shard == base.s)
             .select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens",
