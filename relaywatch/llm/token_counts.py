@@ -1,8 +1,9 @@
 """Token counts per section by offset-mapped attribution (operator 2).
 
 A document is encoded once as a whole, as a trainer would see it. Each token has
-a span of bytes of the text (the lengths of byte-level tokens add up to it), and
-each section a span too; an interval join of the two gives a token to
+a span of bytes of the text, and each section a span too. The spans of a byte-level
+vocabulary follow from the lengths of its tokens, which add up to the text; those of
+any other from the offsets of the library. An interval join of the two gives a token to
 
     start      the section its first byte lies in (the rule of the query)
     majority   the section that holds most of its bytes, the earlier of ties
@@ -15,8 +16,8 @@ each, and counts tokens per field.
 
 A task works on one batch of documents; nothing is shuffled. Null texts and
 empty texts have one empty section without tokens; a null field counts as empty;
-rows that share a doc_id keep their own rows of counts; an empty table gives no
-rows.
+rows that share a doc_id keep their own rows of counts; other columns may have any
+name; very long texts are encoded whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,11 +32,13 @@ ROWS = ("doc_id long, section int, field string, start_byte long, end_byte long,
         "n_tokens {n}, n_crossing long, doc_tokens long")
 
 
-def attribute(token_end: np.ndarray, section_end: np.ndarray, rule: str = "start"):
-    """(tokens of each section, tokens that cross its end). Both arrays hold the
-    ascending ends of spans that tile the same text."""
+def attribute(token_end: np.ndarray, section_end: np.ndarray, rule: str = "start",
+              token_start: np.ndarray | None = None):
+    """(tokens of each section, tokens that cross its end). Sections tile the text,
+    given by their ascending ends; so do tokens, unless their starts are given, too."""
     n = len(section_end)
-    token_start = np.concatenate([[0], token_end])[:-1].astype(np.int64)
+    if token_start is None:
+        token_start = np.concatenate([[0], token_end])[:-1].astype(np.int64)
     size = token_end - token_start
     real = size > 0
     first = np.searchsorted(section_end, token_start, "right")
@@ -69,6 +72,27 @@ def token_sizes(path: str) -> np.ndarray:
     return out
 
 
+def byte_level(path: str) -> bool:
+    """Whether the tokens of a vocabulary file are byte strings that add up to the
+    text: its decoder, or one of its decoders, is the byte-level one."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    parts = [spec.get("decoder") or {}]
+    kinds = {d.get("type") for p in parts for d in [p, *p.get("decoders", [])]}
+    return "ByteLevel" in kinds and not spec.get("normalizer")
+
+
+def library_spans(tokenizer, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Byte starts and ends of the tokens of a text, from the library's offsets
+    (characters of the text); white space may lie in none."""
+    at = np.array(tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+    width = np.array([len(c.encode()) for c in text], np.int64)
+    byte = np.concatenate([[0], np.cumsum(width)])
+    return byte[at[:, 0]], byte[at[:, 1]]
+
+
 def token_counts(docs: DataFrame, tokenizer: str, *, rule: str = "start",
                  fields: list[str] | None = None, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
@@ -83,7 +107,12 @@ def token_counts(docs: DataFrame, tokenizer: str, *, rule: str = "start",
 
     def count(batches):
         from relaywatch.llm.tokens import loaded
-        enc, size = loaded(tokenizer), token_sizes(tokenizer)
+        exact = byte_level(tokenizer)  # else the library's offsets, text by text
+        if exact:
+            enc, size = loaded(tokenizer), token_sizes(tokenizer)
+        else:
+            from tokenizers import Tokenizer
+            library = Tokenizer.from_file(tokenizer)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -94,7 +123,9 @@ def token_counts(docs: DataFrame, tokenizer: str, *, rule: str = "start",
             else:
                 texts = columns[0]
             out = []
-            for k, ids in enumerate(enc.encode(texts)):
+            spans = ((None, np.cumsum(size[ids])) for ids in enc.encode(texts)) if exact else (
+                library_spans(library, t.as_py()) for t in texts)
+            for k, (start, end) in enumerate(spans):
                 if fields:
                     ends = np.cumsum([len(c[k].as_py().encode()) + 1 for c in columns])
                 else:
@@ -102,10 +133,10 @@ def token_counts(docs: DataFrame, tokenizer: str, *, rule: str = "start",
                     ends = np.flatnonzero(raw == 10) + 1
                     if not len(ends) or ends[-1] < len(raw):
                         ends = np.append(ends, len(raw))
-                got, crossing = attribute(np.cumsum(size[ids]), ends, rule)
+                got, crossing = attribute(end, ends, rule, start)
                 out.append((np.full(len(ends), k), np.arange(len(ends)),
                             np.concatenate([[0], ends[:-1]]), ends, got, crossing,
-                            np.full(len(ends), len(ids))))
+                            np.full(len(ends), len(end))))
             doc, section, start, end, got, crossing, total = map(np.concatenate, zip(*out))
             field = pa.array(names).take(pa.array(section if fields else section * 0))
             yield pa.RecordBatch.from_arrays(

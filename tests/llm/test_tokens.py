@@ -166,3 +166,52 @@ def test_token_counts_of_fields(spark, rule):
         total[r.doc_id] = r.doc_tokens
         assert r.field == ["lang", "text", "source"][r.section]
     assert all(abs(per[i] - total[i]) < 1e-6 for i in total) and len(total) > 20
+
+
+@pytest.mark.parametrize("path", [BYTE, WORDS])
+def test_token_counts_equal_library_offsets_for_any_vocabulary(spark, path):
+    """Lines of every text, the ``start`` rule, against the library's offsets."""
+    tok = Tokenizer.from_file(path)
+    want = Counter()
+    for i, t in PAIRS:
+        ends, at = [], 0
+        for line in t.split("\n"):
+            at += len(line) + 1
+            ends.append(min(at, len(t)))
+        if len(ends) > 1 and ends[-1] == ends[-2]:
+            ends.pop()
+        enc = tok.encode(t, add_special_tokens=False)
+        # Bytes, as a byte-level token may begin inside a character.
+        per = [0] * len(ends)
+        for a, _ in enc.offsets:
+            per[min(bisect_right(ends, a), len(ends) - 1)] += 1
+        want.update((i, k, n, len(enc.ids)) for k, n in enumerate(per))
+    got = Counter((r.doc_id, r.section, r.n_tokens, r.doc_tokens)
+                  for r in token_counts.token_counts(frame(spark), path).collect())
+    assert got == want
+    for rule in ("majority", "share"):
+        total = defaultdict(float)
+        rows_ = token_counts.token_counts(frame(spark).filter("doc_id > 18"), path, rule=rule).collect()
+        for r in rows_:
+            total[r.doc_id, r.doc_tokens] += r.n_tokens
+        assert all(abs(n - d) < 1e-6 for (_, d), n in total.items())
+
+
+def test_packing_deals_equal_rows_to_all_groups(spark):
+    docs = spark.createDataFrame([(1, "the same text again")] * 400 + [
+        (i, f"some text {i}") for i in range(2, 802)], "doc_id long, text string")
+    out = packing.pack_documents(docs, WORDS, 1, group_docs=100).collect()
+    sizes = Counter(r.sequence_id >> 32 for r in out)
+    assert sum(r.doc_id == 1 for r in out) == 400
+    assert max(sizes.values()) < 2 * np.median(list(sizes.values()))
+
+
+def test_token_files_add_up_over_groups_of_shards(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text number {i} " * (i % 7)) for i in range(60)],
+                                 "doc_id long, text string")
+    path = common.scratch(spark, "files")
+    simple8b.write_token_files(docs, path, BYTE, 2, shard_bytes=150)
+    want = sorted((r.doc_id, r.start) for r in simple8b.read_token_files(spark, path).collect())
+    monkeypatch.setattr(simple8b, "SHARD_GROUP", 3)
+    assert sorted((r.doc_id, r.start) for r in simple8b.read_token_files(spark, path).collect()) == want
+    assert want[0] == (0, 0) and [s for _, s in want] == sorted(s for _, s in want)
