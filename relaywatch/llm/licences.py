@@ -89,6 +89,16 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it: a
+    filter is pushed below the projection that names the value and would repeat it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _text_grams(text: Column) -> Column:
+    return _once(_words(text), _grams)
+
+
 def _grams(words: Column) -> Column:
     """Distinct words and word pairs."""
     pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
@@ -138,7 +148,7 @@ def candidate_lines(docs: DataFrame, id_col: str, text_col: str, confirm: float)
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("grams", _grams(_words(F.col("line"))))
+    rows = rows.withColumn("grams", _text_grams(F.col("line")))
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams",
                      outputCol="features").transform(rows)
 
@@ -154,9 +164,9 @@ def _template_grams() -> list[list[str]]:
 
 def _fragment(grams: Column) -> Column:
     """Whether more than half of the grams are those of one notice."""
-    return reduce(lambda a, b: a | b, [
-        2 * F.size(F.array_intersect(grams, F.array(*[F.lit(g) for g in t])))
-        > F.size(F.array_distinct(grams)) for t in _template_grams()])
+    return _once(grams, lambda g: reduce(lambda a, b: a | b, [
+        2 * F.size(F.array_intersect(g, F.array(*[F.lit(x) for x in t])))
+        > F.size(F.array_distinct(g)) for t in _template_grams()]))
 
 
 def _chosen(lines: DataFrame, classes: int, name: str) -> DataFrame:
@@ -177,7 +187,7 @@ def training_rows(spark: SparkSession, lines: DataFrame, near: DataFrame) -> Dat
     sample = _chosen(lines, NEGATIVES, "negatives").unionByName(
         _chosen(near, NEAR, "near-negatives")).dropDuplicates(["n_h"])
     # A line out of a wrapped notice is no unknown: most of its grams are a template's.
-    sample = sample.filter(~_fragment(_grams(_words(F.col("line")))))
+    sample = sample.filter(~_fragment(_text_grams(F.col("line"))))
     sample = C.stored(sample.select("line", F.row_number().over(Window.orderBy("n_h")).alias("n")),
                       "sample")
     filler = sample.filter(F.col("n") <= VARIANTS).select("n", F.split("line", " ").alias("w"))
@@ -232,11 +242,11 @@ def _classified(rows: DataFrame, model: LogisticRegressionModel, least: float, c
         F.max("agreement").alias("agreement")).filter(F.col("agreement") >= confirm)
 
 
-def _may_match(grams: Column, confirm: float) -> Column:
-    """Whether the grams hold the ``confirm`` share of some template's."""
+def _may_match(text: Column, confirm: float) -> Column:
+    """Whether a text's grams hold the ``confirm`` share of some template's."""
     templates = _template_grams()
     known = F.array(*[F.lit(g) for g in sorted({g for t in templates for g in t})])
-    return F.exists(F.array(F.array_intersect(grams, known)), lambda hit: reduce(
+    return _once(F.array_intersect(_text_grams(text), known), lambda hit: reduce(
         lambda a, b: a | b,
         [F.size(F.array_intersect(hit, F.array(*[F.lit(g) for g in t]))) / F.lit(len(t))
          >= confirm for t in templates]))
@@ -249,8 +259,8 @@ def windows(docs: DataFrame, id_col: str, text_col: str, confirm: float) -> Data
     blocks = docs.filter(_may_hold(text, confirm)).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          C.row_key(docs).alias("k_row"),
                          F.posexplode(F.split(text, r"\n[^\p{L}\p{N}]*\n")).alias("block", "b_text"))
-    blocks = blocks.filter(_may_hold(F.col("b_text"), confirm)).withColumn(
-        "words", _words(F.col("b_text"))).filter(_may_match(_grams(F.col("words")), confirm))
+    blocks = blocks.filter(_may_hold(F.col("b_text"), confirm)).filter(
+        _may_match(F.col("b_text"), confirm)).withColumn("words", _words(F.col("b_text")))
 
     def cuts(size: int, step: int) -> Column:
         last = F.greatest(F.size("words") - (size - step) - 1, F.lit(0))
@@ -270,14 +280,14 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     -1 - (its number in the text) and its best window as line."""
     spark = docs.sparkSession
     lines = C.stored(candidate_lines(docs, id_col, text_col, confirm).withColumn(
-        "may", _may_match(_grams(_words(F.col("line"))), confirm)), "candidates")
+        "may", _may_match(F.col("line"), confirm)), "candidates")
     model, least = trained(spark, paragraphs(docs, id_col, text_col), lines.filter("NOT may"),
                            false_rate)
     single = C.stored(_classified(lines.filter("may"), model, least, confirm,
                                   ["doc_id", "k_row", "paragraph"]), "licence-lines")
     keys = ["doc_id", "k_row", "block", "b_text", "start", "size"]
     cut = C.stored(windows(docs, id_col, text_col, confirm).filter(
-        _may_match(_grams(_words(F.col("line"))), confirm)), "windows")
+        _may_match(F.col("line"), confirm)), "windows")
     found = _classified(cut, model, least, confirm, keys)
     # The best agreement among the windows that overlap.
     place = Window.partitionBy("doc_id", "k_row", "block").orderBy("start")
