@@ -3,9 +3,9 @@ and the history table itself (S7, S8, S9).
 
 A history row is ``(id, incident, solution, improvement, confidence,
 timestamp)``; ``timestamp`` is ISO text, which sorts correctly as text. The
-table is a folder with one sub-folder per appended batch; a replayed batch
-overwrites its own, so nothing is lost and nothing is stored twice, however
-equal the rows are. Stored ids name the batch and the row in it.
+table is a commit log (``sources.commits``): a batch is there once its manifest is
+written, and only once, however equal the rows are. Stored ids name the batch and
+the row in it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from relaywatch.functions.text import contains_word, keywords
 from relaywatch.schema import HISTORY, HISTORY_SEEDS
+from relaywatch.sources.commits import CommitLog, stamped
 
 GRAM = 4  # characters of a keyword that are matched by equality
 
@@ -57,40 +58,38 @@ def seeded(spark: SparkSession, history: DataFrame) -> DataFrame:
 
 # --- S7 / S8 / S9: the history table on storage ----------------------------
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    stored = spark.read.schema(HISTORY).option("recursiveFileLookup", "true").parquet(path)
-    return stored.select(*HISTORY.fieldNames())
+def history_log(spark: SparkSession, path: str) -> CommitLog:
+    return CommitLog(spark, path, HISTORY)
 
 
 def open_history(spark: SparkSession, path: str) -> DataFrame:
-    """S7 + S8: read the table; one that is missing or empty gets the seeds.
-    Opening a table that has rows writes nothing."""
-    if not _exists(spark, path) or _read(spark, path).limit(1).count() == 0:
-        seed_rows(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/run=seed/batch_id=0")
-    return _read(spark, path)
+    """S7 + S8: read the table as of now; one that is missing or empty gets the
+    seeds, once. Opening lists the manifests, whatever the number of batches; a
+    table that has rows is not written to."""
+    log = history_log(spark, path)
+    if not any(f[1] for f in log.current()[1]["folders"]):
+        log.append(seed_rows(spark).coalesce(1), "seed", 0)
+    return log.read()
 
 
 def record_incidents(spark: SparkSession, outcomes: DataFrame, path: str,
                      ts_col: str | None = None, batch_id: int | None = None,
-                     run: str = "manual") -> None:
+                     run: str = "manual") -> bool:
     """Append outcomes (incident, solution, improvement, confidence), every
     row. Missing times become the current time.
 
-    Batch ``batch_id`` of ``run`` (a query's checkpoint) is one folder that a
-    replay overwrites; without a batch id each call adds a batch of its own.
+    Batch ``batch_id`` of ``run`` (a query's checkpoint) is added once: a replay adds
+    nothing, and a batch whose writer was lost before its commit has left nothing.
+    Without a batch id each call adds a batch of its own. True if rows were added.
     """
+    log = history_log(spark, path)
+    if batch_id is not None and log.has(run, batch_id):
+        return False
     batch = uuid.uuid4().hex if batch_id is None else str(batch_id)
     rows = history_rows(outcomes, ts_col)
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    rows = rows.withColumn("timestamp", F.coalesce("timestamp", now)).withColumn(
-        "id", F.concat(F.lit(f"{run}-{batch}-"), F.lpad(F.monotonically_increasing_id()
-                                                       .cast("string"), 20, "0")))
-    rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch}")
+    rows = stamped(rows.withColumn("timestamp", F.coalesce("timestamp", now)), f"{run}-{batch}-")
+    return log.append(rows, None if batch_id is None else run, batch_id)
 
 
 # --- J3 / J4 / L3: lookups -------------------------------------------------

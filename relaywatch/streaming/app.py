@@ -145,7 +145,9 @@ def consumer_queries(spark: SparkSession, base: str, source: str = "kafka",
         queries["diagnose"] = partial(
             RUN.breach_trigger_batches, session, events, f"{base}/diagnose/out",
             f"{base}/diagnose/state", f"{base}/diagnose/checkpoint", trig,
-            on_fired=RUN.diagnosis_handler(session, f"{base}/history"), order=["arrival", *place])
+            on_fired=RUN.diagnosis_handler(session, f"{base}/history",
+                                           RUN.run_name(f"{base}/diagnose/checkpoint")),
+            order=["arrival", *place])
     return queries
 
 

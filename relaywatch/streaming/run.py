@@ -13,6 +13,7 @@ ST11, ST12).
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 
@@ -276,12 +277,18 @@ def keyed_json_sink(df: DataFrame, key_col: str, checkpoint: str, topic: str | N
     return w.format("json").option("path", path).start()
 
 
+def run_name(checkpoint: str) -> str:
+    """The name under which a query's batches are stored: that of its checkpoint,
+    since batch numbers start again with a new one."""
+    return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 def diagnosis_handler(spark: SparkSession, history_path: str, run: str = "stream"
                       ) -> Callable[[DataFrame, int], None]:
     """J9 + S9 for one batch of fired events: diagnose against the history as it
-    stands before the batch, then store every outcome in the batch's own folder,
-    which a replay overwrites. The procedures are indexed once; a batch without
-    events does nothing."""
+    stands before the batch, then store every outcome as batch ``batch_id`` of
+    ``run``, which a replay does not add again. The procedures are indexed once; a
+    batch without events does nothing."""
     from relaywatch.operators import diagnose as G
     from relaywatch.operators import history as H
     from relaywatch.sources.procedures import procedure_documents
@@ -312,7 +319,7 @@ def diagnose_on_breach(spark: SparkSession, fired: DataFrame, history_path: str,
     against the history as it stands, then store the outcomes (S9). With ``out``
     the events of a batch are written there first and read back, so that the
     stateful part of the query runs once."""
-    diagnose = diagnosis_handler(spark, history_path)
+    diagnose = diagnosis_handler(spark, history_path, run_name(checkpoint))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if out:
