@@ -19,8 +19,10 @@ a count of zero does not reject the first document that has one.
 
 Documents of a group with fewer than ``min_group`` rows are judged by the estimate
 of their whole language, large groups included, and where the language has fewer
-rows, by that of the whole table. Only in a table with fewer than ``min_group`` rows
-that pass the base rules do these alone decide. Cut points come from percentile
+rows, by that of the whole table, of any size. Each covariance is shrunk towards a
+wide prior (``PRIOR``), which weighs as much as ``PRIOR_ROWS`` rows: next to nothing
+in a large group, most of it in a table of a few documents, where only gross
+outliers go. Cut points come from percentile
 sketches of bounded size, means and covariances from partial aggregates, so a
 source with a third of all rows is never gathered in a task.
 
@@ -51,6 +53,7 @@ SUPPORT, STEPS, QUANTILE, MIN_GROUP = 0.5, 50, 1 - 1e-6, 200  # STEPS: at most s
 FALL = 1e-3  # a smaller fall of the log determinant is none (the cut points are sketches)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FLOORS = (0.35, 0.04, 0.08, 0.12)  # smallest spread of each feature
+PRIOR, PRIOR_ROWS = (1.0, 0.1, 0.2, 0.3), 20  # spread and weight of the prior
 P = len(FLOORS)
 
 
@@ -203,14 +206,11 @@ def grouped(rows: DataFrame, min_group: int) -> DataFrame:
             .select("doc_id", "k_row", *[f"x{i}" for i in range(P)], F.inline(members)))
 
 
-def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS,
-                  min_group: int = MIN_GROUP) -> DataFrame:
+def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
     """``vectors`` (g, x0..x3, ...) with the squared robust distance ``d2`` to the
-    centre of their group; null where the group is too small to judge."""
+    centre of their group."""
     mids = C.stored(vectors.groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"m{i}") for i in range(P)])
-        .filter(F.col("n") >= min_group).drop("n"), "mcd-mid")
+        *[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"m{i}") for i in range(P)]), "mcd-mid")
     # Medians give the first centre, absolute deviations from them the spread.
     spread = vectors.join(mids, "g").groupBy("g").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(P)],
@@ -232,10 +232,15 @@ def mcd_distances(vectors: DataFrame, *, support: float = SUPPORT, steps: int =
         cut = C.stored(near.groupBy("g").agg(F.percentile_approx("d2", support, 2000).alias("cut")),
                        "mcd-cut")
         core = near.join(cut, "g").filter("d2 <= cut")
-        now = _whitened(core.groupBy("g").agg(
-            *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)],
+        sums = core.groupBy("g").agg(
+            F.count(F.lit(1)).alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)],
             *[(F.covar_pop(f"x{i}", f"x{j}") * scale).alias(f"c{i}{j}")
-              for i in range(P) for j in range(i, P)])).withColumn("ld", log_det)
+              for i in range(P) for j in range(i, P)])
+        prior = F.lit(float(PRIOR_ROWS)) / (F.col("n") + PRIOR_ROWS)
+        now = _whitened(sums.withColumns(
+            {f"c{i}{j}": F.col(f"c{i}{j}") * (1 - prior)
+             + (prior * PRIOR[i] ** 2 if i == j else F.lit(0.0))
+             for i in range(P) for j in range(i, P)})).withColumn("ld", log_det)
         now = now.select("g", *[F.col(c).alias(f"n_{c}") for c in [*numbers, "ld"]])
         lower = F.coalesce(F.col("n_ld") < F.col("ld"), F.lit(False))
         falls = F.coalesce(F.col("n_ld") < F.col("ld") - FALL, F.lit(False))
@@ -264,7 +269,7 @@ def judged(docs: DataFrame, *, quantile: float = QUANTILE, min_group: int = MIN_
     rows = C.stored(counted(docs, **columns), "counts")
     vectors = C.stored(grouped(rows, min_group), "vectors")
     limit = chi2_quantile(quantile, P)
-    far = mcd_distances(vectors, min_group=min_group).filter(F.col("own") & (F.col("d2") > limit))
+    far = mcd_distances(vectors).filter(F.col("own") & (F.col("d2") > limit))
     # Equal rows have equal distances: one verdict for each row key.
     far = far.groupBy(F.col("doc_id").alias("f_id"), F.col("k_row").alias("f_row")).agg(
         F.max("d2").alias("d2"))
