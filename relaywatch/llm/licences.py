@@ -119,17 +119,19 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def needed_words(confirm: float) -> list[str]:
     """Words of which any text with the ``confirm`` share of some notice's grams
     holds one: without these words of a notice, and the pairs that they stand in,
-    fewer of its grams are left than that. Frequent words and numbers are taken last."""
+    fewer of its grams are left than that. Frequent words are taken late, numbers and
+    words that stand in many others last."""
     out: set[str] = set()
     for grams in _template_grams():
         left = [g.split(" ") for g in grams]
         while len(left) >= confirm * len(grams):
             words = {w for g in left for w in g}
-            best = min(words, key=lambda w: (w in FREQUENT or w.isdigit(), w not in out,
+            best = min(words, key=lambda w: (w.isdigit(), len(w) < 3, w in FREQUENT, w not in out,
                                              -sum(w in g for g in left), -len(w), w))
             out.add(best)
             left = [g for g in left if best not in g]
-    return sorted(out)
+    # A text that holds a word holds its parts.
+    return sorted(w for w in out if not any(v != w and v in w for v in out))
 
 
 def _may_hold(text: Column, confirm: float) -> Column:
@@ -140,10 +142,17 @@ def _may_hold(text: Column, confirm: float) -> Column:
         lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in needed_words(confirm)]))
 
 
-def candidate_lines(docs: DataFrame, id_col: str, text_col: str, confirm: float) -> DataFrame:
-    """The paragraphs that hold a needed word."""
+def held_texts(docs: DataFrame, id_col: str, text_col: str, confirm: float) -> DataFrame:
+    """(doc_id, k_row, text) of the documents that hold a needed word."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    lines = paragraphs(docs.filter(_may_hold(text, confirm)), id_col, text_col)
+    return docs.filter(_may_hold(text, confirm)).select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), C.row_key(docs).alias("k_row"),
+        text.alias("text"))
+
+
+def candidate_lines(held: DataFrame, confirm: float) -> DataFrame:
+    """The paragraphs of held texts that hold a needed word."""
+    lines = held.select("doc_id", "k_row", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
     return lines.filter(_may_hold(F.col("line"), confirm))
 
 
@@ -252,13 +261,11 @@ def _may_match(text: Column, confirm: float) -> Column:
          >= confirm for t in templates]))
 
 
-def windows(docs: DataFrame, id_col: str, text_col: str, confirm: float) -> DataFrame:
-    """Word windows of the blocks that may hold a notice: doc_id, k_row, block number
-    and text, first word, size and the words as ``line``."""
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    blocks = docs.filter(_may_hold(text, confirm)).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                         C.row_key(docs).alias("k_row"),
-                         F.posexplode(F.split(text, r"\n[^\p{L}\p{N}]*\n")).alias("block", "b_text"))
+def windows(held: DataFrame, confirm: float) -> DataFrame:
+    """Word windows of the blocks of held texts that may hold a notice: doc_id,
+    k_row, block number and text, first word, size and the words as ``line``."""
+    blocks = held.select("doc_id", "k_row", F.posexplode(F.split("text", r"\n[^\p{L}\p{N}]*\n"))
+                         .alias("block", "b_text"))
     blocks = blocks.filter(_may_hold(F.col("b_text"), confirm)).filter(
         _may_match(F.col("b_text"), confirm)).withColumn("words", _words(F.col("b_text")))
 
@@ -279,14 +286,15 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     probability and agreement with its best template. A block has the number
     -1 - (its number in the text) and its best window as line."""
     spark = docs.sparkSession
-    lines = C.stored(candidate_lines(docs, id_col, text_col, confirm).withColumn(
+    held = C.stored(held_texts(docs, id_col, text_col, confirm), "held-texts")
+    lines = C.stored(candidate_lines(held, confirm).withColumn(
         "may", _may_match(F.col("line"), confirm)), "candidates")
     model, least = trained(spark, paragraphs(docs, id_col, text_col), lines.filter("NOT may"),
                            false_rate)
     single = C.stored(_classified(lines.filter("may"), model, least, confirm,
                                   ["doc_id", "k_row", "paragraph"]), "licence-lines")
     keys = ["doc_id", "k_row", "block", "b_text", "start", "size"]
-    cut = C.stored(windows(docs, id_col, text_col, confirm).filter(
+    cut = C.stored(windows(held, confirm).filter(
         _may_match(F.col("line"), confirm)), "windows")
     found = _classified(cut, model, least, confirm, keys)
     # The best agreement among the windows that overlap.
