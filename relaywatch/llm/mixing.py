@@ -17,7 +17,8 @@ Only cells (the product of the margins' values at most) are aggregated and
 joined; texts are never shuffled, and a hot source adds one row per task to the
 first aggregation. Null sources and languages are values of their own; a null
 text has no words and the topic ``short``; documents without words are kept
-with their cell's probability; an empty table gives no rows.
+with their cell's probability; texts of any length count whole; other columns may
+have any name and are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations

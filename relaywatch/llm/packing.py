@@ -8,10 +8,13 @@ root of a tree that holds the largest free capacity below each node. What the
 emptiest sequences of a group hold is then cut to fill the gaps of the others,
 so a group ends with at most one sequence that is not full.
 
-Groups are formed by a hash of doc_id and text, about ``group_docs`` documents
-each, so no group grows with the input, and a task works on one group. Null
+Groups are formed by a hash of doc_id, text and the row's place in the scan, about
+``group_docs`` documents each, so no group grows with the input, equal rows are dealt
+to all groups, and a task works on one group. Null
 texts count as empty (a document then has its end id alone); rows that share a
-doc_id are packed as documents of their own; an empty table gives no rows.
+doc_id are packed as documents of their own; texts of any length are encoded whole
+and cut into sequences; other columns, whatever their names, take no part; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

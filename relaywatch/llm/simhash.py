@@ -21,8 +21,8 @@ labels with hooking and shortcuts; each round is a table in the shared folder.
 
 Null and empty texts have fingerprint zero and link like any other. Rows that
 share a doc_id are told apart by their whole rows. The class id is the smallest
-doc_id of the component (null only if all its rows lack one); an empty table
-gives no rows.
+doc_id of the component (null only if all its rows lack one). Texts of any length
+are taken whole; other columns may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations

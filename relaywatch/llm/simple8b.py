@@ -21,7 +21,8 @@ selector by selector without a loop over words.
 
 Null texts count as empty; a document always ends with the end id, so none is
 without ids. Rows that share a doc_id stay apart, in the order of their texts;
-a null doc_id comes last.
+a null doc_id comes last. Texts of any length are encoded whole; other columns,
+whatever their names, take no part; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -28,7 +28,9 @@ shard. Texts are shuffled once (Spark reuses the exchange).
 
 Null texts count as empty; texts shorter than ``width`` keep all bytes; rows that
 share a doc_id never remove each other's bytes; a null doc_id counts as larger
-than all others; an empty table gives no rows.
+than all others; texts of any length are taken whole; equal rows each keep their
+result row; other columns, whatever their names, take no part; an empty table gives
+no rows.
 """
 
 from __future__ import annotations

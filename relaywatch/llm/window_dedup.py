@@ -19,7 +19,9 @@ probability of (distinct windows) / 2**64, that is 1e-6 at 1.6e13 windows
 
 Null texts count as empty, documents shorter than a window keep all words,
 rows that share a doc_id never remove each other's words, a null doc_id counts
-as larger than all others, and an empty table gives no rows.
+as larger than all others, and an empty table gives no rows. Texts of any length are
+taken whole (a shard may be one long text); equal rows each keep their result row;
+other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
