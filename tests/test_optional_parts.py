@@ -23,7 +23,7 @@ def test_other_queries_without_the_corpus_operators(tmp_path, gone):
             shutil.copytree(src, dst, ignore=lambda d, names: [
                 n for n in names if n == "__pycache__"
                 or os.path.relpath(os.path.join(d, n), ROOT) in gone])
-        elif name not in gone:
+        elif name not in gone and os.path.exists(src):
             shutil.copy(src, dst)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", COUNT], cwd=tmp_path, env=env, capture_output=True,
