@@ -99,7 +99,7 @@ def _css_residuals(y: np.ndarray, c: float, phi: float, theta: float
 _LOW, _HIGH = np.array([-np.inf, -0.99, -0.99]), np.array([np.inf, 0.99, 0.99])
 
 
-def fit_arma11(y: np.ndarray, max_iter: int = 50) -> tuple[float, float, float, float, bool]:
+def fit_arma11(y: np.ndarray, max_iter: int = 500) -> tuple[float, float, float, float, bool]:
     """(const, ar1, ma1, sigma2, converged) for one series. The residual sum is not
     above that of the lag regression (M2), which is one of the two starts, as long
     as its slope lies inside the bounds."""
@@ -139,7 +139,7 @@ def fit_arma11(y: np.ndarray, max_iter: int = 50) -> tuple[float, float, float,
             break
         rel = abs(sse - better[1][0]) / max(sse, 1e-12)
         params, (sse, e, jac) = better
-        if rel < 1e-10:
+        if rel < 1e-9:
             converged = True
             break
     sigma2 = sse / max(n - 1, 1)
