@@ -30,6 +30,7 @@ from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, Stateful
                                                       StatefulProcessorHandle, TimerValues)
 
 from relaywatch.schema import INCIDENTS
+from relaywatch.session import ROCKSDB
 from relaywatch.streaming.live import FRESH, advance
 
 ORDER_KIND, RESET_KIND, TICK_KIND = "order", "reset", "tick"
@@ -166,7 +167,12 @@ def triggers_with_resets(events: DataFrame, watermark: str = "1 minute") -> Data
     One watermark covers the union, so neither stream can hold the other up; a
     record of either may come ``watermark`` later than the newest event time seen.
     The state of a tenant is its counters and the rows within the watermark.
+
+    ``transformWithState`` keeps each state variable in a column family of its own,
+    which only the RocksDB provider has: the stream's session is set to it, whatever
+    the session's own choice.
     """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     e = (events.withWatermark("event_time", watermark)
          .withColumn("event_us", F.unix_micros("event_time")))
     return e.groupBy("tenant").transformWithStateInPandas(

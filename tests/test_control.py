@@ -101,6 +101,25 @@ def test_stream_equals_state_machine_for_displaced_records(spark):
     assert got == machine(events) and len(got) > 5
 
 
+def test_stream_runs_in_a_session_with_another_state_provider(spark):
+    """A plain Spark session keeps state in the HDFS-backed provider, which has no
+    column families: the trigger sets what it needs for its own stream."""
+    key, other = "spark.sql.streaming.stateStore.providerClass", (
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    plain = spark.newSession()
+    plain.conf.set(key, other)
+    events = trace(4, 60)
+    rows = [(k, t, stamp(T0 + s), arr, f"o{arr}", f"t{s}", inc, d, c, p, s)
+            for k, t, s, arr, inc, d, c, p in events]
+    rows += [("tick", t, stamp(T0 + 90_000), *[None] * 7, 31) for t in "ab"]
+    out = RUN.replay(plain, plain.createDataFrame(rows, EVENT), CT.triggers_with_resets, "plain",
+                     "append", 2, order_col="seq")
+    got = sorted((r.tenant, r.epoch, r.arrival, r.total_orders)
+                 for r in RUN.appended(plain, out).collect())
+    assert got == machine(events) and got
+    assert plain.conf.get(key) == other
+
+
 def test_batch_and_keyed_trigger_share_null_rules(spark):
     events = [e for e in trace(8, 400) if e[0] == "order"]
     rows = [(0, arr, f"o{arr}", "t", inc, d, c, p) for _, _, _, arr, inc, d, c, p in events]
