@@ -2,26 +2,32 @@
 
 Index over a corpus ``(doc_id, text)``:
 
-- ``terms``   (doc_id, token, tf)  term counts, computed once (one pass over
-                                   the texts) and written as a Parquet table
+- ``terms``   (doc_id, token, tf)  term counts, computed once and written as a
+                                   table bucketed by doc_id: the texts are dealt
+                                   by doc_id, so only they are shuffled, and what
+                                   is added up per document later needs no shuffle
 - ``idf``     (token, df, idf)     smoothed ``ln((1+N)/(1+df)) + 1``
 - ``norms``   (doc_id, norm)       L2 norm of the tf*idf vector
-- ``weights`` (doc_id, token, wn)  tf*idf / norm, hash-partitioned by doc_id
+- ``weights`` (doc_id, token, wn)  tf*idf / norm
+
+Terms meet their idf in two parts: the most frequent tokens, as many as may be
+broadcast, where the terms are; the terms of all other tokens (few each) in a
+shuffle join. Both parts together are all terms.
 
 Search with queries ``(qid, text)``: query tokens outside the vocabulary are
 dropped before the query norm; ``score(q, d) = sum_t qn(q,t) * wn(d,t)``.
 The query vectors are broadcast only after a row-count check (they grow with
 the number of queries); beyond the limit the join is a shuffle join and AQE
-splits skewed (common) tokens. ``weights`` comes from one re-partition by
-doc_id and a per-document window, so the per-(query, doc) sum after the
-broadcast join needs no further shuffle, and top-k uses a WindowGroupLimit
-that ships at most k rows per query from each partition: the (query, doc)
-pairs themselves are never shuffled.
+splits skewed (common) tokens. Only the terms of query tokens are weighted; the
+per-(query, doc) sum after the broadcast join runs on the buckets, and top-k uses
+a WindowGroupLimit that ships at most k rows per query from each partition: the
+(query, doc) pairs themselves are never shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -33,6 +39,10 @@ from relaywatch.session import work_dir
 # Query-vector rows (qid, token) and their token bytes above which they are not
 # broadcast but joined by shuffle.
 MAX_BROADCAST_QUERY_TOKENS, MAX_BROADCAST_QUERY_BYTES = 500_000, 16 << 20
+# Tokens of the vocabulary, and their bytes, that are broadcast with their idf.
+MAX_BROADCAST_TOKENS, MAX_BROADCAST_TOKEN_BYTES = 200_000, 8 << 20
+# Text bytes in a bucket of the term table, and the number of buckets at most.
+BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 50_000
 
 
 @dataclass
@@ -41,7 +51,8 @@ class TfidfIndex:
     terms: DataFrame    # (doc_id, token, tf)
     idf: DataFrame      # (token, df, idf)
     norms: DataFrame    # (doc_id, norm)
-    weights: DataFrame  # (doc_id, token, wn), partitioned by doc_id
+    weights: DataFrame  # (doc_id, token, wn)
+    null_ids: bool = False  # some row has no doc_id: joins by it are null-safe
 
 
 def token_occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -57,30 +68,87 @@ def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> TfidfIndex:
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                max_tokens: int = MAX_BROADCAST_TOKENS) -> TfidfIndex:
     """Build the index. The term table is computed in one pass over the
     texts and written as Parquet under the shared checkpoint folder (lineage
     is cut, it survives executor loss, later reads are columnar and pruned);
-    everything else stays lazy. ``docs`` keeps every row: empty documents
-    count toward N, as in the reference."""
+    norms and weights stay lazy. ``docs`` keeps every row: empty documents
+    count toward N, as in the reference. ``max_tokens``: the tokens that may be
+    broadcast."""
+    spark = docs.sparkSession
     corpus = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    path = work_dir(docs.sparkSession, "tfidf-terms")
-    term_frequency(corpus).write.mode("overwrite").parquet(path)
-    terms = docs.sparkSession.read.parquet(path)
-    n_docs = corpus.agg(F.count(F.lit(1))).scalar()
+    path = work_dir(spark, "tfidf-terms")
+    n_docs, size, null_ids = corpus.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
+        F.count_if(F.col("doc_id").isNull())).first()
+    parts = min(MAX_BUCKETS, max(1, math.ceil(size / BUCKET_BYTES)))
+    terms = _bucketed(term_frequency(corpus.repartition(parts, "doc_id")), parts, path)
     df = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
+    idf = df.withColumn("idf", F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df")))
+                        + 1.0)
     idf.write.mode("overwrite").parquet(f"{path}-idf")  # one aggregation for all its uses
-    idf = docs.sparkSession.read.schema(idf.schema).parquet(f"{path}-idf")
-    weighted = terms.join(idf.select("token", "idf"), "token").select(
-        "doc_id", "token", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = weighted.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    per_doc = Window.partitionBy("doc_id")
-    weights = (weighted.repartition("doc_id")
-               .select("doc_id", "token",
-                       (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_doc)))
-                       .alias("wn")))
-    return TfidfIndex(corpus.select("doc_id"), terms, idf, norms, weights)
+    idf = spark.read.schema(idf.schema).parquet(f"{path}-idf")
+    weighted = _weighted(terms, idf, max_tokens)
+    squares = _union([w.select("doc_id", (F.col("w") * F.col("w")).alias("w2")) for w in weighted])
+    norms = squares.groupBy("doc_id").agg(F.sqrt(F.sum("w2")).alias("norm"))
+    weights = _union([_per_norm(w, norms, "w", "wn", bool(null_ids)).select("doc_id", "token", "wn")
+                      for w in weighted])
+    return TfidfIndex(corpus.select("doc_id"), terms, idf, norms, weights, bool(null_ids))
+
+
+def _bucketed(rows: DataFrame, buckets: int, path: str) -> DataFrame:
+    """``rows`` written as a table bucketed and sorted by doc_id, and read back."""
+    name = _table_of(path)
+    (rows.write.mode("overwrite").bucketBy(buckets, "doc_id").sortBy("doc_id")
+     .option("path", path).saveAsTable(name))
+    return rows.sparkSession.table(name)
+
+
+def _weighted(terms: DataFrame, idf: DataFrame, max_tokens: int) -> list[DataFrame]:
+    """(doc_id, token, w) with w = tf*idf of all terms: those of the most frequent
+    tokens, whose idf is broadcast (the terms keep their buckets), and the others.
+
+    The least document frequency of the first part comes from a histogram, so the
+    driver gets a few hundred rows at most.
+    """
+    steps = (idf.groupBy(F.floor(F.log2("df") * 8).alias("step"))
+             .agg(F.min("df").alias("least"), F.count(F.lit(1)).alias("tokens"),
+                  F.sum(F.octet_length("token") + 16).alias("size"))
+             .orderBy(F.col("step").desc()).collect())
+    least, tokens, size = None, 0, 0
+    for s in steps:
+        tokens, size = tokens + s.tokens, size + s.size
+        if tokens > max_tokens or size > MAX_BROADCAST_TOKEN_BYTES:
+            break
+        least = s.least
+    weight = (F.col("tf") * F.col("idf")).alias("w")
+    known = idf.select("token", "idf", "df")
+    parts = []
+    rest = terms
+    if least is not None:
+        often = F.broadcast(known.filter(F.col("df") >= least))
+        parts.append(terms.join(often, "token").select("doc_id", "token", weight))
+        rest, known = terms.join(often, "token", "left_anti"), known.filter(F.col("df") < least)
+    if not parts or least > steps[-1].least:
+        parts.append(rest.join(known, "token").select("doc_id", "token", weight))
+    return parts
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _per_norm(rows: DataFrame, norms: DataFrame, value: str, out: str, null_ids: bool) -> DataFrame:
+    """``rows`` with ``value`` over the document's norm as ``out``. Rows in doc_id's
+    buckets stay where they are: one norm per document is dealt to them."""
+    n = norms.hint("shuffle_hash")
+    if null_ids:
+        n = n.withColumnRenamed("doc_id", "_id")
+        joined = rows.join(n, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    else:
+        joined = rows.join(n, "doc_id")
+    return joined.withColumn(out, F.col(value) / F.col("norm"))
 
 
 def query_vectors(index: TfidfIndex, queries: DataFrame, id_col: str = "qid",
@@ -107,9 +175,18 @@ def query_vectors(index: TfidfIndex, queries: DataFrame, id_col: str = "qid",
 
 def sparse_dot(index: TfidfIndex, qvec: DataFrame, broadcast_queries: bool) -> DataFrame:
     """Cosine score of every (query, document) pair sharing a token."""
-    q = F.broadcast(qvec) if broadcast_queries else qvec
-    return (index.weights.join(q, "token")
-            .groupBy("qid", "doc_id").agg(F.sum(F.col("wn") * F.col("qn")).alias("score")))
+    dot = F.sum(F.col("wn") * F.col("qn"))
+    if index.terms is None:  # a loaded index: its weights are stored
+        q = F.broadcast(qvec) if broadcast_queries else qvec
+        return index.weights.join(q, "token").groupBy("qid", "doc_id").agg(dot.alias("score"))
+    # Only the terms of query tokens are weighted; the norm is divided out of the sum.
+    idf = index.idf.select("token", "idf")
+    q = idf.join(F.broadcast(qvec) if broadcast_queries else qvec, "token").select(
+        "qid", "token", (F.col("qn") * F.col("idf")).alias("qw"))
+    sums = (index.terms.join(F.broadcast(q) if broadcast_queries else q, "token")
+            .groupBy("qid", "doc_id").agg(F.sum(F.col("tf") * F.col("qw")).alias("dot")))
+    return _per_norm(sums, index.norms, "dot", "score", index.null_ids).select(
+        "qid", "doc_id", "score")
 
 
 def top_documents(index: TfidfIndex, queries: DataFrame, k: int = 1, id_col: str = "qid",

@@ -313,3 +313,27 @@ def test_run_cols_keep_restarted_sequences_apart(spark):
     assert merged.estimated_loss == 0  # max 5 vs 6 received hides the losses
     per_run = {r.run: r.estimated_loss for r in R.delivery_summary(df, run_cols=["run"]).collect()}
     assert per_run == {"run1": 1, "run2": 1}
+
+
+def test_index_parts_of_frequent_and_rare_tokens_are_all_terms(spark):
+    """However many tokens are broadcast, norms, weights and scores are the same;
+    ids that repeat or are null count as one document each."""
+    from relaywatch.operators import search as S
+    texts = ["a b c", "a a d e", "a b", None, "", "f g a", "b h"]
+    docs = spark.createDataFrame([*enumerate(texts), (1, "d z"), (None, "a q"), (None, "b")],
+                                 "doc_id long, text string")
+    q = spark.createDataFrame([(1, "a d"), (2, "q b b"), (3, "none")], "qid long, text string")
+
+    def results(max_tokens):
+        idx = S.build_index(docs, max_tokens=max_tokens)
+        qv, small = S.query_vectors(idx, q)
+        frames = idx.norms, idx.weights, S.sparse_dot(idx, qv, small), S.top_documents(idx, q, k=3)
+        rows = [sorted(str(tuple(round(x, 9) if isinstance(x, float) else x for x in r))
+                       for r in f.collect()) for f in frames]
+        return idx, rows
+    idx, rows = results(1000)
+    assert rows == results(3)[1] == results(0)[1]
+    assert len(rows[0]) == 6 and len(rows[1]) == idx.terms.count()
+    # Nothing but the texts moves: per-document sums run on the term table's buckets.
+    idx.norms.write.format("noop").mode("overwrite").save()
+    assert "hashpartitioning" not in idx.norms._jdf.queryExecution().executedPlan().toString()
