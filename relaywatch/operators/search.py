@@ -43,6 +43,8 @@ MAX_BROADCAST_QUERY_TOKENS, MAX_BROADCAST_QUERY_BYTES = 500_000, 16 << 20
 MAX_BROADCAST_TOKENS, MAX_BROADCAST_TOKEN_BYTES = 200_000, 8 << 20
 # Text bytes in a bucket of the term table, and the number of buckets at most.
 BUCKET_BYTES, MAX_BUCKETS = 16 << 20, 50_000
+# Results of a search up to which their texts are picked by a broadcast of their ids.
+MAX_BROADCAST_RESULTS = 500_000
 
 
 @dataclass
@@ -222,10 +224,16 @@ def ranked(index: TfidfIndex, scored: DataFrame, queries: DataFrame, k: int,
 
 def attach_content(top: DataFrame, docs: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """Add each result's document text. Only the top-k rows are joined
-    back to the corpus (AQE broadcasts them when small), so the texts are
-    read once and never shuffled with the (query, doc) candidates."""
+    """Add each result's document text. The results are written first (k rows
+    per query); their ids are broadcast when few, so the texts are read once and
+    only those of results are shuffled."""
+    spark = top.sparkSession
+    path = work_dir(spark, "top-documents")
+    top.write.mode("overwrite").parquet(path)
+    top = spark.read.schema(top.schema).parquet(path)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("content"))
+    if top.count() <= MAX_BROADCAST_RESULTS:
+        texts = texts.join(F.broadcast(top.select("doc_id").distinct()), "doc_id", "left_semi")
     return top.join(texts, "doc_id", "left")
 
 

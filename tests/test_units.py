@@ -337,3 +337,14 @@ def test_index_parts_of_frequent_and_rare_tokens_are_all_terms(spark):
     # Nothing but the texts moves: per-document sums run on the term table's buckets.
     idx.norms.write.format("noop").mode("overwrite").save()
     assert "hashpartitioning" not in idx.norms._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_of_results_are_picked_before_they_move(spark):
+    from relaywatch.operators import search as S
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    top = spark.createDataFrame([(1, 3, 0.5, 1), (1, 99, 0.4, 2), (2, 3, 0.1, 1)],
+                                "qid long, doc_id long, score double, rank int")
+    out = S.attach_content(top, docs)
+    assert sorted((r.qid, r.doc_id, r.content) for r in out.collect()) == [
+        (1, 3, "text 3"), (1, 99, None), (2, 3, "text 3")]
+    assert "LeftSemi" in out._jdf.queryExecution().executedPlan().toString()
