@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,3 +39,29 @@ def test_fewer_pairs_are_scored(spark, sf_dir):
     every = S.sparse_dot(index, qvec, small).count()
     some = P.candidates(P.build_blocks(index, block_docs=64), qvec, 1).count()
     assert 0 < some < 0.5 * every
+
+
+def test_pairs_are_scored_in_their_block(spark, monkeypatch):
+    """Steps of queries and documents give the same pairs; neither the postings nor the
+    pairs are shuffled once per query."""
+    docs, queries = corpus(7)
+    index = S.build_index(spark.createDataFrame(docs, "doc_id long, text string"))
+    qvec, small = S.query_vectors(index, spark.createDataFrame(queries, "qid long, text string"))
+    blocks = P.build_blocks(index, block_docs=80)
+    found = P.scored(blocks, qvec, 3, broadcast_queries=small)
+    want = {(r.qid, r.doc_id): r.score for r in S.sparse_dot(index, qvec, small).collect()}
+    got = {(r.qid, r.doc_id): r.score for r in found.collect()}
+    assert got and all(abs(want[p] - x) < 1e-9 for p, x in got.items())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" in plan and "inline(" not in plan
+    asked = pa.table({"qid": [1, 1, 2, 3], "token": list("abba"), "qn": [0.5, 0.5, 1.0, 1.0],
+                      "aside": [False, True, False, False], "rest": [0.1, 0.1, 0.0, 0.0],
+                      "least": [0.2, 0.2, 0.9, -1.0]})
+    lists = pa.table({"token": list("abab"), "doc_id": [10, 10, 11, 12], "wn": [0.4, 0.6, 0.1, 0.9]})
+    whole = P._score_block(asked, lists).to_pylist()
+    assert {(r["qid"], r["doc_id"]): round(r["score"], 9) for r in whole} == {
+        (1, 10): 0.5, (2, 12): 0.9, (3, 10): 0.4, (3, 11): 0.1}
+    monkeypatch.setattr(P, "QUERY_STEP", 2)
+    monkeypatch.setattr(P, "DOC_STEP", 1)
+    steps = P._score_block(asked, lists).to_pylist()
+    assert sorted(map(str, steps)) == sorted(map(str, whole))
