@@ -155,7 +155,7 @@ def segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
                      escapes.astype("<u8").tobytes(), words.astype("<u8").tobytes()])
 
 
-def read_segment(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+def read_segment(b: bytes | memoryview) -> tuple[np.ndarray, np.ndarray]:
     """(ids, ids of each document) of a segment."""
     if b[:8] != MAGIC:
         raise ValueError("not a token-id segment")
@@ -172,6 +172,12 @@ def read_segment(b: bytes) -> tuple[np.ndarray, np.ndarray]:
 SHARD_GROUP = 4096
 _SEGMENTS = "shard int, doc_ids array<long>, n_ids long, payload binary"
 _ROWS = "shard int, doc_id long, start long, n_tokens long, ids_crc32 long"
+# Parquet looks at the size of its buffers after 100 rows only, which would be 100
+# segments: a row group per segment bounds what a writer or reader holds, and lets
+# readers share a file. Payloads are coded already: a second codec would shrink
+# them by a few per cent and keep its own buffers beside the heap.
+_WRITE = {"parquet.block.row.count.limit": 1, "parquet.enable.dictionary": "false",
+          "compression": "none"}
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *,
@@ -193,14 +199,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
         for x in loaded(tokenizer).encode(d.text):
             ids += [x, end]
             sizes.append(len(x) + 1)
-        got = np.concatenate(ids)
-        pa.default_memory_pool().release_unused()
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()),
-                         "doc_ids": pa.array([d.raw_ids.to_pylist()], pa.list_(pa.int64())),
-                         "n_ids": pa.array([len(got)], pa.int64()),
-                         "payload": pa.array([segment(got, np.array(sizes))], pa.binary())})
+        raw_ids, got = d.raw_ids, np.concatenate(ids)
+        del d, ids, x
+        out = pa.table({"shard": pa.array([key[0].as_py()], pa.int32()),
+                        "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(raw_ids)], pa.int32()),
+                                                            raw_ids),
+                        "n_ids": pa.array([len(got)], pa.int64()),
+                        "payload": pa.array([segment(got, np.array(sizes))], pa.binary())})
+        del got
+        C.tidy()
+        return out
 
-    parts.groupBy(C.SHARD).applyInArrow(encode, _SEGMENTS).write.parquet(path)
+    parts.groupBy(C.SHARD).applyInArrow(encode, _SEGMENTS).write.options(**_WRITE).parquet(path)
 
 
 def read_token_files(spark, path: str) -> DataFrame:
@@ -213,8 +223,9 @@ def read_token_files(spark, path: str) -> DataFrame:
         for batch in batches:
             for shard, doc_ids, payload in zip(*(batch.column(c) for c in
                                                  ("shard", "doc_ids", "payload"))):
-                ids, sizes = read_segment(payload.as_buffer().to_pybytes())
+                ids, sizes = read_segment(memoryview(payload.as_buffer()))
                 raw = memoryview(ids.astype("<u4")).cast("B")
+                del ids
                 end = np.cumsum(sizes)
                 crc = [zlib.crc32(raw[4 * (e - n):4 * e]) for e, n in zip(end.tolist(), sizes.tolist())]
                 yield pa.RecordBatch.from_pydict({
@@ -223,6 +234,8 @@ def read_token_files(spark, path: str) -> DataFrame:
                     "start": pa.array(end - sizes, pa.int64()),
                     "n_tokens": pa.array(sizes, pa.int64()),
                     "ids_crc32": pa.array(crc, pa.int64())})
+                del raw, sizes, end, crc
+                C.tidy()
 
     # The ids before each shard: within its group of shards, and in the groups
     # before (one row per ``SHARD_GROUP`` shards, so that no task sees all shards).

@@ -215,3 +215,20 @@ def test_token_files_add_up_over_groups_of_shards(spark, monkeypatch):
     monkeypatch.setattr(simple8b, "SHARD_GROUP", 3)
     assert sorted((r.doc_id, r.start) for r in simple8b.read_token_files(spark, path).collect()) == want
     assert want[0] == (0, 0) and [s for _, s in want] == sorted(s for _, s in want)
+
+
+def test_token_files_hold_one_segment_at_a_time(spark):
+    import pyarrow.dataset as ds
+    rng = np.random.default_rng(0)
+    docs = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.integers(0, 999, 40)))
+                                  for i in range(400)], "doc_id long, text string")
+    path = common.scratch(spark, "files")
+    simple8b.write_token_files(docs.coalesce(1), path, BYTE, 2, shard_bytes=2000)
+    files = [f.metadata for f in ds.dataset(path.removeprefix("file:"), format="parquet").get_fragments()]
+    groups = [m.row_group(k) for m in files for k in range(m.num_row_groups)]
+    n_rows = sum(g.num_rows for g in groups)
+    assert n_rows > 2 * len(files)  # some writers had several segments
+    assert {g.num_rows for g in groups} == {1}  # and held one of them at a time
+    columns = [g.column(c) for g in groups for c in range(g.num_columns)]
+    assert {c.compression for c in columns} == {"UNCOMPRESSED"}  # no codec buffers beside the heap
+    assert sum(r.n_tokens > 0 for r in simple8b.read_token_files(spark, path).collect()) == 400
