@@ -97,11 +97,14 @@ def _score_block(asked: pa.Table, postings: pa.Table) -> pa.Table:
     """(qid, doc_id, score) of a block's documents that may enter the top of a query.
 
     ``asked``: (qid, token, qn, aside, rest, least), ``postings``: (token, doc_id, wn).
+    Postings of other tokens are passed over: the queries that hold them leave this
+    block out.
     """
     out = []
-    qids, docs = asked["qid"].combine_chunks().dictionary_encode(), postings[
-        "doc_id"].combine_chunks().dictionary_encode()
     tokens = pc.unique(asked["token"])
+    postings = postings.filter(pc.is_in(postings["token"], value_set=tokens))
+    qids, docs = asked["qid"].combine_chunks().dictionary_encode("encode"), postings[
+        "doc_id"].combine_chunks().dictionary_encode()
     qt = pc.index_in(asked["token"].combine_chunks(), tokens).to_numpy()
     dt = pc.index_in(postings["token"].combine_chunks(), tokens).to_numpy()
     qi, di = qids.indices.to_numpy(), docs.indices.to_numpy()

@@ -65,3 +65,27 @@ def test_pairs_are_scored_in_their_block(spark, monkeypatch):
     monkeypatch.setattr(P, "DOC_STEP", 1)
     steps = P._score_block(asked, lists).to_pylist()
     assert sorted(map(str, steps)) == sorted(map(str, whole))
+
+
+@pytest.mark.parametrize("block", [8, 10 ** 6])
+def test_blocks_that_every_query_of_a_token_leaves_out(spark, block):
+    """``alpha`` alone cannot bring a long text near the best ones, so its only query
+    leaves most blocks out, though their postings hold it. A query without an id is
+    found like any other."""
+    docs = [(i, "common " * 40 + f"x{i} alpha") for i in range(60)] + [
+        (100 + i, "alpha beta gamma") for i in range(4)]
+    index = S.build_index(spark.createDataFrame(docs, "doc_id long, text string"))
+    q = spark.createDataFrame([(1, "alpha beta gamma"), (2, "x7 x8"), (None, "x9 gamma")],
+                              "qid long, text string")
+    full = S.top_documents(index, q, k=2).collect()
+    fast = P.top_documents(P.build_blocks(index, block_docs=block), q, k=2).collect()
+    assert sorted(map(str, fast)) == sorted(map(str, full)) and len(full) == 6
+
+
+def test_block_without_asked_tokens():
+    asked = pa.table({"qid": [1], "token": ["a"], "qn": [0.5], "aside": [False], "rest": [0.0],
+                      "least": [0.1]})
+    lists = pa.table({"token": ["a", "c"], "doc_id": [10, 11], "wn": [0.4, 0.6]})
+    assert P._score_block(asked, lists).to_pylist() == [{"qid": 1, "doc_id": 10, "score": 0.2}]
+    assert P._score_block(asked.slice(0, 0), lists).num_rows == 0
+    assert P._score_block(asked, lists.slice(0, 0)).num_rows == 0
