@@ -19,7 +19,7 @@ kept in a folder of the query and holds after a restart.
 from __future__ import annotations
 
 import io
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,10 @@ _KPIS = ("total long, delayed long, cancelled long, prep_sum long, last_fired st
          "epoch_incident string")
 
 
+# Waiting rows of a tenant that a task sorts at once, and those stored in one value.
+RUN_ROWS, PAGE_ROWS = 50_000, 1_000
+
+
 def _packed(pdf: pd.DataFrame) -> bytes:
     sink = io.BytesIO()
     table = pa.Table.from_pandas(pdf[_ROW], preserve_index=False)
@@ -56,6 +60,10 @@ def _unpacked(data: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(data).read_all().to_pandas()
 
 
+def _pairs(data: bytes) -> list[list[int]]:
+    return np.frombuffer(data, np.int64).reshape(-1, 2).tolist() if len(data) else []
+
+
 def run_events(state: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
     """The fired receipts of one tenant's events, taken in order of event time,
     and the state after them: (total, delayed, cancelled, prep_sum, last_fired,
@@ -64,59 +72,101 @@ def run_events(state: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
     first = (rows["kind"] != RESET_KIND).to_numpy()
     order = np.lexsort((rows["arrival"].fillna(-1).to_numpy(), first, rows["event_us"].to_numpy()))
     rows, first = rows.iloc[order].reset_index(drop=True), first[order]
-    cuts = [*np.flatnonzero(~first), len(rows)]
     kpis, (epoch, incident) = tuple(state[:5]), state[5:]
-    out, start = [], 0
-    for i, cut in enumerate(cuts):
-        part = rows.iloc[start:cut].assign(epoch=epoch, epoch_incident=incident)
-        fired, kpis = advance(kpis, part)
-        if len(fired):
-            out.append(fired.assign(epoch_incident=incident))
-        if i < len(cuts) - 1:
-            kpis, epoch, incident = FRESH, epoch + 1, rows.at[cut, "incident_mode"]
-        start = cut + 1
-    found = pd.concat(out, ignore_index=True) if out else None
-    return found, (*kpis, epoch, incident)
+    incidents = np.array([incident, *rows["incident_mode"][~first]], dtype=object)
+    part = np.cumsum(~first)[first]  # resets before each order
+    fired, kpis = advance(kpis, rows[first].assign(epoch=epoch + part), part, len(incidents) - 1)
+    found = fired.assign(epoch_incident=incidents[fired["epoch"] - epoch]) if len(fired) else None
+    return found, (*kpis, epoch + len(incidents) - 1, incidents[-1])
 
 
 class ResettableTrigger(StatefulProcessor):
-    """Per tenant: the trigger's counters, and the rows that wait for the watermark
-    (one packed chunk per micro-batch, so that a busy tenant's rows are read and
-    written as a whole)."""
+    """Per tenant: the trigger's counters, and the rows that wait for the watermark.
+
+    New rows are sorted by event time, ``RUN_ROWS`` at a time, and stored in pages of
+    ``PAGE_ROWS``; an index has the first instant of each page. Due pages are read in
+    the order of these instants, and their rows are taken as soon as no unread page
+    can hold an earlier one. So a task holds a run, and a page of each run whose times
+    overlap, not the rows of a micro-batch; rows of one instant are taken together."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.kpis = handle.getValueState("kpis", _KPIS)
+        self.index = handle.getValueState("index", "pages binary")
+        self.pages = handle.getMapState("pages", "page long", "rows binary")
+        # Checkpoints from before the pages: all waiting rows of a tenant in one value.
         self.waiting = handle.getListState("waiting", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        new = [r for r in rows if len(r)]
-        yield from self._settle(key, new, timerValues.getCurrentWatermarkInMs())
+        yield from self._settle(key, rows, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._settle(key, [], timerValues.getCurrentWatermarkInMs())
 
-    def _settle(self, key, new: list[pd.DataFrame], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        kept = [_unpacked(r[0]) for r in self.waiting.get()] if self.waiting.exists() else []
-        if not new and not kept:
-            return
-        rows = pd.concat([*kept, *(n[_ROW] for n in new)], ignore_index=True)
-        due = (rows["event_us"] <= watermark_ms * 1000).to_numpy()
-        if due.any():
-            state = self.kpis.get() if self.kpis.exists() else (*FRESH, 0, None)
-            fired, state = run_events(tuple(state), rows[due])
-            self.kpis.update(state)
-            if fired is not None:
-                fired.insert(0, "tenant", key[0])
-                yield fired[[c.split()[0] for c in FIRED.split(", ")]]
-        rest = rows[~due]
-        if due.any() or new:
+    def _settle(self, key, new: Iterable[pd.DataFrame], watermark_ms: int) -> Iterator[pd.DataFrame]:
+        until = watermark_ms * 1000
+        index = dict(_pairs(self.index.get()[0])) if self.index.exists() else {}
+        known = dict(index)
+        if self.waiting.exists():
+            self._keep(index, (_unpacked(r[0]) for r in self.waiting.get()))
             self.waiting.clear()
-            if len(rest):
-                self.waiting.put([(_packed(rest),)])
-        if len(rest):
-            self.handle.registerTimer(int(rest["event_us"].min()) // 1000 + 1)
+        self._keep(index, new)
+        if any(at <= until for at in index.values()):
+            state = tuple(self.kpis.get()) if self.kpis.exists() else (*FRESH, 0, None)
+            for due in self._due(index, until):
+                fired, state = run_events(state, due)
+                if fired is not None:
+                    fired.insert(0, "tenant", key[0])
+                    yield fired[[c.split()[0] for c in FIRED.split(", ")]]
+            self.kpis.update(state)
+        if index != known:
+            self.index.update((np.array(list(index.items()), np.int64).tobytes(),))
+        if index:
+            self.handle.registerTimer(min(index.values()) // 1000 + 1)
+
+    def _keep(self, index: dict[int, int], frames: Iterable[pd.DataFrame]) -> None:
+        """Stores rows in pages, a sorted run at a time. A row without a time never
+        falls due."""
+        n, run = max(index, default=-1) + 1, []
+
+        def store() -> None:
+            nonlocal n
+            rows = pd.concat(run, ignore_index=True)
+            rows = rows[rows["event_us"].notna()].sort_values("event_us", kind="stable")
+            for a in range(0, len(rows), PAGE_ROWS):
+                page = rows.iloc[a:a + PAGE_ROWS]
+                self.pages.updateValue((n,), (_packed(page),))
+                index[n] = int(page["event_us"].iloc[0])
+                n += 1
+            run.clear()
+
+        for f in frames:
+            for a in range(0, len(f), RUN_ROWS):
+                part = f.iloc[a:a + RUN_ROWS][_ROW]
+                if run and sum(map(len, run)) + len(part) > RUN_ROWS:
+                    store()
+                run.append(part)
+        if run:
+            store()
+
+    def _due(self, index: dict[int, int], until: int) -> Iterator[pd.DataFrame]:
+        """The rows up to ``until`` in parts, each of them before those of the next
+        part. Pages that are read leave the index; later rows in them are stored anew."""
+        pages = sorted((at, n) for n, at in index.items() if at <= until)
+        ahead = [at for at, _ in pages[1:]] + [until + 1]
+        held, left = [], 0
+        for (_, n), before in zip(pages, ahead):
+            held.append(_unpacked(self.pages.getValue((n,))[0]))
+            self.pages.removeKey((n,))
+            del index[n]
+            if before > until or sum(map(len, held)) >= 2 * left + RUN_ROWS:
+                rows = pd.concat(held, ignore_index=True)
+                due = (rows["event_us"] < before).to_numpy()
+                held, left = [rows[~due]], int((~due).sum())
+                if due.any():
+                    yield rows[due]
+        self._keep(index, held)
 
     def close(self) -> None:
         pass
@@ -166,7 +216,8 @@ def triggers_with_resets(events: DataFrame, watermark: str = "1 minute") -> Data
 
     One watermark covers the union, so neither stream can hold the other up; a
     record of either may come ``watermark`` later than the newest event time seen.
-    The state of a tenant is its counters and the rows within the watermark.
+    The state of a tenant is its counters and the rows within the watermark, in pages:
+    a task's memory does not grow with the rows of a micro-batch.
 
     ``transformWithState`` keeps each state variable in a column family of its own,
     which only the RocksDB provider has: the stream's session is set to it, whatever

@@ -257,21 +257,32 @@ def _flags(column: pd.Series) -> np.ndarray:
     return column.astype("boolean").fillna(False).to_numpy(dtype=bool)
 
 
-def advance(state: tuple, pdf: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
+def advance(state: tuple, pdf: pd.DataFrame, part: np.ndarray | None = None,
+            parts: int = 0) -> tuple[pd.DataFrame, tuple]:
     """The trigger over receipts in order, from ``state`` (total, delayed,
     cancelled, prep_sum, last_fired): the fired rows and the state after them.
     Missing values count as in the batch operators: a flag as false, preparation
-    minutes as the default, an incident as none that could fire."""
+    minutes as the default, an incident as none that could fire.
+
+    ``part``: how often the trigger was reset before each receipt, ``parts``: in all.
+    Receipts after a reset start from a fresh state."""
+    if parts and not (part == 0).any():
+        state = FRESH
     total, delayed, cancelled, prep_sum, last = state
     if not len(pdf):
         return _fired(pdf, np.zeros(0, int), [np.zeros(0)] * 5), state
+    part = np.zeros(len(pdf), np.int64) if part is None else part
+    start = np.searchsorted(part, part)  # the first receipt of each one's part
+
+    def running(x: np.ndarray, before: int) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
+        return sums[1:] - sums[start] + np.where(start == 0, before, 0)
+
     d, c = _flags(pdf["is_delayed"]), _flags(pdf["is_cancelled"])
     prep = pd.to_numeric(pdf["prep_time_minutes"]).fillna(DEFAULT_PREP).to_numpy(dtype=np.int64)
     p = np.where(c, 0, prep)
-    n = total + np.arange(1, len(pdf) + 1, dtype=np.int64)
-    nd = delayed + np.cumsum(d, dtype=np.int64)
-    nc = cancelled + np.cumsum(c, dtype=np.int64)
-    ps = prep_sum + np.cumsum(p, dtype=np.int64)
+    n = running(np.ones(len(pdf)), total)
+    nd, nc, ps = running(d, delayed), running(c, cancelled), running(p, prep_sum)
     delay_rate, cancel_rate = nd * 100.0 / n, nc * 100.0 / n
     nonc = n - nc
     avg_prep = np.where(nonc > 0, ps / np.where(nonc > 0, nonc, 1), 0.0)
@@ -285,9 +296,14 @@ def advance(state: tuple, pdf: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
     idx = np.flatnonzero(breach)
     kept = inc[idx]
     prev = np.concatenate([[last], kept[:-1]]).astype(object) if len(idx) else kept
+    prev[start[idx] != np.concatenate([[0], start[idx[:-1]]])[:len(idx)]] = None
     fire = idx[np.array([a is None or a != b for a, b in zip(prev, kept)], bool)]
     out = _fired(pdf, fire, [x[fire] for x in (n, delay_rate, cancel_rate, avg_prep, score)])
-    return out, (int(n[-1]), int(nd[-1]), int(nc[-1]), int(ps[-1]), kept[-1] if len(idx) else last)
+    if part[-1] < parts:
+        return out, FRESH
+    at_end = len(idx) and start[idx[-1]] == start[-1]
+    return out, (int(n[-1]), int(nd[-1]), int(nc[-1]), int(ps[-1]),
+                 kept[-1] if at_end else last if start[-1] == 0 else None)
 
 
 def _fired(pdf: pd.DataFrame, rows: np.ndarray, kpis: list) -> pd.DataFrame:

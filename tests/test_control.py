@@ -120,6 +120,98 @@ def test_stream_runs_in_a_session_with_another_state_provider(spark):
     assert plain.conf.get(key) == other
 
 
+class Handle:
+    """State variables of one tenant in memory, with the calls the trigger uses."""
+
+    class Value:
+        def __init__(self):
+            self.value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        put = update
+
+        def clear(self):
+            self.value = None
+
+    class Map(dict):
+        def getValue(self, key):
+            return self[key]
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+        def removeKey(self, key):
+            del self[key]
+
+    def getValueState(self, name, schema):
+        return self.__dict__.setdefault(name, self.Value())
+
+    getListState = getValueState
+
+    def getMapState(self, name, keys, values):
+        return self.__dict__.setdefault(name, self.Map())
+
+    def registerTimer(self, at):
+        self.timer = at
+
+
+class Times:
+    def __init__(self, seconds):
+        self.ms = seconds * 1000
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_waiting_rows_are_taken_in_parts(seed, monkeypatch):
+    """However the rows come, none of the values in the state and none of the calls
+    that take rows holds many of them, and the result is that of the plain loop. Rows
+    that a checkpoint of before has in one value are taken too."""
+    monkeypatch.setattr(CT, "RUN_ROWS", 40)
+    monkeypatch.setattr(CT, "PAGE_ROWS", 5)
+    events = [e for e in trace(seed, 1500) if e[1] == "a"]
+    rows = pd.DataFrame(as_rows(events), columns=["kind", "tenant", *CT._ROW[1:]])
+    rnd, sizes, pages, got = random.Random(seed), [], [], []
+    run_events = CT.run_events
+
+    def seen(state, part):
+        sizes.append(len(part))
+        return run_events(state, part)
+    monkeypatch.setattr(CT, "run_events", seen)
+    handle, trigger = Handle(), CT.ResettableTrigger()
+    trigger.init(handle)
+
+    def settle(part, until):
+        frames = [part.iloc[a:a + 7] for a in range(0, len(part), 7)]
+        found = [*trigger.handleInputRows(("a",), iter(frames), Times(until))] if frames else [
+            *trigger.handleExpiredTimer(("a",), Times(until), None)]
+        for f in found:
+            got.extend(zip(f.tenant, f.epoch, f.arrival, f.total_orders))
+        pages.extend(len(CT._unpacked(v[0])) for v in handle.pages.values())
+        assert len(handle.pages) == len(CT._pairs(handle.index.get()[0]))
+    early = rows[rows.event_us < 50_000_000]
+    handle.waiting.put([(CT._packed(early),)])
+    last = 0
+    for until in (100, 420, 600, 751):
+        late = rows[(rows.event_us >= max(last, 50) * 1_000_000) & (rows.event_us < until * 1_000_000)]
+        settle(late.sample(frac=1, random_state=seed), max(last - 1, 0))
+        settle(late[:0], until - 1 - rnd.randint(0, 20))
+        last = until
+    settle(rows[:0], 10_000)
+    assert sorted(got) == [f for f in machine(events)] and len(got) > 5
+    assert max(pages) <= 5 and not handle.pages and not handle.waiting.exists()
+    assert max(sizes) < 200 < len(rows) / 3
+
+
 def test_batch_and_keyed_trigger_share_null_rules(spark):
     events = [e for e in trace(8, 400) if e[0] == "order"]
     rows = [(0, arr, f"o{arr}", "t", inc, d, c, p) for _, _, _, arr, inc, d, c, p in events]
