@@ -216,8 +216,8 @@ def triggers_with_resets(events: DataFrame, watermark: str = "1 minute") -> Data
 
     One watermark covers the union, so neither stream can hold the other up; a
     record of either may come ``watermark`` later than the newest event time seen.
-    The state of a tenant is its counters and the rows within the watermark, in pages:
-    a task's memory does not grow with the rows of a micro-batch.
+    The state of a tenant is its counters and the rows within the watermark, in pages
+    of which a task holds a few at a time.
 
     ``transformWithState`` keeps each state variable in a column family of its own,
     which only the RocksDB provider has: the stream's session is set to it, whatever
